@@ -27,10 +27,58 @@ COMBINING_LOW, COMBINING_HIGH = 0x0300, 0x036F
 # Python's str.isspace() set, spelled for Java regex: with (?U), \s is the
 # Unicode White_Space property; Python additionally counts 0x1c-0x1f.
 _WS_CLASS = r"[\s\x1c-\x1f]"
-_EDGE_WS = r"(?U)^" + _WS_CLASS + r"+|" + _WS_CLASS + r"+\z"
+_WS_NOT_SPACE = r"(?:(?! )" + _WS_CLASS + r")"
+# Whitespace runs that differ from a single ' ' (a lone space is left alone,
+# so the regex only rewrites what changes).
+_WS_RUN_TO_FIX = r"(?U)" + _WS_NOT_SPACE + _WS_CLASS + r"*| " + _WS_CLASS + r"+"
 _WS_RUN = r"(?U)" + _WS_CLASS + r"+"
-_NOT_KEPT_RUN = "[^a-z" + VIETNAMESE_LETTERS + "0-9]+"
-_NOT_KEPT_CHAR = r"(?U)(?!" + _WS_CLASS + r")[^a-z" + VIETNAMESE_LETTERS + "0-9]"
+_KEPT = "a-z" + VIETNAMESE_LETTERS + "0-9"
+# Maximal runs of non-kept characters, except a lone ' ' (already the result).
+_NOT_KEPT_RUN_TO_FIX = "[^" + _KEPT + " ][^" + _KEPT + "]*| [^" + _KEPT + "]+"
+_NOT_KEPT_CHAR = r"(?U)(?!" + _WS_CLASS + r")[^" + _KEPT + "]"
+
+
+def _ranges(chars) -> str:
+    """Regex class body for a set of characters, consecutive code points merged."""
+    cps = sorted({ord(c) for c in chars})
+    out, i = [], 0
+    while i < len(cps):
+        j = i
+        while j + 1 < len(cps) and cps[j + 1] == cps[j] + 1:
+            j += 1
+        lo, hi = cps[i], cps[j]
+        out.append(f"\\x{{{lo:x}}}" if lo == hi else f"\\x{{{lo:x}}}-\\x{{{hi:x}}}")
+        i = j + 1
+    return "".join(out)
+
+
+@lru_cache(maxsize=1)
+def _lowered_kept_class() -> str:
+    """Kept characters for text that is already lower-cased.
+
+    Adding every character whose lower case is kept changes nothing on such
+    text (none of them can occur), but lets consecutive code points merge
+    into ranges: Java evaluates a class as a chain of predicates, one per
+    range or non-Latin-1 letter, so a short chain is several times faster.
+    """
+    kept = set(VIETNAMESE_LETTERS) | set("abcdefghijklmnopqrstuvwxyz0123456789")
+    upper = {chr(cp) for cp in range(0x10000)
+             if not 0xD800 <= cp <= 0xDFFF and chr(cp).lower() in kept}
+    return _ranges(kept | upper)
+
+
+@lru_cache(maxsize=1)
+def lowered_not_kept_run() -> str:
+    k = _lowered_kept_class()
+    return "[^" + k + " ][^" + k + "]*| [^" + k + "]+"
+
+
+@lru_cache(maxsize=1)
+def python_whitespace() -> str:
+    """Every code point for which Python's ``str.isspace()`` is true (the set
+    ``str.strip()`` removes), derived by rule."""
+    return "".join(chr(cp) for cp in range(0x110000)
+                   if not 0xD800 <= cp <= 0xDFFF and chr(cp).isspace())
 
 
 def _c(col) -> Column:
@@ -38,8 +86,9 @@ def _c(col) -> Column:
 
 
 def strip_unicode_ws(col) -> Column:
-    """Python ``str.strip()``: drop leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_c(col), _EDGE_WS, "")
+    """Python ``str.strip()``: drop leading/trailing Unicode whitespace
+    (``btrim`` walks in from both ends; no regex scan of the text)."""
+    return F.btrim(_c(col), F.lit(python_whitespace()))
 
 
 def keep_vietnamese(col) -> Column:
@@ -49,7 +98,8 @@ def keep_vietnamese(col) -> Column:
 
 
 def collapse_ws(col) -> Column:
-    return F.regexp_replace(_c(col), _WS_RUN, " ")
+    """Every whitespace run -> one ' ' (runs that already are ' ' untouched)."""
+    return F.regexp_replace(_c(col), _WS_RUN_TO_FIX, " ")
 
 
 def clean(col, remove_tones: bool = False, remove_noise: bool = True) -> Column:
@@ -58,13 +108,14 @@ def clean(col, remove_tones: bool = False, remove_noise: bool = True) -> Column:
     No final strip: a character dropped at either end leaves one space.
     With the whitelist on, "replace each dropped character by a space, then
     collapse whitespace runs" equals "replace each maximal run of non-kept
-    characters (whitespace included) by one space", which is one regex pass.
+    characters (whitespace included) by one space", which is one regex pass;
+    runs that are already a single ' ' are not matched at all.
     """
     text = strip_unicode_ws(F.lower(_c(col)))
     if remove_tones:
         text = remove_tone(text)
     if remove_noise:
-        return F.regexp_replace(text, _NOT_KEPT_RUN, " ")
+        return F.regexp_replace(text, lowered_not_kept_run(), " ")
     return collapse_ws(text)
 
 
@@ -96,7 +147,7 @@ def remove_tone(col) -> Column:
 
 def normalise_spaces(col) -> Column:
     """STR-4: split on whitespace and re-join with single spaces (trimmed)."""
-    return F.regexp_replace(collapse_ws(_c(col)), r"^ | $", "")
+    return F.btrim(collapse_ws(_c(col)), F.lit(" "))
 
 
 def tokenize(col) -> Column:

@@ -13,8 +13,11 @@ checked (a larger vocabulary falls back to a shuffled join).
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aspectflow.functions.text import clean, tokenize_clean
 from aspectflow.schemas import MAX_VOCAB, PAD_ID, PAD_TOKEN, UNK_ID, UNK_TOKEN
@@ -84,16 +87,13 @@ def _vocab_side(vocab: DataFrame, max_rows: int | None) -> DataFrame:
     return side
 
 
-def encode(clean_docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id",
-           text_col: str = "clean_text", out: str = "ids",
-           max_vocab_rows: int | None = MAX_VOCAB + 2) -> DataFrame:
-    """JOIN-1 + ARR-1: token ids in token order, unknown -> 1, empty text -> [].
-
-    ``max_vocab_rows`` is the proven bound of the vocabulary (``build_vocab``
-    caps it); pass ``None`` for a vocabulary of unknown size, which then joins
-    by shuffle instead of broadcast.  The regroup is by document: its size is
-    bounded by the document length, whatever the key skew of tokens.
-    """
+def encode_by_join(clean_docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id",
+                   text_col: str = "clean_text", out: str = "ids",
+                   max_vocab_rows: int | None = MAX_VOCAB + 2) -> DataFrame:
+    """JOIN-1 + ARR-1 as relational operators: posexplode -> left join the
+    vocabulary (broadcast when its bound is known) -> regroup by document in
+    token order.  Costs one shuffle of every token; used when the vocabulary
+    is too large to ship to every task."""
     toks = token_positions(clean_docs, id_col, text_col, outer=True)
     joined = toks.join(_vocab_side(vocab, max_vocab_rows), toks["token"] == F.col("_tok"), "left")
     pair = F.when(F.col("pos").isNotNull(),
@@ -102,6 +102,45 @@ def encode(clean_docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id",
     return grouped.select(id_col, F.transform("_pairs", lambda p: p["id"]).alias(out))
 
 
+def _lookup_udf(table):
+    """Arrow UDF: cleaned text -> ids through a broadcast token -> id dict."""
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def _ids(texts: pd.Series) -> pd.Series:
+        ids = table.value
+        return pd.Series([None if s is None else
+                          np.fromiter((ids.get(w, UNK_ID) for w in s.split(" ") if w),
+                                      dtype=np.int32)
+                          for s in texts])
+
+    return _ids
+
+
+def encode(clean_docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id",
+           text_col: str = "clean_text", out: str = "ids",
+           max_vocab_rows: int | None = MAX_VOCAB + 2, keep=()) -> DataFrame:
+    """JOIN-1 + ARR-1: token ids in token order, unknown -> 1, empty text -> [].
+
+    The vocabulary is bounded (``build_vocab`` keeps at most max_vocab + 2
+    rows), and its size is checked against ``BROADCAST_VOCAB_LIMIT``: within
+    the limit it is shipped once per executor and every document is encoded
+    where it lies - a narrow, shuffle-free map over Arrow batches (the
+    Python part is a dict lookup per token).  Beyond the limit, or with an
+    unknown bound, ``encode_by_join`` is used instead.
+    """
+    if max_vocab_rows is None or max_vocab_rows > BROADCAST_VOCAB_LIMIT:
+        return encode_by_join(clean_docs, vocab, id_col, text_col, out, max_vocab_rows)
+    rows = vocab.select("token", "id").limit(BROADCAST_VOCAB_LIMIT + 1).collect()
+    if len(rows) > BROADCAST_VOCAB_LIMIT:
+        return encode_by_join(clean_docs, vocab, id_col, text_col, out, None)
+    table = clean_docs.sparkSession.sparkContext.broadcast({r["token"]: int(r["id"]) for r in rows})
+    return clean_docs.select(id_col, *keep, _lookup_udf(table)(F.col(text_col)).alias(out))
+
+
+def longest_sequence(clean_docs: DataFrame, text_col: str = "clean_text") -> int:
+    """Longest token count over all texts (one scalar aggregate, no shuffle)."""
+    return int(clean_docs.agg(F.max(F.size(tokenize_clean(text_col)))).first()[0] or 0)
+
+
 def pad_to(ids_col: str, length) -> F.Column:
     """ARR-2: right-pad with 0 to ``length`` (int or column)."""
     n = F.lit(length) if isinstance(length, int) else length
@@ -109,12 +148,15 @@ def pad_to(ids_col: str, length) -> F.Column:
                     F.array_repeat(F.lit(PAD_ID), F.greatest(n - F.size(ids_col), F.lit(0))))
 
 
-def pad(encoded: DataFrame, ids_col: str = "ids", out: str = "padded", group=None) -> DataFrame:
-    """ARR-2: pad to the longest sequence of the whole set, or of each ``group``
+def pad(encoded: DataFrame, ids_col: str = "ids", out: str = "padded", group=None,
+        length: int | None = None) -> DataFrame:
+    """ARR-2: pad to the longest sequence of the whole set (``length`` when
+    already known, e.g. from ``longest_sequence``), or of each ``group``
     (e.g. a batch).  The global maximum is one scalar aggregate."""
     if group is None:
-        longest = encoded.agg(F.max(F.size(ids_col))).first()[0] or 0
-        return encoded.withColumn(out, pad_to(ids_col, int(longest)))
+        if length is None:
+            length = encoded.agg(F.max(F.size(ids_col))).first()[0] or 0
+        return encoded.withColumn(out, pad_to(ids_col, int(length)))
     keys = [group] if isinstance(group, str) else list(group)
     longest = F.max(F.size(ids_col)).over(Window.partitionBy(*keys))
     return encoded.withColumn(out, pad_to(ids_col, longest))

@@ -104,7 +104,8 @@ def q_encode_docs(spark, d):
 
 
 def q_pad_docs(spark, d):
-    padded = vocab.pad(_encoded(spark, d))
+    longest = vocab.longest_sequence(_clean_docs(spark, d))
+    padded = vocab.pad(_encoded(spark, d), length=longest)
     return padded.select(
         "doc_id", F.size("padded").alias("padded_len"),
         (F.size("padded") - F.size("ids")).alias("n_pad"),
