@@ -86,8 +86,11 @@ def count_per_frame(frames: DataFrame, detections: DataFrame, keys,
 def count_boxes(df: DataFrame, boxes_col: str = "boxes") -> DataFrame:
     """AGG-3/4 on per-frame box arrays, with higher-order functions (no shuffle).
     A null box list counts as no boxes."""
+    def is_label(name):
+        return lambda b: b["label"] == F.lit(name)
+
     counts = [F.when(F.col(boxes_col).isNull(), F.lit(0))
-              .otherwise(F.size(F.filter(F.col(boxes_col), lambda b, n=n: b["label"] == n))).alias(n)
+              .otherwise(F.size(F.filter(F.col(boxes_col), is_label(n)))).alias(n)
               for n in VEHICLE_NAMES]
     out = df.select("*", *counts)
     total = sum([F.col(n) for n in VEHICLE_NAMES[1:]], F.col(VEHICLE_NAMES[0]))
