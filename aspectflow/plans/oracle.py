@@ -253,4 +253,11 @@ def oracle_sql() -> dict[str, str]:
         "preview": (f"SELECT doc_id, lang, source, n_chars FROM documents ORDER BY doc_id "
                     f"LIMIT {PREVIEW_ROWS}"),
         "dataset_shape": _dataset_shape(),
+        **_streams(),
     }
+
+
+def _streams() -> dict[str, str]:
+    from aspectflow.plans.streams import stream_oracle_sql
+
+    return stream_oracle_sql()

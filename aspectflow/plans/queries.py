@@ -354,3 +354,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "preview": q_preview,
     "dataset_shape": q_dataset_shape,
 }
+
+from aspectflow.plans.streams import STREAM_QUERIES  # noqa: E402
+
+QUERIES.update(STREAM_QUERIES)
