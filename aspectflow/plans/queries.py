@@ -357,4 +357,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 from aspectflow.plans.streams import STREAM_QUERIES  # noqa: E402
 
+from aspectflow.plans.ml_queries import ML_QUERIES  # noqa: E402
+
 QUERIES.update(STREAM_QUERIES)
+QUERIES.update(ML_QUERIES)
