@@ -9,6 +9,7 @@ partition count, not by the data.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,12 +17,23 @@ _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | row in parti
 
 
 def with_row_index(df: DataFrame, order_cols, name: str = "row_index", start: int = 0,
-                   num_partitions: int | None = None) -> DataFrame:
+                   num_partitions: int | None = None, materialize: str = "checkpoint",
+                   handles: list | None = None) -> DataFrame:
     """Add a dense 0-based (or ``start``-based) index following ``order_cols``.
 
     ``order_cols`` must be a total order (unique key) for a deterministic
-    result, which also makes recomputation after executor loss identical.
+    result.  The range-partitioned, sorted and tagged rows are written once
+    with a reliable ``checkpoint`` (into ``spark.checkpoint.dir``): the
+    partition sizes and the index then come from the very same rows (two
+    independent range shuffles could pick different bounds), and a lost
+    executor never forces the shuffle to be redone.
+
+    ``materialize="persist"`` keeps the tagged rows in executor storage
+    instead (for short-lived frames such as a micro-batch); the persisted
+    frame is appended to ``handles`` so the caller can unpersist it.
     """
+    from aspectflow.session import cut_lineage
+
     cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -30,6 +42,12 @@ def with_row_index(df: DataFrame, order_cols, name: str = "row_index", start: in
               .withColumn("_mid", F.monotonically_increasing_id())
               .withColumn("_part", F.shiftright(F.col("_mid"), _LOCAL_BITS))
               .withColumn("_local", F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1)))
+    if materialize == "persist":
+        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+        if handles is not None:
+            handles.append(tagged)
+    else:
+        tagged = cut_lineage(tagged)
     sizes = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

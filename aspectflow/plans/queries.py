@@ -157,10 +157,10 @@ def q_val_loss(spark, d):
 
 
 def _histories(spark, d):
-    ev = load(spark, d, "events")
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return ev.select(F.col("user_id").alias("run"), F.row_number().over(w).alias("epoch"),
-                     F.col("value").alias("val_loss"))
+    ev = load(spark, d, "events").select(F.col("user_id").alias("run"), "ts", "event_id",
+                                         F.col("value").alias("val_loss"))
+    w = Window.partitionBy("run").orderBy("ts", "event_id")   # same key as early_stop's windows
+    return ev.select("run", F.row_number().over(w).alias("epoch"), "val_loss")
 
 
 def q_early_stop(spark, d):

@@ -13,12 +13,13 @@ RESULT_COLUMNS = ["id", "source_video", "frame_id", "video_second", "total_count
                   "class_counts", "image_path", "annotation_json", "created_at"]
 
 
-def with_result_keys(batch: DataFrame, batch_id: int) -> DataFrame:
+def with_result_keys(batch: DataFrame, batch_id: int, handles: list | None = None) -> DataFrame:
     """WIN-3 + DATE-1 for an appended batch: a surrogate key that is unique
     across batches and identical when the batch is replayed
     (batch_id * 2^32 + dense index in (source, frame) order), and the
     insertion time."""
-    indexed = with_row_index(batch, ["source_video", "frame_id"], "_ri")
+    indexed = with_row_index(batch, ["source_video", "frame_id"], "_ri",
+                             materialize="persist", handles=handles)
     return indexed.withColumn("id", F.lit(batch_id).cast("long") * F.lit(1 << 32) + F.col("_ri")) \
         .withColumn("created_at", F.current_timestamp()).drop("_ri")
 
@@ -33,6 +34,11 @@ def run_frames_stream(frames: DataFrame, sink_path: str, checkpoint: str,
                        on_batch=on_batch)
 
     def _sink(batch: DataFrame, batch_id: int) -> None:
-        inner(with_result_keys(batch, batch_id), batch_id)
+        handles: list = []
+        try:
+            inner(with_result_keys(batch, batch_id, handles), batch_id)
+        finally:
+            for h in handles:
+                h.unpersist()
 
     return run_stream(results, _sink, checkpoint, trigger)
