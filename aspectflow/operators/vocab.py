@@ -41,11 +41,22 @@ def token_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "cl
 
 def token_counts(tokens: DataFrame, id_col: str = "doc_id", with_first: bool = True) -> DataFrame:
     """AGG-1: corpus frequency per token, plus its first occurrence
-    ``first = min((doc, pos))`` for tie-breaking (corpus order = doc id order)."""
-    aggs = [F.count(F.lit(1)).alias("cnt")]
-    if with_first:
-        aggs.append(F.min(F.struct(F.col(id_col).alias("doc"), F.col("pos"))).alias("first"))
-    return tokens.groupBy("token").agg(*aggs)
+    ``first = (doc, pos)`` for tie-breaking (corpus order = doc id order).
+
+    Two hash aggregates instead of one sort-based ``min(struct)``: per
+    (token, doc) the count and first position, then per token the total,
+    the first doc and - exact, as each (token, doc) is one row there - the
+    position in that doc.  Both levels combine map-side, so a token present
+    in every document spreads over tasks by document and then ships one row
+    per task.
+    """
+    if not with_first:
+        return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("cnt"))
+    per_doc = tokens.groupBy("token", id_col).agg(F.count(F.lit(1)).alias("_n"),
+                                                  F.min("pos").alias("_p"))
+    return per_doc.groupBy("token").agg(
+        F.sum("_n").alias("cnt"),
+        F.struct(F.min(id_col).alias("doc"), F.min_by("_p", id_col).alias("pos")).alias("first"))
 
 
 def top_tokens(counts: DataFrame, k: int) -> DataFrame:

@@ -24,6 +24,7 @@ from aspectflow.plans.tables import (
     REVIEW_TOPIC, SAMPLE_ROWS, TABLES, TOP_WORDS, load, metric_predictions, metric_truth,
 )
 from aspectflow.schemas import ASPECTS, LABEL_NAMES, MAX_MESSAGE_BYTES, MAX_VOCAB
+from aspectflow.session import cut_lineage
 
 R = 9  # decimals kept for doubles in compared outputs
 
@@ -93,9 +94,15 @@ def q_vocab_ids(spark, d):
     return _vocab(spark, d)
 
 
-def _encoded(spark, d):
-    docs = _clean_docs(spark, d)
-    return vocab.encode(docs, _vocab(spark, d))
+def _stored_clean_docs(spark, d):
+    """Cleaned texts written once to the shared checkpoint folder, for plans
+    that read them several times (vocabulary, encoding, lengths)."""
+    return cut_lineage(_clean_docs(spark, d))
+
+
+def _encoded(spark, d, docs=None):
+    docs = docs if docs is not None else _stored_clean_docs(spark, d)
+    return vocab.encode(docs, vocab.build_vocab(docs, MAX_VOCAB))
 
 
 def q_encode_docs(spark, d):
@@ -104,8 +111,9 @@ def q_encode_docs(spark, d):
 
 
 def q_pad_docs(spark, d):
-    longest = vocab.longest_sequence(_clean_docs(spark, d))
-    padded = vocab.pad(_encoded(spark, d), length=longest)
+    docs = _stored_clean_docs(spark, d)
+    longest = vocab.longest_sequence(docs)
+    padded = vocab.pad(_encoded(spark, d, docs), length=longest)
     return padded.select(
         "doc_id", F.size("padded").alias("padded_len"),
         (F.size("padded") - F.size("ids")).alias("n_pad"),
