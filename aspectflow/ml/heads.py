@@ -150,3 +150,23 @@ def score_adhoc(spark, texts: list[str], model: AspectModel) -> DataFrame:
     """ML-7: score a handful of literal texts."""
     df = spark.createDataFrame([(t,) for t in texts], "ReviewText string")
     return score(df, model)
+
+
+def save_model(model: AspectModel, path: str) -> None:
+    """ML-5 artefact: the fitted pipeline plus its own vocabulary, versioned
+    together (the reference could pair a model with another vocabulary: Q8)."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    meta = spark.createDataFrame([(i, w) for i, w in enumerate(model.words)], "pos int, token string")
+    meta.coalesce(1).write.mode("overwrite").parquet(f"{path}/words")
+    spark.createDataFrame([(i, a) for i, a in enumerate(model.aspects)], "pos int, aspect string") \
+        .coalesce(1).write.mode("overwrite").parquet(f"{path}/aspects")
+
+
+def load_model(spark, path: str) -> AspectModel:
+    pipeline = PipelineModel.load(f"{path}/pipeline")
+    words = [r.token for r in spark.read.parquet(f"{path}/words").orderBy("pos").collect()]
+    aspects = [r.aspect for r in spark.read.parquet(f"{path}/aspects").orderBy("pos").collect()]
+    return AspectModel(pipeline, aspects, words)

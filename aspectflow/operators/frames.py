@@ -179,3 +179,16 @@ def frame_results(df: DataFrame, inference_col: str = "inference", image_dir: st
         image_path("source_video", "frame_id", F.length(inf["annotated_b64"]) > 0, image_dir)
         .alias("image_path"),
         inf["boxes_json"].alias("annotation_json"))
+
+
+def frame_blobs(df: DataFrame, inference_col: str = "inference", image_dir: str = "") -> DataFrame:
+    """SNK-3: annotated images as a binary column beside their path (rows
+    without an image, or with undecodable base64, carry none).  Written
+    partitioned by source instead of one file per frame from the driver."""
+    inf = with_inference_defaults(F.col(inference_col))
+    blob = F.try_to_binary(inf["annotated_b64"], F.lit("base64"))
+    out = df.select("source_video", "frame_id",
+                    image_path("source_video", "frame_id", F.length(inf["annotated_b64"]) > 0,
+                               image_dir).alias("image_path"),
+                    blob.alias("image"))
+    return out.where(F.col("image").isNotNull() & (F.length("image") > 0))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aspectflow.operators.frames import frame_results
+from aspectflow.operators.frames import frame_blobs, frame_results
 from aspectflow.operators.ordering import with_row_index
 from aspectflow.streaming.pipelines import batch_sink, run_stream
 
@@ -26,19 +26,28 @@ def with_result_keys(batch: DataFrame, batch_id: int, handles: list | None = Non
 
 def run_frames_stream(frames: DataFrame, sink_path: str, checkpoint: str,
                       inference_col: str = "inference", image_dir: str = "",
-                      trigger: dict | None = None, fail_hook=None, on_batch=None):
+                      trigger: dict | None = None, fail_hook=None, on_batch=None,
+                      blob_path: str | None = None):
     """SNK-2: every row goes to its camera's partition (``source_video``) in
-    one distributed write per micro-batch; no collect, no per-row job."""
-    results = frame_results(frames, inference_col, image_dir)
+    one distributed write per micro-batch; no collect, no per-row job.
+    With ``blob_path`` the annotated images (SNK-3) are written beside, in
+    the same micro-batch, partitioned by source and batch."""
     inner = batch_sink(sink_path, partition_cols=("source_video",), fail_hook=fail_hook,
                        on_batch=on_batch)
+    blobs = batch_sink(blob_path, partition_cols=("source_video",), preview_rows=0) \
+        if blob_path else None
 
     def _sink(batch: DataFrame, batch_id: int) -> None:
         handles: list = []
+        batch = batch.persist()
         try:
-            inner(with_result_keys(batch, batch_id, handles), batch_id)
+            results = frame_results(batch, inference_col, image_dir)
+            inner(with_result_keys(results, batch_id, handles), batch_id)
+            if blobs is not None:
+                blobs(frame_blobs(batch, inference_col, image_dir), batch_id)
         finally:
             for h in handles:
                 h.unpersist()
+            batch.unpersist()
 
-    return run_stream(results, _sink, checkpoint, trigger)
+    return run_stream(frames, _sink, checkpoint, trigger)

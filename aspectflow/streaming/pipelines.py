@@ -48,6 +48,27 @@ def kafka_options(servers: str, topics: str, starting: str = "earliest",
     return opts
 
 
+def publish_kafka(df: DataFrame, servers: str, topic: str | None = None,
+                  max_request_bytes: int | None = None, checkpoint: str | None = None,
+                  trigger: dict | None = None):
+    """SNK-4/SNK-5: write ``value`` (and optionally ``key``/``topic``) rows
+    to Kafka - a batch write, or a stream when ``df`` is streaming (then a
+    checkpoint is required).  Needs the Kafka connector on the class path."""
+    opts = {"kafka.bootstrap.servers": servers}
+    if topic:
+        opts["topic"] = topic
+    if max_request_bytes:
+        opts["kafka.max.request.size"] = str(int(max_request_bytes))
+    if df.isStreaming:
+        if not checkpoint:
+            raise ValueError("a streaming publish needs a checkpoint")
+        return (df.writeStream.format("kafka").options(**opts)
+                .option("checkpointLocation", checkpoint)
+                .trigger(**(trigger or DEFAULT_TRIGGER)).start())
+    df.write.format("kafka").options(**opts).save()
+    return None
+
+
 def replay_source(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
                   max_files_per_trigger: int | None = 1, file_glob: str | None = None) -> DataFrame:
     """STM-9: a stored table fed through the streaming path, a few files per

@@ -70,9 +70,12 @@ def test_frame_stream_routes_sources_in_one_write(spark, scratch, sf001):
                          F.lit("[]").alias("boxes_json"), F.lit("abc").alias("annotated_b64")
                          ).cast(INFERENCE_RESULT)
     sink, ckpt = os.path.join(scratch, "sink"), os.path.join(scratch, "ckpt")
+    blobs = os.path.join(scratch, "blobs")
     q = run_frames_stream(stream.withColumn("inference", inference), sink, ckpt,
-                          image_dir="/shared/img", trigger=NOW)
+                          image_dir="/shared/img", trigger=NOW, blob_path=blobs)
     P.drain(q)
+    b = spark.read.parquet(blobs)
+    assert b.count() == frames.count() and bytes(b.first().image) == b"i\xb7"
     out = spark.read.parquet(sink)
     assert out.count() == frames.count()
     assert sorted(p for p in os.listdir(sink) if not p.startswith("_")) == ["source_video=video1", "source_video=video2"]
