@@ -70,11 +70,19 @@ def checkpoint_root(spark: SparkSession) -> str | None:
     return value or None
 
 
+def _warehouse_fallback(spark: SparkSession) -> str:
+    """Used only when the session names no checkpoint folder: a folder under
+    the session's warehouse directory (shared storage on a cluster)."""
+    wh = spark.conf.get("spark.sql.warehouse.dir")
+    root = wh.rstrip("/") + "/_aspectflow_checkpoints"
+    spark.sparkContext.setCheckpointDir(root)
+    spark.conf.set("spark.checkpoint.dir", root)
+    return root
+
+
 def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A path under the shared checkpoint folder (never a machine-local temp dir)."""
-    root = checkpoint_root(spark)
-    if not root:
-        raise RuntimeError("spark.checkpoint.dir is not set")
+    root = checkpoint_root(spark) or _warehouse_fallback(spark)
     tail = list(parts)
     if unique:
         tail.append(uuid.uuid4().hex)
@@ -83,5 +91,7 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
 
 def cut_lineage(df):
     """Reliable checkpoint into spark.checkpoint.dir (survives executor loss)."""
-    checkpoint_root(df.sparkSession)
+    spark = df.sparkSession
+    if not checkpoint_root(spark):
+        _warehouse_fallback(spark)
     return df.checkpoint(eager=True)
