@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from aspectflow.functions.codec import counts_json
 from aspectflow.schemas import (
-    FRAME_MESSAGE, INFERENCE_RESULT, UNKNOWN_VEHICLE, VEHICLE_CLASSES, VEHICLE_NAMES,
+    INFERENCE_RESULT, UNKNOWN_VEHICLE, VEHICLE_CLASSES, VEHICLE_NAMES,
 )
 
 
@@ -43,12 +43,6 @@ def sample_frames(df: DataFrame, fps, frame_col: str = "frame_id") -> DataFrame:
     return df.where(f % k == 0).withColumn("video_second", F.floor(f / k).cast("long"))
 
 
-def parse_frames(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    """PRJ-2: JSON frame messages -> flat frame columns (PERMISSIVE)."""
-    data = F.from_json(F.col(value_col).cast("string"), FRAME_MESSAGE)
-    return messages.select(data.alias("data")).select("data.*")
-
-
 def vehicle_label(class_id) -> Column:
     """JOIN-2: detector class id -> vehicle name, default ``unknown``."""
     expr = None

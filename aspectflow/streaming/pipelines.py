@@ -152,6 +152,44 @@ def drain(query: StreamingQuery, timeout: float | None = None) -> None:
         raise RuntimeError(str(exc))
 
 
+class ProgressCollector:
+    """STM-8: a ``StreamingQueryListener`` keeping the last ``keep`` progress
+    events of every query (bounded), readable as a DataFrame."""
+
+    def __init__(self, spark: SparkSession, keep: int = 1000):
+        from pyspark.sql.streaming import StreamingQueryListener
+
+        collector = self
+        self.spark, self.keep, self.events, self.terminated = spark, keep, [], []
+
+        class _Listener(StreamingQueryListener):
+            def onQueryStarted(self, event):  # noqa: N802 - Spark callback names
+                pass
+
+            def onQueryProgress(self, event):  # noqa: N802
+                p = event.progress
+                collector.events.append((str(p.id), p.batchId, p.numInputRows,
+                                         p.inputRowsPerSecond, p.processedRowsPerSecond))
+                del collector.events[:-collector.keep]
+
+            def onQueryIdle(self, event):  # noqa: N802
+                pass
+
+            def onQueryTerminated(self, event):  # noqa: N802
+                collector.terminated.append((str(event.id), event.exception))
+
+        self.listener = _Listener()
+        spark.streams.addListener(self.listener)
+
+    def frame(self) -> DataFrame:
+        return self.spark.createDataFrame(
+            list(self.events), "query_id string, batch_id long, input_rows long, "
+                               "input_rate double, process_rate double")
+
+    def close(self) -> None:
+        self.spark.streams.removeListener(self.listener)
+
+
 def _progress_dict(p) -> dict:
     if isinstance(p, dict):
         return p

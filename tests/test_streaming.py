@@ -94,3 +94,40 @@ def test_vehicle_label_default(spark):
     df = spark.createDataFrame([(2,), (3,), (5,), (7,), (1,)], "c int")
     assert [r[0] for r in df.select(vehicle_label("c")).collect()] == [
         "car", "motorcycle", "bus", "truck", "unknown"]
+
+
+def test_review_stream_with_trained_model_and_listener(spark, scratch):
+    from aspectflow.ml import heads as H
+    from aspectflow.operators import vocab as V
+
+    rows = [(i, t, (i % 3) + 1, (i % 2) + 1) for i, t in enumerate(
+        ["giao hàng nhanh", "giá rẻ", "chất lượng tệ", "đẹp lắm", "size nhỏ", "bình thường"] * 4)]
+    train = spark.createDataFrame(rows, "doc_id long, ReviewText string, Price int, Quality int")
+    model = H.train_heads(train, V.build_vocab(V.cleaned(train, "ReviewText"), 100),
+                          ["Price", "Quality"], max_iter=10)
+    msgs = review_messages(train.withColumnRenamed("ReviewText", "text"), text_col="text",
+                           keep=["doc_id"])
+    src = os.path.join(scratch, "src")
+    schema = _split_copy(msgs, src, 3)
+    collector = P.ProgressCollector(spark)
+    try:
+        scorer = lambda df: H.score(df, model).select(
+            "doc_id", "ReviewText", "Price", "Quality",
+            *[F.lit("NONE").alias(a) for a in ["Shipping", "Outlook", "Size", "Shop_Service",
+                                               "General", "Others"]])
+        q = run_reviews_stream(P.replay_source(spark, src, schema), scorer,
+                               os.path.join(scratch, "sink"), os.path.join(scratch, "ck"), NOW,
+                               keep=["doc_id"])
+        P.drain(q)
+        out = spark.read.parquet(os.path.join(scratch, "sink"))
+        batch = H.score(train, model, keep=["doc_id"])
+        got = {r.doc_id: (r.Price, r.Quality) for r in out.collect()}
+        assert got == {r.doc_id: (r.Price, r.Quality) for r in batch.collect()}
+        import time
+        for _ in range(50):
+            if collector.frame().count() >= 3:
+                break
+            time.sleep(0.1)
+        assert collector.frame().count() >= 3
+    finally:
+        collector.close()
