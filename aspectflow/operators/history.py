@@ -27,11 +27,17 @@ def early_stop(history: DataFrame, patience: int, run="run", epoch="epoch",
     streak without improvement reaches ``patience``; null if never), and the
     kept parameters = the last improvement at or before the stop."""
     flagged = improvement_flags(history, run, epoch, loss)
-    stop = F.min(F.when(F.col("streak") >= patience, F.col(epoch))).over(Window.partitionBy(run))
-    seen = flagged.withColumn("stop_epoch", stop).where(
-        F.col("stop_epoch").isNull() | (F.col(epoch) <= F.col("stop_epoch")))
+    # Epochs after the stop are dropped with a running flag ("did an earlier
+    # epoch already reach the patience?") on the same ordered window: every
+    # frame is a running one, so rows stream through and share one shuffle
+    # and sort; nothing buffers a whole run.
+    hit = F.when(F.col("streak") >= patience, 1).otherwise(0)
+    earlier = F.max(hit).over(Window.partitionBy(run).orderBy(epoch)
+                              .rowsBetween(Window.unboundedPreceding, -1))
+    seen = flagged.withColumn("_earlier_stop", F.coalesce(earlier, F.lit(0))) \
+        .where(F.col("_earlier_stop") == 0)
     return seen.groupBy(run).agg(
-        F.max("stop_epoch").alias("stop_epoch"),
+        F.min(F.when(F.col("streak") >= patience, F.col(epoch))).alias("stop_epoch"),
         F.max_by(F.col(epoch), F.when(F.col("improved"), F.col(epoch))).alias("best_epoch"),
         F.max_by(F.col(loss), F.when(F.col("improved"), F.col(epoch))).alias("best_loss"),
         F.count(F.lit(1)).alias("epochs_run"),
