@@ -254,6 +254,44 @@ def oracle_sql() -> dict[str, str]:
                     f"LIMIT {PREVIEW_ROWS}"),
         "dataset_shape": _dataset_shape(),
         **_streams(),
+        **_more(),
+    }
+
+
+def _more() -> dict[str, str]:
+    step = max(1, int(FPS))
+    frames = (f"SELECT event_type || '_topic' AS topic, event_id AS frame_id, "
+              f"event_id // {step} AS video_second, props FROM events WHERE event_id % {step} = 0")
+    message = ("CAST(to_json({'frame_id': CAST(frame_id AS INTEGER), 'video_second': "
+               "CAST(video_second AS INTEGER), 'image_b64': to_base64(encode(props)), "
+               "'source_video': replace(topic, '_topic', '')}) AS VARCHAR)")
+    aspects = " UNION ALL ".join(f"SELECT vec_id, '{a}' AS aspect, {a} AS sentiment FROM l"
+                                 for a in ASPECTS)
+    return {
+        "keep_vietnamese": ("SELECT doc_id, regexp_replace(text, '[^a-z" + VIETNAMESE_LETTERS
+                            + "0-9" + WS + "]', ' ', 'g') AS kept_text FROM documents"),
+        "raw_tokens": (
+            f"WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '[{WS}]+'), "
+            "lambda x: x <> '') AS toks FROM documents) SELECT doc_id, CAST(len(toks) AS INTEGER) "
+            "AS n_tokens, array_to_string(toks, ' ') AS tokens_text FROM t"),
+        "aspect_values": f"WITH l AS ({_aspect_labels()}) {aspects}",
+        "frame_messages": f"WITH f AS ({frames}) SELECT topic, {message} AS value FROM f",
+        "frame_roundtrip": (f"WITH f AS ({frames}) SELECT replace(topic, '_topic', '') AS source_video, "
+                            "CAST(frame_id AS INTEGER) AS frame_id, CAST(video_second AS INTEGER) "
+                            "AS video_second, props AS image_text FROM f"),
+        "recent_rows": (f"SELECT doc_id, lang, source, n_chars FROM documents ORDER BY doc_id DESC "
+                        f"LIMIT {PREVIEW_ROWS}"),
+        "current_best": _REGISTRY + f"SELECT round(coalesce(max(macro_f1), 0.0), {R}) AS best_f1 FROM registry",
+        "encode_docs_join": _ENCODED + "SELECT doc_id, ids_text, n_ids FROM e",
+        "frame_box_counts": (
+            f"WITH det AS ({_DET}) SELECT frame_id, "
+            + ", ".join(f"CAST(count(*) FILTER (WHERE label = '{n}') AS INTEGER) AS {n}"
+                        for n in ["car", "motorcycle", "bus", "truck"])
+            + ", CAST(count(*) FILTER (WHERE label IN ('car', 'motorcycle', 'bus', 'truck')) AS INTEGER) "
+              "AS total_count FROM det GROUP BY frame_id"),
+        "batches": ("WITH b AS (SELECT vec_id, (row_number() OVER (ORDER BY vec_id) - 1) // 64 AS batch "
+                    "FROM embeddings) SELECT batch, count(*) AS n_rows, min(vec_id) AS first_id, "
+                    "max(vec_id) AS last_id FROM b GROUP BY batch"),
     }
 
 

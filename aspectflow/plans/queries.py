@@ -369,3 +369,87 @@ from aspectflow.plans.ml_queries import ML_QUERIES  # noqa: E402
 
 QUERIES.update(STREAM_QUERIES)
 QUERIES.update(ML_QUERIES)
+
+
+# --- further operator checks ---------------------------------------------------------
+
+def q_keep_vietnamese(spark, d):
+    from aspectflow.functions.text import keep_vietnamese
+    docs = load(spark, d, "documents")
+    return docs.select("doc_id", keep_vietnamese("text").alias("kept_text"))
+
+
+def q_raw_tokens(spark, d):
+    from aspectflow.functions.text import tokenize
+    docs = load(spark, d, "documents").select("doc_id", tokenize("text").alias("toks"))
+    return docs.select("doc_id", F.size("toks").alias("n_tokens"),
+                       F.array_join("toks", " ").alias("tokens_text"))
+
+
+def q_aspect_values(spark, d):
+    return asp.unpivot_aspects(q_aspect_labels(spark, d), ["vec_id"], name="aspect",
+                               value="sentiment")
+
+
+def _frame_messages(spark, d):
+    from aspectflow.sources.messages import frame_messages
+    ev = load(spark, d, "events").select(
+        F.concat(F.col("event_type"), F.lit("_topic")).alias("topic"),
+        F.col("event_id").alias("frame_id"), F.encode("props", "UTF-8").alias("image"))
+    sampled = frames.sample_frames(ev, FPS)
+    return frame_messages(sampled, topic_col="topic")
+
+
+def q_frame_messages(spark, d):
+    return _frame_messages(spark, d).select("topic", "value")
+
+
+def q_frame_roundtrip(spark, d):
+    from aspectflow.sources.messages import parse_frames
+    parsed = parse_frames(_frame_messages(spark, d))
+    return parsed.select("source_video", "frame_id", "video_second",
+                         F.decode(b64_decode("image_b64"), "UTF-8").alias("image_text"))
+
+
+def q_recent_rows(spark, d):
+    docs = load(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
+    return dashboard.preview(docs, PREVIEW_ROWS, "doc_id", ascending=False)
+
+
+def q_current_best(spark, d):
+    return registry.current_best(_registry(spark, d)).select(
+        F.round("best_f1", R).alias("best_f1"))
+
+
+def q_encode_docs_join(spark, d):
+    docs = _stored_clean_docs(spark, d)
+    enc = vocab.encode_by_join(docs, vocab.build_vocab(docs, MAX_VOCAB))
+    return enc.select("doc_id", _ids_text("ids").alias("ids_text"), F.size("ids").alias("n_ids"))
+
+
+def q_frame_box_counts(spark, d):
+    boxes = frames.boxes_per_frame(_detections(spark, d), "frame_id")
+    counted = frames.count_boxes(boxes)
+    return counted.select("frame_id", "car", "motorcycle", "bus", "truck", "total_count")
+
+
+def q_batches(spark, d):
+    from aspectflow.operators.ordering import batch_number
+    emb = load(spark, d, "embeddings").select("vec_id")
+    b = batch_number(emb, "vec_id", 64)
+    return b.groupBy("batch").agg(F.count(F.lit(1)).alias("n_rows"), F.min("vec_id").alias("first_id"),
+                                  F.max("vec_id").alias("last_id"))
+
+
+QUERIES.update({
+    "keep_vietnamese": q_keep_vietnamese,
+    "raw_tokens": q_raw_tokens,
+    "aspect_values": q_aspect_values,
+    "frame_messages": q_frame_messages,
+    "frame_roundtrip": q_frame_roundtrip,
+    "recent_rows": q_recent_rows,
+    "current_best": q_current_best,
+    "encode_docs_join": q_encode_docs_join,
+    "frame_box_counts": q_frame_box_counts,
+    "batches": q_batches,
+})
