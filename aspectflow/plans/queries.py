@@ -249,7 +249,7 @@ def q_review_messages(spark, d):
     from aspectflow.sources.messages import review_messages
     msgs = review_messages(load(spark, d, "documents"), text_col="text", keep=["doc_id"])
     return msgs.select("doc_id", F.lit(REVIEW_TOPIC).alias("topic"), "value",
-                       F.octet_length("value").alias("n_bytes"),
+                       F.octet_length("value").cast("long").alias("n_bytes"),
                        (F.octet_length("value") <= MAX_MESSAGE_BYTES).alias("within_limit"))
 
 
