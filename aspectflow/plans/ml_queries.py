@@ -21,10 +21,31 @@ def _labelled(spark: SparkSession, d: str) -> DataFrame:
         *[(F.col(a) + 1).cast("int").alias(a) for a in METRIC_ASPECTS])
 
 
+_MODELS: dict[tuple, H.AspectModel] = {}
+
+
+def _inputs_key(spark: SparkSession, d: str) -> tuple:
+    """Identity of the training inputs: path, size and modification time of
+    each table file (a changed table trains a new model)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    key = [id(spark.sparkContext)]
+    for t in ("documents", "labels"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{d.rstrip('/')}/{t}.parquet")
+        st = path.getFileSystem(conf).getFileStatus(path)
+        key += [str(path), st.getLen(), st.getModificationTime()]
+    return tuple(key)
+
+
 def _model(spark: SparkSession, d: str) -> H.AspectModel:
-    train = _labelled(spark, d)
-    voc = V.build_vocab(V.cleaned(train, "ReviewText", keep=["doc_id"]), MAX_VOCAB)
-    return H.train_heads(train, voc, METRIC_ASPECTS)
+    """The model trained on the labelled reviews - trained once per input and
+    reused by the scoring and evaluation queries, like a saved artefact."""
+    key = _inputs_key(spark, d)
+    if key not in _MODELS:
+        train = _labelled(spark, d)
+        voc = V.build_vocab(V.cleaned(train, "ReviewText", keep=["doc_id"]), MAX_VOCAB)
+        _MODELS[key] = H.train_heads(train, voc, METRIC_ASPECTS)
+    return _MODELS[key]
 
 
 def q_train_score(spark: SparkSession, d: str) -> DataFrame:
