@@ -94,6 +94,17 @@ def score(df: DataFrame, model: AspectModel, text_col: str = "ReviewText", keep=
                                for a in model.aspects])
 
 
+def stream_scorer(model: AspectModel, all_aspects=ASPECTS):
+    """Scorer for ``run_reviews_stream``: native scoring, and every aspect the
+    model has no head for is NONE."""
+    def _score(reviews: DataFrame) -> DataFrame:
+        scored = score(reviews, model)
+        missing = [F.lit("NONE").alias(a) for a in all_aspects if a not in model.aspects]
+        return scored.select("*", *missing)
+
+    return _score
+
+
 def head_weights(model: AspectModel) -> tuple[np.ndarray, np.ndarray]:
     """Coefficients (heads x classes x words) and intercepts (heads x classes)."""
     w = np.stack([model.head(a).coefficientMatrix.toArray() for a in model.aspects])

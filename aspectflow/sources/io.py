@@ -129,6 +129,18 @@ def write_jdbc(df: DataFrame, target: JdbcTarget, mode: str = "append",
     w.save()
 
 
+def route_by_source_jdbc(batch: DataFrame, target_for, source_col: str = "source_video",
+                         mode: str = "append") -> list[str]:
+    """SNK-2, JDBC variant: one table per source (``target_for(source)``),
+    written with one filtered distributed write per distinct source - never
+    one job per row.  The distinct sources (cameras) are a handful, so
+    listing them on the driver is bounded."""
+    sources = [r[0] for r in batch.select(source_col).distinct().collect()]
+    for src in sources:
+        write_jdbc(batch.where(F.col(source_col) == src).drop(source_col), target_for(src), mode)
+    return sources
+
+
 def read_jdbc(spark: SparkSession, target: JdbcTarget, query: str | None = None) -> DataFrame:
     """SRC-7: a table or a pushed-down query as a DataFrame."""
     opts = target.options()

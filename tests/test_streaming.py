@@ -111,10 +111,7 @@ def test_review_stream_with_trained_model_and_listener(spark, scratch):
     schema = _split_copy(msgs, src, 3)
     collector = P.ProgressCollector(spark)
     try:
-        scorer = lambda df: H.score(df, model).select(
-            "doc_id", "ReviewText", "Price", "Quality",
-            *[F.lit("NONE").alias(a) for a in ["Shipping", "Outlook", "Size", "Shop_Service",
-                                               "General", "Others"]])
+        scorer = H.stream_scorer(model)
         q = run_reviews_stream(P.replay_source(spark, src, schema), scorer,
                                os.path.join(scratch, "sink"), os.path.join(scratch, "ck"), NOW,
                                keep=["doc_id"])
