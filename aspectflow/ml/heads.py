@@ -147,9 +147,12 @@ def evaluate(model: AspectModel, val: DataFrame, key: str, text_col: str = "Revi
     """ML-4: macro-F1 (fixed four classes) and balanced accuracy over all
     aspects of the validation rows."""
     scored = model.pipeline.transform(with_tokens(val, text_col, cleaned))
-    pred = scored.select(key, *[F.col(f"{a}_pred").cast("int").alias(a) for a in model.aspects])
-    truth = val.select(key, *[F.col(a).cast("int").alias(a) for a in model.aspects])
-    return metrics.classification_metrics(metrics.pair_rows(pred, truth, key, model.aspects))
+    # truth and prediction are in the same scored row: no join back
+    typed = scored.select(key, *[F.col(a).cast("int").alias(f"_t_{a}") for a in model.aspects],
+                          *[F.col(f"{a}_pred").cast("int").alias(f"_p_{a}") for a in model.aspects])
+    pairs = metrics.pairs_in_row(typed, [key], {a: f"_t_{a}" for a in model.aspects},
+                                 {a: f"_p_{a}" for a in model.aspects})
+    return metrics.classification_metrics(pairs)
 
 
 def training_history(model: AspectModel) -> DataFrame:

@@ -18,17 +18,30 @@ from aspectflow.schemas import ASPECTS, BATCH_SIZE, NUM_CLASSES
 CLASSES = list(range(NUM_CLASSES))
 
 
-def pair_rows(pred: DataFrame, truth: DataFrame, key, aspects=ASPECTS) -> DataFrame:
-    """JOIN-4 + SET-3: pair predictions with truth on the row key, then
-    flatten N x aspects into (key, aspect, truth, pred) rows."""
+def pair_rows(pred: DataFrame, truth: DataFrame, key, aspects=ASPECTS, carry=()) -> DataFrame:
+    """JOIN-4 + SET-3: pair predictions with truth on the row key (an equi
+    join: positions do not exist in Spark), then flatten N x aspects into
+    (key, aspect, truth, pred) rows.  ``carry`` columns of ``pred`` ride along."""
     keys = [key] if isinstance(key, str) else list(key)
     cols = [a for a in present_aspects(truth, aspects) if a in pred.columns]
     t = truth.select(*keys, *[F.col(a).alias(f"t_{a}") for a in cols])
-    p = pred.select(*keys, *[F.col(a).alias(f"p_{a}") for a in cols])
-    joined = t.join(p, keys, "inner")
+    p = pred.select(*keys, *carry, *[F.col(a).alias(f"p_{a}") for a in cols])
+    return _flatten(t.join(p, keys, "inner"), keys + list(carry), cols)
+
+
+def pairs_in_row(df: DataFrame, keep, truth_cols: dict, pred_cols: dict) -> DataFrame:
+    """SET-3 when truth and prediction already sit in the same row (no join):
+    ``truth_cols``/``pred_cols`` map aspect -> column."""
+    cols = [a for a in truth_cols if a in pred_cols]
+    staged = df.select(*keep, *[F.col(truth_cols[a]).alias(f"t_{a}") for a in cols],
+                       *[F.col(pred_cols[a]).alias(f"p_{a}") for a in cols])
+    return _flatten(staged, list(keep), cols)
+
+
+def _flatten(df: DataFrame, keep: list, cols: list) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(a).alias("aspect"), F.col(f"t_{a}").alias("truth"),
                                F.col(f"p_{a}").alias("pred")) for a in cols])
-    return joined.select(*keys, F.inline(pairs))
+    return df.select(*keep, F.inline(pairs))
 
 
 def confusion(pairs: DataFrame, by=(), truth: str = "truth", pred: str = "pred") -> DataFrame:

@@ -123,9 +123,10 @@ def q_pad_docs(spark, d):
 # --- labels and metrics --------------------------------------------------------
 
 def q_label_shift(spark, d):
+    from aspectflow.functions.scores import label_name
     shifted = asp.shift_labels(load(spark, d, "labels"), METRIC_ASPECTS)
-    named = asp.name_labels(shifted, METRIC_ASPECTS, LABEL_NAMES, suffix="_name")
-    return shifted.join(named.select("doc_id", *[f"{c}_name" for c in METRIC_ASPECTS]), "doc_id")
+    return shifted.select("doc_id", *METRIC_ASPECTS,
+                          *[label_name(F.col(c), LABEL_NAMES).alias(f"{c}_name") for c in METRIC_ASPECTS])
 
 
 def _pairs(spark, d):
@@ -273,9 +274,8 @@ def q_union_cameras(spark, d):
 def _candidates(spark, d):
     docs = load(spark, d, "documents")
     truth = metric_truth(load(spark, d, "labels"))
-    pred = metric_predictions(docs)
-    pairs = metrics.pair_rows(pred, truth, "doc_id", METRIC_ASPECTS).join(
-        docs.select("doc_id", "source"), "doc_id")
+    pred = metric_predictions(docs, carry=["source"])
+    pairs = metrics.pair_rows(pred, truth, "doc_id", METRIC_ASPECTS, carry=["source"])
     m = metrics.classification_metrics(pairs, by=["source"])
     return m.withColumn("run_no", F.regexp_extract("source", r"(\d+)$", 1).cast("int"))
 
