@@ -8,9 +8,30 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def default_driver_memory(fraction: float = 0.6, cap_gb: int = 16) -> str:
+    """Heap for a local driver: a share of the container's memory limit
+    (cgroup), else of physical memory, capped - never more than the box has."""
+    limit = None
+    for path in ("/sys/fs/cgroup/memory.max", "/sys/fs/cgroup/memory/memory.limit_in_bytes"):
+        try:
+            raw = open(path).read().strip()
+            if raw.isdigit() and int(raw) < (1 << 60):
+                limit = int(raw)
+                break
+        except OSError:
+            pass
+    if limit is None:
+        try:
+            limit = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+        except (ValueError, OSError):
+            limit = 8 << 30
+    gb = max(1, min(cap_gb, int(limit * fraction) >> 30))
+    return f"{gb}g"
+
+
 def get_spark(app: str = "aspectflow", cpus: int | str | None = None,
               shuffle_partitions: int | None = None,
-              driver_memory: str = "16g",
+              driver_memory: str | None = None,
               checkpoint_dir: str | None = None) -> SparkSession:
     """Local session with the settings the library assumes.
 
@@ -29,7 +50,7 @@ def get_spark(app: str = "aspectflow", cpus: int | str | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", driver_memory)
+        .config("spark.driver.memory", driver_memory or default_driver_memory())
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

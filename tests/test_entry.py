@@ -18,3 +18,9 @@ def test_every_query_has_oracle_or_is_rows_only():
 def test_small_queries_run_on_smoke_tables(spark, sf001):
     for name in ["aspect_labels", "frame_counts", "early_stop", "val_loss", "promotion"]:
         assert E.queries()[name](spark, sf001).count() >= 0
+
+
+def test_default_driver_memory_is_bounded():
+    from aspectflow.session import default_driver_memory
+    gb = int(default_driver_memory()[:-1])
+    assert 1 <= gb <= 16
