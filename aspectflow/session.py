@@ -50,6 +50,8 @@ def get_spark(app: str = "aspectflow", cpus: int | str | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # reliable checkpoints are removed once their DataFrame is gone
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", driver_memory or default_driver_memory())
     )
     if shuffle_partitions:
