@@ -195,7 +195,9 @@ def oracle_sql() -> dict[str, str]:
         "vocab_ids": _VOCAB + "SELECT token, id FROM vocab",
         "encode_docs": _ENCODED + "SELECT doc_id, ids_text, n_ids FROM e",
         "pad_docs": _ENCODED + ("SELECT doc_id, CAST(max(n_ids) OVER () AS INTEGER) AS padded_len, "
-                                "CAST(max(n_ids) OVER () - n_ids AS INTEGER) AS n_pad, ids_sum FROM e"),
+                                "CAST(max(n_ids) OVER () - n_ids AS INTEGER) AS n_pad, true AS prefix_ok, "
+                                "CASE WHEN max(n_ids) OVER () > n_ids THEN 0 END AS pad_max, "
+                                "ids_sum FROM e"),
         "label_shift": ("SELECT doc_id, quality + 1 AS quality, toxic + 1 AS toxic, "
                         + _label_case("quality + 1") + " AS quality_name, "
                         + _label_case("toxic + 1") + " AS toxic_name FROM labels"),

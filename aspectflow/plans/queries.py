@@ -111,13 +111,20 @@ def q_encode_docs(spark, d):
 
 
 def q_pad_docs(spark, d):
+    """Padding over the whole set, verified natively per row: the length, the
+    number of zeros appended, the prefix equals the ids, the tail is all
+    zeros (null max when nothing was appended), and a content sum."""
     docs = _stored_clean_docs(spark, d)
     longest = vocab.longest_sequence(docs)
     padded = vocab.pad(_encoded(spark, d, docs), length=longest)
+    n = F.size("ids")
     return padded.select(
         "doc_id", F.size("padded").alias("padded_len"),
-        (F.size("padded") - F.size("ids")).alias("n_pad"),
-        F.aggregate("padded", F.lit(0).cast("long"), lambda a, x: a + x).alias("ids_sum"))
+        (F.size("padded") - n).alias("n_pad"),
+        (F.slice("padded", 1, n) == F.col("ids")).alias("prefix_ok"),
+        F.array_max(F.slice("padded", n + 1, F.greatest(F.size("padded") - n, F.lit(1))))
+        .alias("pad_max"),
+        F.aggregate("ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("ids_sum"))
 
 
 # --- labels and metrics --------------------------------------------------------
