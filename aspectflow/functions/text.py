@@ -170,5 +170,10 @@ def tokenize(col) -> Column:
 
 
 def tokenize_clean(col) -> Column:
-    """Tokens of an already-cleaned text (only single spaces remain)."""
-    return F.filter(F.split(_c(col), " "), lambda t: t != F.lit(""))
+    """Tokens of an already-cleaned text.  ``clean`` leaves only single spaces,
+    at most one at each end, so trimming those and splitting on ' ' yields no
+    empty token except for an empty text, mapped to [] - all native, no
+    per-token lambda."""
+    trimmed = F.btrim(_c(col), F.lit(" "))
+    return F.when(trimmed == F.lit(""), F.array().cast("array<string>")) \
+        .otherwise(F.split(trimmed, " "))

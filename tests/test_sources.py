@@ -100,3 +100,15 @@ def test_jdbc_target_options():
                       {"user": "u"})
     assert t.options() == {"url": "jdbc:postgresql://db/x", "dbtable": "absa_results", "user": "u",
                            "driver": "org.postgresql.Driver"}
+
+
+def test_route_by_source_one_write_per_source(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(IO, "write_jdbc", lambda df, target, mode="append": calls.append(
+        (target.table, df.count(), tuple(df.columns))))
+    batch = spark.createDataFrame([("video1", 1), ("video1", 2), ("video2", 3)] * 50,
+                                  "source_video string, frame_id int")
+    sources = IO.route_by_source_jdbc(batch, lambda s: IO.JdbcTarget("jdbc:x", f"yolo_results_{s}"))
+    assert sorted(sources) == ["video1", "video2"]
+    assert sorted(calls) == [("yolo_results_video1", 100, ("frame_id",)),
+                             ("yolo_results_video2", 50, ("frame_id",))]
