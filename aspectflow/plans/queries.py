@@ -30,7 +30,7 @@ R = 9  # decimals kept for doubles in compared outputs
 
 
 def _ids_text(col: str) -> F.Column:
-    return F.array_join(F.transform(F.col(col), lambda x: x.cast("string")), " ")
+    return F.array_join(F.col(col).cast("array<string>"), " ")
 
 
 # --- minimum slice: logits -> labels -> dashboard ---------------------------
