@@ -20,7 +20,7 @@ from aspectflow.operators import aspects as asp
 from aspectflow.operators import dashboard, frames, history, metrics, registry, vocab
 from aspectflow.operators.aspects import predicted_labels
 from aspectflow.plans.tables import (
-    EPOCH_SECONDS_2024, FPS, LEADERBOARD_K, METRIC_ASPECTS, PATIENCE, PREVIEW_ROWS,
+    FPS, LEADERBOARD_K, METRIC_ASPECTS, PATIENCE, PREVIEW_ROWS,
     REVIEW_TOPIC, SAMPLE_ROWS, TABLES, TOP_WORDS, load, metric_predictions, metric_truth,
 )
 from aspectflow.schemas import ASPECTS, LABEL_NAMES, MAX_MESSAGE_BYTES, MAX_VOCAB
@@ -264,7 +264,9 @@ def q_review_messages(spark, d):
 def q_latest_frame(spark, d):
     ev = load(spark, d, "events").select("event_type", "event_id", "ts", "value")
     latest = dashboard.latest_row(ev, "ts", by="event_type")
-    return latest.select("event_type", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "value")
+    # micros since the epoch on the wall-clock value: independent of the session zone
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    return latest.select("event_type", "event_id", micros.alias("ts_us"), "value")
 
 
 def q_union_cameras(spark, d):
@@ -291,7 +293,9 @@ def _registry(spark, d):
     cands = _candidates(spark, d)
     return registry.promote_candidates(
         registry.empty_registry(spark), cands, "run_no",
-        created_at=lambda id_col: F.timestamp_seconds(F.lit(EPOCH_SECONDS_2024) + id_col * 3600))
+        # hourly retraining clock as wall-clock (NTZ) time: independent of the session zone
+        created_at=lambda id_col: F.timestamp_add(
+            "HOUR", id_col.cast("int"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")))
 
 
 def _fmt_ts(col: str) -> F.Column:
