@@ -90,6 +90,15 @@ def vocab_sizes(counts: DataFrame, max_vocab: int = MAX_VOCAB) -> DataFrame:
         "n_distinct", (F.least(F.col("n_distinct"), F.lit(max_vocab)) + 2).alias("vocab_size"))
 
 
+def vocab_sizes_approx(tokens: DataFrame, max_vocab: int = MAX_VOCAB,
+                       rsd: float = 0.01) -> DataFrame:
+    """AGG-2, approximate: distinct tokens from HyperLogLog sketches merged
+    across tasks (no shuffle of tokens at all), relative error ``rsd``."""
+    n = F.approx_count_distinct("token", rsd)
+    return tokens.agg(n.alias("n_distinct")).select(
+        "n_distinct", (F.least(F.col("n_distinct"), F.lit(max_vocab)) + 2).alias("vocab_size"))
+
+
 def _vocab_side(vocab: DataFrame, max_rows: int | None) -> DataFrame:
     side = vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_id"))
     if max_rows is not None and max_rows <= BROADCAST_VOCAB_LIMIT:

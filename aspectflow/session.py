@@ -32,7 +32,8 @@ def default_driver_memory(fraction: float = 0.6, cap_gb: int = 16) -> str:
 def get_spark(app: str = "aspectflow", cpus: int | str | None = None,
               shuffle_partitions: int | None = None,
               driver_memory: str | None = None,
-              checkpoint_dir: str | None = None) -> SparkSession:
+              checkpoint_dir: str | None = None,
+              extra_conf: dict | None = None) -> SparkSession:
     """Local session with the settings the library assumes.
 
     On a cluster, pass nothing: the master, memory and ``spark.checkpoint.dir``
@@ -56,6 +57,8 @@ def get_spark(app: str = "aspectflow", cpus: int | str | None = None,
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for key, value in (extra_conf or {}).items():
+        builder = builder.config(key, str(value))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark, checkpoint_dir)

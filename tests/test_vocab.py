@@ -81,3 +81,11 @@ def test_vocab_on_driver_table_matches_python(spark, sf001):
     enc = {r.doc_id: list(r.ids) for r in V.encode(clean, V.build_vocab(clean, 50)).collect()}
     for r in rows[:50]:
         assert enc[r.doc_id] == [ref.get(w, 1) for w in r.clean_text.split()]
+
+
+def test_vocab_sizes_approx_close_to_exact(spark, sf001):
+    docs = V.cleaned(spark.read.parquet(f"{sf001}/documents.parquet"))
+    toks = V.token_positions(docs)
+    exact = V.vocab_sizes(V.token_counts(toks, with_first=False)).first().n_distinct
+    approx = V.vocab_sizes_approx(toks).first().n_distinct
+    assert abs(approx - exact) <= 0.05 * exact
