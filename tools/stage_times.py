@@ -19,16 +19,31 @@ def stages(path: str):
         files = sorted(p for p in glob.glob(os.path.join(path, "**", "*"), recursive=True)
                        if os.path.isfile(p))
     for f in files:
-        with open(f, encoding="utf-8") as fh:
-            for line in fh:
-                ev = json.loads(line)
-                if ev.get("Event") != "SparkListenerStageCompleted":
-                    continue
-                info = ev["Stage Info"]
-                start, end = info.get("Submission Time"), info.get("Completion Time")
-                if start and end:
-                    yield (end - start) / 1000.0, info["Stage ID"], info["Number of Tasks"], \
-                        info["Stage Name"][:90]
+        for line in _lines(f):
+            ev = json.loads(line)
+            if ev.get("Event") != "SparkListenerStageCompleted":
+                continue
+            info = ev["Stage Info"]
+            start, end = info.get("Submission Time"), info.get("Completion Time")
+            if start and end:
+                yield (end - start) / 1000.0, info["Stage ID"], info["Number of Tasks"], \
+                    info["Stage Name"][:90]
+
+
+def _lines(path: str):
+    """Event-log lines; Spark compresses logs with zstd by default."""
+    import io
+
+    with open(path, "rb") as fh:
+        head = fh.read(4)
+        fh.seek(0)
+        if head == b"\x28\xb5\x2f\xfd":
+            import zstandard
+
+            reader = zstandard.ZstdDecompressor().stream_reader(fh, read_across_frames=True)
+            yield from io.TextIOWrapper(reader, encoding="utf-8")
+        else:
+            yield from io.TextIOWrapper(fh, encoding="utf-8")
 
 
 def main() -> None:
