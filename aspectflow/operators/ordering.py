@@ -61,3 +61,25 @@ def batch_number(df: DataFrame, order_cols, size: int, name: str = "batch") -> D
     return (with_row_index(df, order_cols, "_ri")
             .withColumn(name, F.floor(F.col("_ri") / size).cast("long"))
             .drop("_ri"))
+
+
+def spread(df: DataFrame, bytes_per_core: int = 128 << 20) -> DataFrame:
+    """Spread a *small* input over every core before heavy per-row work.
+
+    A file written as one row group scans as one task, so e.g. text cleaning
+    of a whole table would run on one core.  When the planner's size estimate
+    is below one default split per core, a round-robin ``repartition`` (kept
+    deterministic by Spark's sort-before-repartition) costs a shuffle of at
+    most ``cores x bytes_per_core`` and lets every core work.  Larger inputs
+    already arrive in many splits and are returned untouched - no shuffle of
+    a large table is ever added.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: leave the input as it is
+        return df
+    if size > cores * bytes_per_core:
+        return df
+    return df.repartition(cores)

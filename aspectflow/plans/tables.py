@@ -20,8 +20,17 @@ REVIEW_TOPIC = "absa-reviews"
 EPOCH_SECONDS_2024 = 1704067200           # registry clock origin: 2024-01-01 00:00:00 UTC
 
 
+# Tables whose rows carry heavy per-row work (long texts): small copies are
+# spread over every core (see ``operators.ordering.spread``).
+TEXT_TABLES = {"documents"}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in TEXT_TABLES:
+        from aspectflow.operators.ordering import spread
+        df = spread(df)
+    return df
 
 
 def metric_predictions(docs: DataFrame, carry=()) -> DataFrame:

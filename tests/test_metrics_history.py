@@ -116,3 +116,12 @@ def test_early_stop_random(spark):
     for run, losses in runs.items():
         stop, best_epoch, best = pyref.early_stop(losses, 5)
         assert (got[run].stop_epoch, got[run].best_epoch, got[run].best_loss) == (stop, best_epoch, best)
+
+
+def test_spread_only_small_inputs(spark):
+    from aspectflow.operators.ordering import spread
+    df = spark.range(1000).coalesce(1)
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(df).rdd.getNumPartitions() == cores
+    assert spread(df, bytes_per_core=0).rdd.getNumPartitions() == 1   # "large": untouched
+    assert sorted(r.id for r in spread(df).collect()) == list(range(1000))
