@@ -83,6 +83,14 @@ def lowered_not_kept_run() -> str:
     return (_ASCII_PRECHECK + "[^" + k + " ][^" + k + "]*| (?=[^a-z0-9])[^" + k + "]+")
 
 
+@lru_cache(maxsize=1)
+def lowered_not_kept_run_re2() -> str:
+    """The same runs in RE2 syntax (RE2 has no look-ahead and needs none: it
+    matches in linear time with an automaton)."""
+    k = _lowered_kept_class()
+    return "[^" + k + " ][^" + k + "]*| [^" + k + "]+"
+
+
 @lru_cache(maxsize=1)
 def python_whitespace() -> str:
     """Every code point for which Python's ``str.isspace()`` is true (the set

@@ -63,8 +63,8 @@ def q_tone_strip(spark, d):
 
 
 def q_spaces_normal(spark, d):
-    docs = load(spark, d, "documents")
-    return docs.select("doc_id", normalise_spaces(clean("text")).alias("norm_text"))
+    docs = _clean_docs(spark, d)
+    return docs.select("doc_id", normalise_spaces("clean_text").alias("norm_text"))
 
 
 # --- vocabulary ----------------------------------------------------------------

@@ -84,3 +84,24 @@ def test_python_whitespace_set_matches_isspace():
     assert all(c.isspace() for c in ws)
     assert "\x1c" in ws and "\x85" in ws and "　" in ws
     assert unicodedata.category(" ") == "Zs" and " " in ws
+
+
+def test_arrow_cleaned_matches_native_and_python(spark):
+    from aspectflow.operators.vocab import cleaned
+    texts = EDGE + [None, "ĐÂY là  một câu!!  ", " x ", "ÉCOLE—été…"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    a = {r.doc_id: r.clean_text for r in cleaned(df).collect()}
+    b = {r.doc_id: r.clean_text for r in cleaned(df, engine="jvm").collect()}
+    assert a == b
+    for i, t in enumerate(texts):
+        assert a[i] == (None if t is None else pyref.clean(t))
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text(ALPHABET, max_size=25), min_size=1, max_size=8))
+def test_arrow_cleaned_random(spark, texts):
+    from aspectflow.operators.vocab import cleaned
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.clean_text for r in cleaned(df).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == pyref.clean(t)
