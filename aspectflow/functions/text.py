@@ -91,6 +91,15 @@ def lowered_not_kept_run_re2() -> str:
     return "[^" + k + " ][^" + k + "]*| [^" + k + "]+"
 
 
+@lru_cache(maxsize=1)
+def not_kept_char_re2() -> str:
+    """STR-2's replaced characters in RE2 syntax: anything outside a-z, the
+    Vietnamese letters, 0-9 and Python whitespace (case-sensitive)."""
+    allowed = set(VIETNAMESE_LETTERS) | set("abcdefghijklmnopqrstuvwxyz0123456789") \
+        | set(python_whitespace())
+    return "[^" + _ranges(allowed) + "]"
+
+
 @lru_cache(maxsize=1)
 def python_whitespace() -> str:
     """Every code point for which Python's ``str.isspace()`` is true (the set

@@ -26,12 +26,13 @@ from aspectflow.schemas import MAX_VOCAB, PAD_ID, PAD_TOKEN, UNK_ID, UNK_TOKEN
 BROADCAST_VOCAB_LIMIT = 2_000_000
 
 
-def _re2_whitelist(text_col: str, names: list[str]):
-    """Arrow batch kernel: replace each non-kept run by one space with RE2
-    (vectorised C++, no Python per row)."""
+def _re2_whitelist(text_col: str, names: list[str], pattern: str | None = None):
+    """Arrow batch kernel: replace each match of ``pattern`` (default: the
+    non-kept runs of lower-cased text) by one space with RE2 (vectorised C++,
+    no Python per row)."""
     from aspectflow.functions.text import lowered_not_kept_run_re2
 
-    pattern = lowered_not_kept_run_re2()
+    pattern = pattern or lowered_not_kept_run_re2()
 
     def run(batches):
         import pyarrow as pa
@@ -71,6 +72,22 @@ def cleaned(docs: DataFrame, text_col: str = "text", out: str = "clean_text",
     return staged.mapInArrow(_re2_whitelist(out, keep), schema)
 
 
+def kept_letters(docs: DataFrame, text_col: str = "text", out: str = "kept_text",
+                 keep=("doc_id",), engine: str = "arrow") -> DataFrame:
+    """STR-2 over a table: every character outside a-z, Vietnamese letters,
+    0-9 and whitespace becomes one space (case-sensitive).  ``engine`` as in
+    ``cleaned``: RE2 in ``mapInArrow`` by default, or the native expression."""
+    from aspectflow.functions.text import keep_vietnamese, not_kept_char_re2
+
+    keep = list(keep)
+    if engine == "jvm":
+        return docs.select(*keep, keep_vietnamese(F.col(text_col)).alias(out))
+    staged = docs.select(*keep, F.col(text_col).alias(out))
+    schema = T.StructType([staged.schema[c] for c in keep]
+                          + [T.StructField(out, T.StringType())])
+    return staged.mapInArrow(_re2_whitelist(out, keep, not_kept_char_re2()), schema)
+
+
 def token_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "clean_text",
                     outer: bool = False) -> DataFrame:
     """(doc, pos, token) for every token of every cleaned text."""

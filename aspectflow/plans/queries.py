@@ -385,9 +385,7 @@ QUERIES.update(ML_QUERIES)
 # --- further operator checks ---------------------------------------------------------
 
 def q_keep_vietnamese(spark, d):
-    from aspectflow.functions.text import keep_vietnamese
-    docs = load(spark, d, "documents")
-    return docs.select("doc_id", keep_vietnamese("text").alias("kept_text"))
+    return vocab.kept_letters(load(spark, d, "documents"))
 
 
 def q_raw_tokens(spark, d):

@@ -105,3 +105,12 @@ def test_arrow_cleaned_random(spark, texts):
     got = {r.doc_id: r.clean_text for r in cleaned(df).collect()}
     for i, t in enumerate(texts):
         assert got[i] == pyref.clean(t)
+
+
+def test_kept_letters_engines_agree(spark):
+    from aspectflow.operators.vocab import kept_letters
+    texts = EDGE + [None, "Ăn ngon", "ăn ngon!", "a b c"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    a = {r.doc_id: r.kept_text for r in kept_letters(df).collect()}
+    b = {r.doc_id: r.kept_text for r in kept_letters(df, engine="jvm").collect()}
+    assert a == b and a[len(EDGE) + 1] == " n ngon"
