@@ -71,8 +71,12 @@ def train_heads(train: DataFrame, vocab: DataFrame, aspects=ASPECTS, text_col: s
                                 predictionCol=f"{a}_pred", rawPredictionCol=f"{a}_raw",
                                 probabilityCol=f"{a}_prob", regParam=reg_param, maxIter=max_iter)
              for a in aspects]
+    from aspectflow.operators.ordering import right_size
+
     data = with_tokens(train.select(text_col, *[_nominal(a) for a in aspects]), text_col, cleaned)
-    feats = cv.transform(data).persist()
+    cached = cv.transform(data).persist()
+    cached.count()                 # materialise the features with full parallelism
+    feats = right_size(cached)     # then iterate over few partitions of the cached blocks
     try:
         # Heads are independent: fit them concurrently.  Each L-BFGS step is
         # a small tree-aggregate job, so running the heads' jobs side by side
@@ -80,7 +84,7 @@ def train_heads(train: DataFrame, vocab: DataFrame, aspects=ASPECTS, text_col: s
         with ThreadPoolExecutor(max_workers=max(1, min(len(heads), parallelism))) as pool:
             fitted = list(pool.map(lambda lr: lr.fit(feats), heads))
     finally:
-        feats.unpersist()
+        cached.unpersist()
     model = PipelineModel(stages=[cv, *fitted])
     return AspectModel(model, list(aspects), words)
 

@@ -83,3 +83,18 @@ def spread(df: DataFrame, bytes_per_core: int = 128 << 20) -> DataFrame:
     if size > cores * bytes_per_core:
         return df
     return df.repartition(cores)
+
+
+def right_size(df: DataFrame, bytes_per_partition: int = 128 << 20) -> DataFrame:
+    """Coalesce (no shuffle) to about one partition per ``bytes_per_partition``
+    of estimated input, never increasing the count.  For iterative jobs on
+    small data (e.g. L-BFGS, one Spark job per step) tiny partitions cost
+    more in task overhead than they add in parallelism; large inputs keep
+    their partitions."""
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: leave as is
+        return df
+    want = max(1, -(-size // bytes_per_partition))
+    have = df.rdd.getNumPartitions()
+    return df.coalesce(want) if want < have else df
