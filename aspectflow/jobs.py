@@ -27,12 +27,11 @@ def preprocess(train: DataFrame, text_col: str = "Review", aspects=ASPECTS,
                max_vocab: int = MAX_VOCAB, out_dir: str | None = None):
     """Clean, build the vocabulary on the training texts, shift labels to
     0..3 (PRJ-9).  With ``out_dir``, persist vocabulary and encoded rows."""
-    from aspectflow.functions.text import clean
-
     key = "row_id" if "row_id" in train.columns else None
     base = train.withColumn("row_id", F.monotonically_increasing_id()) if key is None else train
-    cleaned = base.select("row_id", clean(F.col(text_col)).alias("clean_text"),
+    shifted = base.select("row_id", text_col,
                           *[(F.col(a) + 1).cast("int").alias(a) for a in aspects])
+    cleaned = V.cleaned(shifted, text_col, keep=["row_id", *aspects])
     vocab = V.build_vocab(cleaned, max_vocab, id_col="row_id")
     if out_dir:
         IO.save_vocab(vocab, f"{out_dir}/vocab")
@@ -55,14 +54,12 @@ def retrain(spark: SparkSession, train: DataFrame, val: DataFrame, registry_path
     if its macro-F1 is strictly better than the registry's best; a promoted
     model is saved as ``cnn_v<id>.pth`` (with its vocabulary) and appended to
     the registry.  A worse or equal model leaves no trace."""
-    from aspectflow.functions.text import clean
-
     cleaned, vocab = preprocess(train, text_col, aspects, max_vocab)
     model = H.train_heads(cleaned, vocab, aspects, text_col="clean_text", cleaned=True,
                           max_iter=max_iter)
-    val_rows = val.withColumn("_vid", F.monotonically_increasing_id()).select(
-        "_vid", clean(F.col(text_col)).alias("clean_text"),
-        *[(F.col(a) + 1).cast("int").alias(a) for a in aspects])
+    val_rows = V.cleaned(val.withColumn("_vid", F.monotonically_increasing_id()).select(
+        "_vid", text_col, *[(F.col(a) + 1).cast("int").alias(a) for a in aspects]),
+        text_col, keep=["_vid", *aspects])
     m = H.evaluate(model, val_rows, "_vid", text_col="clean_text", cleaned=True).first()
     registry = read_registry(spark, registry_path)
     cand = spark.createDataFrame([(0, float(m.macro_f1), float(m.balanced_acc))],

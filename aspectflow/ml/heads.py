@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aspectflow.functions.scores import label_name
-from aspectflow.functions.text import clean, tokenize_clean
+from aspectflow.functions.text import tokenize_clean
 from aspectflow.operators import metrics
 from aspectflow.schemas import ASPECTS, LABEL_NAMES, NUM_CLASSES, PAD_TOKEN, UNK_TOKEN
 
@@ -55,8 +55,18 @@ def vocab_words(vocab: DataFrame) -> list[str]:
 
 
 def with_tokens(df: DataFrame, text_col: str = "ReviewText", cleaned: bool = False) -> DataFrame:
-    text = F.col(text_col) if cleaned else clean(F.col(text_col))
-    return df.withColumn(TOKENS, F.coalesce(tokenize_clean(text), F.array().cast("array<string>")))
+    """Add the token column; raw text is cleaned first by the table-level
+    cleaner (RE2 whitelist pass in Arrow), all other columns pass through."""
+    if cleaned:
+        base, text = df, F.col(text_col)
+    else:
+        from aspectflow.operators.vocab import cleaned as clean_table
+
+        base = clean_table(df, text_col, out="_clean_text",
+                           keep=[c for c in df.columns if c != "_clean_text"])
+        text = F.col("_clean_text")
+    out = base.withColumn(TOKENS, F.coalesce(tokenize_clean(text), F.array().cast("array<string>")))
+    return out if cleaned else out.drop("_clean_text")
 
 
 def train_heads(train: DataFrame, vocab: DataFrame, aspects=ASPECTS, text_col: str = "ReviewText",

@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aspectflow.functions.text import clean
 from aspectflow.ml import heads as H
 from aspectflow.operators import vocab as V
 from aspectflow.plans.tables import METRIC_ASPECTS, load
@@ -58,8 +57,8 @@ def q_train_score(spark: SparkSession, d: str) -> DataFrame:
 def q_score_udf(spark: SparkSession, d: str) -> DataFrame:
     """UDF-1/3: the same heads through the Arrow scoring UDF."""
     model = _model(spark, d)
-    docs = load(spark, d, "documents")
-    labels = H.scoring_udf(model)(clean(F.col("text")))
+    docs = V.cleaned(load(spark, d, "documents"))
+    labels = H.scoring_udf(model)(F.col("clean_text"))
     return docs.select("doc_id", *[F.get(labels, i).alias(a) for i, a in enumerate(METRIC_ASPECTS)])
 
 
