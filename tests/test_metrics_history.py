@@ -125,3 +125,11 @@ def test_spread_only_small_inputs(spark):
     assert spread(df).rdd.getNumPartitions() == cores
     assert spread(df, bytes_per_core=0).rdd.getNumPartitions() == 1   # "large": untouched
     assert sorted(r.id for r in spread(df).collect()) == list(range(1000))
+
+
+def test_right_size_never_increases(spark):
+    from aspectflow.operators.ordering import right_size
+    df = spark.range(1000).repartition(6)
+    assert right_size(df).rdd.getNumPartitions() == 1                   # tiny: one partition
+    assert right_size(df, bytes_per_partition=1).rdd.getNumPartitions() == 6   # never more
+    assert right_size(df).count() == 1000
