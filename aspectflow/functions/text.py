@@ -33,8 +33,6 @@ _WS_NOT_SPACE = r"(?:(?! )" + _WS_CLASS + r")"
 _WS_RUN_TO_FIX = r"(?U)" + _WS_NOT_SPACE + _WS_CLASS + r"*| " + _WS_CLASS + r"+"
 _WS_RUN = r"(?U)" + _WS_CLASS + r"+"
 _KEPT = "a-z" + VIETNAMESE_LETTERS + "0-9"
-# Maximal runs of non-kept characters, except a lone ' ' (already the result).
-_NOT_KEPT_RUN_TO_FIX = "[^" + _KEPT + " ][^" + _KEPT + "]*| [^" + _KEPT + "]+"
 _NOT_KEPT_CHAR = r"(?U)(?!" + _WS_CLASS + r")[^" + _KEPT + "]"
 # Cheap first test: only characters outside ASCII a-z, 0-9 and space can
 # start a replaced run.
