@@ -16,7 +16,7 @@ TOP_WORDS = 10
 LEADERBOARD_K = 30
 SAMPLE_ROWS = 300
 PREVIEW_ROWS = 10
-REVIEW_TOPIC = "absa-reviews"
+REVIEW_TOPIC = "reviews"
 EPOCH_SECONDS_2024 = 1704067200           # registry clock origin: 2024-01-01 00:00:00 UTC
 
 

@@ -96,9 +96,9 @@ def test_union_and_shape(spark):
 
 
 def test_jdbc_target_options():
-    t = IO.JdbcTarget("jdbc:postgresql://db/x", "absa_results", "org.postgresql.Driver",
+    t = IO.JdbcTarget("jdbc:postgresql://db/x", "review_results", "org.postgresql.Driver",
                       {"user": "u"})
-    assert t.options() == {"url": "jdbc:postgresql://db/x", "dbtable": "absa_results", "user": "u",
+    assert t.options() == {"url": "jdbc:postgresql://db/x", "dbtable": "review_results", "user": "u",
                            "driver": "org.postgresql.Driver"}
 
 
@@ -108,7 +108,7 @@ def test_route_by_source_one_write_per_source(spark, monkeypatch):
         (target.table, df.count(), tuple(df.columns))))
     batch = spark.createDataFrame([("video1", 1), ("video1", 2), ("video2", 3)] * 50,
                                   "source_video string, frame_id int")
-    sources = IO.route_by_source_jdbc(batch, lambda s: IO.JdbcTarget("jdbc:x", f"yolo_results_{s}"))
+    sources = IO.route_by_source_jdbc(batch, lambda s: IO.JdbcTarget("jdbc:x", f"frame_results_{s}"))
     assert sorted(sources) == ["video1", "video2"]
-    assert sorted(calls) == [("yolo_results_video1", 100, ("frame_id",)),
-                             ("yolo_results_video2", 50, ("frame_id",))]
+    assert sorted(calls) == [("frame_results_video1", 100, ("frame_id",)),
+                             ("frame_results_video2", 50, ("frame_id",))]
