@@ -175,7 +175,7 @@ def encode_by_join(clean_docs: DataFrame, vocab: DataFrame, id_col: str = "doc_i
     pair = F.when(F.col("pos").isNotNull(),
                   F.struct(F.col("pos"), F.coalesce(F.col("_id"), F.lit(UNK_ID)).alias("id")))
     grouped = joined.groupBy(id_col).agg(F.array_sort(F.collect_list(pair)).alias("_pairs"))
-    return grouped.select(id_col, F.transform("_pairs", lambda p: p["id"]).alias(out))
+    return grouped.select(id_col, F.col("_pairs")["id"].alias(out))
 
 
 def _arrow_encoder(table, text_col: str, out: str, passthrough: list[str]):
