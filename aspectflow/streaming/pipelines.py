@@ -100,13 +100,19 @@ class FailOnce:
 
 def batch_sink(path: str, partition_cols=(), fmt: str = "parquet",
                preview_rows: int = 5, fail_hook: Callable[[int], None] | None = None,
-               on_batch: Callable[[int, int, list], None] | None = None):
+               on_batch: Callable[[int, int, list], None] | None = None,
+               dead_letter_path: str | None = None):
     """SNK-1/SNK-2/SNK-11 + AGG-7 + STM-10: idempotent foreachBatch writer.
 
     The row count comes from an ``Observation`` on the write itself (no extra
     job); the preview is ``limit`` on the persisted batch.  ``partition_cols``
     (e.g. ``source_video``) route rows to their source's partition in the
     same single write - never one job per row or per source.
+
+    SNK-11: a failed write is re-raised, so the checkpoint does not advance
+    and Spark replays the batch.  With ``dead_letter_path`` the batch is
+    instead appended there (tagged with batch id and error) and the stream
+    moves on - the data is kept, never silently dropped.
     """
     def _write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -117,11 +123,20 @@ def batch_sink(path: str, partition_cols=(), fmt: str = "parquet",
             obs = Observation(f"batch_{batch_id}")
             tagged = batch.withColumn("batch_id", F.lit(batch_id).cast("long")).observe(
                 obs, F.count(F.lit(1)).alias("rows"))
-            (tagged.write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy(*partition_cols, "batch_id")
-             .format(fmt).save(path))
-            rows = obs.get["rows"]
+            try:
+                (tagged.write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic")
+                 .partitionBy(*partition_cols, "batch_id")
+                 .format(fmt).save(path))
+                rows = obs.get["rows"]
+            except Exception as exc:  # noqa: BLE001 - routed or re-raised below
+                if dead_letter_path is None:
+                    raise
+                log.error("batch %s: write failed, kept in %s: %s", batch_id, dead_letter_path, exc)
+                (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+                 .withColumn("error", F.lit(str(exc)[:2000]))
+                 .write.mode("append").format(fmt).save(dead_letter_path))
+                rows = 0
             log.info("batch %s: %s rows written to %s", batch_id, rows, path)
             if on_batch is not None:
                 on_batch(batch_id, rows, preview)

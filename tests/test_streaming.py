@@ -128,3 +128,22 @@ def test_review_stream_with_trained_model_and_listener(spark, scratch):
         assert collector.frame().count() >= 3
     finally:
         collector.close()
+
+
+def test_dead_letter_keeps_failed_batches(spark, scratch):
+    src = os.path.join(scratch, "src")
+    df = spark.range(20).select(F.col("id").alias("k"), (F.col("id") % 2).alias("v"))
+    schema = _split_copy(df, src, 2)
+    blocked = os.path.join(scratch, "blocked")
+    with open(blocked, "w") as f:          # a file where the sink wants a folder: writes fail
+        f.write("x")
+    dead = os.path.join(scratch, "dead")
+    sink = P.batch_sink(blocked, preview_rows=0, dead_letter_path=dead)
+    q = P.run_stream(P.replay_source(spark, src, schema), sink, os.path.join(scratch, "ck"), NOW)
+    P.drain(q)                              # no exception: failures were routed
+    kept = spark.read.parquet(dead)
+    assert kept.count() == 20 and kept.where("error is null").count() == 0
+    q2 = P.run_stream(P.replay_source(spark, src, schema), P.batch_sink(blocked, preview_rows=0),
+                      os.path.join(scratch, "ck2"), NOW)
+    with pytest.raises(Exception):
+        P.drain(q2)                         # default: re-raise, the batch is replayed later
