@@ -57,6 +57,19 @@ def vehicles_only(detections: DataFrame, class_col: str = "class_id") -> DataFra
     return detections.where(F.col(class_col).isin(list(VEHICLE_CLASSES)))
 
 
+def counts_map() -> Column:
+    """MAP-1: the fixed four-key name -> count map (native map column)."""
+    return F.create_map(*[x for n in VEHICLE_NAMES for x in (F.lit(n), F.col(n))])
+
+
+def _with_totals(df: DataFrame) -> DataFrame:
+    """AGG-4 total, MAP-1 map and JSON-1 text from the four count columns."""
+    total = sum([F.col(n) for n in VEHICLE_NAMES[1:]], F.col(VEHICLE_NAMES[0]))
+    return (df.withColumn("total_count", total.cast("int"))
+            .withColumn("counts", counts_map())
+            .withColumn("class_counts", counts_json([F.col(n) for n in VEHICLE_NAMES])))
+
+
 def count_per_frame(frames: DataFrame, detections: DataFrame, keys,
                     label_col: str = "label") -> DataFrame:
     """AGG-3/4 + MAP-1: zero-filled counts per frame, total, counts JSON.
@@ -72,9 +85,7 @@ def count_per_frame(frames: DataFrame, detections: DataFrame, keys,
     out = frames.join(counts, keys, "left")
     filled = [F.coalesce(F.col(n), F.lit(0)).alias(n) for n in VEHICLE_NAMES]
     out = out.select(*[c for c in frames.columns], *filled)
-    total = sum([F.col(n) for n in VEHICLE_NAMES[1:]], F.col(VEHICLE_NAMES[0]))
-    return out.withColumn("total_count", total.cast("int")).withColumn(
-        "class_counts", counts_json([F.col(n) for n in VEHICLE_NAMES]))
+    return _with_totals(out)
 
 
 def count_boxes(df: DataFrame, boxes_col: str = "boxes") -> DataFrame:
@@ -87,9 +98,7 @@ def count_boxes(df: DataFrame, boxes_col: str = "boxes") -> DataFrame:
               .otherwise(F.size(F.filter(F.col(boxes_col), is_label(n)))).alias(n)
               for n in VEHICLE_NAMES]
     out = df.select("*", *counts)
-    total = sum([F.col(n) for n in VEHICLE_NAMES[1:]], F.col(VEHICLE_NAMES[0]))
-    return out.withColumn("total_count", total.cast("int")).withColumn(
-        "class_counts", counts_json([F.col(n) for n in VEHICLE_NAMES]))
+    return _with_totals(out)
 
 
 def box_struct(label, conf, xyxy) -> Column:

@@ -113,3 +113,10 @@ def test_best_model_and_resolution(spark):
     missing = spark.createDataFrame([("file:/m/cnn_v1.pth",)], "path string")
     assert RG.resolve_model(reg, RG.artefact_names(missing)).first().model_name == "cnn_best.pth"
     assert RG.resolve_model(RG.empty_registry(spark), RG.artefact_names(files)).first().model_name == "cnn_best.pth"
+
+
+def test_counts_map_column(spark):
+    frames = spark.createDataFrame([(1,)], "frame_id int")
+    det = spark.createDataFrame([(1, "car"), (1, "bus")], "frame_id int, label string")
+    r = FR.count_per_frame(frames, det, "frame_id").first()
+    assert r.counts == {"car": 1, "motorcycle": 0, "bus": 1, "truck": 0}
