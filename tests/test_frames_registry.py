@@ -120,3 +120,11 @@ def test_counts_map_column(spark):
     det = spark.createDataFrame([(1, "car"), (1, "bus")], "frame_id int, label string")
     r = FR.count_per_frame(frames, det, "frame_id").first()
     assert r.counts == {"car": 1, "motorcycle": 0, "bus": 1, "truck": 0}
+
+
+def test_sample_frames_fps_column(spark):
+    df = spark.createDataFrame([("a", i, 2.5) for i in range(6)] + [("b", i, 0.4) for i in range(3)],
+                               "source_video string, frame_id int, fps double")
+    got = sorted((r.source_video, r.frame_id, r.video_second)
+                 for r in FR.sample_frames(df, "fps").collect())
+    assert got == [("a", 0, 0), ("a", 2, 1), ("a", 4, 2), ("b", 0, 0), ("b", 1, 1), ("b", 2, 2)]

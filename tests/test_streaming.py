@@ -147,3 +147,11 @@ def test_dead_letter_keeps_failed_batches(spark, scratch):
                       os.path.join(scratch, "ck2"), NOW)
     with pytest.raises(Exception):
         P.drain(q2)                         # default: re-raise, the batch is replayed later
+
+
+def test_streaming_publish_needs_checkpoint(spark, scratch):
+    df = spark.range(3).select(F.col("id").cast("string").alias("value"))
+    src = os.path.join(scratch, "msgs")
+    schema = _split_copy(df, src, 1)
+    with pytest.raises(ValueError):
+        P.publish_kafka(P.replay_source(spark, src, schema), "k:9092", "reviews")
