@@ -42,3 +42,65 @@ def early_stop(history: DataFrame, patience: int, run="run", epoch="epoch",
         F.max_by(F.col(loss), F.when(F.col("improved"), F.col(epoch))).alias("best_loss"),
         F.count(F.lit(1)).alias("epochs_run"),
     )
+
+
+def early_stop_scan(history: DataFrame, patience: int, run="run", epoch="epoch",
+                    loss="val_loss", num_partitions: int | None = None) -> DataFrame:
+    """WIN-2 + ML-3 for histories of any size per run (epochs 1..N per run).
+
+    A parallel segmented scan instead of one window per run: rows are range-
+    partitioned on (run, epoch), so a very long run spans many tasks.  Each
+    chunk (partition, run) computes its running minimum and last improvement
+    locally; the carries from earlier chunks of the same run - at most one
+    chunk per partition continues a run, so the carry tables are bounded by
+    the partition count and broadcast - complete them.  The per-run result is
+    one partial aggregate, using that at the first stop the last
+    improvement is exactly ``patience`` epochs back.
+    """
+    from aspectflow.session import cut_lineage
+
+    spark = history.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = cut_lineage(history.select(F.col(run).alias("_run"), F.col(epoch).alias("_ep"),
+                                      F.col(loss).alias("_loss"))
+                       .repartitionByRange(n, "_run", "_ep")
+                       .withColumn("_part", F.spark_partition_id()))
+    chunk = Window.partitionBy("_part", "_run").orderBy("_ep")
+    before = chunk.rowsBetween(Window.unboundedPreceding, -1)
+    upto = chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier_chunks = Window.partitionBy("_run").orderBy("_part") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+
+    # carry 1: minimum loss of the run's earlier chunks
+    stats = rows.groupBy("_part", "_run").agg(F.min("_loss").alias("_cmin"))
+    carry_min = stats.select("_part", "_run", F.min("_cmin").over(earlier_chunks).alias("_carry_min")) \
+        .where(F.col("_carry_min").isNotNull())
+    flagged = rows.join(F.broadcast(carry_min), ["_part", "_run"], "left")
+    prior = F.least(F.min("_loss").over(before), F.col("_carry_min"))
+    flagged = flagged.withColumn("_prior", prior).withColumn(
+        "_improved", F.col("_prior").isNull() | (F.col("_loss") < F.col("_prior")))
+
+    # carry 2: last improvement epoch of the run's earlier chunks
+    last_in_chunk = flagged.groupBy("_part", "_run").agg(
+        F.max(F.when(F.col("_improved"), F.col("_ep"))).alias("_clast"))
+    carry_last = last_in_chunk.select("_part", "_run",
+                                      F.max("_clast").over(earlier_chunks).alias("_carry_last")) \
+        .where(F.col("_carry_last").isNotNull())
+    scanned = flagged.join(F.broadcast(carry_last), ["_part", "_run"], "left")
+    last = F.greatest(F.max(F.when(F.col("_improved"), F.col("_ep"))).over(upto), F.col("_carry_last"))
+    scanned = scanned.withColumn("_streak", (F.col("_ep") - last).cast("int"))
+
+    hit = F.when(F.col("_streak") >= patience, F.col("_ep"))
+    per_run = scanned.groupBy("_run").agg(
+        F.min(hit).alias("stop_epoch"),
+        F.min_by("_prior", hit).alias("_loss_before_stop"),
+        F.max(F.when(F.col("_improved"), F.col("_ep"))).alias("_last_improved"),
+        F.min("_loss").alias("_min_loss"),
+        F.count(F.lit(1)).alias("_n"))
+    stopped = F.col("stop_epoch").isNotNull()
+    return per_run.select(
+        F.col("_run").alias(run), "stop_epoch",
+        F.when(stopped, F.col("stop_epoch") - patience).otherwise(F.col("_last_improved"))
+        .cast("int").alias("best_epoch"),
+        F.when(stopped, F.col("_loss_before_stop")).otherwise(F.col("_min_loss")).alias("best_loss"),
+        F.when(stopped, F.col("stop_epoch")).otherwise(F.col("_n")).cast("long").alias("epochs_run"))

@@ -213,6 +213,7 @@ def oracle_sql() -> dict[str, str]:
             "CAST(row_number() OVER (ORDER BY f1, ai) AS INTEGER) AS rank FROM m"),
         "val_loss": _val_loss(),
         "early_stop": _early_stop(),
+        "early_stop_scan": _early_stop(),
         "sample_frames": (f"SELECT replace(event_type || '_topic', '_topic', '') AS source_video, "
                           f"event_id AS frame_id, CAST(event_id // {step} AS BIGINT) AS video_second "
                           f"FROM events WHERE event_id % {step} = 0"),

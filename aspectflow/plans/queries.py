@@ -183,6 +183,11 @@ def q_early_stop(spark, d):
     return history.early_stop(_histories(spark, d), PATIENCE)
 
 
+def q_early_stop_scan(spark, d):
+    """The same result through the parallel segmented scan (runs of any length)."""
+    return history.early_stop_scan(_histories(spark, d), PATIENCE)
+
+
 # --- frames --------------------------------------------------------------------
 
 def q_sample_frames(spark, d):
@@ -356,6 +361,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "aspect_metrics": q_aspect_metrics,
     "val_loss": q_val_loss,
     "early_stop": q_early_stop,
+    "early_stop_scan": q_early_stop_scan,
     "sample_frames": q_sample_frames,
     "frame_counts": q_frame_counts,
     "frame_json": q_frame_json,

@@ -133,3 +133,21 @@ def test_right_size_never_increases(spark):
     assert right_size(df).rdd.getNumPartitions() == 1                   # tiny: one partition
     assert right_size(df, bytes_per_partition=1).rdd.getNumPartitions() == 6   # never more
     assert right_size(df).count() == 1000
+
+
+def test_early_stop_scan_matches_loop_across_partitions(spark):
+    rnd = random.Random(5)
+    runs = {f"r{i}": [rnd.choice([0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) for _ in range(rnd.randrange(1, 60))]
+            for i in range(12)}
+    runs["hot"] = [1.0 / (1 + (i % 37)) + (i // 37) * 0.001 for i in range(2000)]   # one long run
+    runs.update({k: v for k, v in HISTORIES.items()})
+    rows = [(r, e + 1, float(x)) for r, ls in runs.items() for e, x in enumerate(ls)]
+    df = spark.createDataFrame(rows, "run string, epoch int, val_loss double")
+    for patience in (3, 5):
+        got = {r.run: r for r in H.early_stop_scan(df, patience, num_partitions=7).collect()}
+        win = {r.run: r for r in H.early_stop(df, patience).collect()}
+        for run, losses in runs.items():
+            stop, best_epoch, best = pyref.early_stop(losses, patience)
+            g = got[run]
+            assert (g.stop_epoch, g.best_epoch, g.best_loss) == (stop, best_epoch, best), (run, patience)
+            assert g.epochs_run == win[run].epochs_run, run
