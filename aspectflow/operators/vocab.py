@@ -1,14 +1,17 @@
 """Vocabulary, encoding and padding (AGG-1/2, TOP-1/2, WIN-1, JOIN-1, ARR-1/2).
 
 Plan shape for ``build_vocab``:
-  scan -> clean/tokenize (codegen) -> posexplode -> partial agg by token
-  -> shuffle of (token, count, first) partials -> final agg
+  scan -> clean (native lower/strip + RE2 whitelist in Arrow) -> posexplode
+  -> partial agg by (token, doc) -> shuffle -> agg by (token, doc)
+  -> partial agg by token -> shuffle -> final agg
   -> TakeOrderedAndProject(k) -> row_number over <= k rows.
-A hot token costs one partial row per task; only k rows reach one task.
+Every level combines map-side: a hot token first spreads by document, then
+costs one partial row per task; only k rows ever reach one task.
 
-``encode`` joins tokens with the vocabulary, which is at most
-``max_vocab + 2`` rows: its broadcast size is bounded by a parameter, and
-checked (a larger vocabulary falls back to a shuffled join).
+``encode`` probes a broadcast copy of the vocabulary - at most
+``max_vocab + 2`` rows, a bound checked before shipping - inside a narrow
+``mapInArrow`` (no shuffle); a larger vocabulary falls back to
+``encode_by_join`` (posexplode -> join -> regroup by document).
 """
 
 from __future__ import annotations
