@@ -1,4 +1,10 @@
-"""Distributed dense row numbering (used for WIN-3/WIN-4 at scale).
+"""Row numbering and partition sizing.
+
+* ``with_row_index`` / ``batch_number``: distributed dense row numbering
+  (WIN-3/WIN-4 at scale).
+* ``spread`` / ``right_size``: spread small inputs over all cores before
+  heavy per-row work, or coalesce small data for iterative jobs - both
+  driven by the planner's size estimate and never adding a large shuffle.
 
 ``row_number()`` over an un-partitioned window moves every row into one task.
 Here the rows are range-partitioned on the order key, numbered inside each
