@@ -1,7 +1,9 @@
 """Training-history operators (WIN-2, ML-3).
 
 A history is (run, epoch, loss).  One run holds at most ``epochs`` rows
-(50 or 100 in practice), so a window partitioned by run is bounded per task.
+(50 or 100 in practice), so a window partitioned by run is bounded per task
+(``early_stop``).  ``early_stop_scan`` gives the same result for runs of any
+length with a parallel segmented scan.
 """
 
 from __future__ import annotations
