@@ -36,13 +36,25 @@ def sentiment_totals(counts: DataFrame) -> DataFrame:
     return counts.groupBy("Sentiment").agg(F.sum("Count").cast("bigint").alias("Count"))
 
 
-def random_sample(df: DataFrame, n: int = 300, seed: int | None = None) -> DataFrame:
+def random_sample(df: DataFrame, n: int = 300, seed: int | None = None,
+                  method: str = "exact", oversample: float = 3.0) -> DataFrame:
     """TOP-6: uniform sample of exactly min(n, rows) rows.
 
     ``orderBy(rand).limit`` plans as TakeOrderedAndProject: each task keeps
     its n smallest keys, so only n x tasks rows ever leave the executors.
+    ``method="bernoulli"`` first thins the table with ``sample()`` (fraction
+    from a count, ``oversample`` times what is needed) so most rows skip the
+    random key; if the thinned set falls short, the full table is used, so
+    the result is never smaller than min(n, rows).
     """
     key = F.rand(seed) if seed is not None else F.rand()
+    if method == "bernoulli":
+        total = df.count()
+        fraction = min(1.0, oversample * n / total) if total else 1.0
+        if fraction < 1.0:
+            thinned = df.sample(fraction=fraction, seed=seed)
+            if thinned.count() >= n:
+                df = thinned
     return df.withColumn("_k", key).orderBy("_k").limit(n).drop("_k")
 
 
