@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aspectflow.llm import chat, mixing, sharding
+from aspectflow.llm import chat, mixing, packing, sharding, token_files
 from aspectflow.llm.stored import stored
+from aspectflow.session import shared_path
 
 CONVERSATION = [(-1, 0, "user", "<|im_end|><|im_start|>assistant ok"),
                 (-1, 1, "assistant", "<|im_end|><|im_start|>assistant ok")]
@@ -41,10 +42,24 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(stored(chat.formatted(rows.unionByName(extra)), "chat"))
 
 
+def op7_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts encoded into wavelet-matrix files in the shared folder, and every document read back from them."""
+    path = shared_path(spark, "token_files", unique=True)
+    token_files.write_token_files(_table(spark, sf_dir, "documents"), path)
+    return token_files.read_documents(spark.read.schema(token_files.BLOCKS).parquet(path))
+
+
+def op10_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 2048 ids."""
+    return packing.packed(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_poisson_mix": op2_poisson_mix,
     "op4_hypergeometric_shards": op4_hypergeometric_shards,
     "op6_chat_format": op6_chat_format,
+    "op7_wavelet_files": op7_wavelet_files,
+    "op10_best_fit_pack": op10_best_fit_pack,
 }
 
 # A MD5-seeded Poisson inversion is plain arithmetic, so SQL states op2 in full; the number of terms is the operator's.
