@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aspectflow.llm import chat, mixing, packing, sharding, token_files
+from aspectflow.llm import chat, langid, mixing, packing, sharding, token_files
 from aspectflow.llm.stored import stored
 from aspectflow.session import shared_path
 
@@ -35,6 +35,14 @@ def op4_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every whole text, learned from the documents outside the held-out fold."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", langid.held_out(docs))
+    model = langid.fit(docs.where("not held_out"))
+    return langid.identified(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation and the hostile conversation -1, formatted, written, and read back from the output."""
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -57,6 +65,7 @@ def op10_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_poisson_mix": op2_poisson_mix,
     "op4_hypergeometric_shards": op4_hypergeometric_shards,
+    "op5_language_codes": op5_language_codes,
     "op6_chat_format": op6_chat_format,
     "op7_wavelet_files": op7_wavelet_files,
     "op10_best_fit_pack": op10_best_fit_pack,
