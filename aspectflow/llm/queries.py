@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aspectflow.llm import chat, langid, mixing, packing, sharding, token_files
+from aspectflow.llm import ann, chat, dense_dups, langid, mixing, packing, sharding, token_files
 from aspectflow.llm.stored import stored
 from aspectflow.session import shared_path
 
@@ -26,6 +26,11 @@ def op2_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.octet_length("text").cast("long").alias("n_bytes"))
 
 
+def op3_lattice_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, class and representative of every vector at cosine 0.98 or more within its label."""
+    return dense_dups.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards whose row counts differ by one at most; sizes and digests of the moved rows."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -57,6 +62,11 @@ def op7_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark.read.schema(token_files.BLOCKS).parquet(path))
 
 
+def op8_multiprobe_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest found for every hundredth vector, among all others."""
+    return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op10_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 2048 ids."""
     return packing.packed(_table(spark, sf_dir, "documents"))
@@ -64,10 +74,12 @@ def op10_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_poisson_mix": op2_poisson_mix,
+    "op3_lattice_dups": op3_lattice_dups,
     "op4_hypergeometric_shards": op4_hypergeometric_shards,
     "op5_language_codes": op5_language_codes,
     "op6_chat_format": op6_chat_format,
     "op7_wavelet_files": op7_wavelet_files,
+    "op8_multiprobe_search": op8_multiprobe_search,
     "op10_best_fit_pack": op10_best_fit_pack,
 }
 
