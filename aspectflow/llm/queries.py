@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aspectflow.llm import ann, chat, dense_dups, langid, mixing, packing, sharding, token_files
+from aspectflow.llm import ann, chat, dense_dups, jaccard, langid, mixing, packing, sharding, token_files
 from aspectflow.llm.stored import stored
 from aspectflow.session import shared_path
 
@@ -67,6 +67,11 @@ def op8_multiprobe_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op9_combination_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document under Jaccard similarity 0.75 or more of five-word shingles."""
+    return jaccard.joined(_table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 2048 ids."""
     return packing.packed(_table(spark, sf_dir, "documents"))
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_chat_format": op6_chat_format,
     "op7_wavelet_files": op7_wavelet_files,
     "op8_multiprobe_search": op8_multiprobe_search,
+    "op9_combination_prefix_join": op9_combination_prefix_join,
     "op10_best_fit_pack": op10_best_fit_pack,
 }
 
