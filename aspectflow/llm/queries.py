@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aspectflow.llm import ann, chat, dense_dups, jaccard, langid, mixing, packing, sharding, token_files
+from aspectflow.llm import ann, chat, dense_dups, jaccard, langid, mixing, packing, quality, sharding, token_files
 from aspectflow.llm.stored import stored
 from aspectflow.session import shared_path
 
@@ -19,6 +19,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-perplexity per byte, the limits of its language and the verdict on every document."""
+    return quality.judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("text_id")
+
+
 def op2_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every copy that the mix holds, with its source's rate; weights are the square root of a source's bytes."""
     return mixing.mixed(_table(spark, sf_dir, "documents")).select(
@@ -78,6 +83,7 @@ def op10_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_kneser_ney_quality": op1_kneser_ney_quality,
     "op2_poisson_mix": op2_poisson_mix,
     "op3_lattice_dups": op3_lattice_dups,
     "op4_hypergeometric_shards": op4_hypergeometric_shards,

@@ -1,15 +1,55 @@
 """Corpus pipeline: documents in, packed training sequences out.
 
-Each stage is one operator of ``aspectflow.llm`` at work on all that its predecessor kept.
+Each stage is one operator of ``aspectflow.llm`` at work on all that its predecessor kept.  The first four return the
+columns of ``documents``; the last one returns the place of every piece of every document in a sequence.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from aspectflow.llm import jaccard, langid, mixing, packing, quality
 from aspectflow.llm.stored import stored
 
-STAGES: list = []
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Learn from the documents outside the held-out fold; documents without a language or torn between two go."""
+    model = langid.fit(docs.where(~langid.held_out(docs)))
+    return (langid.identified(docs, model).where(f"lang_pred != '{langid.UNDETERMINED}' and not ambiguous")
+            .select(*docs.columns))
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose perplexity lies outside their language's limits go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rejected = stored(quality.judged(docs, labels).where("not kept").select(
+        F.col("doc_id").alias("_id"), F.col("text_id").alias("_text")).distinct(), "rejected")
+    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col("_id")) & F.xxhash64("text").eqNullSafe(F.col("_text")), "left_anti")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest doc_id stays; a repeated row stays once."""
+    classes = stored(jaccard.joined(docs), "classes")
+    extra = classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
+    kept = docs.join(extra, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    if classes.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        kept = kept.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
+    return kept
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated (or left out) by Poisson draws at their source's rate, in random order."""
+    return mixing.mixed(docs).select(*docs.columns)
+
+
+def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Place of every piece in sequences of 2048 ids."""
+    return packing.packed(docs)
+
+
+STAGES = [("language_id", language_id), ("quality_classifier", quality_classifier), ("near_duplicates", near_duplicates),
+          ("source_mix", source_mix), ("sequence_packing", sequence_packing)]
 
 # Model fitting, shingle hashing and tokenizers are not SQL; the tests hold the pipeline against a brute-force version.
 ORACLE_SQL = None
