@@ -3,8 +3,8 @@
 Bytes of the UTF-8 text (A-Z in lower case, white space as blanks) are the symbols, so there are no unknown words and
 n-grams are exact 64-bit keys.  Counting is added up per task, then by n-gram; counts, continuation counts and context
 totals of all orders are tables sharded by key, and joins between them give the log-probability of every n-gram that
-occurs in the documents.  A document's perplexity is the mean over all its bytes.  The limits between which a document
-is kept come from quantiles of the trusted documents of its language.
+occurs in the documents.  A document's perplexity is the mean over all its bytes.  The limit up to which a document
+is kept comes from a quantile of those trusted documents of its language that the model has not been trained on.
 """
 
 from __future__ import annotations
@@ -21,8 +21,10 @@ from aspectflow.llm.shingles import text_batches, text_buffer
 from aspectflow.llm.stored import stored
 
 ORDER = 5
-LOW, HIGH = 0.01, 0.99      # quantiles of the trusted documents' log-perplexity
-WIDEN = 4.0                 # limits lie this many times as far from the median as the quantiles
+HIGH = 0.99                 # quantile of the trusted documents' log-perplexity
+FOLDS = 5                   # one fold of the trusted texts is kept from training, for the limit
+FEWEST = 20                 # a language with fewer texts in that fold takes the limit of all languages together
+WIDEN = 4.0                 # a limit lies this many times as far above the median as the quantile
 TABLE_BYTES = 64 << 20      # a log-probability table up to this size goes to every task, a larger one to chunks of documents
 CHUNK_BYTES = 4 << 20
 
@@ -125,18 +127,18 @@ def _document_scores(texts: pa.Array, gram: np.ndarray, logp: np.ndarray) -> np.
     return np.where(empty, np.nan, -sums / np.diff(offsets))
 
 
-KEYS = "doc_id long, text_id long, lang string, trusted boolean"
+KEYS = "doc_id long, text_id long, lang string, trusted boolean, calibrating boolean"
 
 
 def scored(docs: DataFrame, table: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
-    """(doc_id, text_id, lang, trusted, log_perplexity per symbol) of every document; null for null or empty text.
+    """(doc_id, text_id, lang, trusted, calibrating, log_perplexity per symbol) of every document; null for null or empty text.
 
     A table of ``table_bytes`` at most is sent to all tasks; beyond that size documents are dealt to chunks, each chunk
     asks the table for its distinct n-grams by a join, and meets the answers in a cogroup.  Both give the same values.
     """
     spark = docs.sparkSession
     out_schema = f"{KEYS}, log_perplexity double"
-    docs = docs.select("doc_id", "text_id", "lang", "trusted", "text")
+    docs = docs.select("doc_id", "text_id", "lang", "trusted", "calibrating", "text")
     if table.count() * 16 <= table_bytes:
         local = table.orderBy("gram").toArrow()
         sent = spark.sparkContext.broadcast((local["gram"].to_numpy(), local["logp"].to_numpy()))
@@ -144,7 +146,7 @@ def scored(docs: DataFrame, table: DataFrame, table_bytes: int = TABLE_BYTES) ->
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in text_batches(batches):
                 values = pa.array(_document_scores(batch["text"], *sent.value), from_pandas=True)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:4], values], names=[*batch.schema.names[:4], "log_perplexity"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:5], values], names=[*batch.schema.names[:5], "log_perplexity"])
 
         return docs.mapInArrow(score, out_schema)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -157,30 +159,35 @@ def scored(docs: DataFrame, table: DataFrame, table_bytes: int = TABLE_BYTES) ->
     def answer(part: pa.Table, grams: pa.Table) -> pa.Table:
         grams = grams.sort_by("gram")
         values = _document_scores(part["text"].combine_chunks(), grams["gram"].to_numpy(), grams["logp"].to_numpy())
-        return part.select(["doc_id", "text_id", "lang", "trusted"]).append_column(
+        return part.select(["doc_id", "text_id", "lang", "trusted", "calibrating"]).append_column(
             "log_perplexity", pa.array(values, from_pandas=True))
 
     met = chunked.select("chunk", "text").groupBy("chunk").applyInPandas(ask, "chunk long, gram long").join(table, "gram")
     return chunked.groupBy("chunk").cogroup(met.groupBy("chunk")).applyInArrow(answer, out_schema)
 
 
-def limits(scores: DataFrame, low: float = LOW, high: float = HIGH, widen: float = WIDEN) -> DataFrame:
-    """(lang, lowest, highest): how far trusted documents' log-perplexities reach, by language."""
-    per = (scores.where("trusted and log_perplexity is not null").groupBy("lang")
-           .agg(F.percentile_approx("log_perplexity", [low, 0.5, high], 10_000).alias("q")))
-    q = [F.col("q")[i] for i in range(3)]
-    return per.select(F.col("lang").alias("_lang"), (q[1] - widen * (q[1] - q[0])).alias("lowest"),
-                      (q[1] + widen * (q[2] - q[1])).alias("highest"))
+def limits(scores: DataFrame, high: float = HIGH, widen: float = WIDEN, fewest: int = FEWEST) -> DataFrame:
+    """(lang, highest): up to where held-back trusted documents' log-perplexities reach, by language."""
+    held = scores.where("calibrating and log_perplexity is not null")
+    quantiles = F.percentile_approx("log_perplexity", [0.5, high], 10_000).alias("q")
+    everywhere = held.agg(quantiles, F.count("*").alias("n")).where(F.col("n") >= fewest).select(F.col("q").alias("q_all"))
+    per = held.groupBy("lang").agg(quantiles, F.count("*").alias("n"))
+    own = (scores.select("lang").distinct().withColumnRenamed("lang", "_lang")
+           .join(per, F.col("_lang").eqNullSafe(F.col("lang")), "left")
+           .join(F.broadcast(everywhere), F.lit(True), "left")          # one row at most
+           .withColumn("q", F.when(F.col("n") >= fewest, F.col("q")).otherwise(F.col("q_all"))))
+    return own.select("_lang", (F.col("q")[0] + widen * (F.col("q")[1] - F.col("q")[0])).alias("highest"))
 
 
-def judged(docs: DataFrame, labels: DataFrame, low: float = LOW, high: float = HIGH, widen: float = WIDEN,
+def judged(docs: DataFrame, labels: DataFrame, high: float = HIGH, widen: float = WIDEN,
            table_bytes: int = TABLE_BYTES) -> DataFrame:
-    """(doc_id, text_id, lang, trusted, log_perplexity, lowest, highest, kept) of every document.
+    """(doc_id, text_id, lang, trusted, calibrating, log_perplexity, highest, kept) of every document.
 
     Trusted text: documents that ``labels`` gives quality 1 and no toxicity.  ``text_id`` is a hash of the text, which
-    tells rows with one doc_id apart.  A document is kept if its log-perplexity lies between its language's limits.
-    Null or empty text has no perplexity and is not kept; a language without trusted documents (null is a language)
-    has no limits and keeps all its texts.  Without any trusted text all symbols are equally likely and all texts kept.
+    tells rows with one doc_id apart.  A document is kept if its log-perplexity is not above its language's limit.
+    Null or empty text has no perplexity and is not kept.  A language (null is one) with fewer than ``FEWEST`` held-back
+    trusted documents is held to the limit of all languages together; with fewer in all there is no limit and all
+    texts stay.  Without any trusted text all symbols are equally likely.
     Repeated rows are judged alike.  Extra columns are not looked at.
     """
     trusted = stored(labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null")
@@ -188,10 +195,12 @@ def judged(docs: DataFrame, labels: DataFrame, low: float = LOW, high: float = H
     # a small list of ids goes to the texts; beyond that size Spark shuffles both
     ids = F.broadcast(trusted) if trusted.count() * 16 <= table_bytes else trusted
     marked = (docs.select("doc_id", "lang", "text").withColumn("text_id", F.xxhash64("text"))
-              .join(ids, F.col("doc_id") == F.col("_id"), "left").withColumn("trusted", F.col("_id").isNotNull()).drop("_id"))
+              .join(ids, F.col("doc_id") == F.col("_id"), "left").withColumn("listed", F.col("_id").isNotNull()).drop("_id"))
+    held = F.pmod("text_id", F.lit(FOLDS)) == 0             # by text, so copies are on one side
+    marked = (marked.withColumn("trusted", F.col("listed") & ~held).withColumn("calibrating", F.col("listed") & held)
+              .drop("listed"))
     counts = stored(gram_counts(marked), "gram_counts")
     scores = stored(scored(marked, log_probabilities(counts), table_bytes), "perplexities")
-    within = F.coalesce(F.col("log_perplexity").between(F.col("lowest"), F.col("highest")), F.col("_lang").isNull()
-                        & F.col("lowest").isNull())
-    return (scores.join(limits(scores, low, high, widen), F.col("lang").eqNullSafe(F.col("_lang")), "left")
+    within = F.col("highest").isNull() | (F.col("log_perplexity") <= F.col("highest"))
+    return (scores.join(limits(scores, high, widen), F.col("lang").eqNullSafe(F.col("_lang")), "left")
             .withColumn("kept", F.col("log_perplexity").isNotNull() & within).drop("_lang"))

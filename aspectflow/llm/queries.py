@@ -20,7 +20,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log-perplexity per byte, the limits of its language and the verdict on every document."""
+    """Log-perplexity per byte, the limit of its language and the verdict on every document."""
     return quality.judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("text_id")
 
 

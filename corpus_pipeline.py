@@ -21,7 +21,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose perplexity lies outside their language's limits go."""
+    """Documents whose perplexity lies above their language's limit go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     rejected = stored(quality.judged(docs, labels).where("not kept").select(
         F.col("doc_id").alias("_id"), F.col("text_id").alias("_text")).distinct(), "rejected")
