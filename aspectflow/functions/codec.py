@@ -23,8 +23,8 @@ def b64_encode(col) -> Column:
 
 
 def b64_decode(col) -> Column:
-    """base64 text -> binary; malformed input -> null (not empty bytes)."""
-    return F.try_to_binary(_c(col), F.lit("base64"))
+    """base64 text, on one line or wrapped -> binary; malformed input -> null (not empty bytes)."""
+    return F.try_to_binary(F.translate(_c(col), "\r\n\t ", ""), F.lit("base64"))
 
 
 def proportional_height(width, height, target_width: int = TARGET_WIDTH) -> Column:

@@ -41,10 +41,9 @@ def preprocess(train: DataFrame, text_col: str = "Review", aspects=ASPECTS,
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(REGISTRY).parquet(path)
-    except Exception:  # noqa: BLE001 - first run: empty registry
-        return RG.empty_registry(spark)
+    """The registry; empty only if its folder isn't there (first run).  Any other
+    trouble is raised: a registry that can't be read must not look empty."""
+    return spark.read.schema(REGISTRY).parquet(path) if IO.path_exists(spark, path) else RG.empty_registry(spark)
 
 
 def retrain(spark: SparkSession, train: DataFrame, val: DataFrame, registry_path: str,

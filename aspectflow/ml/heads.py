@@ -71,9 +71,10 @@ def with_tokens(df: DataFrame, text_col: str = "ReviewText", cleaned: bool = Fal
 
 def train_heads(train: DataFrame, vocab: DataFrame, aspects=ASPECTS, text_col: str = "ReviewText",
                 cleaned: bool = False, reg_param: float = 0.01, max_iter: int = 50,
-                parallelism: int = 8) -> AspectModel:
+                parallelism: int = 8, partitions: int | None = None) -> AspectModel:
     """ML-1: fit the heads.  ``train`` holds the text and one stored label
-    (0..3) per aspect.  The features are persisted once and shared by all
+    (0..3) per aspect.  ``partitions`` coalesces the cached features (an
+    iterative job over many tiny partitions pays for tasks, not for data).  The features are persisted once and shared by all
     heads instead of being recomputed per head."""
     words = vocab_words(vocab)
     cv = CountVectorizerModel.from_vocabulary(words, inputCol=TOKENS, outputCol=FEATURES)
@@ -81,12 +82,10 @@ def train_heads(train: DataFrame, vocab: DataFrame, aspects=ASPECTS, text_col: s
                                 predictionCol=f"{a}_pred", rawPredictionCol=f"{a}_raw",
                                 probabilityCol=f"{a}_prob", regParam=reg_param, maxIter=max_iter)
              for a in aspects]
-    from aspectflow.operators.ordering import right_size
-
     data = with_tokens(train.select(text_col, *[_nominal(a) for a in aspects]), text_col, cleaned)
     cached = cv.transform(data).persist()
     cached.count()                 # materialise the features with full parallelism
-    feats = right_size(cached)     # then iterate over few partitions of the cached blocks
+    feats = cached.coalesce(partitions) if partitions else cached
     try:
         # Heads are independent: fit them concurrently.  Each L-BFGS step is
         # a small tree-aggregate job, so running the heads' jobs side by side
@@ -133,13 +132,18 @@ def scoring_udf(model: AspectModel, names=LABEL_NAMES):
     vocabulary, then per (head, class) one weighted ``bincount`` over the
     tokens - memory grows with the batch's tokens, never rows x vocabulary.
     For streams that must run Python scoring; ``score`` is the native path."""
+    return linear_udf(model.words, *head_weights(model), names)
+
+
+def linear_udf(words: list[str], weights: np.ndarray, bias: np.ndarray, names=LABEL_NAMES):
+    """The Arrow UDF behind ``scoring_udf``: weights (heads x classes x words) and
+    bias (heads x classes); the first class wins a tie."""
     import pyarrow as pa
 
     from pyspark.sql import SparkSession
 
     spark = SparkSession.getActiveSession()
-    w, b = head_weights(model)
-    bc = spark.sparkContext.broadcast((w, b, pa.array(model.words, pa.string())))
+    bc = spark.sparkContext.broadcast((weights, bias, pa.array(words, pa.string())))
     label_array = np.array(list(names), dtype=object)
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -149,7 +153,7 @@ def scoring_udf(model: AspectModel, names=LABEL_NAMES):
         weights, bias, vocab_tokens = bc.value
         n = len(texts)
         arr = pa.array(texts, type=pa.string(), from_pandas=True)
-        lists = pc.split_pattern(arr, " ")
+        lists = pc.split_pattern(pc.fill_null(arr, ""), " ")
         idx = pc.index_in(pc.list_flatten(lists), value_set=vocab_tokens)
         known = pc.is_valid(idx)
         words = pc.filter(idx, known).to_numpy(zero_copy_only=False)

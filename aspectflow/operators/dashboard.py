@@ -36,25 +36,13 @@ def sentiment_totals(counts: DataFrame) -> DataFrame:
     return counts.groupBy("Sentiment").agg(F.sum("Count").cast("bigint").alias("Count"))
 
 
-def random_sample(df: DataFrame, n: int = 300, seed: int | None = None,
-                  method: str = "exact", oversample: float = 3.0) -> DataFrame:
+def random_sample(df: DataFrame, n: int = 300, seed: int | None = None) -> DataFrame:
     """TOP-6: uniform sample of exactly min(n, rows) rows.
 
     ``orderBy(rand).limit`` plans as TakeOrderedAndProject: each task keeps
     its n smallest keys, so only n x tasks rows ever leave the executors.
-    ``method="bernoulli"`` first thins the table with ``sample()`` (fraction
-    from a count, ``oversample`` times what is needed) so most rows skip the
-    random key; if the thinned set falls short, the full table is used, so
-    the result is never smaller than min(n, rows).
     """
     key = F.rand(seed) if seed is not None else F.rand()
-    if method == "bernoulli":
-        total = df.count()
-        fraction = min(1.0, oversample * n / total) if total else 1.0
-        if fraction < 1.0:
-            thinned = df.sample(fraction=fraction, seed=seed)
-            if thinned.count() >= n:
-                df = thinned
     return df.withColumn("_k", key).orderBy("_k").limit(n).drop("_k")
 
 
@@ -83,16 +71,22 @@ def display_registry(df: DataFrame) -> DataFrame:
         "created_at": "Created At", "id": "ID"})
 
 
-def latest_row(df: DataFrame, order_col: str = "created_at", by=None) -> DataFrame:
-    """TOP-3: newest row, overall or per ``by`` group.
+def latest_row(df: DataFrame, order_col: str = "created_at", by=None, tie: str | None = None) -> DataFrame:
+    """TOP-3: newest row, overall or per ``by`` group; of equally new rows the one
+    with the largest ``tie`` (a unique column makes the result unique).
 
-    Per group it is ``max_by(struct(*), order)``: a partial aggregate, so a hot
-    group costs one row per task before the shuffle.
+    Per group the newest time, then the largest ``tie`` at that time, are hash
+    aggregates with map-side combine on fixed-width values (a hot group costs
+    one row per task before the shuffle), joined back to the rows; a null time
+    is older than any.
     """
     if by is None:
-        return df.orderBy(F.col(order_col).desc()).limit(1)
+        order = [F.col(order_col).desc_nulls_last()] + ([F.col(tie).desc()] if tie else [])
+        return df.orderBy(*order).limit(1)
     keys = [by] if isinstance(by, str) else list(by)
-    rest = [c for c in df.columns if c not in keys]
-    return (df.groupBy(*keys)
-            .agg(F.max_by(F.struct(*rest), F.col(order_col)).alias("_latest"))
-            .select(*keys, "_latest.*"))
+    out = df
+    for column in [order_col] + ([tie] if tie else []):
+        best = out.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max(column).alias("_best"))
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.col(column).eqNullSafe(F.col("_best"))]
+        out = out.join(best, same, "left_semi")
+    return out if tie else out.dropDuplicates(keys)

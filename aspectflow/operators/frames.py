@@ -7,14 +7,13 @@ detections, or ``size(filter(...))`` for per-frame box arrays.
 
 from __future__ import annotations
 
-import json
 from typing import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aspectflow.functions.codec import counts_json
+from aspectflow.functions.codec import b64_decode, counts_json
 from aspectflow.schemas import (
     INFERENCE_RESULT, UNKNOWN_VEHICLE, VEHICLE_CLASSES, VEHICLE_NAMES,
 )
@@ -40,7 +39,7 @@ def sample_frames(df: DataFrame, fps, frame_col: str = "frame_id") -> DataFrame:
     """PRJ-7: keep one frame per video second and add ``video_second``."""
     k = frame_step(fps)
     f = F.col(frame_col)
-    return df.where(f % k == 0).withColumn("video_second", F.floor(f / k).cast("long"))
+    return df.where(f % k == 0).withColumn("video_second", F.call_function("div", f.cast("long"), k.cast("long")))
 
 
 def vehicle_label(class_id) -> Column:
@@ -137,40 +136,56 @@ def with_inference_defaults(col) -> Column:
         F.coalesce(s["annotated_b64"], F.lit("")).alias("annotated_b64"))
 
 
-def inference_udf(detect: Callable[[bytes], list[dict]]):
-    """UDF-2/3: struct-returning Arrow UDF around a per-image detector.
+DETECTIONS = "array<struct<cls: int, conf: double, xyxy: array<double>>>"
+
+
+def detections_udf(detect: Callable[[bytes], list[dict]]):
+    """UDF-2/3: Arrow UDF, image bytes in, the detector's raw detections out; null
+    where there is no image or the detector fails on it (that row only).
 
     ``detect(image_bytes) -> [{"cls": int, "conf": float, "xyxy": [4 floats]}]``
-    is user code (e.g. a neural detector loaded once per worker).  Counting
-    and JSON layout follow the reference; any failure on a row gives the
-    UDF-4 defaults for that row only.
+    is user code (e.g. a neural detector loaded once per worker).
+    """
+    def one(image):
+        try:
+            return None if image is None else [
+                {"cls": int(d["cls"]), "conf": float(d["conf"]), "xyxy": [float(v) for v in d["xyxy"]]} for d in detect(image)]
+        except Exception:  # noqa: BLE001 - a bad image must not stop the others
+            return None
+
+    @F.pandas_udf(DETECTIONS)
+    def run(images: pd.Series) -> pd.Series:
+        return images.map(one)
+
+    return run
+
+
+def inference_udf(detect: Callable[[bytes], list[dict]]) -> Callable[[object], Column]:
+    """Inference struct of a base64 image column: only the detector is Python.
+
+    Decoding (one tolerant decoder for all paths), labels, counts, total and JSON
+    are native expressions; a null or undecodable image, or a failing detector,
+    leaves the struct's fields null for ``with_inference_defaults``.
     """
-    import base64
-
-    @F.pandas_udf(INFERENCE_RESULT)
-    def _infer(images: pd.Series) -> pd.DataFrame:
-        rows = []
-        for b64 in images:
-            try:
-                raw = base64.b64decode(b64, validate=True)
-                dets = detect(raw)
-                counts = {n: 0 for n in VEHICLE_NAMES}
-                boxes = []
-                for d in dets:
-                    label = VEHICLE_CLASSES.get(int(d["cls"]), UNKNOWN_VEHICLE)
-                    if label in counts:
-                        counts[label] += 1
-                    boxes.append({"label": label, "conf": float(d["conf"]),
-                                  "xyxy": [float(v) for v in d["xyxy"]]})
-                rows.append({"total_count": sum(counts.values()), "class_counts": json.dumps(counts),
-                             "boxes_json": json.dumps(boxes), "annotated_b64": b64})
-            except Exception:  # noqa: BLE001 - per-row fallback is the contract
-                rows.append({"total_count": 0, "class_counts": "{}", "boxes_json": "[]",
-                             "annotated_b64": ""})
-        return pd.DataFrame(rows, columns=["total_count", "class_counts", "boxes_json",
-                                           "annotated_b64"])
-
-    return _infer
+    run = detections_udf(detect)
+
+    def column(b64) -> Column:
+        found = run(b64_decode(_c(b64)))
+        boxes = F.transform(found, lambda d: F.struct(vehicle_label(d["cls"]).alias("label"),
+                                                      d["conf"].alias("conf"), d["xyxy"].alias("xyxy")))
+
+        def number(name: str) -> Column:
+            return F.size(F.filter(boxes, lambda x: x["label"] == name))
+
+        ok = found.isNotNull()
+        counts = [number(n) for n in VEHICLE_NAMES]
+        return F.struct(
+            F.when(ok, sum(counts[1:], counts[0])).alias("total_count"),
+            F.when(ok, counts_json(counts)).alias("class_counts"),
+            F.when(ok, F.to_json(boxes)).alias("boxes_json"),
+            F.when(ok, _c(b64)).alias("annotated_b64")).cast(INFERENCE_RESULT)
+
+    return column
 
 
 def frame_results(df: DataFrame, inference_col: str = "inference", image_dir: str = "") -> DataFrame:
@@ -189,7 +204,7 @@ def frame_blobs(df: DataFrame, inference_col: str = "inference", image_dir: str
     without an image, or with undecodable base64, carry none).  Written
     partitioned by source instead of one file per frame from the driver."""
     inf = with_inference_defaults(F.col(inference_col))
-    blob = F.try_to_binary(inf["annotated_b64"], F.lit("base64"))
+    blob = b64_decode(inf["annotated_b64"])
     out = df.select("source_video", "frame_id",
                     image_path("source_video", "frame_id", F.length(inf["annotated_b64"]) > 0,
                                image_dir).alias("image_path"),

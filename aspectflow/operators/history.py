@@ -8,19 +8,38 @@ length with a parallel segmented scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def numbered_epochs(events: DataFrame, run: str, order: list[str], epoch: str = "epoch") -> DataFrame:
+    """Number each run's rows from 1 in ``order`` without gathering a run: a dense index over
+    all rows in (run, order), less the index of the run's first row (one partial minimum)."""
+    from aspectflow.operators.ordering import with_row_index
+
+    indexed = with_row_index(events, [run, *order], "_at")
+    first = indexed.groupBy(F.col(run).alias("_run")).agg(F.min("_at").alias("_first"))
+    return (indexed.join(first, F.col(run).eqNullSafe(F.col("_run")))
+            .withColumn(epoch, (F.col("_at") - F.col("_first") + 1).cast("int")).drop("_at", "_run", "_first"))
+
+
+def _comparable(loss) -> Column:
+    """A loss as the training loop compares it: NaN and null are no improvement on anything."""
+    loss = F.col(loss) if isinstance(loss, str) else loss
+    return F.when(loss.isNull() | F.isnan(loss), F.lit(float("inf"))).otherwise(loss.cast("double"))
+
+
 def improvement_flags(history: DataFrame, run="run", epoch="epoch", loss="val_loss") -> DataFrame:
-    """Mark strict improvements (loss < best so far; the first epoch always
-    improves) and the streak of epochs since the last improvement."""
+    """Mark strict improvements (loss < best so far, which starts at infinity:
+    a NaN, null or infinite loss never improves) and the streak of epochs since
+    the last improvement, or since the start if there was none."""
     w = Window.partitionBy(run).orderBy(epoch)
-    prior = F.min(loss).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    flagged = history.withColumn("improved", prior.isNull() | (F.col(loss) < prior))
+    value = _comparable(loss)
+    prior = F.min(value).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    flagged = history.withColumn("improved", value < F.coalesce(prior, F.lit(float("inf"))))
     last = F.max(F.when(F.col("improved"), F.col(epoch))).over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return flagged.withColumn("streak", (F.col(epoch) - last).cast("int"))
+    return flagged.withColumn("streak", F.coalesce(F.col(epoch) - last, F.row_number().over(w)).cast("int"))
 
 
 def early_stop(history: DataFrame, patience: int, run="run", epoch="epoch",
@@ -64,7 +83,7 @@ def early_stop_scan(history: DataFrame, patience: int, run="run", epoch="epoch",
     spark = history.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = cut_lineage(history.select(F.col(run).alias("_run"), F.col(epoch).alias("_ep"),
-                                      F.col(loss).alias("_loss"))
+                                      _comparable(loss).alias("_loss"))
                        .repartitionByRange(n, "_run", "_ep")
                        .withColumn("_part", F.spark_partition_id()))
     chunk = Window.partitionBy("_part", "_run").orderBy("_ep")
@@ -78,9 +97,9 @@ def early_stop_scan(history: DataFrame, patience: int, run="run", epoch="epoch",
     carry_min = stats.select("_part", "_run", F.min("_cmin").over(earlier_chunks).alias("_carry_min")) \
         .where(F.col("_carry_min").isNotNull())
     flagged = rows.join(F.broadcast(carry_min), ["_part", "_run"], "left")
-    prior = F.least(F.min("_loss").over(before), F.col("_carry_min"))
-    flagged = flagged.withColumn("_prior", prior).withColumn(
-        "_improved", F.col("_prior").isNull() | (F.col("_loss") < F.col("_prior")))
+    prior = F.coalesce(F.least(F.min("_loss").over(before), F.col("_carry_min")), F.lit(float("inf")))
+    # stored once: both carries and the streaks read these rows
+    flagged = cut_lineage(flagged.withColumn("_prior", prior).withColumn("_improved", F.col("_loss") < F.col("_prior")))
 
     # carry 2: last improvement epoch of the run's earlier chunks
     last_in_chunk = flagged.groupBy("_part", "_run").agg(
@@ -89,7 +108,8 @@ def early_stop_scan(history: DataFrame, patience: int, run="run", epoch="epoch",
                                       F.max("_clast").over(earlier_chunks).alias("_carry_last")) \
         .where(F.col("_carry_last").isNotNull())
     scanned = flagged.join(F.broadcast(carry_last), ["_part", "_run"], "left")
-    last = F.greatest(F.max(F.when(F.col("_improved"), F.col("_ep"))).over(upto), F.col("_carry_last"))
+    last = F.coalesce(F.greatest(F.max(F.when(F.col("_improved"), F.col("_ep"))).over(upto),
+                                 F.col("_carry_last")), F.lit(0))       # epochs count from 1
     scanned = scanned.withColumn("_streak", (F.col("_ep") - last).cast("int"))
 
     hit = F.when(F.col("_streak") >= patience, F.col("_ep"))
@@ -100,9 +120,10 @@ def early_stop_scan(history: DataFrame, patience: int, run="run", epoch="epoch",
         F.min("_loss").alias("_min_loss"),
         F.count(F.lit(1)).alias("_n"))
     stopped = F.col("stop_epoch").isNotNull()
+    at_stop = F.col("stop_epoch") - patience
+    best = F.when(stopped, F.when(at_stop > 0, at_stop)).otherwise(F.col("_last_improved"))
     return per_run.select(
-        F.col("_run").alias(run), "stop_epoch",
-        F.when(stopped, F.col("stop_epoch") - patience).otherwise(F.col("_last_improved"))
-        .cast("int").alias("best_epoch"),
-        F.when(stopped, F.col("_loss_before_stop")).otherwise(F.col("_min_loss")).alias("best_loss"),
+        F.col("_run").alias(run), "stop_epoch", best.cast("int").alias("best_epoch"),
+        F.when(best.isNotNull(), F.when(stopped, F.col("_loss_before_stop")).otherwise(F.col("_min_loss")))
+        .alias("best_loss"),
         F.when(stopped, F.col("stop_epoch")).otherwise(F.col("_n")).cast("long").alias("epochs_run"))

@@ -1,10 +1,4 @@
-"""Row numbering and partition sizing.
-
-* ``with_row_index`` / ``batch_number``: distributed dense row numbering
-  (WIN-3/WIN-4 at scale).
-* ``spread`` / ``right_size``: spread small inputs over all cores before
-  heavy per-row work, or coalesce small data for iterative jobs - both
-  driven by the planner's size estimate and never adding a large shuffle.
+"""Distributed dense row numbering (WIN-3/WIN-4 at scale).
 
 ``row_number()`` over an un-partitioned window moves every row into one task.
 Here the rows are range-partitioned on the order key, numbered inside each
@@ -67,40 +61,3 @@ def batch_number(df: DataFrame, order_cols, size: int, name: str = "batch") -> D
     return (with_row_index(df, order_cols, "_ri")
             .withColumn(name, F.floor(F.col("_ri") / size).cast("long"))
             .drop("_ri"))
-
-
-def spread(df: DataFrame, bytes_per_core: int = 128 << 20) -> DataFrame:
-    """Spread a *small* input over every core before heavy per-row work.
-
-    A file written as one row group scans as one task, so e.g. text cleaning
-    of a whole table would run on one core.  When the planner's size estimate
-    is below one default split per core, a round-robin ``repartition`` (kept
-    deterministic by Spark's sort-before-repartition) costs a shuffle of at
-    most ``cores x bytes_per_core`` and lets every core work.  Larger inputs
-    already arrive in many splits and are returned untouched - no shuffle of
-    a large table is ever added.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: leave the input as it is
-        return df
-    if size > cores * bytes_per_core:
-        return df
-    return df.repartition(cores)
-
-
-def right_size(df: DataFrame, bytes_per_partition: int = 128 << 20) -> DataFrame:
-    """Coalesce (no shuffle) to about one partition per ``bytes_per_partition``
-    of estimated input, never increasing the count.  For iterative jobs on
-    small data (e.g. L-BFGS, one Spark job per step) tiny partitions cost
-    more in task overhead than they add in parallelism; large inputs keep
-    their partitions."""
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no estimate: leave as is
-        return df
-    want = max(1, -(-size // bytes_per_partition))
-    return df.coalesce(want) if want < have else df

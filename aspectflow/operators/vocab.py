@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aspectflow.functions.text import clean, tokenize_clean
+from aspectflow.session import cut_lineage_columnar
 from aspectflow.schemas import MAX_VOCAB, PAD_ID, PAD_TOKEN, UNK_ID, UNK_TOKEN
 
 # Largest vocabulary we are willing to broadcast (rows).  ~2M short tokens is
@@ -139,9 +140,23 @@ def vocab_from_top(top: DataFrame) -> DataFrame:
 
 def build_vocab(clean_docs: DataFrame, max_vocab: int = MAX_VOCAB, id_col: str = "doc_id",
                 text_col: str = "clean_text") -> DataFrame:
-    """Vocabulary (token, id) from cleaned texts; at most max_vocab + 2 rows."""
-    counts = token_counts(token_positions(clean_docs, id_col, text_col), id_col)
-    return vocab_from_top(top_tokens(counts, max_vocab))
+    """Vocabulary (token, id) from cleaned texts; at most max_vocab + 2 rows.
+    ``clean_docs`` is read twice (counts, then first positions): pass a stored table."""
+    return vocab_from_top(top_of_texts(clean_docs, max_vocab, id_col, text_col))
+
+
+def top_of_texts(clean_docs: DataFrame, k: int, id_col: str = "doc_id",
+                 text_col: str = "clean_text") -> DataFrame:
+    """TOP-1/2 over whole texts: counts first (one shuffle of partial sums), then
+    first positions only for tokens at or above the k-th count."""
+    tokens = token_positions(clean_docs, id_col, text_col)
+    counts = cut_lineage_columnar(token_counts(tokens, id_col, with_first=False), "token_counts")
+    least = counts.orderBy(F.col("cnt").desc()).limit(k).agg(F.min("cnt")).first()[0]
+    chosen = counts.where(F.col("cnt") >= F.lit(least))
+    firsts = (tokens.join(chosen.select("token"), "token", "left_semi")
+              .groupBy("token", id_col).agg(F.min("pos").alias("_p"))
+              .groupBy("token").agg(F.struct(F.min(id_col).alias("doc"), F.min_by("_p", id_col).alias("pos")).alias("first")))
+    return top_tokens(chosen.join(firsts, "token"), k)
 
 
 def vocab_sizes(counts: DataFrame, max_vocab: int = MAX_VOCAB) -> DataFrame:
@@ -159,26 +174,22 @@ def vocab_sizes_approx(tokens: DataFrame, max_vocab: int = MAX_VOCAB,
         "n_distinct", (F.least(F.col("n_distinct"), F.lit(max_vocab)) + 2).alias("vocab_size"))
 
 
-def _vocab_side(vocab: DataFrame, max_rows: int | None) -> DataFrame:
-    side = vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_id"))
-    if max_rows is not None and max_rows <= BROADCAST_VOCAB_LIMIT:
-        return F.broadcast(side)
-    return side
-
-
 def encode_by_join(clean_docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id",
-                   text_col: str = "clean_text", out: str = "ids",
-                   max_vocab_rows: int | None = MAX_VOCAB + 2) -> DataFrame:
+                   text_col: str = "clean_text", out: str = "ids", keep=()) -> DataFrame:
     """JOIN-1 + ARR-1 as relational operators: posexplode -> left join the
-    vocabulary (broadcast when its bound is known) -> regroup by document in
-    token order.  Costs one shuffle of every token; used when the vocabulary
-    is too large to ship to every task."""
-    toks = token_positions(clean_docs, id_col, text_col, outer=True)
-    joined = toks.join(_vocab_side(vocab, max_vocab_rows), toks["token"] == F.col("_tok"), "left")
-    pair = F.when(F.col("pos").isNotNull(),
-                  F.struct(F.col("pos"), F.coalesce(F.col("_id"), F.lit(UNK_ID)).alias("id")))
-    grouped = joined.groupBy(id_col).agg(F.array_sort(F.collect_list(pair)).alias("_pairs"))
-    return grouped.select(id_col, F.col("_pairs")["id"].alias(out))
+    vocabulary (Spark picks the join by size, and splits skewed tokens) ->
+    regroup by row in token order.  Same result as :func:`encode`: rows stay
+    rows even if ids repeat, null text gives null ids, ``keep`` is carried.
+    Costs one shuffle of every token; for vocabularies too large to ship."""
+    rows = clean_docs.select(id_col, *keep, text_col).withColumn("_row", F.monotonically_increasing_id())
+    toks = rows.select("_row", F.posexplode(tokenize_clean(text_col)).alias("pos", "token"))
+    side = vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_id"))
+    joined = toks.join(side, toks["token"] == F.col("_tok"), "left")
+    pair = F.struct(F.col("pos"), F.coalesce(F.col("_id"), F.lit(UNK_ID)).cast("int").alias("id"))
+    grouped = joined.groupBy("_row").agg(F.array_sort(F.collect_list(pair)).alias("_pairs"))
+    empty = F.array().cast("array<int>")
+    ids = F.when(F.col(text_col).isNotNull(), F.coalesce(F.col("_pairs")["id"], empty))
+    return rows.join(grouped, "_row", "left").select(id_col, *keep, ids.alias(out))
 
 
 def _arrow_encoder(table, text_col: str, out: str, passthrough: list[str]):
@@ -211,21 +222,23 @@ def _arrow_encoder(table, text_col: str, out: str, passthrough: list[str]):
 
 def encode(clean_docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id",
            text_col: str = "clean_text", out: str = "ids",
-           max_vocab_rows: int | None = MAX_VOCAB + 2, keep=()) -> DataFrame:
+           engine: str = "arrow", keep=()) -> DataFrame:
     """JOIN-1 + ARR-1: token ids in token order, unknown -> 1, empty text -> [].
 
-    The vocabulary is bounded (``build_vocab`` keeps at most max_vocab + 2
-    rows), and its size is checked against ``BROADCAST_VOCAB_LIMIT``: within
-    the limit it is shipped once per executor as two Arrow arrays and every
-    document is encoded where it lies - a narrow, shuffle-free
-    ``mapInArrow`` whose lookup is a vectorised hash probe.  Beyond the
-    limit, or with an unknown bound, ``encode_by_join`` is used instead.
+    ``engine="arrow"``: the vocabulary (``build_vocab`` keeps at most
+    max_vocab + 2 rows) is shipped once per executor as two Arrow arrays and
+    every document is encoded where it lies - a narrow, shuffle-free
+    ``mapInArrow`` whose lookup is a vectorised hash probe.  Its size is
+    checked: more than ``BROADCAST_VOCAB_LIMIT`` rows is an error that asks
+    for ``engine="join"``, which gives the same rows by ``encode_by_join``.
     """
-    if max_vocab_rows is None or max_vocab_rows > BROADCAST_VOCAB_LIMIT:
-        return encode_by_join(clean_docs, vocab, id_col, text_col, out, max_vocab_rows)
+    if engine == "join":
+        return encode_by_join(clean_docs, vocab, id_col, text_col, out, keep)
+    if engine != "arrow":
+        raise ValueError(f"unknown engine {engine!r}")
     rows = vocab.select("token", "id").limit(BROADCAST_VOCAB_LIMIT + 1).collect()
     if len(rows) > BROADCAST_VOCAB_LIMIT:
-        return encode_by_join(clean_docs, vocab, id_col, text_col, out, None)
+        raise ValueError(f"vocabulary above {BROADCAST_VOCAB_LIMIT} rows: use engine='join'")
     import pyarrow as pa
 
     table = clean_docs.sparkSession.sparkContext.broadcast(

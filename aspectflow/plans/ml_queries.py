@@ -1,72 +1,122 @@
-"""Registered model queries (rows-only check: learned weights have no SQL
-oracle; their invariants are unit-tested)."""
+"""Registered model queries.
+
+Learned weights have no SQL form; what must hold of any of them has: how many rows are
+trained on, held out and scored, that both scoring paths agree, and that metrics are
+metrics.  Scores themselves are compared for a head whose integer weights follow from the
+vocabulary ids, in SQL, natively and through the Arrow UDF.
+"""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aspectflow.ml import heads as H
 from aspectflow.operators import vocab as V
 from aspectflow.plans.tables import METRIC_ASPECTS, load
-from aspectflow.schemas import MAX_VOCAB
+from aspectflow.schemas import LABEL_NAMES, MAX_VOCAB, NUM_CLASSES
+from aspectflow.session import cut_lineage_columnar
+
+FOLDS = 5
+
+
+def _holdout() -> F.Column:
+    """One in five documents, by a hash of its id that SQL has too, is never trained on."""
+    return F.conv(F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 8), 16, 10).cast("long") % FOLDS == 0
 
 
 def _labelled(spark: SparkSession, d: str) -> DataFrame:
-    docs = load(spark, d, "documents")
-    lab = load(spark, d, "labels")
-    return lab.join(docs, "doc_id").select(
-        "doc_id", F.col("text").alias("ReviewText"),
-        *[(F.col(a) + 1).cast("int").alias(a) for a in METRIC_ASPECTS])
+    """Labelled documents with cleaned text, stored once as columns."""
+    docs = load(spark, d, "documents").select("doc_id", "text")
+    lab = load(spark, d, "labels").select("doc_id", *[(F.col(a) + 1).cast("int").alias(a) for a in METRIC_ASPECTS])
+    clean = V.cleaned(docs.join(lab, "doc_id"), "text", keep=["doc_id", *METRIC_ASPECTS])
+    return cut_lineage_columnar(clean.withColumn("held_out", _holdout()), "labelled")
 
 
-_MODELS: dict[tuple, H.AspectModel] = {}
+def _fitted(labelled: DataFrame) -> H.AspectModel:
+    train = labelled.where("not held_out")
+    return H.train_heads(train, V.build_vocab(train, MAX_VOCAB), METRIC_ASPECTS, text_col="clean_text", cleaned=True,
+                         max_iter=20, partitions=8)
 
 
-def _inputs_key(spark: SparkSession, d: str) -> tuple:
-    """Identity of the training inputs: path, size and modification time of
-    each table file (a changed table trains a new model)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    key = [id(spark.sparkContext)]
-    for t in ("documents", "labels"):
-        path = jvm.org.apache.hadoop.fs.Path(f"{d.rstrip('/')}/{t}.parquet")
-        st = path.getFileSystem(conf).getFileStatus(path)
-        key += [str(path), st.getLen(), st.getModificationTime()]
-    return tuple(key)
+def q_train_score(spark: SparkSession, d: str) -> DataFrame:
+    """ML-1 + ML-2 + UDF-1/3: train outside the hold-out, score every document natively and
+    through the UDF; the two must agree."""
+    labelled = _labelled(spark, d)
+    model = _fitted(labelled)
+    docs = cut_lineage_columnar(V.cleaned(load(spark, d, "documents"), keep=["doc_id"]), "clean_docs")
+    native = H.score(docs, model, text_col="clean_text", keep=["doc_id", "clean_text"], cleaned=True)
+    by_udf = H.scoring_udf(model)(F.coalesce("clean_text", F.lit("")))
+    differ = sum([F.col(a).eqNullSafe(F.get("_udf", i)).cast("int") for i, a in enumerate(METRIC_ASPECTS)], F.lit(0))
+    checked = native.withColumn("_udf", by_udf).agg(
+        F.count("*").alias("n_scored"), F.count_if(differ != len(METRIC_ASPECTS)).alias("n_differ"))
+    sizes = labelled.agg(F.count_if(~F.col("held_out")).alias("n_train"), F.count_if("held_out").alias("n_held_out"))
+    return checked.crossJoin(sizes)          # one row each
 
 
-def _model(spark: SparkSession, d: str) -> H.AspectModel:
-    """The model trained on the labelled reviews - trained once per input and
-    reused by the scoring and evaluation queries, like a saved artefact."""
-    key = _inputs_key(spark, d)
-    if key not in _MODELS:
-        train = _labelled(spark, d)
-        voc = V.build_vocab(V.cleaned(train, "ReviewText", keep=["doc_id"]), MAX_VOCAB)
-        _MODELS[key] = H.train_heads(train, voc, METRIC_ASPECTS)
-    return _MODELS[key]
+def q_evaluate_model(spark: SparkSession, d: str) -> DataFrame:
+    """ML-4: metrics of the trained heads on the hold-out alone."""
+    labelled = _labelled(spark, d)
+    held = labelled.where("held_out")
+    m = H.evaluate(_fitted(labelled), held, "doc_id", text_col="clean_text", cleaned=True)
+    ok = [F.col(c).between(0.0, 1.0).alias(f"{c}_ok") for c in ("macro_f1", "balanced_acc")]
+    return m.select(*ok).crossJoin(held.agg(F.count("*").alias("n_held_out")))
 
 
-def q_train_score(spark: SparkSession, d: str) -> DataFrame:
-    """ML-1 + ML-2: train on the labelled reviews, score every document."""
-    model = _model(spark, d)
-    docs = load(spark, d, "documents").select("doc_id", F.col("text").alias("ReviewText"))
-    return H.score(docs, model, keep=["doc_id"])
+def weight(word_id, head: int, label: int):
+    """Integer weight of a vocabulary id for one head and class, -5 to 5."""
+    return (word_id * (7 * head + 3 * label + 1)) % 11 - 5
 
 
 def q_score_udf(spark: SparkSession, d: str) -> DataFrame:
-    """UDF-1/3: the same heads through the Arrow scoring UDF."""
-    model = _model(spark, d)
-    docs = V.cleaned(load(spark, d, "documents"))
-    labels = H.scoring_udf(model)(F.col("clean_text"))
-    return docs.select("doc_id", *[F.get(labels, i).alias(a) for i, a in enumerate(METRIC_ASPECTS)])
+    """UDF-1/3: heads with integer weights from the vocabulary ids, scored by the Arrow UDF."""
+    docs = cut_lineage_columnar(V.cleaned(load(spark, d, "documents"), keep=["doc_id"]), "clean_docs")
+    words = H.vocab_words(V.build_vocab(docs, MAX_VOCAB))
+    ids = np.arange(len(words), dtype=np.int64) + 2
+    w = np.array([[weight(ids, h, c) for c in range(NUM_CLASSES)] for h in range(len(METRIC_ASPECTS))], dtype=float)
+    labels = H.linear_udf(words, w, np.zeros(w.shape[:2]))(F.coalesce("clean_text", F.lit("")))
+    return docs.select("doc_id", labels.alias("_l")).select("doc_id", *[F.get("_l", i).alias(a) for i, a in enumerate(METRIC_ASPECTS)])
 
 
-def q_evaluate_model(spark: SparkSession, d: str) -> DataFrame:
-    """ML-4: macro-F1 and balanced accuracy of the trained heads."""
-    model = _model(spark, d)
-    return H.evaluate(model, _labelled(spark, d), "doc_id")
+def q_score_native(spark: SparkSession, d: str) -> DataFrame:
+    """The same heads in native expressions: ids in a row, one sum per head and class, first largest."""
+    docs = cut_lineage_columnar(V.cleaned(load(spark, d, "documents"), keep=["doc_id"]), "clean_docs")
+    enc = V.encode(docs, V.build_vocab(docs, MAX_VOCAB)).select("doc_id", F.filter("ids", lambda x: x >= 2).alias("ids"))
+
+    def total(head: int, label: int) -> F.Column:
+        return F.aggregate("ids", F.lit(0).cast("long"), lambda s, x: s + weight(x.cast("long"), head, label))
 
+    out = []
+    for h, a in enumerate(METRIC_ASPECTS):
+        sums = F.array(*[total(h, c) for c in range(NUM_CLASSES)])
+        names = F.array(*[F.lit(n) for n in LABEL_NAMES])
+        out.append(F.get(names, (F.array_position(sums, F.array_max(sums)) - 1).cast("int")).alias(a))
+    return enc.select("doc_id", *out)
 
-ML_QUERIES = {"train_score": q_train_score, "score_udf": q_score_udf,
+
+ML_QUERIES = {"train_score": q_train_score, "score_udf": q_score_udf, "score_native": q_score_native,
               "evaluate_model": q_evaluate_model}
+
+
+def ml_oracle_sql(vocab_cte: str) -> dict[str, str]:
+    """``vocab_cte`` defines ``tok`` (doc_id, pos, token) and ``vocab`` (token, id)."""
+    sums = [f"sum(coalesce((v.id * {7 * h + 3 * c + 1}) % 11 - 5, 0)) AS s{h}{c}"
+            for h in range(len(METRIC_ASPECTS)) for c in range(NUM_CLASSES)]
+    names = "[" + ", ".join(f"'{n}'" for n in LABEL_NAMES) + "]"
+    best = []
+    for h, a in enumerate(METRIC_ASPECTS):
+        scores = "[" + ", ".join(f"coalesce(hs.s{h}{c}, 0)" for c in range(NUM_CLASSES)) + "]"
+        best.append(f"{names}[list_position({scores}, list_max({scores}))] AS {a}")
+    heads = (vocab_cte + f", hs AS (SELECT tok.doc_id, {', '.join(sums)} FROM tok LEFT JOIN vocab v "
+             "ON tok.token = v.token AND v.id >= 2 GROUP BY tok.doc_id) "
+             f"SELECT d.doc_id, {', '.join(best)} FROM documents d LEFT JOIN hs ON d.doc_id = hs.doc_id")
+    labelled = ("SELECT d.doc_id, ('0x' || substr(md5(d.doc_id::VARCHAR), 1, 8))::BIGINT % "
+                f"{FOLDS} = 0 AS held_out FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
+    return {
+        "score_udf": heads, "score_native": heads,
+        "train_score": (f"WITH x AS ({labelled}) SELECT (SELECT count(*) FROM documents) AS n_scored, 0::BIGINT AS n_differ, "
+                        "count(*) FILTER (WHERE NOT held_out) AS n_train, count(*) FILTER (WHERE held_out) AS n_held_out FROM x"),
+        "evaluate_model": (f"WITH x AS ({labelled}) SELECT true AS macro_f1_ok, true AS balanced_acc_ok, "
+                           "count(*) FILTER (WHERE held_out) AS n_held_out FROM x"),
+    }

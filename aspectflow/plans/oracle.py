@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from aspectflow.functions.text import VIETNAMESE_LETTERS
 from aspectflow.plans.tables import (
-    EPOCH_SECONDS_2024, FPS, LEADERBOARD_K, PATIENCE, PREVIEW_ROWS, REVIEW_TOPIC, TABLES, TOP_WORDS,
+    EPOCH_SECONDS_2024, FPS, LEADERBOARD_K, PATIENCE, PREVIEW_ROWS, REVIEW_TOPIC, SAMPLE_ROWS, TABLES,
+    TOP_WORDS,
 )
 from aspectflow.schemas import ASPECTS, DASHBOARD_SENTIMENTS, MAX_MESSAGE_BYTES, MAX_VOCAB
 
@@ -225,7 +226,7 @@ def oracle_sql() -> dict[str, str]:
         "frame_boxes": (f"WITH det AS ({_DET}) SELECT frame_id, CAST(count(*) AS INTEGER) AS n_boxes, "
                         "string_agg(printf('%s@%.4f[%.2f,%.2f,%.2f,%.2f]', label, conf, x1, y1, x2, y2), "
                         "';' ORDER BY conf DESC, label, x1, y1, x2, y2) AS boxes_text "
-                        "FROM det GROUP BY frame_id"),
+                        "FROM det WHERE class_id IN (2, 3, 5, 7) GROUP BY frame_id"),
         "resize_height": ("SELECT p_partkey, p_size AS width, p_retailprice AS height, "
                           "CASE WHEN p_size > 0 THEN CAST(floor(p_retailprice * (640.0 / p_size)) "
                           "AS INTEGER) END AS new_height FROM part"),
@@ -239,10 +240,9 @@ def oracle_sql() -> dict[str, str]:
                             "octet_length(encode(CAST(to_json({'review': text}) AS VARCHAR))) AS n_bytes, "
                             "octet_length(encode(CAST(to_json({'review': text}) AS VARCHAR))) <= "
                             f"{MAX_MESSAGE_BYTES} AS within_limit FROM documents"),
-        "latest_frame": ("SELECT event_type, arg_max(event_id, ts) AS event_id, epoch_us(max(ts)) "
-                         "AS ts_us, arg_max(value, ts) AS value FROM events GROUP BY event_type"),
-        "union_cameras": ("SELECT event_type AS source_video, event_id AS frame_id, value FROM events "
-                          "WHERE event_type IN ('click', 'view', 'purchase', 'signup', 'error')"),
+        "latest_frame": ("SELECT event_type, event_id, epoch_us(ts) AS ts_us, value FROM events QUALIFY "
+                         "row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) = 1"),
+        "union_cameras": "SELECT event_type AS source_video, event_id AS frame_id, value FROM events",
         "promotion": _REGISTRY + (
             f"SELECT id, model_name, round(macro_f1, {R}) AS macro_f1, round(balanced_acc, {R}) "
             "AS balanced_acc, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at FROM registry"),
@@ -257,6 +257,7 @@ def oracle_sql() -> dict[str, str]:
                     f"LIMIT {PREVIEW_ROWS}"),
         "dataset_shape": _dataset_shape(),
         **_streams(),
+        **_models(),
         **_more(),
     }
 
@@ -278,7 +279,26 @@ def _more() -> dict[str, str]:
             "lambda x: x <> '') AS toks FROM documents) SELECT doc_id, CAST(len(toks) AS INTEGER) "
             "AS n_tokens, array_to_string(toks, ' ') AS tokens_text FROM t"),
         "aspect_values": f"WITH l AS ({_aspect_labels()}) {aspects}",
-        "frame_messages": f"WITH f AS ({frames}) SELECT topic, {message} AS value FROM f",
+        "frame_messages": (f"WITH f AS ({frames}), m AS (SELECT topic, {message} AS value FROM f) SELECT topic, value, "
+                           f"octet_length(encode(value)) AS n_bytes, octet_length(encode(value)) <= {MAX_MESSAGE_BYTES} "
+                           "AS within_limit FROM m"),
+        "random_sample": (f"SELECT least({SAMPLE_ROWS}, count(*)) AS n_rows, least({SAMPLE_ROWS}, count(*)) AS n_distinct, "
+                          f"least({SAMPLE_ROWS}, count(*)) AS n_found FROM documents"),
+        "pad_batches": _ENCODED + (
+            ", b AS (SELECT doc_id, n_ids, (row_number() OVER (ORDER BY doc_id) - 1) // 64 AS batch FROM e) "
+            "SELECT doc_id, batch, n_ids, max(n_ids) OVER (PARTITION BY batch) AS padded_len, true AS prefix_ok FROM b"),
+        "counts_map": _FRAME_COUNTS + (
+            "SELECT frame_id, printf('car=%d,motorcycle=%d,bus=%d,truck=%d', car, motorcycle, bus, truck) AS counts_text FROM fct"),
+        "missing_aspect": "SELECT doc_id, 'quality' AS aspect, CAST(quality + 1 AS INTEGER) AS label FROM labels",
+        "model_resolution": _REGISTRY + (
+            ", best AS (SELECT model_name, macro_f1, id FROM registry ORDER BY macro_f1 DESC, id DESC LIMIT 1), "
+            "found AS (SELECT r.model_name FROM best r WHERE r.model_name IN "
+            "(SELECT model_name FROM registry WHERE model_name NOT IN (SELECT model_name FROM best))) "
+            "SELECT coalesce((SELECT model_name FROM found), 'cnn_default.pth') AS model_name"),
+        "catalog_sink": _FRAME_COUNTS.replace(
+            "fc AS (SELECT o.o_orderkey AS frame_id,",
+            "fc AS (SELECT o.o_orderpriority AS source_video, o.o_orderkey AS frame_id,")
+        + "SELECT source_video, frame_id, total_count FROM fct",
         "frame_roundtrip": (f"WITH f AS ({frames}) SELECT replace(topic, '_topic', '') AS source_video, "
                             "CAST(frame_id AS INTEGER) AS frame_id, CAST(video_second AS INTEGER) "
                             "AS video_second, props AS image_text FROM f"),
@@ -291,13 +311,19 @@ def _more() -> dict[str, str]:
             + ", ".join(f"CAST(count(*) FILTER (WHERE label = '{n}') AS INTEGER) AS {n}"
                         for n in ["car", "motorcycle", "bus", "truck"])
             + ", CAST(count(*) FILTER (WHERE label IN ('car', 'motorcycle', 'bus', 'truck')) AS INTEGER) "
-              "AS total_count FROM det GROUP BY frame_id"),
+              "AS total_count FROM det WHERE class_id IN (2, 3, 5, 7) GROUP BY frame_id"),
         "batches": ("WITH b AS (SELECT vec_id, (row_number() OVER (ORDER BY vec_id) - 1) // 64 AS batch "
                     "FROM embeddings) SELECT batch, count(*) AS n_rows, min(vec_id) AS first_id, "
                     "max(vec_id) AS last_id FROM b GROUP BY batch"),
     }
 
 
+def _models() -> dict[str, str]:
+    from aspectflow.plans.ml_queries import ml_oracle_sql
+
+    return ml_oracle_sql(_VOCAB)
+
+
 def _streams() -> dict[str, str]:
     from aspectflow.plans.streams import stream_oracle_sql
 

@@ -24,7 +24,7 @@ from aspectflow.plans.tables import (
     REVIEW_TOPIC, SAMPLE_ROWS, TABLES, TOP_WORDS, load, metric_predictions, metric_truth,
 )
 from aspectflow.schemas import ASPECTS, LABEL_NAMES, MAX_MESSAGE_BYTES, MAX_VOCAB
-from aspectflow.session import cut_lineage
+from aspectflow.session import cut_lineage_columnar
 
 R = 9  # decimals kept for doubles in compared outputs
 
@@ -69,16 +69,12 @@ def q_spaces_normal(spark, d):
 
 # --- vocabulary ----------------------------------------------------------------
 
-def _counts(spark, d):
-    return vocab.token_counts(vocab.token_positions(_clean_docs(spark, d)))
-
-
 def q_token_counts(spark, d):
-    return _counts(spark, d).select("token", "cnt")
+    return vocab.token_counts(vocab.token_positions(_clean_docs(spark, d)), with_first=False)
 
 
 def q_top_words(spark, d):
-    return vocab.top_tokens(_counts(spark, d), TOP_WORDS).select("token", "cnt", "rank")
+    return vocab.top_of_texts(_stored_clean_docs(spark, d), TOP_WORDS).select("token", "cnt", "rank")
 
 
 def q_vocab_size(spark, d):
@@ -87,7 +83,7 @@ def q_vocab_size(spark, d):
 
 
 def _vocab(spark, d):
-    return vocab.build_vocab(_clean_docs(spark, d), MAX_VOCAB)
+    return vocab.build_vocab(_stored_clean_docs(spark, d), MAX_VOCAB)
 
 
 def q_vocab_ids(spark, d):
@@ -95,9 +91,9 @@ def q_vocab_ids(spark, d):
 
 
 def _stored_clean_docs(spark, d):
-    """Cleaned texts written once to the shared checkpoint folder, for plans
+    """Cleaned texts written once, as columns, to the shared folder, for plans
     that read them several times (vocabulary, encoding, lengths)."""
-    return cut_lineage(_clean_docs(spark, d))
+    return cut_lineage_columnar(_clean_docs(spark, d), "clean_docs")
 
 
 def _encoded(spark, d, docs=None):
@@ -127,6 +123,17 @@ def q_pad_docs(spark, d):
         F.aggregate("ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("ids_sum"))
 
 
+def q_pad_batches(spark, d):
+    """Padding per batch of 64 documents in id order (as training feeds them):
+    the padded length is the batch's longest sequence."""
+    from aspectflow.operators.ordering import batch_number
+    enc = _encoded(spark, d).select("doc_id", "ids")
+    padded = vocab.pad(batch_number(enc, "doc_id", 64), group="batch")
+    n = F.size("ids")
+    return padded.select("doc_id", "batch", n.alias("n_ids"), F.size("padded").alias("padded_len"),
+                         (F.slice("padded", 1, n) == F.col("ids")).alias("prefix_ok"))
+
+
 # --- labels and metrics --------------------------------------------------------
 
 def q_label_shift(spark, d):
@@ -175,8 +182,7 @@ def q_val_loss(spark, d):
 def _histories(spark, d):
     ev = load(spark, d, "events").select(F.col("user_id").alias("run"), "ts", "event_id",
                                          F.col("value").alias("val_loss"))
-    w = Window.partitionBy("run").orderBy("ts", "event_id")   # same key as early_stop's windows
-    return ev.select("run", F.row_number().over(w).alias("epoch"), "val_loss")
+    return history.numbered_epochs(ev, "run", ["ts", "event_id"]).select("run", "epoch", "val_loss")
 
 
 def q_early_stop(spark, d):
@@ -209,6 +215,11 @@ def _detections(spark, d):
         .alias("box"))
 
 
+def _vehicle_boxes(spark, d):
+    """The detector is asked for vehicle classes only, so other classes are never listed."""
+    return frames.boxes_per_frame(frames.vehicles_only(_detections(spark, d)), "frame_id")
+
+
 def _frame_counts(spark, d):
     fr = load(spark, d, "orders").select(F.col("o_orderkey").alias("frame_id"))
     det = frames.vehicles_only(_detections(spark, d))
@@ -229,7 +240,7 @@ def q_frame_json(spark, d):
 
 
 def q_frame_boxes(spark, d):
-    boxes = frames.boxes_per_frame(_detections(spark, d), "frame_id")
+    boxes = _vehicle_boxes(spark, d)
     text = F.array_join(F.transform("boxes", lambda b: F.format_string(
         "%s@%.4f[%.2f,%.2f,%.2f,%.2f]", b["label"], b["conf"], b["xyxy"][0], b["xyxy"][1],
         b["xyxy"][2], b["xyxy"][3])), ";")
@@ -268,19 +279,16 @@ def q_review_messages(spark, d):
 
 def q_latest_frame(spark, d):
     ev = load(spark, d, "events").select("event_type", "event_id", "ts", "value")
-    latest = dashboard.latest_row(ev, "ts", by="event_type")
+    latest = dashboard.latest_row(ev, "ts", by="event_type", tie="event_id")
     # micros since the epoch on the wall-clock value: independent of the session zone
     micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
     return latest.select("event_type", "event_id", micros.alias("ts_us"), "value")
 
 
 def q_union_cameras(spark, d):
-    from aspectflow.sources.tables import union_sources
-    ev = load(spark, d, "events")
-    types = ["click", "view", "purchase", "signup", "error"]
-    cams = {t: ev.where(F.col("event_type") == t).select(
-        F.col("event_id").alias("frame_id"), "value") for t in types}
-    return union_sources(cams, "source_video")
+    """Every source in the table, as one feed from one scan."""
+    return load(spark, d, "events").select(
+        F.col("event_type").alias("source_video"), F.col("event_id").alias("frame_id"), "value")
 
 
 # --- registry ---------------------------------------------------------------------
@@ -327,8 +335,11 @@ def q_best_model(spark, d):
 # --- sampling, preview, shape ------------------------------------------------------
 
 def q_random_sample(spark, d):
-    return dashboard.random_sample(load(spark, d, "documents").select("doc_id", "n_chars"),
-                                   SAMPLE_ROWS, seed=7)
+    """What must hold of any random sample: its size, no row twice, every row from the table."""
+    docs = load(spark, d, "documents").select("doc_id", "n_chars")
+    sample = cut_lineage_columnar(dashboard.random_sample(docs, SAMPLE_ROWS, seed=7), "sample")
+    found = sample.join(docs, ["doc_id", "n_chars"], "left_semi").agg(F.count("*").alias("n_found"))
+    return sample.agg(F.count("*").alias("n_rows"), F.count_distinct("doc_id").alias("n_distinct")).crossJoin(found)
 
 
 def q_preview(spark, d):
@@ -416,7 +427,7 @@ def _frame_messages(spark, d):
 
 
 def q_frame_messages(spark, d):
-    return _frame_messages(spark, d).select("topic", "value")
+    return _frame_messages(spark, d).select("topic", "value", F.col("n_bytes").cast("long").alias("n_bytes"), "within_limit")
 
 
 def q_frame_roundtrip(spark, d):
@@ -438,16 +449,44 @@ def q_current_best(spark, d):
 
 def q_encode_docs_join(spark, d):
     docs = _stored_clean_docs(spark, d)
-    enc = vocab.encode_by_join(docs, vocab.build_vocab(docs, MAX_VOCAB))
+    enc = vocab.encode(docs, vocab.build_vocab(docs, MAX_VOCAB), engine="join")
     return enc.select("doc_id", _ids_text("ids").alias("ids_text"), F.size("ids").alias("n_ids"))
 
 
 def q_frame_box_counts(spark, d):
-    boxes = frames.boxes_per_frame(_detections(spark, d), "frame_id")
-    counted = frames.count_boxes(boxes)
+    counted = frames.count_boxes(_vehicle_boxes(spark, d))
     return counted.select("frame_id", "car", "motorcycle", "bus", "truck", "total_count")
 
 
+def q_counts_map(spark, d):
+    """The counts as a native map column, in text form."""
+    out = _frame_counts(spark, d)
+    entries = F.transform(F.map_entries("counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return out.select("frame_id", F.array_join(entries, ",").alias("counts_text"))
+
+
+def q_missing_aspect(spark, d):
+    """Aspects that the table lacks are skipped: `toxic` is dropped first, `speed` never was."""
+    truth = metric_truth(load(spark, d, "labels")).drop("toxic")
+    kept = asp.present_aspects(truth, ["quality", "toxic", "speed"])
+    return asp.unpivot_aspects(truth, ["doc_id"], aspects=kept, name="aspect", value="label")
+
+
+def q_model_resolution(spark, d):
+    """The registry's best model whose artefact exists, and the model to load: artefacts are
+    those of all promoted models but the best one."""
+    reg = cut_lineage_columnar(_registry(spark, d), "registry")
+    best = registry.best_model(reg).select("model_name")
+    artefacts = reg.select("model_name").join(best, "model_name", "left_anti")
+    return registry.resolve_model(reg, artefacts, "cnn_default.pth").select("model_name")
+
+
+def q_catalog_sink(spark, d):
+    """Frames counted, appended through the sink into a catalog table, and read by its name."""
+    from aspectflow.plans.streams import catalog_sink
+    return catalog_sink(spark, d, _frame_counts(spark, d))
+
+
 def q_batches(spark, d):
     from aspectflow.operators.ordering import batch_number
     emb = load(spark, d, "embeddings").select("vec_id")
@@ -467,4 +506,9 @@ QUERIES.update({
     "encode_docs_join": q_encode_docs_join,
     "frame_box_counts": q_frame_box_counts,
     "batches": q_batches,
+    "pad_batches": q_pad_batches,
+    "counts_map": q_counts_map,
+    "missing_aspect": q_missing_aspect,
+    "model_resolution": q_model_resolution,
+    "catalog_sink": q_catalog_sink,
 })

@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aspectflow.operators.aspects import predicted_labels
-from aspectflow.operators.frames import count_per_frame, vehicle_label, vehicles_only
+from aspectflow.operators.frames import _with_totals, count_per_frame, vehicle_label, vehicles_only
 from aspectflow.plans.tables import load
-from aspectflow.schemas import ASPECTS, INFERENCE_RESULT
-from aspectflow.session import shared_path
+from aspectflow.schemas import ASPECTS, INFERENCE_RESULT, VEHICLE_NAMES
+from aspectflow.session import cut_lineage_columnar, shared_path
+from aspectflow.sources.io import ensure_table
 from aspectflow.sources.messages import review_messages
 from aspectflow.streaming.frames import run_frames_stream
-from aspectflow.streaming.pipelines import drain, replay_source
+from aspectflow.streaming.pipelines import batch_sink, drain, replay_source, run_stream
 from aspectflow.streaming.reviews import run_reviews_stream
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -59,7 +60,11 @@ def q_stream_frames(spark: SparkSession, d: str) -> DataFrame:
     det = vehicles_only(li.select(F.col("l_orderkey").alias("frame_id"),
                                   F.col("l_linenumber").alias("class_id"))).withColumn(
         "label", vehicle_label("class_id"))
-    counted = count_per_frame(frames, det, "frame_id")          # stream-static join
+    # counted once, before the stream starts: a micro-batch only looks its frames up
+    per_frame = cut_lineage_columnar(count_per_frame(det.select("frame_id").distinct(), det, "frame_id")
+                                     .select("frame_id", *VEHICLE_NAMES), "frame_counts")
+    joined = frames.join(per_frame, "frame_id", "left")          # stream-static join
+    counted = _with_totals(joined.select(*frames.columns, *[F.coalesce(n, F.lit(0)).alias(n) for n in VEHICLE_NAMES]))
     inference = F.struct(F.col("total_count").cast("int").alias("total_count"),
                          F.col("class_counts"), F.lit("[]").alias("boxes_json"),
                          F.lit("").alias("annotated_b64")).cast(INFERENCE_RESULT)
@@ -73,7 +78,52 @@ def q_stream_frames(spark: SparkSession, d: str) -> DataFrame:
         "annotation_json")
 
 
-STREAM_QUERIES = {"stream_reviews": q_stream_reviews, "stream_frames": q_stream_frames}
+def catalog_sink(spark: SparkSession, d: str, counted: DataFrame) -> DataFrame:
+    """Append counted frames batch by batch through the sink, at the location of a catalog
+    table, and read the table by its name."""
+    root = shared_path(spark, "streams", "catalog", unique=True)
+    orders = load(spark, d, "orders").select(F.col("o_orderpriority").alias("source_video"),
+                                             F.col("o_orderkey").alias("frame_id"))
+    rows = counted.join(orders, "frame_id").select("source_video", "frame_id", "total_count")
+    rows.repartition(4).write.parquet(f"{root}/source")
+    name = f"frame_results_{root.rsplit('/', 1)[-1]}"
+    ensure_table(spark, name, "frame_id BIGINT, total_count INT, source_video STRING, stream_id STRING, batch_id BIGINT",
+                 f"{root}/table", ["source_video", "stream_id", "batch_id"])
+    stream = replay_source(spark, f"{root}/source", rows.schema, max_files_per_trigger=2)
+    drain(run_stream(stream, batch_sink(f"{root}/table", ("source_video",), preview_rows=0, table=name),
+                     f"{root}/checkpoint", AVAILABLE_NOW))
+    return spark.table(name).select("source_video", "frame_id", "total_count")
+
+
+def q_stream_two_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Two runs of one stream into one table, the second with a new checkpoint: both runs'
+    rows stay.  The table's six files make three micro-batches a run."""
+    root = shared_path(spark, "streams", "two_runs", unique=True)
+    docs = load(spark, d, "documents").select("doc_id", "text")
+    review_messages(docs, text_col="text", keep=["doc_id"]).repartition(6).write.parquet(f"{root}/source")
+    schema = spark.read.parquet(f"{root}/source").schema
+    scorer = logits_scorer(load(spark, d, "embeddings"))
+    for run in (1, 2):
+        messages = replay_source(spark, f"{root}/source", schema, max_files_per_trigger=2)
+        drain(run_reviews_stream(messages, scorer, f"{root}/table", f"{root}/checkpoint_{run}", AVAILABLE_NOW, keep=["doc_id"]))
+    stored = spark.read.parquet(f"{root}/table")
+    return stored.groupBy("doc_id").agg(
+        F.count("*").alias("n_rows"), F.count_distinct("stream_id").alias("n_streams"),
+        F.count_distinct("ReviewText").alias("n_texts"), F.count_distinct("stream_id", "batch_id", "row_in_batch").alias("n_keys"),
+        F.count("created_at").alias("n_times"))
+
+
+def q_stream_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Micro-batches of a rate-limited replay: six files, two a batch."""
+    root = shared_path(spark, "streams", "batches", unique=True)
+    load(spark, d, "orders").select("o_orderkey").repartition(6).write.parquet(f"{root}/source")
+    stream = replay_source(spark, f"{root}/source", spark.read.parquet(f"{root}/source").schema, max_files_per_trigger=2)
+    drain(run_stream(stream, batch_sink(f"{root}/table", preview_rows=0), f"{root}/checkpoint", AVAILABLE_NOW))
+    return spark.read.parquet(f"{root}/table").agg(F.count("*").alias("n_rows"), F.count_distinct("o_orderkey").alias("n_orders"),
+                                                   F.count_distinct("batch_id").alias("n_batches"))
+
+
+STREAM_QUERIES = {"stream_two_runs": q_stream_two_runs, "stream_batches": q_stream_batches, "stream_reviews": q_stream_reviews, "stream_frames": q_stream_frames}
 
 
 def stream_oracle_sql() -> dict[str, str]:
@@ -81,6 +131,9 @@ def stream_oracle_sql() -> dict[str, str]:
 
     labels = _aspect_labels()
     return {
+        "stream_two_runs": ("SELECT doc_id, 2 * count(*) AS n_rows, 2::BIGINT AS n_streams, count(DISTINCT text) AS n_texts, "
+                            "2 * count(*) AS n_keys, 2 * count(*) AS n_times FROM documents WHERE text IS NOT NULL GROUP BY doc_id"),
+        "stream_batches": "SELECT count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_orders, 3::BIGINT AS n_batches FROM orders",
         "stream_reviews": (
             f"WITH l AS ({labels}) SELECT d.doc_id, d.text AS ReviewText, "
             + ", ".join(f"coalesce(l.{a}, 'NONE') AS {a}" for a in ASPECTS)

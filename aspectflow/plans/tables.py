@@ -20,17 +20,11 @@ REVIEW_TOPIC = "reviews"
 EPOCH_SECONDS_2024 = 1704067200           # registry clock origin: 2024-01-01 00:00:00 UTC
 
 
-# Tables whose rows carry heavy per-row work (long texts): small copies are
-# spread over every core (see ``operators.ordering.spread``).
-TEXT_TABLES = {"documents"}
-
-
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def load(spark: SparkSession, sf_dir: str, name: str, partitions: int | None = None) -> DataFrame:
+    """A driver table.  ``partitions`` spreads it by a shuffle: for heavy work on a
+    file that reads as one task; by default the file's own splits are kept."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in TEXT_TABLES:
-        from aspectflow.operators.ordering import spread
-        df = spread(df)
-    return df
+    return df.repartition(partitions) if partitions else df
 
 
 def metric_predictions(docs: DataFrame, carry=()) -> DataFrame:

@@ -96,19 +96,16 @@ def checkpoint_root(spark: SparkSession) -> str | None:
     return value or None
 
 
-def _warehouse_fallback(spark: SparkSession) -> str:
-    """Used only when the session names no checkpoint folder: a folder under
-    the session's warehouse directory (shared storage on a cluster)."""
-    wh = spark.conf.get("spark.sql.warehouse.dir")
-    root = wh.rstrip("/") + "/_aspectflow_checkpoints"
-    spark.sparkContext.setCheckpointDir(root)
-    spark.conf.set("spark.checkpoint.dir", root)
+def _root(spark: SparkSession) -> str:
+    root = checkpoint_root(spark)
+    if not root:
+        raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
     return root
 
 
 def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A path under the shared checkpoint folder (never a machine-local temp dir)."""
-    root = checkpoint_root(spark) or _warehouse_fallback(spark)
+    root = _root(spark)
     tail = list(parts)
     if unique:
         tail.append(uuid.uuid4().hex)
@@ -117,7 +114,13 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
 
 def cut_lineage(df):
     """Reliable checkpoint into spark.checkpoint.dir (survives executor loss)."""
-    spark = df.sparkSession
-    if not checkpoint_root(spark):
-        _warehouse_fallback(spark)
+    _root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cut_lineage_columnar(df, name: str):
+    """Write as Parquet into the shared folder and read back: durable like a
+    checkpoint, and later reads take only the columns they need."""
+    path = shared_path(df.sparkSession, name, unique=True)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,31 +8,50 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aspectflow.schemas import (
     ASPECTS, PAD_ID, PAD_TOKEN, UNK_ID, UNK_TOKEN, VOCABULARY, labelled_reviews_schema,
 )
 
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there.  Any other trouble (permission, unknown
+    file system, store down) is raised, never taken for absence."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 # --- CSV -------------------------------------------------------------------------
 
 
 def read_labelled_csv(spark: SparkSession, path: str, text_col: str = "Review") -> DataFrame:
     """SRC-3: header CSV (UTF-8, quoted multi-line texts) with an explicit
-    schema, plus ``row_id`` in file order (used for first-seen tie-breaks and
-    batch numbering).  Multi-line CSV files are not split, so the id follows
-    the file's row order."""
+    schema, plus a dense ``row_id`` over all files, by file name and the row's
+    place in it (used for first-seen tie-breaks and batch numbering).  A
+    multi-line CSV file is not split: one file is one task, so large corpora
+    come as many files."""
     df = (spark.read.schema(labelled_reviews_schema(text_col))
           .option("header", True).option("multiLine", True).option("encoding", "UTF-8")
           .option("escape", '"').csv(path))
-    return df.withColumn("row_id", F.monotonically_increasing_id())
+    by_file = df.withColumn("_file", F.input_file_name()).withColumn("_row", F.monotonically_increasing_id())
+    # one multi-line file is read by one task, so _row follows the file; files are few and numbered by name
+    files = (by_file.groupBy("_file").agg(F.count("*").alias("_n"), F.min("_row").alias("_first")))
+    before = F.sum("_n").over(Window.orderBy("_file")) - F.col("_n")
+    offsets = files.select("_file", "_first", before.alias("_before"))
+    return (by_file.join(F.broadcast(offsets), "_file")      # one row per file
+            .withColumn("row_id", F.col("_before") + F.col("_row") - F.col("_first"))
+            .drop("_file", "_row", "_first", "_before"))
 
 
 def read_review_csv(spark: SparkSession, path: str) -> DataFrame:
     """SRC-4: only the first column, as text (nulls stay null and are later
     dropped by the stream; the reference turned them into the word 'nan')."""
-    df = spark.read.option("header", True).option("multiLine", True).csv(path)
+    df = (spark.read.option("header", True).option("multiLine", True).option("encoding", "UTF-8")
+          .option("escape", '"').option("inferSchema", False).csv(path))
     return df.select(F.col(df.columns[0]).cast("string").alias("Review"))
 
 
@@ -46,10 +65,9 @@ def save_vocab(vocab: DataFrame, path: str) -> None:
 
 def read_vocab(spark: SparkSession, path: str) -> DataFrame:
     """SRC-5: the stored vocabulary, or just <PAD>/<UNK> when it is absent."""
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(VOCABULARY).parquet(path)
-    except Exception:  # noqa: BLE001 - absent vocabulary -> fallback, as in the reference
-        return spark.createDataFrame([(PAD_TOKEN, PAD_ID), (UNK_TOKEN, UNK_ID)], VOCABULARY)
+    return spark.createDataFrame([(PAD_TOKEN, PAD_ID), (UNK_TOKEN, UNK_ID)], VOCABULARY)
 
 
 def save_encoded(df: DataFrame, path: str, partition_by=()) -> None:
@@ -75,9 +93,10 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
 
 RESULTS_DDL = ("id BIGINT, frame_id INT, video_second INT, total_count INT, class_counts STRING, "
                "image_path STRING, annotation_json STRING, created_at TIMESTAMP, "
-               "source_video STRING, batch_id BIGINT")
+               "source_video STRING, stream_id STRING, batch_id BIGINT")
 REGISTRY_DDL = "id BIGINT, model_name STRING, macro_f1 DOUBLE, balanced_acc DOUBLE, created_at TIMESTAMP"
-SCORED_DDL = "ReviewText STRING, " + ", ".join(f"{a} STRING" for a in ASPECTS) + ", batch_id BIGINT"
+SCORED_DDL = "ReviewText STRING, " + ", ".join(f"{a} STRING" for a in ASPECTS) + (
+    ", row_in_batch BIGINT, created_at TIMESTAMP, stream_id STRING, batch_id BIGINT")
 
 
 def ensure_table(spark: SparkSession, name: str, ddl: str, location: str,
@@ -94,12 +113,19 @@ def reset_table(spark: SparkSession, name: str) -> None:
     spark.createDataFrame([], df.schema).write.mode("overwrite").insertInto(name, overwrite=True)
 
 
-def purge_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
-    """SNK-10: drop one source's stored rows (one camera after its run)."""
+def purge_partition(spark: SparkSession, path: str, column: str, value: str) -> bool:
+    """SNK-10: drop one source's stored rows (one camera after its run); False
+    if there were none.  The folder name is escaped as Spark's writer does it."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={value}")
-    target.getFileSystem(conf).delete(target, True)
+    name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(column, value)
+    target = jvm.org.apache.hadoop.fs.Path(path.rstrip("/"), name)
+    fs = target.getFileSystem(conf)
+    if not fs.exists(target):
+        return False
+    if not fs.delete(target, True):
+        raise OSError(f"could not delete {target}")
+    return True
 
 
 # --- JDBC (SRC-7, SNK-1 JDBC variant) ---------------------------------------------------
@@ -154,22 +180,27 @@ def read_jdbc(spark: SparkSession, target: JdbcTarget, query: str | None = None)
 
 
 def read_frames(spark: SparkSession, path: str, pattern: str = "*.jpg") -> DataFrame:
-    """SRC-8: image files ``<dir>/<source>/<frame_id>.<ext>`` as frame rows
-    (source from the folder, running frame id from the file name)."""
+    """SRC-8: image files as frame rows.  Two layouts are read: the frame sink's own
+    ``<dir>/<source>_frame_<id>.<ext>`` and ``<dir>/<source>/<id>.<ext>``; a file
+    that fits neither has null source and frame id."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
              .option("recursiveFileLookup", "true").load(path))
-    return files.select(
-        F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("source_video"),
-        F.regexp_extract("path", r"(\d+)\.[^./]+$", 1).cast("long").alias("frame_id"),
-        F.col("content").alias("image"))
+    flat = F.regexp_extract("path", r"/([^/]+)_frame_\d+\.[^./]+$", 1)
+    nested = F.regexp_extract("path", r"/([^/]+)/\d+\.[^./]+$", 1)
+    number = F.regexp_extract("path", r"(?:_frame_|/)(\d+)\.[^./]+$", 1)
+    source = F.when(flat != "", flat).when(nested != "", nested)
+    return files.select(source.alias("source_video"), number.try_cast("long").alias("frame_id"),
+                        F.col("content").alias("image"))
 
 
 def list_models(spark: SparkSession, path: str, pattern: str = "*.pth") -> DataFrame:
-    """SRC-9: model artefacts present under ``path`` (names only; file
-    contents are pruned away, so nothing is read)."""
-    try:
-        files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-                 .select("path"))
-    except Exception:  # noqa: BLE001 - no folder -> no artefacts
-        return spark.createDataFrame([], "model_name string")
-    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("model_name"))
+    """SRC-9: model artefacts under ``path``, files or folders whose name fits
+    ``pattern`` (names only; nothing is read).  No folder, no artefacts."""
+    names: list[tuple[str]] = []
+    if path_exists(spark, path):
+        jvm = spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(path)
+        found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(
+            jvm.org.apache.hadoop.fs.Path(root, pattern))
+        names = sorted((f.getPath().getName(),) for f in found)      # one entry per model version
+    return spark.createDataFrame(names, "model_name string")

@@ -18,8 +18,9 @@ def review_messages(df: DataFrame, text_col: str = "Review", keep=()) -> DataFra
 
 def frame_messages(frames: DataFrame, topic_col: str | None = None,
                    max_bytes: int = MAX_MESSAGE_BYTES) -> DataFrame:
-    """SNK-5: one JSON frame message per sampled frame; messages above the
-    broker limit are left out (the producer could not send them either).
+    """SNK-5: one JSON frame message per frame with its size ``n_bytes`` and
+    ``within_limit``: no row is dropped.  Messages above the broker's limit are
+    for the caller to route (see :func:`split_oversize`).
 
     ``frames`` has ``frame_id, video_second, image`` (binary) and either
     ``source_video`` or, with ``topic_col``, a topic from which it is derived.
@@ -32,7 +33,13 @@ def frame_messages(frames: DataFrame, topic_col: str | None = None,
                     b64_encode(F.col("image")).alias("image_b64"),
                     source.alias("source_video"))
     out = frames.select(*([topic_col] if topic_col else []), F.to_json(body).alias("value"))
-    return out.where(F.octet_length("value") <= max_bytes)
+    return out.withColumn("n_bytes", F.octet_length("value")).withColumn(
+        "within_limit", F.col("n_bytes") <= max_bytes)
+
+
+def split_oversize(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(messages that the broker takes, rejects to be stored elsewhere)."""
+    return messages.where("within_limit"), messages.where("not within_limit")
 
 
 def parse_reviews(messages: DataFrame, value_col: str = "value", keep=()) -> DataFrame:

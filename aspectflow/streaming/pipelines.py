@@ -2,11 +2,14 @@
 
 Both reference streams are stateless map + sink, so a pipeline here is:
 source -> DataFrame transform -> ``foreachBatch`` sink.  The sink writes the
-whole micro-batch in one distributed write, tagged with its batch id and
-partitioned by it, with dynamic partition overwrite: a batch replayed after
-a failure (the checkpoint has not committed it) overwrites its own
-partition, so the table never loses or duplicates rows.  Failures are
-re-raised (never swallowed), so Spark replays the batch.
+whole micro-batch in one distributed write, tagged with the stream's identity
+and the batch id and partitioned by both, with dynamic partition overwrite: a
+batch replayed after a failure (the checkpoint has not committed it) overwrites
+its own partition, so the table never loses or duplicates rows.  The identity
+is the query id that Spark keeps in the checkpoint: a stream restarted with a
+new checkpoint counts its batches from 0 again, but under another identity, so
+it appends to what earlier runs stored.  Failures are re-raised (never
+swallowed), so Spark replays the batch.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from aspectflow.sources.io import path_exists
+
 log = logging.getLogger("aspectflow.streaming")
 
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
@@ -95,14 +100,14 @@ class FailOnce:
     def __call__(self, batch_id: int) -> None:
         if batch_id == self.batch_id and not self.fired:
             self.fired = True
-            raise RuntimeError(f"Simulated crash at batch {batch_id}")
+            raise RuntimeError(f"test failure before the write of batch {batch_id}")
 
 
 def batch_sink(path: str, partition_cols=(), fmt: str = "parquet",
                preview_rows: int = 5, fail_hook: Callable[[int], None] | None = None,
                on_batch: Callable[[int, int, list], None] | None = None,
-               dead_letter_path: str | None = None):
-    """SNK-1/SNK-2/SNK-11 + AGG-7 + STM-10: idempotent foreachBatch writer.
+               dead_letter_path: str | None = None, table: str | None = None):
+    """SNK-1/SNK-2/SNK-11 + AGG-7 + STM-10: idempotent writer for :func:`run_stream`.
 
     The row count comes from an ``Observation`` on the write itself (no extra
     job); the preview is ``limit`` on the persisted batch.  ``partition_cols``
@@ -111,31 +116,35 @@ def batch_sink(path: str, partition_cols=(), fmt: str = "parquet",
 
     SNK-11: a failed write is re-raised, so the checkpoint does not advance
     and Spark replays the batch.  With ``dead_letter_path`` the batch is
-    instead appended there (tagged with batch id and error) and the stream
-    moves on - the data is kept, never silently dropped.
+    instead kept there (tagged with stream, batch id and the whole error, in a
+    partition of its own that a replay overwrites) and the stream moves on -
+    the data is kept, never silently dropped.  ``table`` names the catalog
+    table at ``path``; the new partitions are made known to it.
     """
-    def _write(batch: DataFrame, batch_id: int) -> None:
+    def _write(batch: DataFrame, batch_id: int, stream_id: str) -> None:
         batch = batch.persist()
         try:
             preview = batch.limit(preview_rows).collect() if preview_rows else []
             if fail_hook is not None:
                 fail_hook(batch_id)
             obs = Observation(f"batch_{batch_id}")
-            tagged = batch.withColumn("batch_id", F.lit(batch_id).cast("long")).observe(
-                obs, F.count(F.lit(1)).alias("rows"))
+            tagged = (batch.withColumn("stream_id", F.lit(stream_id))
+                      .withColumn("batch_id", F.lit(batch_id).cast("long")))
+
+            def store(rows_out: DataFrame, where: str, by: tuple) -> None:
+                (rows_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy(*by, "stream_id", "batch_id").format(fmt).save(where))
+
             try:
-                (tagged.write.mode("overwrite")
-                 .option("partitionOverwriteMode", "dynamic")
-                 .partitionBy(*partition_cols, "batch_id")
-                 .format(fmt).save(path))
+                store(tagged.observe(obs, F.count(F.lit(1)).alias("rows")), path, tuple(partition_cols))
                 rows = obs.get["rows"]
+                if table is not None:
+                    add_partitions(tagged, table, [*partition_cols, "stream_id", "batch_id"])
             except Exception as exc:  # noqa: BLE001 - routed or re-raised below
                 if dead_letter_path is None:
                     raise
                 log.error("batch %s: write failed, kept in %s: %s", batch_id, dead_letter_path, exc)
-                (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-                 .withColumn("error", F.lit(str(exc)[:2000]))
-                 .write.mode("append").format(fmt).save(dead_letter_path))
+                store(tagged.withColumn("error", F.lit(str(exc))), dead_letter_path, ())
                 rows = 0
             log.info("batch %s: %s rows written to %s", batch_id, rows, path)
             if on_batch is not None:
@@ -146,12 +155,44 @@ def batch_sink(path: str, partition_cols=(), fmt: str = "parquet",
     return _write
 
 
-def run_stream(df: DataFrame, sink, checkpoint: str, trigger: dict | None = None,
-               name: str | None = None) -> StreamingQuery:
-    """STM-1/2/3/6: start ``df`` with a foreachBatch sink, append mode and a
-    mandatory checkpoint.  ``trigger={"availableNow": True}`` drains the
-    source and stops (tests, scheduled runs)."""
-    writer = (df.writeStream.foreachBatch(sink).outputMode("append")
+def stream_identity(spark: SparkSession, checkpoint: str) -> str:
+    """The query id that Spark wrote into the checkpoint when it was first used."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).first()[0])["id"]
+
+
+def add_partitions(rows: DataFrame, table: str, columns: list[str]) -> None:
+    """SNK-6: make the partitions that ``rows`` were written to known to the catalog
+    table (one per source and batch; nothing else is listed)."""
+    spark = rows.sparkSession
+    for values in rows.select(*columns).distinct().collect():
+        spec = ", ".join("`%s`=%s" % (c, "NULL" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'")
+                         for c, v in zip(columns, values))
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec})")
+    spark.catalog.refreshTable(table)
+
+
+def compact(spark: SparkSession, path: str, into: str, partition_cols=(), fmt: str = "parquet") -> None:
+    """Rewrite a sink's many small batch folders as one table with ``partition_cols``
+    only (stream and batch ids become columns), for readers; run it between batches."""
+    rows = spark.read.format(fmt).load(path)
+    spread = rows.repartition(*[F.col(c) for c in partition_cols]) if partition_cols else rows
+    spread.write.mode("overwrite").partitionBy(*partition_cols).format(fmt).save(into)
+
+
+def run_stream(df: DataFrame, sink: Callable[[DataFrame, int, str], None], checkpoint: str,
+               trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+    """STM-1/2/3/6: start ``df`` with a sink called per micro-batch with the
+    batch, its id and the stream's identity; append mode and a mandatory
+    checkpoint.  ``trigger={"availableNow": True}`` drains the source and
+    stops (tests, scheduled runs)."""
+    known: list[str] = []
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        if not known:
+            known.append(stream_identity(batch.sparkSession, checkpoint))
+        sink(batch, batch_id, known[0])
+
+    writer = (df.writeStream.foreachBatch(each).outputMode("append")
               .option("checkpointLocation", checkpoint)
               .trigger(**(trigger or DEFAULT_TRIGGER)))
     if name:
@@ -168,14 +209,18 @@ def drain(query: StreamingQuery, timeout: float | None = None) -> None:
 
 
 class ProgressCollector:
-    """STM-8: a ``StreamingQueryListener`` keeping the last ``keep`` progress
-    events of every query (bounded), readable as a DataFrame."""
+    """STM-8: a ``StreamingQueryListener`` that records every progress event.
 
-    def __init__(self, spark: SparkSession, keep: int = 1000):
+    With ``path`` the events are appended to a table there, ``flush_every`` at
+    a time and at :meth:`close`; without it they stay in the driver's memory."""
+
+    SCHEMA = "query_id string, batch_id long, input_rows long, input_rate double, process_rate double"
+
+    def __init__(self, spark: SparkSession, path: str | None = None, flush_every: int = 1000):
         from pyspark.sql.streaming import StreamingQueryListener
 
         collector = self
-        self.spark, self.keep, self.events, self.terminated = spark, keep, [], []
+        self.spark, self.path, self.flush_every, self.events, self.terminated = spark, path, flush_every, [], []
 
         class _Listener(StreamingQueryListener):
             def onQueryStarted(self, event):  # noqa: N802 - Spark callback names
@@ -185,7 +230,8 @@ class ProgressCollector:
                 p = event.progress
                 collector.events.append((str(p.id), p.batchId, p.numInputRows,
                                          p.inputRowsPerSecond, p.processedRowsPerSecond))
-                del collector.events[:-collector.keep]
+                if collector.path and len(collector.events) >= collector.flush_every:
+                    collector.flush()
 
             def onQueryIdle(self, event):  # noqa: N802
                 pass
@@ -196,12 +242,21 @@ class ProgressCollector:
         self.listener = _Listener()
         spark.streams.addListener(self.listener)
 
+    def flush(self) -> None:
+        """Append what has been collected to the table."""
+        if self.path and self.events:
+            n = len(self.events)
+            self.spark.createDataFrame(self.events[:n], self.SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+            del self.events[:n]
+
     def frame(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            list(self.events), "query_id string, batch_id long, input_rows long, "
-                               "input_rate double, process_rate double")
+        self.flush()
+        if self.path and not self.events:
+            return self.spark.read.schema(self.SCHEMA).parquet(self.path)
+        return self.spark.createDataFrame(list(self.events), self.SCHEMA)
 
     def close(self) -> None:
+        self.flush()
         self.spark.streams.removeListener(self.listener)
 
 
@@ -227,10 +282,9 @@ def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
 def checkpoint_status(spark: SparkSession, checkpoint: str) -> DataFrame:
     """STM-8: is the job's checkpoint there, how many files and bytes
     (file listing only; contents are not read)."""
-    try:
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                 .load(checkpoint).select("path", "length"))
-        return files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0))
-                         .alias("bytes")).withColumn("exists", F.col("files") > 0)
-    except Exception:  # noqa: BLE001 - a missing folder means "not running"
+    if not path_exists(spark, checkpoint):      # a missing folder means "not running"
         return spark.createDataFrame([(0, 0, False)], "files long, bytes long, exists boolean")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .load(checkpoint).select("path", "length"))
+    return files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0))
+                     .alias("bytes")).withColumn("exists", F.col("files") > 0)

@@ -24,8 +24,21 @@ def score_reviews(messages: DataFrame, scorer: Scorer, keep=()) -> DataFrame:
 
 
 def run_reviews_stream(messages: DataFrame, scorer: Scorer, sink_path: str, checkpoint: str,
-                       trigger: dict | None = None, fail_hook=None, keep=(), on_batch=None):
-    """The review pipeline end to end (STM-2)."""
-    out = score_reviews(messages, scorer, keep)
-    sink = batch_sink(sink_path, fail_hook=fail_hook, on_batch=on_batch)
-    return run_stream(out, sink, checkpoint, trigger, name=None)
+                       trigger: dict | None = None, fail_hook=None, keep=(), on_batch=None,
+                       table: str | None = None):
+    """The review pipeline end to end (STM-2).  Stored rows carry their key
+    (``stream_id``, ``batch_id``, ``row_in_batch``) and the time they were
+    taken in (DATE-1), by which recent rows are found."""
+    store = batch_sink(sink_path, fail_hook=fail_hook, on_batch=on_batch, table=table)
+
+    def sink(batch: DataFrame, batch_id: int, stream_id: str) -> None:
+        keyed = batch.withColumn("row_in_batch", F.monotonically_increasing_id())
+        store(keyed.withColumn("created_at", F.current_timestamp()), batch_id, stream_id)
+
+    return run_stream(score_reviews(messages, scorer, keep), sink, checkpoint, trigger, name=None)
+
+
+def recent_reviews(table: DataFrame, n: int) -> DataFrame:
+    """The ``n`` rows taken in last, newest first; ties by the rows' key."""
+    return table.orderBy(F.col("created_at").desc(), "stream_id", F.col("batch_id").desc(),
+                         F.col("row_in_batch").desc()).limit(n)
