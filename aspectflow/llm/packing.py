@@ -129,7 +129,8 @@ def sequences(docs: DataFrame, placed: DataFrame, vocabulary: str | None = None,
     nth = Window.partitionBy(*keys).orderBy(F.lit(0))      # repeated rows pair up one to one
     left = placed.withColumn("_n", F.row_number().over(nth.orderBy("sequence_id", "offset")))
     right = pieces(docs, vocabulary, capacity, end_id).select(*keys, "ids", F.row_number().over(nth.orderBy("copy")).alias("_n"))
-    joined = left.join(right, [*keys, "_n"])
+    same = [left[k].eqNullSafe(right[k]) for k in keys] + [left["_n"] == right["_n"]]
+    joined = left.join(right, same).select(left["sequence_id"], left["offset"], left["doc_id"], right["ids"])
 
     def line(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("offset")

@@ -23,7 +23,7 @@ from aspectflow.llm.stored import stored
 ORDER = 5
 HIGH = 0.99                 # quantile of the trusted documents' log-perplexity
 FOLDS = 5                   # one fold of the trusted texts is kept from training, for the limit
-FEWEST = 20                 # a language with fewer texts in that fold takes the limit of all languages together
+FEWEST = 10                 # a language with fewer texts in that fold takes the limit of all languages together
 WIDEN = 4.0                 # a limit lies this many times as far above the median as the quantile
 TABLE_BYTES = 64 << 20      # a log-probability table up to this size goes to every task, a larger one to chunks of documents
 CHUNK_BYTES = 4 << 20

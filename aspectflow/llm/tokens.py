@@ -6,16 +6,18 @@ order.  Chunks repeat, so each worker keeps a bounded cache; plain words go stra
 
 from __future__ import annotations
 
+import gc
 import re
 from itertools import chain
 
 import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 250_000       # in either of two generations
 
 _WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*#%&$()|\"-]*)\Z")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")     # str.split() takes these for white space, the vocabulary's rules don't
+_RUN = re.compile(r"[^A-Za-z0-9À-ÖØ-öø-ÿ \n][.,]")     # a point or comma that may go on a run of marks, which is one piece
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -26,7 +28,11 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 
 class ChunkEncoder(dict):
-    """Maps a chunk (no white space inside) to its tuple of ids; emptied when full, so memory stays bounded."""
+    """Maps a chunk (no white space inside) to its tuple of ids.
+
+    Two generations bound the memory and keep what is in use: when the current one is full it becomes the older
+    one, from which chunks are taken back when they are met again.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -37,20 +43,31 @@ class ChunkEncoder(dict):
         self.model = self.tokenizer.model
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         letters = [chr(c) for c in range(0xDF, 0x100) if c != 0xF7]
+        self.older: dict[str, tuple[int, ...]] = {}
         self.bytes_of = {ord(c): level.pre_tokenize_str(c)[0][0] for c in letters}
 
     def slowly(self, text: str) -> tuple[int, ...]:
         return tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def __missing__(self, chunk: str) -> tuple[int, ...]:
+    def of_marked(self, chunk: str) -> tuple[int, ...]:
+        """A chunk with capitals, accents or marks: a plain word is lower-cased and marks after it are split off."""
         word = _WORD.match(chunk)
         if word is None:
-            ids = self.slowly(chunk)
-        elif word[2]:
-            ids = self[word[1]] + (self[word[2]] if word[2] != chunk else ())
-        else:
-            ids = tuple(t.id for t in self.model.tokenize(chunk.lower().translate(self.bytes_of)))
+            return self.slowly(chunk)
+        if word[2]:
+            return self[word[1]] + self[word[2]]
+        lower = chunk.lower()
+        return self[lower] if lower != chunk else tuple([t.id for t in self.model.tokenize(chunk.translate(self.bytes_of))])
+
+    def __missing__(self, chunk: str) -> tuple[int, ...]:
+        ids = self.older.get(chunk)
+        if ids is None:
+            if chunk.isascii() and chunk.isalpha() and chunk.islower():
+                ids = tuple([t.id for t in self.model.tokenize(chunk)])
+            else:
+                ids = self.of_marked(chunk)
         if len(self) >= CACHE_ENTRIES:
+            self.older = dict(self)
             self.clear()
         self[chunk] = ids
         return ids
@@ -59,6 +76,10 @@ class ChunkEncoder(dict):
         """All ids of the whole text; a null text has none."""
         if not text:
             return np.empty(0, np.uint32)
+        if text.isascii() and "<|" not in text:     # strings of special tokens count in lower case only
+            text = text.lower()
+        if _RUN.search(text) is None:        # then points and commas are pieces of their own, and words repeat more
+            text = text.replace(".", " .").replace(",", " ,")
         chunks = text.split() if _ODD_SPACE.search(text) is None else re.split(r"[ \t\n\r]+", text)
         return np.fromiter(chain.from_iterable(map(self.__getitem__, filter(None, chunks))), dtype=np.uint32)
 
@@ -69,5 +90,6 @@ _ENCODERS: dict[str, ChunkEncoder] = {}
 def encoder(path: str) -> ChunkEncoder:
     """The worker's encoder for a vocabulary file, loaded once."""
     if path not in _ENCODERS:
+        gc.set_threshold(200_000, 50, 1000)      # caches of tuples are no garbage; don't walk them all the time
         _ENCODERS[path] = ChunkEncoder(path)
     return _ENCODERS[path]
