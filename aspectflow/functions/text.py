@@ -1,7 +1,9 @@
 """Text normalisation as native column expressions (STR-1..5).
 
-All of these stay inside whole-stage codegen: ``lower``, ``regexp_replace``,
-``translate``, ``split`` and higher-order ``filter``.  No Python runs per row.
+Built from ``lower``, ``regexp_replace``, ``translate``, ``split`` and
+higher-order ``filter``.  Tone removal hands texts with characters that depend
+on their neighbours to an Arrow UDF; the table-level cleaners of
+``operators.vocab`` run their whitelist pass in Arrow batches.
 """
 
 from __future__ import annotations
@@ -9,8 +11,10 @@ from __future__ import annotations
 import unicodedata
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for identical results.
@@ -168,10 +172,53 @@ def tone_table() -> tuple[str, str]:
     return "".join(src), "".join(dst)
 
 
+def _stripped(text: str) -> str:
+    nfd = unicodedata.normalize("NFD", text)
+    return unicodedata.normalize("NFC", "".join(x for x in nfd if not COMBINING_LOW <= ord(x) <= COMBINING_HIGH))
+
+
+@lru_cache(maxsize=1)
+def _not_by_character() -> str:
+    """Regex class of characters for which the character table is not the whole rule: marks outside the dropped
+    range (they reorder), characters that compose with the one before, and letters with other results than one
+    character of the Basic Multilingual Plane."""
+    known = set(tone_table()[0])
+    hard = {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}           # vowels and finals of Hangul syllables
+    for cp in range(0x80, 0x110000):
+        ch = chr(cp)
+        if 0xD800 <= cp <= 0xDFFF or COMBINING_LOW <= cp <= COMBINING_HIGH:
+            continue
+        parts = unicodedata.decomposition(ch)
+        if parts and not parts.startswith("<"):
+            cps = [int(x, 16) for x in parts.split()]
+            hard.update(x for x in cps[1:] if not COMBINING_LOW <= x <= COMBINING_HIGH)
+        if unicodedata.combining(ch) or (ch not in known and _stripped(ch) != ch):
+            hard.add(cp)
+    ranges, cps = [], sorted(hard)
+    for cp in cps:
+        if ranges and ranges[-1][1] == cp - 1:
+            ranges[-1][1] = cp
+        else:
+            ranges.append([cp, cp])
+    return "[" + "".join(f"\\x{{{lo:X}}}-\\x{{{hi:X}}}" for lo, hi in ranges) + "]"
+
+
+@F.pandas_udf(StringType())
+def _stripped_texts(texts: pd.Series) -> pd.Series:
+    return texts.map(_stripped, na_action="ignore")
+
+
 def remove_tone(col) -> Column:
-    """STR-3: NFD, drop U+0300..U+036F, NFC - as translate + regex (đ stays)."""
+    """STR-3: NFD, drop U+0300..U+036F, NFC (đ stays).
+
+    A character table and one regex, native, for texts whose characters are all independent of their neighbours
+    under that rule; texts with others (Hangul in parts, Indic signs, ...) take the rule itself, in Arrow batches.
+    """
+    text = _c(col)
+    hard = text.rlike(_not_by_character())
     src, dst = tone_table()
-    return F.regexp_replace(F.translate(_c(col), src, dst), r"[\u0300-\u036f]", "")
+    native = F.regexp_replace(F.translate(text, src, dst), r"[\u0300-\u036f]", "")
+    return F.when(hard, _stripped_texts(F.when(hard, text))).otherwise(native)
 
 
 def normalise_spaces(col) -> Column:

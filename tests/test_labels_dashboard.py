@@ -80,10 +80,3 @@ def test_latest_row_per_group(spark):
     got = {r.src: r.frame for r in D.latest_row(df, "t", by="src").collect()}
     assert got == {"v1": 2, "v2": 3}
     assert D.latest_row(df, "t").first().frame == 2
-
-
-def test_random_sample_bernoulli_exact_size(spark):
-    df = spark.range(100000).withColumnRenamed("id", "k")
-    got = D.random_sample(df, 300, seed=3, method="bernoulli").collect()
-    assert len(got) == 300 and len({r.k for r in got}) == 300
-    assert D.random_sample(df.limit(50), 300, seed=3, method="bernoulli").count() == 50

@@ -118,23 +118,6 @@ def test_early_stop_random(spark):
         assert (got[run].stop_epoch, got[run].best_epoch, got[run].best_loss) == (stop, best_epoch, best)
 
 
-def test_spread_only_small_inputs(spark):
-    from aspectflow.operators.ordering import spread
-    df = spark.range(1000).coalesce(1)
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(df).rdd.getNumPartitions() == cores
-    assert spread(df, bytes_per_core=0).rdd.getNumPartitions() == 1   # "large": untouched
-    assert sorted(r.id for r in spread(df).collect()) == list(range(1000))
-
-
-def test_right_size_never_increases(spark):
-    from aspectflow.operators.ordering import right_size
-    df = spark.range(1000).repartition(6)
-    assert right_size(df).rdd.getNumPartitions() == 1                   # tiny: one partition
-    assert right_size(df, bytes_per_partition=1).rdd.getNumPartitions() == 6   # never more
-    assert right_size(df).count() == 1000
-
-
 def test_early_stop_scan_matches_loop_across_partitions(spark):
     rnd = random.Random(5)
     runs = {f"r{i}": [rnd.choice([0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) for _ in range(rnd.randrange(1, 60))]

@@ -30,7 +30,8 @@ def test_encode_is_shuffle_free(spark):
 
 def test_token_counts_combine_map_side(spark):
     plan = _plan(spark, "token_counts")
-    assert plan.count("partial_") >= 2 and "SortAggregate" not in plan
+    assert "partial_count" in plan and "SortAggregate" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1          # one shuffle, of sums per task
 
 
 def test_row_index_has_no_single_partition_window_over_data(spark):
@@ -39,3 +40,12 @@ def test_row_index_has_no_single_partition_window_over_data(spark):
     # partition) and the final one-row average, never the input rows
     assert "rangepartitioning" not in plan or "Scan ExistingRDD" in plan
     assert "Scan ExistingRDD" in plan                    # reads the checkpointed rows
+
+
+def test_latest_frame_has_no_sort_aggregate(spark):
+    assert "SortAggregate" not in _plan(spark, "latest_frame")
+
+
+def test_narrow_document_queries_do_not_repartition(spark):
+    for name in ("preview", "recent_rows", "confusion", "union_cameras"):
+        assert "RoundRobinPartitioning" not in _plan(spark, name), name
