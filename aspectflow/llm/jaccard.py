@@ -31,11 +31,11 @@ from aspectflow.llm.stored import connected_components, stored
 WIDTH = 5
 PERCENT = 75
 FREQUENT = 64            # a token of more classes than this is indexed in combinations of two
-CHUNK_TOKENS = 1 << 21
+CHUNK_TOKENS = 1 << 20
 CHUNK_DOCS = 1 << 16     # documents in a chunk are numbered in two bytes
 NODE_BYTES = 6           # of a class's digest, enough to tell the classes that share a token apart
 MEMBER_BYTES = 64 << 20  # candidate ids are broadcast up to this size, beyond it the texts are shuffled to them
-BLOCK_TOKENS = 1 << 21
+BLOCK_TOKENS = 1 << 20
 
 _U = np.uint64
 PACKED = "range int, chunk binary, local binary, low binary, node binary, doc binary"
