@@ -202,5 +202,9 @@ def judged(docs: DataFrame, labels: DataFrame, high: float = HIGH, widen: float
     counts = stored(gram_counts(marked), "gram_counts")
     scores = stored(scored(marked, log_probabilities(counts), table_bytes), "perplexities")
     within = F.col("highest").isNull() | (F.col("log_perplexity") <= F.col("highest"))
-    return (scores.join(limits(scores, high, widen), F.col("lang").eqNullSafe(F.col("_lang")), "left")
+    # one row per language: sent to the scores while small, so that no task gets all rows of a common language
+    per_language = stored(limits(scores, high, widen), "limits")
+    if per_language.count() * 64 <= table_bytes:
+        per_language = F.broadcast(per_language)
+    return (scores.join(per_language, F.col("lang").eqNullSafe(F.col("_lang")), "left")
             .withColumn("kept", F.col("log_perplexity").isNotNull() & within).drop("_lang"))
