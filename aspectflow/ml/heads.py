@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -181,6 +182,32 @@ def evaluate(model: AspectModel, val: DataFrame, key: str, text_col: str = "Revi
     return metrics.classification_metrics(pairs)
 
 
+def validation_loss(model: AspectModel, val: DataFrame, text_col: str = "ReviewText", cleaned: bool = False) -> float:
+    """Mean cross-entropy of the heads over the validation rows and aspects (AGG-12's measure)."""
+    scored = model.pipeline.transform(with_tokens(val, text_col, cleaned))
+    rows = [-F.log(F.greatest(F.get(vector_to_array(f"{a}_prob"), F.col(a).cast("int")), F.lit(1e-15))) for a in model.aspects]
+    return float(scored.agg(F.avg(sum(rows[1:], rows[0]) / len(rows))).first()[0])
+
+
+def train_with_validation(train: DataFrame, val: DataFrame, vocab: DataFrame, aspects=ASPECTS, reg_params=(1.0, 0.1, 0.01, 0.001),
+                          patience: int = 2, **options) -> tuple[AspectModel, DataFrame]:
+    """ML-3: candidates of falling regularisation, one after the other, each judged by its loss on the validation
+    rows, until ``patience`` in a row are no better; the best one is kept.  Returns it and the history (run, epoch,
+    val_loss), which :func:`aspectflow.operators.history.early_stop` reads to the same end."""
+    best, least, streak, rows = None, float("inf"), 0, []
+    for i, reg in enumerate(reg_params, 1):
+        model = train_heads(train, vocab, aspects, reg_param=reg, **options)
+        loss = validation_loss(model, val, options.get("text_col", "ReviewText"), options.get("cleaned", False))
+        rows.append(("heads", i, loss))
+        if loss < least:
+            best, least, streak = model, loss, 0
+        else:
+            streak += 1
+        if streak >= patience:
+            break
+    return best, train.sparkSession.createDataFrame(rows, "run string, epoch int, val_loss double")
+
+
 def training_history(model: AspectModel) -> DataFrame:
     """Objective per L-BFGS iteration and head, in the (run, epoch, loss)
     shape the early-stop operator reads (bounded by maxIter per head)."""

@@ -13,10 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aspectflow.ml import heads as H
+from aspectflow.operators import history
 from aspectflow.operators import vocab as V
 from aspectflow.plans.tables import METRIC_ASPECTS, load
 from aspectflow.schemas import LABEL_NAMES, MAX_VOCAB, NUM_CLASSES
-from aspectflow.session import cut_lineage_columnar
+from aspectflow.session import cut_lineage_columnar, shared_path
+from aspectflow.sources.messages import review_messages
+from aspectflow.streaming.pipelines import drain, replay_source
+from aspectflow.streaming.reviews import run_reviews_stream
 
 FOLDS = 5
 
@@ -34,9 +38,9 @@ def _labelled(spark: SparkSession, d: str) -> DataFrame:
     return cut_lineage_columnar(clean.withColumn("held_out", _holdout()), "labelled")
 
 
-def _fitted(labelled: DataFrame) -> H.AspectModel:
+def _fitted(labelled: DataFrame, aspects=METRIC_ASPECTS) -> H.AspectModel:
     train = labelled.where("not held_out")
-    return H.train_heads(train, V.build_vocab(train, MAX_VOCAB), METRIC_ASPECTS, text_col="clean_text", cleaned=True,
+    return H.train_heads(train, V.build_vocab(train, MAX_VOCAB), aspects, text_col="clean_text", cleaned=True,
                          max_iter=20, partitions=8)
 
 
@@ -64,6 +68,37 @@ def q_evaluate_model(spark: SparkSession, d: str) -> DataFrame:
     return m.select(*ok).crossJoin(held.agg(F.count("*").alias("n_held_out")))
 
 
+def q_select_by_validation(spark: SparkSession, d: str) -> DataFrame:
+    """ML-3: candidates judged on the hold-out; the early-stop operator and the loop keep the same one."""
+    labelled = _labelled(spark, d)
+    train = labelled.where("not held_out")
+    _, losses = H.train_with_validation(train, labelled.where("held_out"), V.build_vocab(train, MAX_VOCAB), METRIC_ASPECTS,
+                                        reg_params=(1.0, 0.1, 0.01), patience=3, text_col="clean_text", cleaned=True,
+                                        max_iter=10, partitions=8)
+    kept = history.early_stop(losses, 3)
+    least = losses.agg(F.min("val_loss").alias("least"), F.count("*").alias("n_candidates"))
+    return kept.crossJoin(least).select("n_candidates", (F.col("best_loss") == F.col("least")).alias("best_is_least"),
+                                        F.col("least").between(0.0, 10.0).alias("loss_ok"))
+
+
+def q_stream_scored(spark: SparkSession, d: str) -> DataFrame:
+    """ML-2 in the review stream: every review of three micro-batches scored by the trained heads, as in one batch."""
+    heads = {"quality": "Quality", "toxic": "Others"}          # two of the stored aspects; the rest are NONE
+    model = _fitted(_labelled(spark, d).withColumnsRenamed(heads), list(heads.values()))
+    root = shared_path(spark, "streams", "scored", unique=True)
+    docs = load(spark, d, "documents").select("doc_id", "text")
+    review_messages(docs, text_col="text", keep=["doc_id"]).repartition(6).write.parquet(f"{root}/source")
+    messages = replay_source(spark, f"{root}/source", spark.read.parquet(f"{root}/source").schema, max_files_per_trigger=2)
+    drain(run_reviews_stream(messages, H.stream_scorer(model), f"{root}/table", f"{root}/checkpoint", {"availableNow": True},
+                             keep=["doc_id"]))
+    stored = spark.read.parquet(f"{root}/table")
+    batch = H.score(docs.withColumnRenamed("text", "ReviewText"), model, keep=["doc_id"])
+    same = stored.join(batch.select("doc_id", *[F.col(a).alias(f"_{a}") for a in model.aspects]), "doc_id")
+    wrong = sum([(F.col(a) != F.col(f"_{a}")).cast("int") for a in model.aspects], F.lit(0))
+    return same.agg(F.count("*").alias("n_rows"), F.count_if(wrong > 0).alias("n_differ"),
+                    F.count_distinct("batch_id").alias("n_batches"))
+
+
 def weight(word_id, head: int, label: int):
     """Integer weight of a vocabulary id for one head and class, -5 to 5."""
     return (word_id * (7 * head + 3 * label + 1)) % 11 - 5
@@ -96,7 +131,8 @@ def q_score_native(spark: SparkSession, d: str) -> DataFrame:
 
 
 ML_QUERIES = {"train_score": q_train_score, "score_udf": q_score_udf, "score_native": q_score_native,
-              "evaluate_model": q_evaluate_model}
+              "evaluate_model": q_evaluate_model, "select_by_validation": q_select_by_validation,
+              "stream_scored": q_stream_scored}
 
 
 def ml_oracle_sql(vocab_cte: str) -> dict[str, str]:
@@ -114,6 +150,8 @@ def ml_oracle_sql(vocab_cte: str) -> dict[str, str]:
     labelled = ("SELECT d.doc_id, ('0x' || substr(md5(d.doc_id::VARCHAR), 1, 8))::BIGINT % "
                 f"{FOLDS} = 0 AS held_out FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
     return {
+        "select_by_validation": "SELECT 3::BIGINT AS n_candidates, true AS best_is_least, true AS loss_ok FROM labels LIMIT 1",
+        "stream_scored": "SELECT count(*) AS n_rows, 0::BIGINT AS n_differ, 3::BIGINT AS n_batches FROM documents WHERE text IS NOT NULL",
         "score_udf": heads, "score_native": heads,
         "train_score": (f"WITH x AS ({labelled}) SELECT (SELECT count(*) FROM documents) AS n_scored, 0::BIGINT AS n_differ, "
                         "count(*) FILTER (WHERE NOT held_out) AS n_train, count(*) FILTER (WHERE held_out) AS n_held_out FROM x"),
