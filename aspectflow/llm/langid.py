@@ -165,14 +165,14 @@ def identified(docs: DataFrame, model: Model | None) -> DataFrame:
     A text that is null or has no letter is ``und`` with score 0 and ambiguous, and so is every text without a model.
     Input columns of the added names are replaced; rows are neither moved nor merged.
     """
-    docs = docs.drop(*ADDED).withColumn("_letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    schema = StructType([f for f in docs.schema if f.name != "_letter"]
+    docs = docs.drop(*ADDED).withColumn("__letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    schema = StructType([f for f in docs.schema if f.name != "__letter"]
                         + [StructField("lang_pred", StringType()), StructField("score", DoubleType()),
                            StructField("ambiguous", BooleanType())])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches):
-            letter = np.asarray(batch["_letter"].to_pylist(), dtype=bool)
+            letter = np.asarray(batch["__letter"].to_pylist(), dtype=bool)
             if model is None:
                 letter[:] = False
                 best, share = np.zeros(len(letter), int), np.zeros(len(letter))
@@ -180,7 +180,7 @@ def identified(docs: DataFrame, model: Model | None) -> DataFrame:
                 best, share = model.decode(model.margins(batch["text"]))
             share = np.where(letter, share, 0.0)
             names = [model.languages[b] if has else UNDETERMINED for b, has in zip(best.tolist(), letter)]
-            kept = batch.drop_columns(["_letter"])
+            kept = batch.drop_columns(["__letter"])
             yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(names, pa.string()), pa.array(share),
                                               pa.array(share < AMBIGUOUS)], names=[*kept.schema.names, *ADDED])
 

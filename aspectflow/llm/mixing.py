@@ -72,16 +72,16 @@ def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, tempe
     """
     docs = docs.drop("copies", "copy_no", "rate", "mix_key")
     rates = source_rates(docs, weights, temperature, epochs).select(
-        F.col("source").alias("_source"), "rate", poisson_thresholds(F.col("rate")).alias("_cdf"))
+        F.col("source").alias("__mix_source"), "rate", poisson_thresholds(F.col("rate")).alias("__mix_cdf"))
     draw = uniform(seed, "doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
     sources = F.broadcast(rates)     # size: one row per source, checked below
     if rates.count() > MAX_SOURCES:
         sources = rates
-    out = (docs.join(sources, F.col("source").eqNullSafe(F.col("_source")))
-           .withColumn("copies", F.size(F.filter("_cdf", lambda c: c <= draw)).cast("int"))
+    out = (docs.join(sources, F.col("source").eqNullSafe(F.col("__mix_source")))
+           .withColumn("copies", F.size(F.filter("__mix_cdf", lambda c: c <= draw)).cast("int"))
            .withColumn("copy_no", F.explode(F.when(F.col("copies") > 0, F.sequence(F.lit(0), F.col("copies") - 1))
                                             .otherwise(F.array().cast("array<int>"))))
-           .drop("_source", "_cdf"))
+           .drop("__mix_source", "__mix_cdf"))
     key = F.conv(F.substring(F.md5(F.concat_ws("/", F.lit(f"mix{seed}"), F.coalesce(F.col("doc_id").cast("string"), F.lit("~")),
                                                F.col("copy_no").cast("string")).cast("binary")), 1, 13), 16, 10).cast("long")
     return out.withColumn("mix_key", key).repartition("mix_key").sortWithinPartitions("mix_key", "doc_id", "copy_no")

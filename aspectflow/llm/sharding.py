@@ -56,16 +56,16 @@ def sharded(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, rows_per_lo
     total = rows.count()
     # the number of lots follows the data; the matrix (lots x shards) is what the driver draws
     lots = max(1, min(MAX_LOTS, -(-total // rows_per_lot)))
-    keyed = rows.withColumn("_h", hash62(seed, *every)).withColumn("_from", F.pmod("_h", F.lit(lots)).cast("int"))
-    counts = dict(keyed.groupBy("_from").count().collect())
+    keyed = rows.withColumn("__shuffle_h", hash62(seed, *every)).withColumn("__shuffle_from", F.pmod("__shuffle_h", F.lit(lots)).cast("int"))
+    counts = dict(keyed.groupBy("__shuffle_from").count().collect())
     sent = communication_matrix([counts.get(i, 0) for i in range(lots)], shards, seed)
     upto = spark.createDataFrame([(i, [int(x) for x in np.cumsum(line)]) for i, line in enumerate(sent)],
-                                 "_from int, _upto array<long>")
+                                 "__shuffle_from int, __shuffle_upto array<long>")
     # first permutation: a random order within the lot decides the shard
-    order = Window.partitionBy("_from").orderBy(hash62(seed + 1, "_h"), "_h")
-    ranked = keyed.withColumn("_rank", F.row_number().over(order)).join(F.broadcast(upto), "_from")
-    dealt = ranked.withColumn("shard", F.size(F.filter("_upto", lambda u: u < F.col("_rank"))).cast("int"))
+    order = Window.partitionBy("__shuffle_from").orderBy(hash62(seed + 1, "__shuffle_h"), "__shuffle_h")
+    ranked = keyed.withColumn("__shuffle_rank", F.row_number().over(order)).join(F.broadcast(upto), "__shuffle_from")
+    dealt = ranked.withColumn("shard", F.size(F.filter("__shuffle_upto", lambda u: u < F.col("__shuffle_rank"))).cast("int"))
     # exchange, second permutation
-    dealt = dealt.withColumn("_h2", hash62(seed + 2, "_h"))
-    out = numbered(dealt.drop("_rank", "_upto", "_from"), [F.col("_h2"), F.col("_h")], "slot", ["shard"])
-    return out.drop("_h", "_h2")
+    dealt = dealt.withColumn("__shuffle_h2", hash62(seed + 2, "__shuffle_h"))
+    out = numbered(dealt.drop("__shuffle_rank", "__shuffle_upto", "__shuffle_from"), [F.col("__shuffle_h2"), F.col("__shuffle_h")], "slot", ["shard"])
+    return out.select(*every, "shard", "slot")

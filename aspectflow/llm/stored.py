@@ -63,12 +63,12 @@ def numbered(df: DataFrame, order: list, into: str, within: list[str] | None = N
     """
     keys = list(within or [])
     lot = F.shiftright(order[0], 48) * lots
-    df = df.withColumn("_lot", F.shiftright(lot, 14).cast("int"))
-    local = Window.partitionBy(*keys, "_lot").orderBy(*order)
-    ranked = df.withColumn("_rank", F.row_number().over(local))
-    sizes = df.groupBy(*keys, "_lot").agg(F.count("*").alias("_n"))
-    running = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_lot")
+    df = df.withColumn("__lot", F.shiftright(lot, 14).cast("int"))
+    local = Window.partitionBy(*keys, "__lot").orderBy(*order)
+    ranked = df.withColumn("__rank", F.row_number().over(local))
+    sizes = df.groupBy(*keys, "__lot").agg(F.count("*").alias("__n"))
+    running = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("__lot")
     # lots rows per key: the caller's keys must be few (shards), so this is broadcast
-    offsets = sizes.withColumn("_before", F.sum("_n").over(running) - F.col("_n")).select(*keys, "_lot", "_before")
-    out = ranked.join(F.broadcast(offsets), [*keys, "_lot"])
-    return out.withColumn(into, F.col("_before") + F.col("_rank") - 1).drop("_lot", "_rank", "_before")
+    offsets = sizes.withColumn("__before", F.sum("__n").over(running) - F.col("__n")).select(*keys, "__lot", "__before")
+    out = ranked.join(F.broadcast(offsets), [*keys, "__lot"])
+    return out.withColumn(into, F.col("__before") + F.col("__rank") - 1).drop("__lot", "__rank", "__before")

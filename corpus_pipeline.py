@@ -24,17 +24,17 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents whose perplexity lies above their language's limit go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     rejected = stored(quality.judged(docs, labels).where("not kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_id").alias("_text")).distinct(), "rejected")
-    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col("_id")) & F.xxhash64("text").eqNullSafe(F.col("_text")), "left_anti")
+        F.col("doc_id").alias("__id"), F.col("text_id").alias("__text")).distinct(), "rejected")
+    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col("__id")) & F.xxhash64("text").eqNullSafe(F.col("__text")), "left_anti")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest doc_id stays; a repeated row stays once."""
     classes = stored(jaccard.joined(docs), "classes")
-    extra = classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(extra, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    extra = classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
+    kept = docs.join(extra, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
     if classes.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        kept = kept.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
+        kept = kept.withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"]).drop("__text")
     return kept
 
 

@@ -7,7 +7,6 @@ from collections import Counter
 
 import duckdb
 import numpy as np
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,8 +71,7 @@ def test_quality_without_labels_keeps_texts(spark, no_docs):
 # --- 2: mixing
 
 def test_mix_rates_and_counts(spark, corpus):
-    docs = corpus.withColumn("rate", F.lit("clash")).withColumn("copies", F.lit(0))
-    assert docs.columns[-2:] == ["rate", "copies"]
+    docs = corpus.withColumn("rate", F.lit("clash")).withColumn("copies", F.lit(0)).withColumn("_source", F.lit("x"))
     rates = {r.source: r for r in mixing.source_rates(corpus).collect()}
     assert len(rates) == corpus.select("source").distinct().count() and None in rates
     total = sum(r.n_bytes for r in rates.values())
@@ -108,8 +106,11 @@ def test_mix_given_weights_large_rates_and_empty(spark, no_docs):
 # --- 4: sharding
 
 def test_shards_are_exact_gapless_and_whole(spark, corpus):
-    docs = corpus.union(corpus.where("doc_id in (0, 1, 7)")).withColumn("shard", F.lit("x"))
-    got = sharding.sharded(docs, shards=7, rows_per_lot=16).collect()
+    docs = (corpus.union(corpus.where("doc_id in (0, 1, 7)")).withColumn("shard", F.lit("x"))
+            .withColumn("_h", F.lit(1)).withColumn("_rank", F.lit("r")).withColumn("a b.c", F.lit(2)))
+    out = sharding.sharded(docs, shards=7, rows_per_lot=16)
+    assert out.columns == [c for c in docs.columns if c != "shard"] + ["shard", "slot"]
+    got = out.collect()
     assert Counter((r.doc_id, r.text) for r in got) == Counter((r.doc_id, r.text) for r in docs.collect())
     slots = {}
     for r in got:
