@@ -27,6 +27,7 @@ FEWEST = 10                 # a language with fewer texts in that fold takes the
 WIDEN = 4.0                 # a limit lies this many times as far above the median as the quantile
 TABLE_BYTES = 64 << 20      # a log-probability table up to this size goes to every task, a larger one to chunks of documents
 CHUNK_BYTES = 4 << 20
+HELD_GRAMS = 1 << 19       # n-grams that a task adds up before it hands them on
 
 
 def _symbols() -> np.ndarray:
@@ -57,14 +58,28 @@ def text_grams(texts: pa.Array, order: int = ORDER) -> tuple[np.ndarray, np.ndar
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """(gram, n) over whole texts, summed up per batch first; ``n`` counts the documents that ``trusted`` marks, others add 0."""
+    """(gram, n) over whole texts, summed up per task first (``HELD_GRAMS`` at a time); ``n`` counts the documents that ``trusted`` marks, others add 0."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            gram, at = np.unique(np.concatenate([g for g, _ in held]), return_inverse=True)
+            return gram, np.bincount(at, weights=np.concatenate([n for _, n in held]), minlength=len(gram)).astype(np.int64)
+
         for batch in text_batches(batches):
             code, offsets = text_grams(batch["text"])
             trusted = np.repeat(np.asarray(batch["trusted"].to_pylist(), dtype=bool), np.diff(offsets))
             for is_trusted in (True, False):
                 gram, n = np.unique(code[trusted == is_trusted], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n.astype(np.int64) * is_trusted)], names=["gram", "n"])
+                held.append((gram, n.astype(np.int64) * is_trusted))
+            if sum(len(g) for g, _ in held) > HELD_GRAMS:
+                held[:] = [merged()]
+                if 2 * len(held[0][0]) > HELD_GRAMS:
+                    yield pa.RecordBatch.from_arrays([pa.array(held[0][0]), pa.array(held[0][1])], names=["gram", "n"])
+                    held.clear()
+        if held:
+            gram, n = merged()
+            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n)], names=["gram", "n"])
 
     return docs.select("text", "trusted").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
