@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from aspectflow.functions.codec import (
     b64_decode, b64_encode, counts_from_json, proportional_height,
 )
-from aspectflow.functions.text import clean, normalise_spaces, remove_tone
+from aspectflow.functions.text import normalise_spaces, remove_tone
 from aspectflow.operators import aspects as asp
 from aspectflow.operators import dashboard, frames, history, metrics, registry, vocab
 from aspectflow.operators.aspects import predicted_labels

@@ -2,7 +2,6 @@ import math
 import random
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from aspectflow.operators import history as H
 from aspectflow.operators import metrics as M

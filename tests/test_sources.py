@@ -1,6 +1,5 @@
 import os
 
-from pyspark.sql import functions as F
 
 from aspectflow.operators.vocab import build_vocab
 from aspectflow.sources import io as IO

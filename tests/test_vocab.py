@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from aspectflow.operators import vocab as V
 from tests import pyref
