@@ -13,7 +13,7 @@ from itertools import chain
 import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE_ENTRIES = 250_000       # in either of two generations
+CACHE_ENTRIES = 150_000       # in either of two generations
 
 _WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*#%&$()|\"-]*)\Z")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")     # str.split() takes these for white space, the vocabulary's rules don't
