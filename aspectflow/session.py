@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -97,9 +98,16 @@ def checkpoint_root(spark: SparkSession) -> str | None:
 
 
 def _root(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``.  Where it is unset, a session on one
+    machine (``local`` master) gets a folder of its own under its warehouse; on a
+    cluster that is an error, as no folder is known to be shared."""
     root = checkpoint_root(spark)
     if not root:
-        raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_aspectflow_checkpoints"
+        spark.sparkContext.setCheckpointDir(root)
+        spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 

@@ -212,3 +212,20 @@ def test_tone_removal_over_all_of_unicode(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, c string")
     wrong = [(ascii(texts[r.i]), ascii(r.p)) for r in df.select("i", remove_tone("c").alias("p")).collect() if r.p != _plain(texts[r.i])]
     assert not wrong, (len(wrong), wrong[:20])
+
+
+def test_unset_checkpoint_folder_is_an_error_on_a_cluster_only(monkeypatch):
+    from types import SimpleNamespace
+
+    from aspectflow import session as S
+
+    made = {}
+    spark = SimpleNamespace(
+        sparkContext=SimpleNamespace(master="local[4]", setCheckpointDir=lambda d: made.update(ctx=d)),
+        conf=SimpleNamespace(get=lambda k: "file:/w", set=lambda k, v: made.update({k: v})))
+    monkeypatch.setattr(S, "checkpoint_root", lambda s: None)
+    assert S._root(spark).startswith("file:/w/") and made["ctx"] == made["spark.checkpoint.dir"]
+    for master in ("yarn", "spark://h:1", "local-cluster[3,2,1000]", "k8s://x"):
+        spark.sparkContext.master = master
+        with pytest.raises(RuntimeError):
+            S._root(spark)
