@@ -13,6 +13,14 @@ from aspectflow.llm import jaccard, langid, mixing, packing, quality
 from aspectflow.llm.stored import stored
 
 
+IDS_BYTES = 64 << 20     # a list of documents to drop goes to the texts up to this size; beyond it Spark shuffles both
+
+
+def sent(ids: DataFrame) -> DataFrame:
+    """``ids`` (a stored table of two longs at most), marked for broadcast if its counted size allows it."""
+    return F.broadcast(ids) if ids.count() * 24 <= IDS_BYTES else ids
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learn from the documents outside the held-out fold; documents without a language or torn between two go."""
     model = langid.fit(docs.where(~langid.held_out(docs)))
@@ -25,14 +33,15 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     rejected = stored(quality.judged(docs, labels).where("not kept").select(
         F.col("doc_id").alias("__id"), F.col("text_id").alias("__text")).distinct(), "rejected")
-    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col("__id")) & F.xxhash64("text").eqNullSafe(F.col("__text")), "left_anti")
+    return docs.join(sent(rejected), F.col("doc_id").eqNullSafe(F.col("__id")) & F.xxhash64("text").eqNullSafe(F.col("__text")), "left_anti")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest doc_id stays; a repeated row stays once."""
     classes = stored(jaccard.joined(docs), "classes")
-    extra = classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(extra, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    extra = stored(classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+                   .select(F.col("doc_id").alias("__id")).distinct(), "extra")
+    kept = docs.join(sent(extra), F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
     if classes.groupBy("doc_id").count().where("count > 1").limit(1).count():
         kept = kept.withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"]).drop("__text")
     return kept
