@@ -21,10 +21,10 @@ from aspectflow.llm.shingles import text_batches, text_buffer
 from aspectflow.llm.stored import stored
 
 ORDER = 5
-HIGH = 0.99                 # quantile of the trusted documents' log-perplexity
+HIGH = 0.99                 # quantile of the held-back trusted documents' log-perplexity: the limit itself
 FOLDS = 5                   # one fold of the trusted texts is kept from training, for the limit
 FEWEST = 10                 # a language with fewer texts in that fold takes the limit of all languages together
-WIDEN = 4.0                 # a limit lies this many times as far above the median as the quantile
+ELSEWHERE = 2.5             # that limit lies this many times as far above the median as the quantile: it is other languages' text
 TABLE_BYTES = 64 << 20      # a log-probability table up to this size goes to every task, a larger one to chunks of documents
 CHUNK_BYTES = 4 << 20
 HELD_GRAMS = 1 << 19       # n-grams that a task adds up before it hands them on
@@ -181,27 +181,31 @@ def scored(docs: DataFrame, table: DataFrame, table_bytes: int = TABLE_BYTES) ->
     return chunked.groupBy("chunk").cogroup(met.groupBy("chunk")).applyInArrow(answer, out_schema)
 
 
-def limits(scores: DataFrame, high: float = HIGH, widen: float = WIDEN, fewest: int = FEWEST) -> DataFrame:
-    """(lang, highest): up to where held-back trusted documents' log-perplexities reach, by language."""
+def limits(scores: DataFrame, high: float = HIGH, fewest: int = FEWEST) -> DataFrame:
+    """(lang, highest): the quantile ``high`` of held-back trusted documents' log-perplexities, by language.
+
+    A language with fewer than ``fewest`` of them has no quantile of its own; its limit is that of all languages, widened
+    by ``ELSEWHERE``.
+    """
     held = scores.where("calibrating and log_perplexity is not null")
-    quantiles = F.percentile_approx("log_perplexity", [0.5, high], 10_000).alias("q")
-    everywhere = held.agg(quantiles, F.count("*").alias("n")).where(F.col("n") >= fewest).select(F.col("q").alias("q_all"))
-    per = held.groupBy("lang").agg(quantiles, F.count("*").alias("n"))
+    quantile = F.percentile_approx("log_perplexity", high, 10_000).alias("q")
+    middle = F.percentile_approx("log_perplexity", 0.5, 10_000).alias("m")
+    everywhere = (held.agg(quantile, middle, F.count("*").alias("n")).where(F.col("n") >= fewest)
+                  .select((F.col("m") + ELSEWHERE * (F.col("q") - F.col("m"))).alias("q_all")))
+    per = held.groupBy("lang").agg(quantile, F.count("*").alias("n"))
     own = (scores.select("lang").distinct().withColumnRenamed("lang", "_lang")
            .join(per, F.col("_lang").eqNullSafe(F.col("lang")), "left")
-           .join(F.broadcast(everywhere), F.lit(True), "left")          # one row at most
-           .withColumn("q", F.when(F.col("n") >= fewest, F.col("q")).otherwise(F.col("q_all"))))
-    return own.select("_lang", (F.col("q")[0] + widen * (F.col("q")[1] - F.col("q")[0])).alias("highest"))
+           .join(F.broadcast(everywhere), F.lit(True), "left"))         # one row at most
+    return own.select("_lang", F.when(F.col("n") >= fewest, F.col("q")).otherwise(F.col("q_all")).alias("highest"))
 
 
-def judged(docs: DataFrame, labels: DataFrame, high: float = HIGH, widen: float = WIDEN,
-           table_bytes: int = TABLE_BYTES) -> DataFrame:
+def judged(docs: DataFrame, labels: DataFrame, high: float = HIGH, table_bytes: int = TABLE_BYTES) -> DataFrame:
     """(doc_id, text_id, lang, trusted, calibrating, log_perplexity, highest, kept) of every document.
 
     Trusted text: documents that ``labels`` gives quality 1 and no toxicity.  ``text_id`` is a hash of the text, which
     tells rows with one doc_id apart.  A document is kept if its log-perplexity is not above its language's limit.
     Null or empty text has no perplexity and is not kept.  A language (null is one) with fewer than ``FEWEST`` held-back
-    trusted documents is held to the limit of all languages together; with fewer in all there is no limit and all
+    trusted documents is held to the limit of all languages together, widened by ``ELSEWHERE``; with fewer in all there is no limit and all
     texts stay.  Without any trusted text all symbols are equally likely.
     Repeated rows are judged alike.  Extra columns are not looked at.
     """
@@ -218,7 +222,7 @@ def judged(docs: DataFrame, labels: DataFrame, high: float = HIGH, widen: float
     scores = stored(scored(marked, log_probabilities(counts), table_bytes), "perplexities")
     within = F.col("highest").isNull() | (F.col("log_perplexity") <= F.col("highest"))
     # one row per language: sent to the scores while small, so that no task gets all rows of a common language
-    per_language = stored(limits(scores, high, widen), "limits")
+    per_language = stored(limits(scores, high), "limits")
     if per_language.count() * 64 <= table_bytes:
         per_language = F.broadcast(per_language)
     return (scores.join(per_language, F.col("lang").eqNullSafe(F.col("_lang")), "left")

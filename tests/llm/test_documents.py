@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aspectflow.llm import chat, langid, mixing, packing, quality, queries, sharding, token_files, tokens
+from tests.conftest import TESTDATA
 from tests.llm.helpers import kneser_ney
 
 
@@ -68,6 +69,21 @@ def test_quality_without_labels_keeps_texts(spark, no_docs):
     assert quality.judged(no_docs, labels).count() == 0
 
 
+def test_limit_is_the_quantile_itself(spark):
+    scores = spark.createDataFrame([(i, i, "en", False, True, float(i)) for i in range(1, 101)]
+                                   + [(200, 200, "en", False, False, 500.0)], f"{quality.KEYS}, log_perplexity double")
+    assert [(r._lang, r.highest) for r in quality.limits(scores).collect()] == [("en", 99.0)]
+
+
+def test_quality_rates_on_labelled_documents(spark):
+    sf = f"{TESTDATA}/sf0.1"
+    kept = {r.doc_id: r.kept for r in queries.op1_kneser_ney_quality(spark, sf).select("doc_id", "kept").collect()}
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    bad = [kept[r.doc_id] for r in labels.where("quality = 0").collect()]
+    good = [kept[r.doc_id] for r in labels.where("quality = 1 and coalesce(toxic, 0) = 0").collect()]
+    assert sum(bad) <= 0.25 * len(bad) and sum(good) >= 0.99 * len(good)
+
+
 # --- 2: mixing
 
 def test_mix_rates_and_counts(spark, corpus):
