@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 SEED = 7
 TEMPERATURE = 0.5
 SPAN = float(1 << 52)
+DIRECT = 700.0              # up to this rate exp(-rate) is a number to start from
 
 
 def uniform(seed: int, *cols) -> Column:
@@ -47,23 +48,28 @@ def source_rates(docs: DataFrame, weights: dict[str | None, float] | None = None
 
 
 def poisson_thresholds(rate: Column) -> Column:
-    """Distribution function of Poisson(rate) at 0, 1, 2, ... up to where it is 1 in double precision.
+    """Struct (first, cdf): the distribution function of Poisson(rate) at first, first + 1, ... up to where it is 1.
 
-    Terms follow p(k) = p(k - 1) * rate / k; 12 standard deviations and 40 more leave less than 2^-53 beyond.
-    A rate above 700, where exp(-rate) is 0, is not a sensible repetition and raises an error.
+    Terms follow p(k) = p(k - 1) * rate / k.  12 standard deviations and 40 more leave less than 2^-53 beyond.  Up to a
+    rate of ``DIRECT`` they start from exp(-rate) at 0.  Above it, where exp(-rate) comes near 0, they start as far below
+    the mean, from 1, and are divided by their sum, so that the function is the same for every rate.
     """
     last = (F.ceil(rate + 12 * F.sqrt(rate)) + 40).cast("int")
-    zero = F.struct(F.exp(-rate).alias("p"), F.exp(-rate).alias("c"), F.array(F.exp(-rate)).alias("all"))
-    grown = F.aggregate(F.sequence(F.lit(1), last), zero, lambda s, k: F.struct(
+    low = F.when(rate > DIRECT, (F.floor(rate - 12 * F.sqrt(rate)) - 40).cast("int")).otherwise(F.lit(0))
+    start = F.when(rate > DIRECT, F.lit(1.0)).otherwise(F.exp(-rate))
+    zero = F.struct(start.alias("p"), start.alias("c"), F.array(start).alias("all"))
+    grown = F.aggregate(F.sequence(low + 1, last), zero, lambda s, k: F.struct(
         (s["p"] * rate / k).alias("p"), (s["c"] + s["p"] * rate / k).alias("c"),
-        F.concat(s["all"], F.array(s["c"] + s["p"] * rate / k)).alias("all")), lambda s: s["all"])
-    return F.when(rate <= 700, grown).otherwise(F.raise_error(F.lit("repetition rate above 700")))
+        F.concat(s["all"], F.array(s["c"] + s["p"] * rate / k)).alias("all")),
+        lambda s: F.when(rate > DIRECT, F.transform(s["all"], lambda c: c / s["c"])).otherwise(s["all"]))
+    return F.struct(low.alias("first"), grown.alias("cdf"))
 
 
 def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, temperature: float = TEMPERATURE,
           epochs: float = 1.0, seed: int = SEED) -> DataFrame:
     """All columns of ``docs`` with ``copies``, ``copy_no`` (from 0), ``rate`` and ``mix_key``, globally shuffled.
 
+    Every rate gives rows; only ``weights`` that lead to a rate above ``DIRECT`` are refused.
     A document with 0 copies does not appear.  The draw depends on doc_id and text only, so repeated rows get equal
     numbers of copies each.  A null source is a source of its own; null text has no bytes.  The rates (one row per
     source) travel to the documents by a join that Spark may broadcast by size; a hot source needs no shuffle of
@@ -71,14 +77,17 @@ def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, tempe
     Input columns with the added names are replaced.
     """
     docs = docs.drop("copies", "copy_no", "rate", "mix_key")
-    rates = source_rates(docs, weights, temperature, epochs).select(
-        F.col("source").alias("__mix_source"), "rate", poisson_thresholds(F.col("rate")).alias("__mix_cdf"))
+    rates = source_rates(docs, weights, temperature, epochs)
+    if weights is not None:          # what the caller asks for, not the corpus, makes such a rate
+        rates = rates.withColumn("rate", F.when(F.col("rate") <= DIRECT, F.col("rate")).otherwise(
+            F.raise_error(F.lit("given weights lead to a repetition rate above 700"))))
+    rates = rates.select(F.col("source").alias("__mix_source"), "rate", poisson_thresholds(F.col("rate")).alias("__mix_cdf"))
     draw = uniform(seed, "doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
     sources = F.broadcast(rates)     # size: one row per source, checked below
     if rates.count() > MAX_SOURCES:
         sources = rates
     out = (docs.join(sources, F.col("source").eqNullSafe(F.col("__mix_source")))
-           .withColumn("copies", F.size(F.filter("__mix_cdf", lambda c: c <= draw)).cast("int"))
+           .withColumn("copies", (F.col("__mix_cdf.first") + F.size(F.filter("__mix_cdf.cdf", lambda c: c <= draw))).cast("int"))
            .withColumn("copy_no", F.explode(F.when(F.col("copies") > 0, F.sequence(F.lit(0), F.col("copies") - 1))
                                             .otherwise(F.array().cast("array<int>"))))
            .drop("__mix_source", "__mix_cdf"))

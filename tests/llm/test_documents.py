@@ -119,6 +119,19 @@ def test_mix_given_weights_large_rates_and_empty(spark, no_docs):
         mixing.mixed(docs, weights={"none": 1.0}, epochs=10.0).count()
 
 
+def test_mix_of_a_short_document_beside_a_large_rest_equals_sql(spark, scratch):
+    rows = [(0, "x", "tiny"), (1, "yz", None)] + [(i, "abcde " * 200_000, f"s{i % 3}") for i in range(2, 11)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{scratch}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{scratch}/documents.parquet/*.parquet'")
+    sql = con.execute(queries.ORACLE_SQL["op2_poisson_mix"])
+    names = [c[0] for c in sql.description]
+    got = queries.op2_poisson_mix(spark, scratch).select(*names).collect()
+    rates = {r.source: r.rate for r in got}
+    assert rates["tiny"] > 1500 and rates[None] > 1000
+    assert sorted(map(tuple, got), key=repr) == sorted(sql.fetchall(), key=repr)
+
+
 # --- 4: sharding
 
 def test_shards_are_exact_gapless_and_whole(spark, corpus):
