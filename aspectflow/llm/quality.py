@@ -182,15 +182,15 @@ def scored(docs: DataFrame, table: DataFrame, table_bytes: int = TABLE_BYTES) ->
 
 
 def limits(scores: DataFrame, high: float = HIGH, fewest: int = FEWEST) -> DataFrame:
-    """(lang, highest): the quantile ``high`` of held-back trusted documents' log-perplexities, by language.
+    """(lang, highest): the quantile ``high`` of held-back trusted documents' log-perplexities, by language; copies count once.
 
     A language with fewer than ``fewest`` of them has no quantile of its own; its limit is that of all languages, widened
     by ``ELSEWHERE``.
     """
-    held = scores.where("calibrating and log_perplexity is not null")
+    held = scores.where("calibrating and log_perplexity is not null").dropDuplicates(["lang", "text_id"])
     quantile = F.percentile_approx("log_perplexity", high, 10_000).alias("q")
     middle = F.percentile_approx("log_perplexity", 0.5, 10_000).alias("m")
-    everywhere = (held.agg(quantile, middle, F.count("*").alias("n")).where(F.col("n") >= fewest)
+    everywhere = (held.dropDuplicates(["text_id"]).agg(quantile, middle, F.count("*").alias("n")).where(F.col("n") >= fewest)
                   .select((F.col("m") + ELSEWHERE * (F.col("q") - F.col("m"))).alias("q_all")))
     per = held.groupBy("lang").agg(quantile, F.count("*").alias("n"))
     own = (scores.select("lang").distinct().withColumnRenamed("lang", "_lang")

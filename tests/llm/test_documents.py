@@ -75,6 +75,16 @@ def test_limit_is_the_quantile_itself(spark):
     assert [(r._lang, r.highest) for r in quality.limits(scores).collect()] == [("en", 99.0)]
 
 
+def test_copies_of_one_trusted_text_set_no_limit(spark):
+    rows = [(i, i, "en", False, True, float(i)) for i in range(1, 101)]
+    rows += [(200 + i, 777, "xx", False, True, 2.0) for i in range(10)] + [(300, 300, "xx", False, False, 3.0)]
+    scores = spark.createDataFrame(rows, f"{quality.KEYS}, log_perplexity double")
+    got = {r._lang: r.highest for r in quality.limits(scores).collect()}
+    assert got["en"] == 99.0 and got["xx"] > 99.0
+    few = scores.where("lang = 'xx'")
+    assert [r.highest for r in quality.limits(few).collect()] == [None]
+
+
 def test_quality_rates_on_labelled_documents(spark):
     sf = f"{TESTDATA}/sf0.1"
     kept = {r.doc_id: r.kept for r in queries.op1_kneser_ney_quality(spark, sf).select("doc_id", "kept").collect()}
