@@ -39,7 +39,7 @@ BLOCK_TOKENS = 1 << 20
 
 _U = np.uint64
 PACKED = "range int, chunk binary, local binary, low binary, node binary, doc binary"
-INDEXED = "doc_id long, n_shingles long, node binary, keys array<long>"
+INDEXED = "doc_id long, text_id long, n_shingles long, node binary, keys array<long>"
 
 
 def set_digest(tokens: np.ndarray) -> bytes:
@@ -80,15 +80,16 @@ def _send(ranges: int):
     """Map documents to packed rows: per chunk one row of (document, low token bits) for every token range."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
-        docs: list[tuple[int | None, np.ndarray]] = []
+        docs: list[tuple[int | None, np.ndarray, int]] = []
         held = 0
 
         def close() -> pa.RecordBatch:
             nonlocal seq, held
-            ids = np.array([d or 0 for d, _ in docs], "<i8")
-            nulls = np.array([d is None for d, _ in docs], np.uint8)
-            nodes = np.frombuffer(b"".join(set_digest(t) for _, t in docs), np.uint8).reshape(-1, 16)
-            sizes = np.array([len(t) for _, t in docs], "<u4")
+            ids = np.array([d or 0 for d, _, _ in docs], "<i8")
+            nulls = np.array([d is None for d, _, _ in docs], np.uint8)
+            nodes = np.frombuffer(b"".join(set_digest(t) for _, t, _ in docs), np.uint8).reshape(-1, 16)
+            sizes = np.array([len(t) for _, t, _ in docs], "<u4")
+            texts = np.array([x for _, _, x in docs], "<i8")
             chunk = hashlib.blake2b(f"{part}/{seq}".encode() + ids.tobytes() + nodes.tobytes(), digest_size=16).digest()
             # equal sets are looked up once; the chunk's own row goes along to be met again on the way back
             one = np.unique(nodes.copy().view("V16").ravel(), return_index=True)[1]
@@ -99,7 +100,7 @@ def _send(ranges: int):
             cuts = np.searchsorted(range_of(tokens, ranges), np.arange(ranges + 1))
             low = low_bits(tokens)
             rows = [[int.from_bytes(chunk[:4], "little") % ranges, chunk, None, None, nodes.tobytes(),
-                     ids.tobytes() + sizes.tobytes() + nulls.tobytes()]]
+                     ids.tobytes() + texts.tobytes() + sizes.tobytes() + nulls.tobytes()]]
             for r in range(ranges):
                 lo, hi = cuts[r], cuts[r + 1]
                 if hi > lo:
@@ -114,8 +115,8 @@ def _send(ranges: int):
 
         for batch in text_batches(batches):
             words, cut = word_hashes(batch["text"])
-            for i, doc_id in enumerate(batch["doc_id"].to_pylist()):
-                docs.append((doc_id, shingle_set(words[cut[i]:cut[i + 1]], WIDTH)))
+            for i, (doc_id, text_id) in enumerate(zip(batch["doc_id"].to_pylist(), batch["text_id"].to_pylist())):
+                docs.append((doc_id, shingle_set(words[cut[i]:cut[i + 1]], WIDTH), text_id))
                 held += len(docs[-1][1])
                 if held >= CHUNK_TOKENS or len(docs) == CHUNK_DOCS:
                     yield close()
@@ -188,8 +189,8 @@ def _index(pdf: pd.DataFrame) -> pd.DataFrame:
     own = pdf[pdf["doc"].notna()].iloc[0]
     nodes = [own["node"][i:i + 16] for i in range(0, len(own["node"]), 16)]
     n = len(nodes)
-    ids, sizes = np.frombuffer(own["doc"], "<i8", n), np.frombuffer(own["doc"], "<u4", n, 8 * n)
-    nulls = np.frombuffer(own["doc"], np.uint8, n, 12 * n)
+    ids, texts = np.frombuffer(own["doc"], "<i8", n), np.frombuffer(own["doc"], "<i8", n, 8 * n)
+    sizes, nulls = np.frombuffer(own["doc"], "<u4", n, 16 * n), np.frombuffer(own["doc"], np.uint8, n, 20 * n)
     answers = pdf[pdf["doc"].isna()]
     if answers.empty:
         answers = pd.DataFrame({"local": [b""], "token": [b""], "classes": [b""]})
@@ -203,7 +204,7 @@ def _index(pdf: pd.DataFrame) -> pd.DataFrame:
         at = order[cuts[i]:cuts[i + 1]]
         keys.append(index_keys(token[at], classes[at], int(sizes[i])).view(np.int64) if len(at) else np.empty(0, np.int64))
     return pd.DataFrame({"doc_id": pd.array([None if z else int(d) for d, z in zip(ids, nulls)], dtype="Int64"),
-                         "n_shingles": sizes.astype(np.int64), "node": nodes, "keys": keys})
+                         "text_id": texts, "n_shingles": sizes.astype(np.int64), "node": nodes, "keys": keys})
 
 
 def linked_classes(nodes: list[bytes], sets: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
@@ -252,9 +253,9 @@ def linked_classes(nodes: list[bytes], sets: list[np.ndarray]) -> list[tuple[byt
 
 
 def indexed(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, node, keys) of every document; ``node`` names its class (null without words)."""
+    """(doc_id, text_id, n_shingles, node, keys) of every document; ``node`` names its class."""
     ranges = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    answered = (docs.select("doc_id", "text").mapInArrow(_send(ranges), PACKED).groupBy("range")
+    answered = (docs.select("doc_id", "text", F.xxhash64("text").alias("text_id")).mapInArrow(_send(ranges), PACKED).groupBy("range")
                 .applyInPandas(_answer, "chunk binary, local binary, node binary, doc binary, token binary, classes binary"))
     return answered.groupBy("chunk").applyInPandas(_index, INDEXED)
 
@@ -266,6 +267,15 @@ def joined(docs: DataFrame) -> DataFrame:
     documents.  A null doc_id takes part and never becomes a component_id unless all of its component are null.
     An empty table gives an empty result; other columns are not looked at.
     """
+    return headed(docs).select("doc_id", "n_shingles", F.col("head.doc_id").alias("component_id"))
+
+
+def headed(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, text_id (a hash of the text), n_shingles, head: (doc_id, text_id) of its component's first row.
+
+    First is the smallest doc_id, null behind all others, and of equal ones the smallest text_id; a document without
+    words is its own head.
+    """
     index = stored(indexed(docs), "shingle_index")
     entries = index.select("node", F.explode("keys").alias("key"))
     least = entries.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least != most")
@@ -304,8 +314,10 @@ def joined(docs: DataFrame) -> DataFrame:
     links = (places.drop("member").join(sets, "node").groupBy("component", "i", "j").applyInPandas(verify, "a binary, b binary"))
     found = stored(connected_components(links), "components")
     named = index.join(found, "node", "left")
-    heads = named.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("head"))
-    alike = index.groupBy("node").agg(F.min("doc_id").alias("first")).where("first is not null")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id"))
+    heads = named.where("component is not null").groupBy("component").agg(first.alias("head"))
+    alike = index.where("n_shingles > 0").groupBy("node").agg(first.alias("first"))
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id")
     return (named.join(heads, "component", "left").join(alike, "node", "left")
-            .select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id"))
-                    .otherwise(F.coalesce("head", "first")).alias("component_id")))
+            .select("doc_id", "text_id", "n_shingles", F.when(F.col("n_shingles") == 0, own)
+                    .otherwise(F.coalesce("head", "first")).alias("head")))

@@ -37,12 +37,15 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id stays; a repeated row stays once."""
-    classes = stored(jaccard.joined(docs), "classes")
-    extra = stored(classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-                   .select(F.col("doc_id").alias("__id")).distinct(), "extra")
-    kept = docs.join(sent(extra), F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
-    if classes.groupBy("doc_id").count().where("count > 1").limit(1).count():
+    """Of each group of linked documents the row with the smallest doc_id, then text hash, stays; a repeated row stays once.
+
+    Rows are told apart by doc_id and text, as ids may be null or repeated.
+    """
+    classes = stored(jaccard.headed(docs), "classes")
+    first = F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("text_id") == F.col("head.text_id"))
+    extra = stored(classes.where(~first).select(F.col("doc_id").alias("__id"), F.col("text_id").alias("__text")).distinct(), "extra")
+    kept = docs.join(sent(extra), F.col("doc_id").eqNullSafe(F.col("__id")) & F.xxhash64("text").eqNullSafe(F.col("__text")), "left_anti")
+    if classes.groupBy("doc_id", "text_id").count().where("count > 1").limit(1).count():
         kept = kept.withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"]).drop("__text")
     return kept
 

@@ -369,6 +369,18 @@ def test_pipeline_stage_by_stage(spark, sf001):
     assert packed == lengths
 
 
+def test_near_duplicates_with_null_and_repeated_ids(spark, sf001):
+    import corpus_pipeline as C
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(3, a), (5, a + " end"), (5, b), (None, a + " more"), (None, c), (None, c + " end"), (None, None), (None, ""),
+            (7, d), (7, d + " end"), (8, "lone"), (8, "lone"), (9, "LONE")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.text) for r in C.near_duplicates(spark, docs, sf001).collect()]
+    one_of = [{(None, c), (None, c + " end")}, {(7, d), (7, d + " end")}]
+    assert [len(group & set(got)) for group in one_of] == [1, 1] and len(got) == 7
+    assert {(3, a), (5, b), (8, "lone"), (None, None), (None, "")} <= set(got)
+
+
 def test_pipeline_stages_take_empty_tables(spark, sf001, no_docs):
     import corpus_pipeline as C
     for _, stage in C.STAGES:
