@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from aspectflow.llm.shingles import text_batches, text_buffer
 from aspectflow.llm.stored import stored
 
-ORDER = 5
+ORDER = 8                   # the most bytes that an exact 64-bit key holds
 HIGH = 0.99                 # quantile of the held-back trusted documents' log-perplexity: the limit itself
 FOLDS = 5                   # one fold of the trusted texts is kept from training, for the limit
 FEWEST = 10                 # a language with fewer texts in that fold takes the limit of all languages together
-ELSEWHERE = 2.5             # that limit lies this many times as far above the median as the quantile: it is other languages' text
+WIDEN = 4.0                 # that limit lies this many times as far above the median as the quantile: it is other languages' text
 TABLE_BYTES = 64 << 20      # a log-probability table up to this size goes to every task, a larger one to chunks of documents
 CHUNK_BYTES = 4 << 20
 HELD_GRAMS = 1 << 19       # n-grams that a task adds up before it hands them on
@@ -185,13 +185,13 @@ def limits(scores: DataFrame, high: float = HIGH, fewest: int = FEWEST) -> DataF
     """(lang, highest): the quantile ``high`` of held-back trusted documents' log-perplexities, by language; copies count once.
 
     A language with fewer than ``fewest`` of them has no quantile of its own; its limit is that of all languages, widened
-    by ``ELSEWHERE``.
+    by ``WIDEN``.
     """
     held = scores.where("calibrating and log_perplexity is not null").dropDuplicates(["lang", "text_id"])
     quantile = F.percentile_approx("log_perplexity", high, 10_000).alias("q")
     middle = F.percentile_approx("log_perplexity", 0.5, 10_000).alias("m")
     everywhere = (held.dropDuplicates(["text_id"]).agg(quantile, middle, F.count("*").alias("n")).where(F.col("n") >= fewest)
-                  .select((F.col("m") + ELSEWHERE * (F.col("q") - F.col("m"))).alias("q_all")))
+                  .select((F.col("m") + WIDEN * (F.col("q") - F.col("m"))).alias("q_all")))
     per = held.groupBy("lang").agg(quantile, F.count("*").alias("n"))
     own = (scores.select("lang").distinct().withColumnRenamed("lang", "_lang")
            .join(per, F.col("_lang").eqNullSafe(F.col("lang")), "left")
@@ -205,7 +205,7 @@ def judged(docs: DataFrame, labels: DataFrame, high: float = HIGH, table_bytes:
     Trusted text: documents that ``labels`` gives quality 1 and no toxicity.  ``text_id`` is a hash of the text, which
     tells rows with one doc_id apart.  A document is kept if its log-perplexity is not above its language's limit.
     Null or empty text has no perplexity and is not kept.  A language (null is one) with fewer than ``FEWEST`` held-back
-    trusted documents is held to the limit of all languages together, widened by ``ELSEWHERE``; with fewer in all there is no limit and all
+    trusted documents is held to the limit of all languages together, widened by ``WIDEN``; with fewer in all there is no limit and all
     texts stay.  Without any trusted text all symbols are equally likely.
     Repeated rows are judged alike.  Extra columns are not looked at.
     """

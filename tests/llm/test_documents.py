@@ -85,6 +85,14 @@ def test_copies_of_one_trusted_text_set_no_limit(spark):
     assert [r.highest for r in quality.limits(few).collect()] == [None]
 
 
+def test_model_grows_with_the_corpus():
+    def distinct(sf):
+        texts = duckdb.sql(f"SELECT text FROM '{TESTDATA}/{sf}/documents.parquet'").to_arrow_table()["text"].combine_chunks()
+        return len(np.unique(quality.text_grams(texts)[0]))
+
+    assert distinct("sf0.1") > 3 * distinct("sf0.01")      # 10 x the text
+
+
 def test_quality_rates_on_labelled_documents(spark):
     sf = f"{TESTDATA}/sf0.1"
     kept = {r.doc_id: r.kept for r in queries.op1_kneser_ney_quality(spark, sf).select("doc_id", "kept").collect()}
