@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aspectflow.llm import ann, chat, dense_dups, jaccard, langid, mixing, packing, quality, sharding, token_files
+from aspectflow.llm import (ann, chat, dense_dups, jaccard, langid, lexical, mixing, packing, pieces, quality, sharding,
+                            token_files, whitening)
 from aspectflow.llm.stored import stored
 from aspectflow.session import shared_path
 
@@ -82,6 +83,23 @@ def op10_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"))
 
 
+def op11_piece_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every whole text between begin and end id, decoded again; lengths and digests of both."""
+    ids = pieces.encoded(_table(spark, sf_dir, "documents"))
+    return pieces.decoded(ids).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                                      F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op12_polarised_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector on the four strongest components of the integer vectors' covariance, whitened."""
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_limited_accumulators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten best documents for every benchmark item."""
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney_quality": op1_kneser_ney_quality,
     "op2_poisson_mix": op2_poisson_mix,
@@ -93,6 +111,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_multiprobe_search": op8_multiprobe_search,
     "op9_combination_prefix_join": op9_combination_prefix_join,
     "op10_best_fit_pack": op10_best_fit_pack,
+    "op11_piece_merge_rounds": op11_piece_merge_rounds,
+    "op12_polarised_whitening": op12_polarised_whitening,
+    "op13_limited_accumulators": op13_limited_accumulators,
 }
 
 # A MD5-seeded Poisson inversion is plain arithmetic, so SQL states op2 in full; the number of terms is the operator's.
@@ -114,4 +135,24 @@ SELECT doc_id, source, copies, copy_no::INTEGER AS copy_no, round(rate, 9) AS ra
 FROM drawn, unnest(generate_series(0, copies - 1)) AS u(copy_no)
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_poisson_mix": _OP2}
+# Term weights, impacts and scores are plain arithmetic too; SQL scores every document that shares a term with an item.
+_OP13 = r"""
+WITH words AS (SELECT row_number() OVER () AS row, doc_id, unnest(regexp_extract_all(translate(text,
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents),
+tfs AS (SELECT row, doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+lens AS (SELECT row, sum(tf)::BIGINT AS n FROM tfs GROUP BY row),
+stats AS (SELECT count(*) AS docs, sum(n)::BIGINT AS len FROM lens),
+items AS (SELECT item_id, list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS terms FROM benchmark),
+asked AS (SELECT item_id, unnest(terms) AS term FROM items),
+weights AS (SELECT term, floor(1000 * ln((2 * (SELECT docs FROM stats) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM tfs GROUP BY term),
+scores AS (SELECT a.item_id, t.row, t.doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // len))))::BIGINT AS score
+    FROM asked a JOIN tfs t USING (term) JOIN weights USING (term) JOIN lens USING (row) CROSS JOIN stats GROUP BY ALL),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+    FROM scores WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_poisson_mix": _OP2, "op13_limited_accumulators": _OP13}

@@ -52,13 +52,13 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
-def text_batches(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut record batches so that each holds about ``BATCH_BYTES`` of text (one row at least)."""
+def text_batches(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut record batches so that each holds about ``size`` bytes of text (one row at least)."""
     for batch in batches:
         lengths = np.asarray(pc.fill_null(pc.binary_length(batch[column]), 0), dtype=np.int64)
         start, total = 0, 0
         for i, n in enumerate(lengths):
-            if i > start and total + n > BATCH_BYTES:
+            if i > start and total + n > size:
                 yield batch.slice(start, i - start)
                 start, total = i, 0
             total += int(n)
