@@ -20,7 +20,8 @@ from aspectflow.llm.shingles import mix64, text_batches
 
 MODEL = "piece_bpe_32k.model"
 SPACE = 0x2581                # the symbol that stands for a blank
-BATCH_BYTES = 4 << 20         # text that is merged together; a longer text is a batch of its own
+BATCH_BYTES = 2 << 20         # text that is merged together; a longer text is a batch of its own
+CACHE_WORDS = 250_000         # words whose ids a worker keeps; beyond that it keeps those of its last batch
 _NONE = np.int32(2**31 - 1)   # rank of a pair that is no piece
 
 _U = np.uint64
@@ -40,6 +41,38 @@ def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
 
 
+class KnownWords:
+    """Words already merged, by sorted hash: code points, which are compared, and ids, both one after the other."""
+
+    def __init__(self):
+        self.hash = np.empty(0, _U)
+        self.cp, self.ids = np.empty(0, np.uint32), np.empty(0, np.uint32)
+        self.start, self.len, self.id_start, self.id_len = (np.empty(0, np.int64) for _ in range(4))
+
+    def find(self, hashes: np.ndarray, cp: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, whether the word is really there) of each word."""
+        at = np.searchsorted(self.hash, hashes)
+        if not len(self.hash):
+            return at, np.zeros(len(at), bool)
+        near = np.minimum(at, len(self.hash) - 1)
+        hit = (self.hash[near] == hashes) & (self.len[near] == lengths)
+        rows = np.flatnonzero(hit)
+        if len(rows):
+            n = lengths[rows]
+            unlike = self.cp[spans(self.start[near[rows]], n)] != cp[spans(starts[rows], n)]
+            hit[rows] = ~np.logical_or.reduceat(unlike, np.cumsum(n) - n)
+        return at, hit
+
+    def add(self, at: np.ndarray, hashes: np.ndarray, cp: np.ndarray, lengths: np.ndarray, ids: np.ndarray, id_len: np.ndarray) -> None:
+        """Insert words with new hashes, ascending, at the places that :meth:`find` gave."""
+        new = np.append(self.hash, _U(0))[np.minimum(at, len(self.hash))] != hashes if len(self.hash) else np.ones(len(at), bool)
+        self.start = np.insert(self.start, at[new], (len(self.cp) + np.cumsum(lengths) - lengths)[new])
+        self.id_start = np.insert(self.id_start, at[new], (len(self.ids) + np.cumsum(id_len) - id_len)[new])
+        self.len, self.id_len = np.insert(self.len, at[new], lengths[new]), np.insert(self.id_len, at[new], id_len[new])
+        self.hash = np.insert(self.hash, at[new], hashes[new])
+        self.cp, self.ids = np.concatenate([self.cp, cp]), np.concatenate([self.ids, ids])
+
+
 class PieceModel:
     """A BPE model with byte fallback, identity normalisation and a leading space symbol; other kinds are refused."""
 
@@ -77,10 +110,9 @@ class PieceModel:
                     for part in (left, right):      # merging on from a part may come before the next merge into that part
                         if part < size and rank[i] <= rank[part]:
                             alone[part] = True
-        order = np.argsort(np.array(keys, np.int64))
-        self.keys = np.append(np.array(keys, np.int64)[order], np.int64(2**63 - 1))
-        self.merged = np.append(np.array(merged, np.int32)[order], np.int32(0))
+        self._table(np.array(keys, np.int64), np.array(merged, np.int32))
         self.rank, self.alone, self.size = rank, alone, size
+        self.known = KnownWords()
         self.byte_id = np.array([sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)], np.uint32)
         self.cp_of = np.zeros(size + len(symbols) - len(ids), np.int64)
         for s, i in symbols.items():
@@ -95,13 +127,40 @@ class PieceModel:
         self.out_start = np.cumsum(self.out_len) - self.out_len
         self.leads = np.array([not special[i] and names[i].startswith("▁") for i in range(size)])
 
+    def _table(self, keys: np.ndarray, merged: np.ndarray) -> None:
+        """A hash table of pairs, at most an eighth full: a pair stands at its slot or at one of the next ``reach``."""
+        bits = max(4, int(8 * len(keys)).bit_length())
+        self.shift, self.reach = _U(64 - bits), 0
+        self.keys, self.merged = np.full((1 << bits) + 64, -1, np.int64), np.zeros((1 << bits) + 64, np.int32)
+        slot, left = self._slots(keys), np.arange(len(keys))
+        while len(left):
+            free = self.keys[slot] == -1
+            first = np.zeros(len(left), bool)
+            first[np.unique(slot, return_index=True)[1]] = True
+            now = free & first
+            self.keys[slot[now]], self.merged[slot[now]] = keys[left[now]], merged[left[now]]
+            slot, left = slot[~now] + 1, left[~now]
+            self.reach += 1
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(_U) * _BASE) >> self.shift).astype(np.int64)
+
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rank, merged symbol) of each pair; ``_NONE`` where the two are no piece."""
-        key = left.astype(np.int64) << 32 | right.astype(np.int64) & 0xFFFFFFFF
-        at = np.searchsorted(self.keys, key)
-        found = self.keys[at] == key
-        to = np.where(found, self.merged[at], 0)
-        return np.where(found, self.rank[to], _NONE), to
+        rank, to = np.full(len(left), _NONE, np.int32), np.zeros(len(left), np.int32)
+        rows = np.flatnonzero((left >= 0) & (right >= 0))
+        key = left[rows].astype(np.int64) << 32 | right[rows].astype(np.int64)
+        slot = self._slots(key)
+        for _ in range(self.reach):
+            there = self.keys[slot]
+            hit = there == key
+            to[rows[hit]] = self.merged[slot[hit]]
+            rank[rows[hit]] = self.rank[to[rows[hit]]]
+            on = ~hit & (there != -1)
+            if not on.any():
+                break
+            rows, key, slot = rows[on], key[on], slot[on] + 1
+        return rank, to
 
     def merge_words(self, symbol: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Merge the words laid out one after the other until no pair is left: (symbols, lengths) in the same order.
@@ -194,12 +253,8 @@ class PieceModel:
             begins[(np.cumsum(chars) - chars)[filled]] = True
             starts = np.flatnonzero(begins)
             lengths = np.diff(np.append(starts, len(cp)))
-            rep, which = self._distinct(cp, starts, lengths)
-            flat = cp[spans(starts[rep], lengths[rep])].astype(np.int64)
-            symbol = self.symbol_of[flat]
-            symbol = np.where(symbol < 0, -1 - flat, symbol).astype(np.int32)
-            word_ids, word_len = self._ids(*self.merge_words(symbol, lengths[rep]))
-            word_start = np.cumsum(word_len) - word_len
+            rep, which, hashes = self._distinct(cp, starts, lengths)
+            word_ids, word_start, word_len = self._words(cp, starts[rep], lengths[rep], hashes)
             ids = word_ids[spans(word_start[which], word_len[which])]
             text_start = (np.cumsum(chars) - chars)[filled]
             per_text[filled] = np.add.reduceat(word_len[which], np.searchsorted(starts, text_start))
@@ -213,22 +268,52 @@ class PieceModel:
         order = np.lexsort((np.concatenate([np.zeros(len(ends) if bos else 0), np.ones(len(ends) if eos else 0)]), doc))
         return np.insert(ids, places[order], marks[order].astype(np.uint32)), per_text + int(bos) + int(eos)
 
+    def _words(self, cp: np.ndarray, starts: np.ndarray, lengths: np.ndarray, hashes: np.ndarray
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, where each distinct word's ids start, how many they are); words that are known already are not merged again.
+
+        ``hashes`` are those of the first words, ascending; further words share a hash with one of them.
+        """
+        known, k = self.known, len(hashes)
+        at, hit = known.find(hashes, cp, starts[:k], lengths[:k])
+        missed = np.concatenate([np.flatnonzero(~hit), np.arange(k, len(starts))])
+        flat = cp[spans(starts[missed], lengths[missed])]
+        symbol = self.symbol_of[flat]
+        symbol = np.where(symbol < 0, -1 - flat.astype(np.int64), symbol).astype(np.int32)
+        new_ids, new_len = self._ids(*self.merge_words(symbol, lengths[missed]))
+        word_start, word_len = np.empty(len(starts), np.int64), np.empty(len(starts), np.int64)
+        places = at[hit]
+        word_start[:k][hit], word_len[:k][hit] = known.id_start[places], known.id_len[places]
+        word_start[missed], word_len[missed] = len(known.ids) + np.cumsum(new_len) - new_len, new_len
+        ids = np.concatenate([known.ids, new_ids])
+        fresh = int((~hit).sum())
+        if len(known.hash) + fresh > CACHE_WORDS:
+            self.known = known = KnownWords()
+            fresh, missed, at = k, np.arange(k), np.zeros(k, np.int64)
+            flat = cp[spans(starts[:k], lengths[:k])]
+            new_ids, new_len = ids[spans(word_start[:k], word_len[:k])], word_len[:k]
+        else:
+            at = at[~hit]
+        chars = int(lengths[missed[:fresh]].sum())
+        known.add(at, hashes[missed[:fresh]], flat[:chars], lengths[missed[:fresh]], new_ids[: int(new_len[:fresh].sum())], new_len[:fresh])
+        return ids, word_start, word_len
+
     @staticmethod
-    def _distinct(cp: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(one word for each distinct one, which of them each word is), exact: equal hashes are compared."""
+    def _distinct(cp: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(one word for each distinct one, which of them each word is, ascending hashes), exact: equal hashes are compared."""
         powers = np.full(int(lengths.max()), _BASE, _U)
         powers[:1] = 1
         powers = np.cumprod(powers)
         inside = np.arange(len(cp), dtype=np.int64) - np.repeat(starts, lengths)
         hashes = mix64(np.add.reduceat(mix64(cp.astype(_U) + _U(1)) * powers[inside], starts) + lengths.astype(_U))
-        _, rep, which = np.unique(hashes, return_index=True, return_inverse=True)
+        hashes, rep, which = np.unique(hashes, return_index=True, return_inverse=True)
         there = np.minimum(np.repeat(starts[rep[which]], lengths) + inside, len(cp) - 1)
         differs = np.logical_or.reduceat(cp[there] != cp, starts) | (lengths[rep[which]] != lengths)
         if differs.any():                    # a hash collision: such a word stands for itself
             odd = np.flatnonzero(differs)
             which[odd] = len(rep) + np.arange(len(odd))
             rep = np.concatenate([rep, odd])
-        return rep, which
+        return rep, which, hashes
 
     def decode(self, ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
         """UTF-8 of each text: control pieces vanish, the leading space symbol goes, invalid bytes become U+FFFD."""
@@ -295,9 +380,10 @@ def piece_model(path: str) -> PieceModel:
 
 
 def encoded(docs: DataFrame, model: str | None = None, bos: bool = True, eos: bool = True,
-            batch_bytes: int = BATCH_BYTES) -> DataFrame:
+            batch_bytes: int = BATCH_BYTES, decode: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids) of every document; ``ids`` holds little-endian unsigned 32-bit piece ids.
 
+    With ``decode`` a column ``text`` holds what the ids stand for, as :func:`decoded` gives it, in the same pass.
     Null text is the empty text: the begin and end ids alone.  Repeated rows are encoded alike, null ids stay, an empty
     table gives an empty result, and other columns of ``docs`` are not looked at.  Texts are encoded whole, in batches of
     about ``batch_bytes`` of text, so that a task's memory is bounded by that or by its longest text.
@@ -311,10 +397,13 @@ def encoded(docs: DataFrame, model: str | None = None, bos: bool = True, eos: bo
             ends = 4 * np.concatenate([[0], np.cumsum(lengths)])
             column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), [
                 None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids.astype("<u4"))])
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(lengths), column.cast(pa.binary())],
-                                             names=["doc_id", "n_tokens", "ids"])
+            columns = [batch["doc_id"], pa.array(lengths), column.cast(pa.binary())]
+            if decode:
+                columns.append(pa.array(m.decode(ids, lengths), pa.binary()).cast(pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids", "text"][: len(columns)])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return docs.select("doc_id", "text").mapInArrow(
+        run, "doc_id long, n_tokens long, ids binary" + (", text string" if decode else ""))
 
 
 def decoded(rows: DataFrame, model: str | None = None) -> DataFrame:

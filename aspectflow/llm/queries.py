@@ -85,8 +85,8 @@ def op10_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_piece_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every whole text between begin and end id, decoded again; lengths and digests of both."""
-    ids = pieces.encoded(_table(spark, sf_dir, "documents"))
-    return pieces.decoded(ids).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+    ids = pieces.encoded(_table(spark, sf_dir, "documents"), decode=True)
+    return ids.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                                       F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 

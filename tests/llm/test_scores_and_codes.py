@@ -51,10 +51,20 @@ def test_decode_equals_the_library_on_any_ids(library):
 
 def test_equal_hashes_of_unlike_words_are_told_apart(library, monkeypatch):
     monkeypatch.setattr(pieces, "mix64", lambda x: x * np.uint64(0))
-    m, texts = pieces.piece_model(pieces.model_path()), ["one two one", "three one two", "six"]
-    ids, lengths = m.encode(pa.array(texts))
-    want = [i for t in texts for i in library.encode(t, add_bos=True, add_eos=True)]
-    assert ids.tolist() == want
+    m = pieces.PieceModel(pieces.model_path())
+    for texts in (["one two one", "three one two", "six"], ["six two", "ten"], ["one one"], ["ten six a"]):
+        ids, lengths = m.encode(pa.array(texts))
+        assert ids.tolist() == [i for t in texts for i in library.encode(t, add_bos=True, add_eos=True)]
+
+
+def test_known_words_are_bounded_and_exact(library, monkeypatch):
+    monkeypatch.setattr(pieces, "CACHE_WORDS", 40)
+    m, rnd = pieces.PieceModel(pieces.model_path()), random.Random(8)
+    for _ in range(60):
+        texts = [" ".join(rnd.choice("abc") * rnd.randint(1, 12) + rnd.choice("xyz😀") for _ in range(rnd.randint(0, 20))) for _ in range(5)]
+        ids, lengths = m.encode(pa.array(texts))
+        assert ids.tolist() == [i for t in texts for i in library.encode(t, add_bos=True, add_eos=True)]
+        assert (np.diff(m.known.hash.astype(float)) > 0).all()
 
 
 def test_encoded_tables(spark, corpus, no_docs, library):
@@ -67,6 +77,8 @@ def test_encoded_tables(spark, corpus, no_docs, library):
                    for t in texts)
     assert Counter((bytes(r["ids"]), r["text"]) for r in rows) == want
     assert all(4 * r["n_tokens"] == len(r["ids"]) for r in rows)
+    again = pieces.encoded(corpus, batch_bytes=1 << 12, decode=True).unionAll(pieces.encoded(corpus, decode=True))
+    assert Counter((bytes(r["ids"]), r["text"]) for r in again.collect()) == want
     assert pieces.decoded(pieces.encoded(no_docs)).count() == 0
     big = spark.createDataFrame([((1 << 60) + 1, "a"), (None, None), ((1 << 60) + 3, "b")], "doc_id long, text string")
     assert {r["doc_id"] for r in pieces.encoded(big).collect()} == {(1 << 60) + 1, None, (1 << 60) + 3}
