@@ -12,7 +12,7 @@ import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -121,8 +121,11 @@ def read_back(turns: DataFrame, t: Template = CHATML) -> DataFrame:
                     unescaped(loss, t).alias("loss_text"), F.length("formatted").alias("formatted_chars")))
 
 
-def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Stream sorted turns of whole conversations; state is one pair of running hashes, however long."""
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stream sorted turns of whole conversations; state is one pair of running hashes, however long.
+
+    Ids stay Arrow integers, so they are exact beside null ones.
+    """
     key: object = START
     now: list = []
 
@@ -130,12 +133,14 @@ def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         conv, n, turns, loss, chars, total, ok = now
         return [conv, n, turns.hexdigest(), chars, loss.hexdigest(), total, ok]
 
-    columns = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "valid"]
-    for pdf in batches:
+    def given(rows: list[list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, (_, t) in enumerate(DIGESTS)],
+                                          names=[c for c, _ in DIGESTS])
+
+    for batch in batches:
         out = []
-        for null, conv, role, text, loss, chars, ok in zip(pdf["no_id"], pdf["conv_id"], pdf["role"], pdf["text"],
-                                                           pdf["loss_text"], pdf["formatted_chars"], pdf["turn_ok"]):
-            here = None if null else int(conv)
+        for here, role, text, loss, chars, ok in zip(*(batch[c].to_pylist() for c in (
+                "conv_id", "role", "text", "loss_text", "formatted_chars", "turn_ok"))):
             if here != key:
                 if now:
                     out.append(row())
@@ -144,17 +149,23 @@ def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             now[2].update(f"{role}\n{text}\n".encode())
             now[3].update(loss.encode())
             now[4] += len(loss)
-            now[5] += int(chars)
+            now[5] += chars
             now[6] = now[6] and bool(ok)
-        yield pd.DataFrame(out, columns=columns).astype({"conv_id": "Int64"})
+        yield given(out)
     if now:
-        yield pd.DataFrame([row()], columns=columns).astype({"conv_id": "Int64"})
+        yield given([row()])
+
+
+DIGESTS = (("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()),
+           ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("valid", pa.bool_()))
 
 
 def conversation_digests(turns: DataFrame) -> DataFrame:
-    """Per conversation, from the formatted turns alone: counts and digests of what is read back."""
-    sorted_turns = (read_back(turns).withColumn("no_id", F.col("conv_id").isNull())
-                    .repartition("conv_id")
+    """Per conversation, from the formatted turns alone: counts and digests of what is read back.
+
+    A null conv_id is a conversation of its own.  An empty table gives an empty result.
+    """
+    sorted_turns = (read_back(turns).repartition("conv_id")
                     .sortWithinPartitions(F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), "role", "text"))
-    return sorted_turns.mapInPandas(_digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
-                                              "loss_sha256 string, formatted_chars long, valid boolean")
+    return sorted_turns.mapInArrow(_digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
+                                             "loss_sha256 string, formatted_chars long, valid boolean")
