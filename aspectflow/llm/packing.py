@@ -13,7 +13,6 @@ from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +20,7 @@ from pyspark.sql.window import Window
 
 from aspectflow.llm.shingles import text_batches
 from aspectflow.llm.stored import stored
-from aspectflow.llm.tokens import encoder, vocabulary_path
+from aspectflow.llm.tokens import TEXT_BYTES, encoder, vocabulary_path, with_end
 
 CAPACITY = 2048
 END_ID = 0
@@ -71,14 +70,15 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPAC
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, row = encoder(path), 0
-        for batch in text_batches(batches):
+        for batch in text_batches(batches, size=TEXT_BYTES):
             out: list[list] = [[] for _ in range(7)]
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-                ids = np.append(enc.encode(text), np.uint32(end_id)).astype("<u4")
-                for piece, start in enumerate(range(0, len(ids), capacity)):
-                    part = ids[start:start + capacity].tobytes()
+            ids, lengths = with_end(*enc.encode_all(batch["text"]), end_id)
+            data = memoryview(ids).cast("B")
+            for doc_id, end, n in zip(batch["doc_id"].to_pylist(), np.cumsum(lengths).tolist(), lengths.tolist()):
+                for piece, start in enumerate(range(0, n, capacity)):
+                    part = data[4 * (end - n + start):4 * (end - n + min(n, start + capacity))]
                     for column, value in zip(out, (doc_id, row, piece, start, len(part) // 4, zlib.crc32(part),
-                                                   part if with_ids else None)):
+                                                   part.tobytes() if with_ids else None)):
                         column.append(value)
                 row += 1
             yield pa.RecordBatch.from_arrays(
@@ -103,14 +103,13 @@ def packed(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPAC
     dealt = cut.withColumn("lot", F.when(F.col("length") < capacity, F.pmod(
         F.xxhash64("doc_id", "copy", "piece", "ids_crc32"), F.lit(lots))))
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "copy", "piece", "ids_crc32"], kind="stable").reset_index(drop=True)
-        bins, offsets = pack_lengths(pdf["length"].to_numpy(), capacity)
-        return pdf.assign(bin=bins, offset=offsets)
+    def pack(lot: pa.Table) -> pa.Table:               # Arrow keeps ids exact beside null ones
+        lot = lot.sort_by([(c, "ascending") for c in ("doc_id", "copy", "piece", "ids_crc32")])
+        bins, offsets = pack_lengths(lot["length"].to_numpy(), capacity)
+        return lot.drop_columns(["copy"]).append_column("bin", pa.array(bins)).append_column("offset", pa.array(offsets))
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, lot long, bin long, offset long"
-    short = (dealt.where("lot is not null").groupBy("lot")
-             .applyInPandas(lambda pdf: pack(pdf)[["doc_id", "piece", "start", "length", "ids_crc32", "lot", "bin", "offset"]], schema))
+    short = dealt.where("lot is not null").groupBy("lot").applyInArrow(pack, schema)
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     # numbers: bins of lot l are l, l + lots, ...; full pieces count down from -1 by a hash-free unique number
     packed_short = short.withColumn("sequence_id", F.col("bin") * lots + F.col("lot")).select(*columns)
@@ -132,9 +131,10 @@ def sequences(docs: DataFrame, placed: DataFrame, vocabulary: str | None = None,
     same = [left[k].eqNullSafe(right[k]) for k in keys] + [left["_n"] == right["_n"]]
     joined = left.join(right, same).select(left["sequence_id"], left["offset"], left["doc_id"], right["ids"])
 
-    def line(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("offset")
-        ids = np.frombuffer(b"".join(pdf["ids"]), "<u4").astype(np.int32)
-        return pd.DataFrame({"sequence_id": [pdf["sequence_id"].iloc[0]], "ids": [ids], "doc_ids": [pdf["doc_id"].to_numpy()]})
+    def line(parts: pa.Table) -> pa.Table:
+        parts = parts.sort_by("offset")
+        ids = np.frombuffer(b"".join(parts["ids"].to_pylist()), "<u4").astype(np.int32)
+        return pa.table({"sequence_id": parts["sequence_id"].slice(0, 1), "ids": pa.array([ids], pa.list_(pa.int32())),
+                         "doc_ids": pa.array([parts["doc_id"].to_pylist()], pa.list_(pa.int64()))})
 
-    return joined.groupBy("sequence_id").applyInPandas(line, "sequence_id long, ids array<int>, doc_ids array<long>")
+    return joined.groupBy("sequence_id").applyInArrow(line, "sequence_id long, ids array<int>, doc_ids array<long>")

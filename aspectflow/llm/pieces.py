@@ -16,7 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from aspectflow.llm.shingles import mix64, text_batches
+from aspectflow.llm.shingles import text_batches
+from aspectflow.llm.words import BASE, KnownWords, distinct_words, known_or_made, spans
 
 MODEL = "piece_bpe_32k.model"
 SPACE = 0x2581                # the symbol that stands for a blank
@@ -25,7 +26,6 @@ CACHE_WORDS = 250_000         # words whose ids a worker keeps; beyond that it k
 _NONE = np.int32(2**31 - 1)   # rank of a pair that is no piece
 
 _U = np.uint64
-_BASE = _U(0x9E3779B97F4A7C15 | 1)
 
 
 def model_path(name: str = MODEL) -> str:
@@ -35,44 +35,6 @@ def model_path(name: str = MODEL) -> str:
     return public_tokenizers.path(name)
 
 
-def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Indices start, start + 1, ... of all spans, one after the other."""
-    ends = np.cumsum(lengths)
-    return np.arange(ends[-1] if len(ends) else 0, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
-
-
-class KnownWords:
-    """Words already merged, by sorted hash: code points, which are compared, and ids, both one after the other."""
-
-    def __init__(self):
-        self.hash = np.empty(0, _U)
-        self.cp, self.ids = np.empty(0, np.uint32), np.empty(0, np.uint32)
-        self.start, self.len, self.id_start, self.id_len = (np.empty(0, np.int64) for _ in range(4))
-
-    def find(self, hashes: np.ndarray, cp: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place, whether the word is really there) of each word."""
-        at = np.searchsorted(self.hash, hashes)
-        if not len(self.hash):
-            return at, np.zeros(len(at), bool)
-        near = np.minimum(at, len(self.hash) - 1)
-        hit = (self.hash[near] == hashes) & (self.len[near] == lengths)
-        rows = np.flatnonzero(hit)
-        if len(rows):
-            n = lengths[rows]
-            unlike = self.cp[spans(self.start[near[rows]], n)] != cp[spans(starts[rows], n)]
-            hit[rows] = ~np.logical_or.reduceat(unlike, np.cumsum(n) - n)
-        return at, hit
-
-    def add(self, at: np.ndarray, hashes: np.ndarray, cp: np.ndarray, lengths: np.ndarray, ids: np.ndarray, id_len: np.ndarray) -> None:
-        """Insert words with new hashes, ascending, at the places that :meth:`find` gave."""
-        new = np.append(self.hash, _U(0))[np.minimum(at, len(self.hash))] != hashes if len(self.hash) else np.ones(len(at), bool)
-        self.start = np.insert(self.start, at[new], (len(self.cp) + np.cumsum(lengths) - lengths)[new])
-        self.id_start = np.insert(self.id_start, at[new], (len(self.ids) + np.cumsum(id_len) - id_len)[new])
-        self.len, self.id_len = np.insert(self.len, at[new], lengths[new]), np.insert(self.id_len, at[new], id_len[new])
-        self.hash = np.insert(self.hash, at[new], hashes[new])
-        self.cp, self.ids = np.concatenate([self.cp, cp]), np.concatenate([self.ids, ids])
-
-
 class PieceModel:
     """A BPE model with byte fallback, identity normalisation and a leading space symbol; other kinds are refused."""
 
@@ -143,7 +105,7 @@ class PieceModel:
             self.reach += 1
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(_U) * _BASE) >> self.shift).astype(np.int64)
+        return ((keys.astype(_U) * BASE) >> self.shift).astype(np.int64)
 
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rank, merged symbol) of each pair; ``_NONE`` where the two are no piece."""
@@ -238,7 +200,7 @@ class PieceModel:
 
     def encode(self, texts: pa.Array, bos: bool = True, eos: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, ids per text); null is the empty text, which has no leading symbol."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        texts = pc.fill_null(texts, "")
         chars = np.asarray(pc.utf8_length(texts), dtype=np.int64)
         cp = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le"), np.uint32)
         filled = np.flatnonzero(chars)
@@ -253,7 +215,7 @@ class PieceModel:
             begins[(np.cumsum(chars) - chars)[filled]] = True
             starts = np.flatnonzero(begins)
             lengths = np.diff(np.append(starts, len(cp)))
-            rep, which, hashes = self._distinct(cp, starts, lengths)
+            rep, which, hashes = distinct_words(cp, starts, lengths)
             word_ids, word_start, word_len = self._words(cp, starts[rep], lengths[rep], hashes)
             ids = word_ids[spans(word_start[which], word_len[which])]
             text_start = (np.cumsum(chars) - chars)[filled]
@@ -270,50 +232,13 @@ class PieceModel:
 
     def _words(self, cp: np.ndarray, starts: np.ndarray, lengths: np.ndarray, hashes: np.ndarray
                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids, where each distinct word's ids start, how many they are); words that are known already are not merged again.
+        """(ids, where each distinct word's ids start, how many they are); words that are known already are not merged again."""
+        def merge(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            symbol = self.symbol_of[flat]
+            return self._ids(*self.merge_words(np.where(symbol < 0, -1 - flat.astype(np.int64), symbol).astype(np.int32), sizes))
 
-        ``hashes`` are those of the first words, ascending; further words share a hash with one of them.
-        """
-        known, k = self.known, len(hashes)
-        at, hit = known.find(hashes, cp, starts[:k], lengths[:k])
-        missed = np.concatenate([np.flatnonzero(~hit), np.arange(k, len(starts))])
-        flat = cp[spans(starts[missed], lengths[missed])]
-        symbol = self.symbol_of[flat]
-        symbol = np.where(symbol < 0, -1 - flat.astype(np.int64), symbol).astype(np.int32)
-        new_ids, new_len = self._ids(*self.merge_words(symbol, lengths[missed]))
-        word_start, word_len = np.empty(len(starts), np.int64), np.empty(len(starts), np.int64)
-        places = at[hit]
-        word_start[:k][hit], word_len[:k][hit] = known.id_start[places], known.id_len[places]
-        word_start[missed], word_len[missed] = len(known.ids) + np.cumsum(new_len) - new_len, new_len
-        ids = np.concatenate([known.ids, new_ids])
-        fresh = int((~hit).sum())
-        if len(known.hash) + fresh > CACHE_WORDS:
-            self.known = known = KnownWords()
-            fresh, missed, at = k, np.arange(k), np.zeros(k, np.int64)
-            flat = cp[spans(starts[:k], lengths[:k])]
-            new_ids, new_len = ids[spans(word_start[:k], word_len[:k])], word_len[:k]
-        else:
-            at = at[~hit]
-        chars = int(lengths[missed[:fresh]].sum())
-        known.add(at, hashes[missed[:fresh]], flat[:chars], lengths[missed[:fresh]], new_ids[: int(new_len[:fresh].sum())], new_len[:fresh])
-        return ids, word_start, word_len
-
-    @staticmethod
-    def _distinct(cp: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(one word for each distinct one, which of them each word is, ascending hashes), exact: equal hashes are compared."""
-        powers = np.full(int(lengths.max()), _BASE, _U)
-        powers[:1] = 1
-        powers = np.cumprod(powers)
-        inside = np.arange(len(cp), dtype=np.int64) - np.repeat(starts, lengths)
-        hashes = mix64(np.add.reduceat(mix64(cp.astype(_U) + _U(1)) * powers[inside], starts) + lengths.astype(_U))
-        hashes, rep, which = np.unique(hashes, return_index=True, return_inverse=True)
-        there = np.minimum(np.repeat(starts[rep[which]], lengths) + inside, len(cp) - 1)
-        differs = np.logical_or.reduceat(cp[there] != cp, starts) | (lengths[rep[which]] != lengths)
-        if differs.any():                    # a hash collision: such a word stands for itself
-            odd = np.flatnonzero(differs)
-            which[odd] = len(rep) + np.arange(len(odd))
-            rep = np.concatenate([rep, odd])
-        return rep, which, hashes
+        self.known, *out = known_or_made(self.known, cp, starts, lengths, hashes, merge, CACHE_WORDS)
+        return tuple(out)
 
     def decode(self, ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
         """UTF-8 of each text: control pieces vanish, the leading space symbol goes, invalid bytes become U+FFFD."""

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from aspectflow.llm.shingles import text_batches
-from aspectflow.llm.tokens import encoder, vocabulary_path
+from aspectflow.llm.tokens import TEXT_BYTES, encoder, vocabulary_path, with_end
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 20
@@ -183,11 +183,11 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)],
                                               names=["shard", "block", "start_in_shard", "n_tokens", "n_docs", "payload"])
 
-        for batch in text_batches(batches):
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-                tokens = np.append(enc.encode(text), np.uint32(end_id))
-                if len(tokens) and int(tokens.max()) >> bits:
-                    raise ValueError(f"an id needs more than {bits} bits")
+        for batch in text_batches(batches, size=TEXT_BYTES):
+            flat, lengths = with_end(*enc.encode_all(batch["text"]), end_id)
+            if len(flat) and int(flat.max()) >> bits:
+                raise ValueError(f"an id needs more than {bits} bits")
+            for doc_id, tokens in zip(batch["doc_id"].to_pylist(), np.split(flat, np.cumsum(lengths)[:-1])):
                 ids.append(doc_id)
                 arrays.append(tokens)
                 state["n"] += len(tokens)

@@ -1,23 +1,38 @@
 """Whole-text tokenization with a public BPE vocabulary, and cutting id sequences into binary columns.
 
 The vocabulary lower-cases and drops white space, so a text's ids are the ids of its white-space separated chunks in
-order.  Chunks repeat, so each worker keeps a bounded cache; plain words go straight to the BPE model.
+order.  Chunks repeat, so a batch encodes distinct ones only, and each worker keeps a bounded number of them.
 """
 
 from __future__ import annotations
 
-import gc
 import re
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from aspectflow.llm.words import KnownWords, distinct_words, known_or_made, spans
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE_ENTRIES = 150_000       # in either of two generations
+CACHE_ENTRIES = 500_000
+TEXT_BYTES = 2 << 20           # text that is split together; a longer text is a batch of its own
 
 _WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*#%&$()|\"-]*)\Z")
-_ODD_SPACE = re.compile("[\x1c-\x1f]")     # str.split() takes these for white space, the vocabulary's rules don't
-_RUN = re.compile(r"[^A-Za-z0-9À-ÖØ-öø-ÿ \n][.,]")     # a point or comma that may go on a run of marks, which is one piece
+
+
+def _flags(text: str) -> np.ndarray:
+    flags = np.zeros(0x110000, bool)
+    flags[[ord(c) for c in text]] = True
+    return flags
+
+
+# only what splits by any rule of the vocabulary; other white space stays inside a chunk and is left to the library
+_BLANK = _flags(" \t\n\r")
+_POINT = _flags(".,")
+# a point or comma after one of these starts a piece of its own, so that words repeat more
+_BEFORE_POINT = _flags("".join(chr(c) for c in range(0x30, 0x100) if re.match("[A-Za-z0-9À-ÖØ-öø-ÿ]", chr(c))))
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -27,61 +42,93 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-class ChunkEncoder(dict):
-    """Maps a chunk (no white space inside) to its tuple of ids.
+class ChunkEncoder:
+    """Whole-text encoding by a vocabulary file: the ids of a text are those of its chunks in order.
 
-    Two generations bound the memory and keep what is in use: when the current one is full it becomes the older
-    one, from which chunks are taken back when they are met again.
+    A batch of texts is split into chunks on one flat array of code points, and the library encodes each distinct
+    chunk once.  Ids of chunks are kept over batches, up to ``CACHE_ENTRIES`` of them; beyond that those of the last
+    batch stay.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         letters = [chr(c) for c in range(0xDF, 0x100) if c != 0xF7]
-        self.older: dict[str, tuple[int, ...]] = {}
         self.bytes_of = {ord(c): level.pre_tokenize_str(c)[0][0] for c in letters}
+        self.known = KnownWords()
+        self.parts: dict[str, list[int]] = {}
 
-    def slowly(self, text: str) -> tuple[int, ...]:
-        return tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
+    def slowly(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def of_marked(self, chunk: str) -> tuple[int, ...]:
-        """A chunk with capitals, accents or marks: a plain word is lower-cased and marks after it are split off."""
+    def chunk(self, chunk: str) -> list[int]:
+        """Ids of one chunk: a plain word is lower-cased and goes straight to the model, marks after it are split off."""
+        if chunk.isascii() and chunk.isalpha() and chunk.islower():
+            return [t.id for t in self.model.tokenize(chunk)]
         word = _WORD.match(chunk)
         if word is None:
             return self.slowly(chunk)
         if word[2]:
-            return self[word[1]] + self[word[2]]
+            return self.part(word[1]) + self.part(word[2])
         lower = chunk.lower()
-        return self[lower] if lower != chunk else tuple([t.id for t in self.model.tokenize(chunk.translate(self.bytes_of))])
+        return self.part(lower) if lower != chunk else [t.id for t in self.model.tokenize(chunk.translate(self.bytes_of))]
 
-    def __missing__(self, chunk: str) -> tuple[int, ...]:
-        ids = self.older.get(chunk)
+    def part(self, part: str) -> list[int]:
+        """Ids of a part of a chunk, kept while there are few."""
+        ids = self.parts.get(part)
         if ids is None:
-            if chunk.isascii() and chunk.isalpha() and chunk.islower():
-                ids = tuple([t.id for t in self.model.tokenize(chunk)])
-            else:
-                ids = self.of_marked(chunk)
-        if len(self) >= CACHE_ENTRIES:
-            self.older = dict(self)
-            self.clear()
-        self[chunk] = ids
+            if len(self.parts) >= CACHE_ENTRIES // 4:
+                self.parts.clear()
+            ids = self.parts[part] = self.chunk(part)
         return ids
 
+    def _chunks(self, cp: np.ndarray, starts: np.ndarray, lengths: np.ndarray, hashes: np.ndarray
+                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, where each distinct chunk's ids start, how many they are)."""
+        def library(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            text = flat.astype("<u4").tobytes().decode("utf-32-le")
+            ends = np.cumsum(sizes)
+            model, chunk = self.model.tokenize, self.chunk
+            words = [text[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist())]
+            found = [[t.id for t in model(w)] if w.isascii() and w.isalpha() and w.islower() else chunk(w) for w in words]
+            counts = np.fromiter(map(len, found), np.int64, len(found))
+            return np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())), counts
+
+        self.known, *out = known_or_made(self.known, cp, starts, lengths, hashes, library, CACHE_ENTRIES)
+        return tuple(out)
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all whole texts one after the other, ids per text); a null text has none."""
+        texts = pc.fill_null(texts, "")
+        chars = np.asarray(pc.utf8_length(texts), dtype=np.int64)
+        cp = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le"), np.uint32)
+        ends = np.cumsum(chars)
+        blank = _BLANK[cp]
+        begins = ~blank
+        fresh = np.ones(len(cp), bool)               # a chunk may start here: after a blank, at a text's start, at a point
+        fresh[1:] = blank[:-1] | (_POINT[cp[1:]] & _BEFORE_POINT[cp[:-1]])
+        fresh[(ends - chars)[chars > 0]] = True
+        starts = np.flatnonzero(begins & fresh)
+        if not len(starts):
+            return np.empty(0, np.uint32), np.zeros(len(chars), np.int64)
+        stops = fresh | blank
+        stops = np.append(np.flatnonzero(stops), len(cp))
+        lengths = stops[np.searchsorted(stops, starts, side="right")] - starts
+        dense = cp[spans(starts, lengths)]           # chunks without the blanks
+        at = np.cumsum(lengths) - lengths
+        rep, which, hashes = distinct_words(dense, at, lengths)
+        ids, id_start, id_len = self._chunks(dense, at[rep], lengths[rep], hashes)
+        out = ids[spans(id_start[which], id_len[which])]
+        owner = np.searchsorted(ends, starts, side="right")
+        return out, np.bincount(owner, weights=id_len[which], minlength=len(chars)).astype(np.int64)
+
     def encode(self, text: str | None) -> np.ndarray:
-        """All ids of the whole text; a null text has none."""
-        if not text:
-            return np.empty(0, np.uint32)
-        if text.isascii() and "<|" not in text:     # strings of special tokens count in lower case only
-            text = text.lower()
-        if _RUN.search(text) is None:        # then points and commas are pieces of their own, and words repeat more
-            text = text.replace(".", " .").replace(",", " ,")
-        chunks = text.split() if _ODD_SPACE.search(text) is None else re.split(r"[ \t\n\r]+", text)
-        return np.fromiter(chain.from_iterable(map(self.__getitem__, filter(None, chunks))), dtype=np.uint32)
+        """All ids of one whole text."""
+        return self.encode_all(pa.array([text], pa.string()))[0]
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
@@ -90,6 +137,10 @@ _ENCODERS: dict[str, ChunkEncoder] = {}
 def encoder(path: str) -> ChunkEncoder:
     """The worker's encoder for a vocabulary file, loaded once."""
     if path not in _ENCODERS:
-        gc.set_threshold(200_000, 50, 1000)      # caches of tuples are no garbage; don't walk them all the time
         _ENCODERS[path] = ChunkEncoder(path)
     return _ENCODERS[path]
+
+
+def with_end(ids: np.ndarray, lengths: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same with ``end_id`` after each text."""
+    return np.insert(ids, np.cumsum(lengths), np.uint32(end_id)).astype("<u4"), lengths + 1

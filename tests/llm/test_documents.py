@@ -7,6 +7,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -256,6 +257,9 @@ def test_chunk_encoder_equals_the_tokenizer(monkeypatch):
     for t in texts:
         assert mine.encode(t).tolist() == theirs.encode(t, add_special_tokens=False).ids, repr(t)
     assert mine.encode(None).tolist() == []
+    ids, lengths = mine.encode_all(pa.array([None, *texts, None]))
+    want = [[], *(theirs.encode(t, add_special_tokens=False).ids for t in texts), []]
+    assert lengths.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
 def test_wavelet_matrix_answers():
@@ -290,6 +294,19 @@ def test_token_files_round_trip(spark, corpus, no_docs, scratch):
     assert token_files.read_documents(spark.read.schema(token_files.BLOCKS).parquet(f"{scratch}/none")).count() == 0
 
 
+def test_ids_above_double_precision_beside_null(spark, scratch):
+    big = [(1 << 60) + 1, None, (1 << 60) + 3, (1 << 53) + 1]
+    docs = spark.createDataFrame([(i, f"text {k}") for k, i in enumerate(big)], "doc_id long, text string").coalesce(1)
+    placed = packing.packed(docs)
+    assert Counter(r.doc_id for r in placed.collect()) == Counter(big)
+    assert Counter(i for r in packing.sequences(docs, placed).collect() for i in r.doc_ids) == Counter(big)
+    token_files.write_token_files(docs, f"{scratch}/big")
+    assert Counter(r.doc_id for r in token_files.read_documents(spark.read.parquet(f"{scratch}/big")).collect()) == Counter(big)
+    turns = spark.createDataFrame([(i, 0, "user", f"text {k}") for k, i in enumerate(big)], "conv_id long, turn long, role string, text string")
+    got = chat.conversation_digests(chat.formatted(turns).coalesce(1)).collect()
+    assert Counter((r.conv_id, r.n_turns) for r in got) == Counter((i, 1) for i in big)
+
+
 def test_lengths_pack_well():
     rng = np.random.default_rng(0)
     for lengths in ([], [2048], [1, 1, 1], [1025, 1023, 700, 690, 683, 682], rng.integers(1, 2048, 3000), rng.integers(600, 1100, 500)):
