@@ -1,9 +1,9 @@
 """Text normalisation as native column expressions (STR-1..5).
 
-Built from ``lower``, ``regexp_replace``, ``translate``, ``split`` and
-higher-order ``filter``.  Tone removal hands texts with characters that depend
-on their neighbours to an Arrow UDF; the table-level cleaners of
-``operators.vocab`` run their whitelist pass in Arrow batches.
+Built from ``lower``, ``regexp_replace``, ``btrim``, ``split`` and higher-order
+``filter``.  Tone removal hands texts beyond ASCII to vectorised Arrow kernels;
+the table-level cleaners of ``operators.vocab`` run their whitelist pass in
+Arrow batches.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 import unicodedata
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -153,72 +153,44 @@ def clean(col, remove_tones: bool = False, remove_noise: bool = True) -> Column:
 
 
 @lru_cache(maxsize=1)
-def tone_table() -> tuple[str, str]:
-    """Translate table for precomposed letters, built from the Unicode rule
-    NFC(strip_marks(NFD(c))) over the Basic Multilingual Plane."""
-    src, dst = [], []
-    for cp in range(0x00C0, 0x10000):
-        if 0xD800 <= cp <= 0xDFFF:
-            continue
-        ch = chr(cp)
-        nfd = unicodedata.normalize("NFD", ch)
-        if nfd == ch:
-            continue
-        kept = "".join(x for x in nfd if not COMBINING_LOW <= ord(x) <= COMBINING_HIGH)
-        out = unicodedata.normalize("NFC", kept)
-        if out != ch and len(out) == 1:
-            src.append(ch)
-            dst.append(out)
-    return "".join(src), "".join(dst)
-
-
-def _stripped(text: str) -> str:
-    nfd = unicodedata.normalize("NFD", text)
-    return unicodedata.normalize("NFC", "".join(x for x in nfd if not COMBINING_LOW <= ord(x) <= COMBINING_HIGH))
-
-
-@lru_cache(maxsize=1)
-def _not_by_character() -> str:
-    """Regex class of characters for which the character table is not the whole rule: marks outside the dropped
-    range (they reorder), characters that compose with the one before, and letters with other results than one
-    character of the Basic Multilingual Plane."""
-    known = set(tone_table()[0])
-    hard = {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}           # vowels and finals of Hangul syllables
+def composing_re2() -> str:
+    """RE2 class of the characters that can compose with the one before, less the dropped marks: second
+    characters of canonical decompositions, and vowels and finals of Hangul syllables."""
+    seconds = {chr(c) for c in [*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)]}
     for cp in range(0x80, 0x110000):
-        ch = chr(cp)
-        if 0xD800 <= cp <= 0xDFFF or COMBINING_LOW <= cp <= COMBINING_HIGH:
-            continue
-        parts = unicodedata.decomposition(ch)
+        parts = unicodedata.decomposition(chr(cp))
         if parts and not parts.startswith("<"):
-            cps = [int(x, 16) for x in parts.split()]
-            hard.update(x for x in cps[1:] if not COMBINING_LOW <= x <= COMBINING_HIGH)
-        if unicodedata.combining(ch) or (ch not in known and _stripped(ch) != ch):
-            hard.add(cp)
-    ranges, cps = [], sorted(hard)
-    for cp in cps:
-        if ranges and ranges[-1][1] == cp - 1:
-            ranges[-1][1] = cp
-        else:
-            ranges.append([cp, cp])
-    return "[" + "".join(f"\\x{{{lo:X}}}-\\x{{{hi:X}}}" for lo, hi in ranges) + "]"
+            seconds.update(chr(int(x, 16)) for x in parts.split()[1:])
+    return "[" + _ranges({c for c in seconds if not COMBINING_LOW <= ord(c) <= COMBINING_HIGH}) + "]"
 
 
-@F.pandas_udf(StringType())
-def _stripped_texts(texts: pd.Series) -> pd.Series:
-    return texts.map(_stripped, na_action="ignore")
+@F.arrow_udf(StringType())
+def _without_marks(texts: pa.Array) -> pa.Array:
+    """NFD, U+0300..U+036F dropped, NFC, as vectorised kernels over a whole batch.
+
+    What the first two give is composed already unless a character is left that composes with the one before
+    (Indic vowel signs, Hangul in parts, ...); only texts that hold one are composed one by one, as Arrow has no
+    kernel for it.
+    """
+    import pyarrow.compute as pc
+
+    apart = pc.utf8_normalize(texts, form="NFD")
+    kept = pc.replace_substring_regex(apart, pattern=f"[{chr(COMBINING_LOW)}-{chr(COMBINING_HIGH)}]", replacement="")
+    loose = pc.fill_null(pc.match_substring_regex(kept, composing_re2()), False)
+    if not pc.any(loose).as_py():
+        return kept
+    composed = [unicodedata.normalize("NFC", t) for t in kept.filter(loose).to_pylist()]
+    return pc.replace_with_mask(kept, loose, pa.array(composed, kept.type))
 
 
 def remove_tone(col) -> Column:
     """STR-3: NFD, drop U+0300..U+036F, NFC (đ stays).
 
-    A character table and one regex, native, for texts whose characters are all independent of their neighbours
-    under that rule; texts with others (Hangul in parts, Indic signs, ...) take the rule itself, in Arrow batches.
+    ASCII text is its own result and never leaves the JVM; other texts take the rule itself in Arrow batches.
     """
     text = _c(col)
-    hard = text.rlike(_not_by_character())
-    src, dst = tone_table()
-    native = F.regexp_replace(F.translate(text, src, dst), r"[\u0300-\u036f]", "")
-    return F.when(hard, _stripped_texts(F.when(hard, text))).otherwise(native)
+    beyond = text.rlike(r"[^\x00-\x7F]")
+    return F.when(beyond, _without_marks(F.when(beyond, text))).otherwise(text)
 
 
 def normalise_spaces(col) -> Column:

@@ -141,22 +141,36 @@ def vocab_from_top(top: DataFrame) -> DataFrame:
 def build_vocab(clean_docs: DataFrame, max_vocab: int = MAX_VOCAB, id_col: str = "doc_id",
                 text_col: str = "clean_text") -> DataFrame:
     """Vocabulary (token, id) from cleaned texts; at most max_vocab + 2 rows.
-    ``clean_docs`` is read twice (counts, then first positions): pass a stored table."""
+    ``clean_docs`` is read twice (counts, then documents with ties): pass a stored table."""
     return vocab_from_top(top_of_texts(clean_docs, max_vocab, id_col, text_col))
 
 
 def top_of_texts(clean_docs: DataFrame, k: int, id_col: str = "doc_id",
                  text_col: str = "clean_text") -> DataFrame:
-    """TOP-1/2 over whole texts: counts first (one shuffle of partial sums), then
-    first positions only for tokens at or above the k-th count."""
+    """TOP-1/2 over whole texts: count and first document of every token in one
+    shuffle of partial sums.  Only tokens that share both with another one need
+    their place in that document: the documents concerned are read again."""
     tokens = token_positions(clean_docs, id_col, text_col)
-    counts = cut_lineage_columnar(token_counts(tokens, id_col, with_first=False), "token_counts")
-    least = counts.orderBy(F.col("cnt").desc()).limit(k).agg(F.min("cnt")).first()[0]
-    chosen = counts.where(F.col("cnt") >= F.lit(least))
-    firsts = (tokens.join(chosen.select("token"), "token", "left_semi")
-              .groupBy("token", id_col).agg(F.min("pos").alias("_p"))
-              .groupBy("token").agg(F.struct(F.min(id_col).alias("doc"), F.min_by("_p", id_col).alias("pos")).alias("first")))
-    return top_tokens(chosen.join(firsts, "token"), k)
+    counts = cut_lineage_columnar(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("cnt"), F.min(id_col).alias("doc")),
+                                  "token_counts")
+    last = counts.orderBy(F.col("cnt").desc(), F.col("doc").asc_nulls_first()).limit(k) \
+        .orderBy(F.col("cnt").asc(), F.col("doc").desc_nulls_last()).limit(1).collect()
+    if not last:
+        return top_tokens(counts.select("token", "cnt", F.struct(F.col("doc"), F.lit(0).alias("pos")).alias("first")), k)
+    cnt, doc = last[0]["cnt"], last[0]["doc"]
+    early = F.col("doc").isNull() if doc is None else F.col("doc").isNull() | (F.col("doc") <= F.lit(doc))
+    # k tokens, and what ties with the k-th: tokens of one document
+    chosen = cut_lineage_columnar(counts.where((F.col("cnt") > cnt) | ((F.col("cnt") == cnt) & early)), "top_tokens")
+    unsure = (chosen.groupBy("cnt", "doc").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+              .select(F.col("cnt").alias("_cnt"), F.col("doc").alias("_doc")))
+    asked = chosen.join(unsure, (F.col("cnt") == F.col("_cnt")) & F.col("doc").eqNullSafe(F.col("_doc"))) \
+        .select(F.col("token").alias("_token"), "_doc")
+    reread = clean_docs.join(unsure.select("_doc").distinct(), F.col(id_col).eqNullSafe(F.col("_doc")), "left_semi")
+    places = (token_positions(reread, id_col, text_col)
+              .join(asked, (F.col("token") == F.col("_token")) & F.col(id_col).eqNullSafe(F.col("_doc")))
+              .groupBy("_token").agg(F.min("pos").alias("pos")))
+    placed = chosen.join(places, F.col("token") == F.col("_token"), "left")
+    return top_tokens(placed.select("token", "cnt", F.struct("doc", F.coalesce("pos", F.lit(0)).alias("pos")).alias("first")), k)
 
 
 def vocab_sizes(counts: DataFrame, max_vocab: int = MAX_VOCAB) -> DataFrame:

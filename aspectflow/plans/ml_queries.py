@@ -30,9 +30,18 @@ def _holdout() -> F.Column:
     return F.conv(F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 8), 16, 10).cast("long") % FOLDS == 0
 
 
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    """The texts over as many tasks as a shuffle has (the table may be one row group)."""
+    return load(spark, d, "documents", partitions=int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _stored_clean_docs(spark: SparkSession, d: str) -> DataFrame:
+    return cut_lineage_columnar(V.cleaned(_documents(spark, d), keep=["doc_id"]), "clean_docs")
+
+
 def _labelled(spark: SparkSession, d: str) -> DataFrame:
     """Labelled documents with cleaned text, stored once as columns."""
-    docs = load(spark, d, "documents").select("doc_id", "text")
+    docs = _documents(spark, d).select("doc_id", "text")
     lab = load(spark, d, "labels").select("doc_id", *[(F.col(a) + 1).cast("int").alias(a) for a in METRIC_ASPECTS])
     clean = V.cleaned(docs.join(lab, "doc_id"), "text", keep=["doc_id", *METRIC_ASPECTS])
     return cut_lineage_columnar(clean.withColumn("held_out", _holdout()), "labelled")
@@ -49,7 +58,7 @@ def q_train_score(spark: SparkSession, d: str) -> DataFrame:
     through the UDF; the two must agree."""
     labelled = _labelled(spark, d)
     model = _fitted(labelled)
-    docs = cut_lineage_columnar(V.cleaned(load(spark, d, "documents"), keep=["doc_id"]), "clean_docs")
+    docs = _stored_clean_docs(spark, d)
     native = H.score(docs, model, text_col="clean_text", keep=["doc_id", "clean_text"], cleaned=True)
     by_udf = H.scoring_udf(model)(F.coalesce("clean_text", F.lit("")))
     differ = sum([F.col(a).eqNullSafe(F.get("_udf", i)).cast("int") for i, a in enumerate(METRIC_ASPECTS)], F.lit(0))
@@ -106,7 +115,7 @@ def weight(word_id, head: int, label: int):
 
 def q_score_udf(spark: SparkSession, d: str) -> DataFrame:
     """UDF-1/3: heads with integer weights from the vocabulary ids, scored by the Arrow UDF."""
-    docs = cut_lineage_columnar(V.cleaned(load(spark, d, "documents"), keep=["doc_id"]), "clean_docs")
+    docs = _stored_clean_docs(spark, d)
     words = H.vocab_words(V.build_vocab(docs, MAX_VOCAB))
     ids = np.arange(len(words), dtype=np.int64) + 2
     w = np.array([[weight(ids, h, c) for c in range(NUM_CLASSES)] for h in range(len(METRIC_ASPECTS))], dtype=float)
@@ -116,7 +125,7 @@ def q_score_udf(spark: SparkSession, d: str) -> DataFrame:
 
 def q_score_native(spark: SparkSession, d: str) -> DataFrame:
     """The same heads in native expressions: ids in a row, one sum per head and class, first largest."""
-    docs = cut_lineage_columnar(V.cleaned(load(spark, d, "documents"), keep=["doc_id"]), "clean_docs")
+    docs = _stored_clean_docs(spark, d)
     enc = V.encode(docs, V.build_vocab(docs, MAX_VOCAB)).select("doc_id", F.filter("ids", lambda x: x >= 2).alias("ids"))
 
     def total(head: int, label: int) -> F.Column:

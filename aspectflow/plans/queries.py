@@ -49,8 +49,14 @@ def q_sentiment_totals(spark, d):
 
 # --- text --------------------------------------------------------------------
 
+def _documents(spark, d):
+    """The texts, spread over as many tasks as a shuffle has: heavy work on a table
+    that may be one row group.  The number follows the cluster's setting."""
+    return load(spark, d, "documents", partitions=int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _clean_docs(spark, d):
-    return vocab.cleaned(load(spark, d, "documents"))
+    return vocab.cleaned(_documents(spark, d))
 
 
 def q_text_clean(spark, d):
@@ -58,7 +64,7 @@ def q_text_clean(spark, d):
 
 
 def q_tone_strip(spark, d):
-    docs = load(spark, d, "documents")
+    docs = _documents(spark, d)
     return docs.select("doc_id", remove_tone("text").alias("plain_text"))
 
 
@@ -257,7 +263,7 @@ def q_resize_height(spark, d):
 # --- codecs and messages ------------------------------------------------------
 
 def q_base64_roundtrip(spark, d):
-    docs = load(spark, d, "documents")
+    docs = _documents(spark, d)
     b64 = b64_encode(F.encode("text", "UTF-8"))
     back = F.decode(b64_decode(b64), "UTF-8")
     return docs.select("doc_id", b64.alias("b64"), (back == F.col("text")).alias("roundtrip_ok"))

@@ -108,9 +108,15 @@ def ensure_table(spark: SparkSession, name: str, ddl: str, location: str,
 
 
 def reset_table(spark: SparkSession, name: str) -> None:
-    """SNK-10: empty a table, keeping its definition."""
-    df = spark.table(name)
-    spark.createDataFrame([], df.schema).write.mode("overwrite").insertInto(name, overwrite=True)
+    """SNK-10: empty a table, keeping its definition.
+
+    An overwrite with no rows empties a partitioned table only if it isn't dynamic, so it runs in a session
+    of its own with that setting, whatever the caller's says."""
+    own = spark.newSession()
+    own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    own.createDataFrame([], own.table(name).schema).write.insertInto(name, overwrite=True)
+    spark.catalog.refreshTable(name)
 
 
 def purge_partition(spark: SparkSession, path: str, column: str, value: str) -> bool:

@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import json
 import logging
+import threading
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -118,7 +120,8 @@ def batch_sink(path: str, partition_cols=(), fmt: str = "parquet",
     and Spark replays the batch.  With ``dead_letter_path`` the batch is
     instead kept there (tagged with stream, batch id and the whole error, in a
     partition of its own that a replay overwrites) and the stream moves on -
-    the data is kept, never silently dropped.  ``table`` names the catalog
+    the data is kept, never silently dropped.  Only a failed write is a dead
+    letter: a batch that is in the table is never there too.  ``table`` names the catalog
     table at ``path``; the new partitions are made known to it.
     """
     def _write(batch: DataFrame, batch_id: int, stream_id: str) -> None:
@@ -138,14 +141,17 @@ def batch_sink(path: str, partition_cols=(), fmt: str = "parquet",
             try:
                 store(tagged.observe(obs, F.count(F.lit(1)).alias("rows")), path, tuple(partition_cols))
                 rows = obs.get["rows"]
-                if table is not None:
-                    add_partitions(tagged, table, [*partition_cols, "stream_id", "batch_id"])
             except Exception as exc:  # noqa: BLE001 - routed or re-raised below
                 if dead_letter_path is None:
                     raise
                 log.error("batch %s: write failed, kept in %s: %s", batch_id, dead_letter_path, exc)
                 store(tagged.withColumn("error", F.lit(str(exc))), dead_letter_path, ())
                 rows = 0
+            else:
+                # a step of its own: the rows are stored, so its failure is no dead letter but a replay of the
+                # batch, which overwrites them
+                if table is not None:
+                    add_partitions(tagged, table, [*partition_cols, "stream_id", "batch_id"])
             log.info("batch %s: %s rows written to %s", batch_id, rows, path)
             if on_batch is not None:
                 on_batch(batch_id, rows, preview)
@@ -211,8 +217,11 @@ def drain(query: StreamingQuery, timeout: float | None = None) -> None:
 class ProgressCollector:
     """STM-8: a ``StreamingQueryListener`` that records every progress event.
 
-    With ``path`` the events are appended to a table there, ``flush_every`` at
-    a time and at :meth:`close`; without it they stay in the driver's memory."""
+    With ``path`` the events are stored in a table there, ``flush_every`` at
+    a time and at :meth:`close`; without it they stay in the driver's memory.
+    The listener's thread and the caller's may flush at the same time: events
+    are taken out under a lock, each flush writes a folder of its own, and
+    events whose write failed are put back."""
 
     SCHEMA = "query_id string, batch_id long, input_rows long, input_rate double, process_rate double"
 
@@ -221,6 +230,7 @@ class ProgressCollector:
 
         collector = self
         self.spark, self.path, self.flush_every, self.events, self.terminated = spark, path, flush_every, [], []
+        self._lock = threading.RLock()
 
         class _Listener(StreamingQueryListener):
             def onQueryStarted(self, event):  # noqa: N802 - Spark callback names
@@ -228,10 +238,7 @@ class ProgressCollector:
 
             def onQueryProgress(self, event):  # noqa: N802
                 p = event.progress
-                collector.events.append((str(p.id), p.batchId, p.numInputRows,
-                                         p.inputRowsPerSecond, p.processedRowsPerSecond))
-                if collector.path and len(collector.events) >= collector.flush_every:
-                    collector.flush()
+                collector.add((str(p.id), p.batchId, p.numInputRows, p.inputRowsPerSecond, p.processedRowsPerSecond))
 
             def onQueryIdle(self, event):  # noqa: N802
                 pass
@@ -242,18 +249,35 @@ class ProgressCollector:
         self.listener = _Listener()
         spark.streams.addListener(self.listener)
 
+    def add(self, event: tuple) -> None:
+        with self._lock:
+            self.events.append(event)
+            full = self.path is not None and len(self.events) >= self.flush_every
+        if full:
+            self.flush()
+
     def flush(self) -> None:
-        """Append what has been collected to the table."""
-        if self.path and self.events:
-            n = len(self.events)
-            self.spark.createDataFrame(self.events[:n], self.SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
-            del self.events[:n]
+        """Store what has been collected."""
+        if not self.path:
+            return
+        with self._lock:          # one writer; the events belong to it before it starts
+            taken, self.events = self.events, []
+            if not taken:
+                return
+            try:
+                (self.spark.createDataFrame(taken, self.SCHEMA).coalesce(1)
+                 .write.parquet(f"{self.path.rstrip('/')}/flush={uuid.uuid4().hex}"))
+            except Exception:
+                self.events = taken + self.events
+                raise
 
     def frame(self) -> DataFrame:
+        """All events so far."""
         self.flush()
-        if self.path and not self.events:
-            return self.spark.read.schema(self.SCHEMA).parquet(self.path)
-        return self.spark.createDataFrame(list(self.events), self.SCHEMA)
+        if self.path and path_exists(self.spark, self.path):
+            return self.spark.read.schema(f"{self.SCHEMA}, flush string").parquet(self.path).drop("flush")
+        with self._lock:
+            return self.spark.createDataFrame(list(self.events), self.SCHEMA)
 
     def close(self) -> None:
         self.flush()

@@ -66,6 +66,65 @@ def test_progress_goes_to_a_table(spark, scratch):
     assert spark.read.parquet(f"{scratch}/progress").where("input_rows > 0").select("batch_id").distinct().count() == 3
 
 
+def test_progress_of_two_threads_is_stored_once(spark, scratch):
+    """The listener's thread and the caller's add and flush at once: every event is stored exactly once."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    collector = P.ProgressCollector(spark, f"{scratch}/progress", flush_every=7)
+    try:
+        def add(worker):
+            for i in range(60):
+                collector.add((f"q{worker}", i, 1, 1.0, 1.0))
+                if i % 20 == 0:
+                    collector.frame()
+        with ThreadPoolExecutor(3) as pool:
+            list(pool.map(add, range(3)))
+        out = collector.frame()
+        assert out.count() == 180 and out.select("query_id", "batch_id").distinct().count() == 180
+    finally:
+        collector.close()
+
+
+def test_events_of_a_failed_flush_are_kept(spark, scratch):
+    with open(f"{scratch}/file", "w") as f:
+        f.write("x")
+    collector = P.ProgressCollector(spark, f"{scratch}/file/progress")
+    try:
+        collector.add(("q", 1, 1, 1.0, 1.0))
+        with pytest.raises(Exception):
+            collector.flush()
+        assert [e[1] for e in collector.events] == [1]
+        collector.path = f"{scratch}/progress"
+        assert collector.frame().count() == 1
+    finally:
+        collector.close()
+
+
+def test_failed_catalog_step_is_no_dead_letter(spark, scratch):
+    sink = P.batch_sink(f"{scratch}/t", preview_rows=0, dead_letter_path=f"{scratch}/dead", table="no_such_table")
+    for _ in range(2):          # the batch is replayed, and still stored once
+        with pytest.raises(Exception, match="no_such_table"):
+            sink(spark.range(3), 5, "s")
+    assert spark.read.parquet(f"{scratch}/t").count() == 3 and not os.path.exists(f"{scratch}/dead")
+
+
+def test_reset_empties_a_partitioned_table_whatever_the_overwrite_mode(spark, scratch):
+    from aspectflow.sources import io as IO
+
+    IO.ensure_table(spark, "reset_parts_t", "id BIGINT, k STRING", f"{scratch}/r", ["k"])
+    spark.sql("INSERT INTO reset_parts_t VALUES (1, 'a'), (2, 'b')")
+    was = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        IO.reset_table(spark, "reset_parts_t")
+        assert spark.table("reset_parts_t").count() == 0
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "dynamic"
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", was)
+    spark.sql("INSERT INTO reset_parts_t VALUES (3, 'c')")
+    assert [r["id"] for r in spark.table("reset_parts_t").collect()] == [3]
+
+
 def test_compaction_keeps_rows(spark, scratch):
     sink = P.batch_sink(f"{scratch}/t", ("k",), preview_rows=0)
     for b in range(4):
