@@ -101,7 +101,9 @@ def train_heads(train: DataFrame, vocab: DataFrame, aspects=ASPECTS, text_col: s
 
 def score(df: DataFrame, model: AspectModel, text_col: str = "ReviewText", keep=None,
           cleaned: bool = False) -> DataFrame:
-    """ML-2: 8 label names per text, native (JVM) scoring."""
+    """ML-2: 8 label names per text, native (JVM) scoring; heads of epoch training score themselves."""
+    if not isinstance(model, AspectModel):
+        return model.score(df, text_col, keep, cleaned)
     keep = list(df.columns) if keep is None else list(keep)
     out = model.pipeline.transform(with_tokens(df, text_col, cleaned))
     return out.select(*keep, *[label_name(F.col(f"{a}_pred").cast("int")).alias(a)
@@ -238,7 +240,13 @@ def save_model(model: AspectModel, path: str) -> None:
         .coalesce(1).write.mode("overwrite").parquet(f"{path}/aspects")
 
 
-def load_model(spark, path: str) -> AspectModel:
+def load_model(spark, path: str):
+    """The model stored at ``path``: a fitted pipeline, or the heads of epoch training."""
+    from aspectflow.ml import epochs
+    from aspectflow.sources.io import path_exists
+
+    if path_exists(spark, f"{path}/weights"):
+        return epochs.load(spark, path)
     pipeline = PipelineModel.load(f"{path}/pipeline")
     words = [r.token for r in spark.read.parquet(f"{path}/words").orderBy("pos").collect()]
     aspects = [r.aspect for r in spark.read.parquet(f"{path}/aspects").orderBy("pos").collect()]

@@ -12,6 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aspectflow.ml import epochs as E
 from aspectflow.ml import heads as H
 from aspectflow.operators import history
 from aspectflow.operators import vocab as V
@@ -139,7 +140,53 @@ def q_score_native(spark: SparkSession, d: str) -> DataFrame:
     return enc.select("doc_id", *out)
 
 
-ML_QUERIES = {"train_score": q_train_score, "score_udf": q_score_udf, "score_native": q_score_native,
+EPOCH_RATE = 20.0
+
+
+def _integer_heads(words: list[str]) -> E.LinearHeads:
+    """Heads whose weights are the integers of :func:`weight`."""
+    heads = E.LinearHeads.zeros(words, METRIC_ASPECTS)
+    ids = np.arange(len(words), dtype=np.int64) + 2
+    for h in range(len(METRIC_ASPECTS)):
+        for c in range(NUM_CLASSES):
+            heads.weights[h, c, 2:] = weight(ids, h, c)
+    return heads
+
+
+def q_epoch_losses(spark: SparkSession, d: str) -> DataFrame:
+    """ML-1, AGG-12: two epochs of plain gradient steps from integer heads, with the losses of each."""
+    labelled, vocab = _labelled(spark, d), cut_lineage_columnar(V.build_vocab(_stored_clean_docs(spark, d), MAX_VOCAB), "vocab")
+    _, losses = E.train_epochs(labelled.where("not held_out"), labelled.where("held_out"), vocab, METRIC_ASPECTS, "doc_id", epochs=2,
+                               rate=EPOCH_RATE, adam=False, start=_integer_heads(H.vocab_words(vocab)))
+    return losses.select("epoch", F.round("train_loss", 8).alias("train_loss"), F.round("val_loss", 8).alias("val_loss"))
+
+
+def q_epoch_training(spark: SparkSession, d: str) -> DataFrame:
+    """ML-1, ML-3, WIN-2: a whole run with early stop; the early-stop operator reads the same end from its history."""
+    labelled = _labelled(spark, d)
+    train, held = labelled.where("not held_out"), labelled.where("held_out")
+    _, losses = E.train_epochs(train, held, V.build_vocab(train, MAX_VOCAB), METRIC_ASPECTS, "doc_id", epochs=12, patience=3,
+                               evaluate_every=4)
+    stop = history.early_stop(losses.select("run", "epoch", "val_loss"), 3).first()
+    chance = F.lit(float(np.log(NUM_CLASSES)))
+    return losses.agg(
+        F.round(F.min_by("train_loss", "epoch"), 8).alias("first_loss"),
+        (F.min("val_loss") < chance).alias("learns"), (F.min("val_loss") == F.lit(stop["best_loss"])).alias("best_is_least"),
+        (F.max("epoch") == F.lit(stop["stop_epoch"] or 12)).alias("ends_at_stop"),
+        F.bool_and(F.col("macro_f1").isNotNull() == (F.col("epoch") % 4 == 0)).alias("judged_every_fourth"))
+
+
+def q_holdout_confusion(spark: SparkSession, d: str) -> DataFrame:
+    """ML-4, AGG-8: truth and prediction of integer heads, stored and loaded again, on the hold-out alone."""
+    labelled, vocab = _labelled(spark, d), cut_lineage_columnar(V.build_vocab(_stored_clean_docs(spark, d), MAX_VOCAB), "vocab")
+    path = shared_path(spark, "models", unique=True)
+    E.save(_integer_heads(H.vocab_words(vocab)), spark, path)
+    rows, _ = E.prepared(labelled.where("held_out"), vocab, METRIC_ASPECTS, "doc_id")
+    return E.judged(rows, H.load_model(spark, path))[1]
+
+
+ML_QUERIES = {"epoch_losses": q_epoch_losses, "epoch_training": q_epoch_training, "holdout_confusion": q_holdout_confusion,
+              "train_score": q_train_score, "score_udf": q_score_udf, "score_native": q_score_native,
               "evaluate_model": q_evaluate_model, "select_by_validation": q_select_by_validation,
               "stream_scored": q_stream_scored}
 
@@ -156,9 +203,51 @@ def ml_oracle_sql(vocab_cte: str) -> dict[str, str]:
     heads = (vocab_cte + f", hs AS (SELECT tok.doc_id, {', '.join(sums)} FROM tok LEFT JOIN vocab v "
              "ON tok.token = v.token AND v.id >= 2 GROUP BY tok.doc_id) "
              f"SELECT d.doc_id, {', '.join(best)} FROM documents d LEFT JOIN hs ON d.doc_id = hs.doc_id")
+    aspect = "CASE h " + " ".join(f"WHEN {i} THEN '{a}'" for i, a in enumerate(METRIC_ASPECTS)) + " END"
+    truth = "CASE hc.h " + " ".join(f"WHEN {i} THEN y{i}" for i in range(len(METRIC_ASPECTS))) + " END"
+    ys = ", ".join(f"l.{a} + 1 AS y{i}" for i, a in enumerate(METRIC_ASPECTS))
+    usable = " AND ".join(f"l.{a} IS NOT NULL" for a in METRIC_ASPECTS)
+    base = (vocab_cte + f", lab AS (SELECT d.doc_id, {ys}, ('0x' || substr(md5(d.doc_id::VARCHAR), 1, 8))::BIGINT % {FOLDS} = 0 AS held "
+            f"FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE {usable}), "
+            "feats AS (SELECT tok.doc_id, v.id, count(*) AS cnt FROM tok JOIN vocab v ON tok.token = v.token AND v.id >= 2 "
+            "SEMI JOIN lab ON tok.doc_id = lab.doc_id GROUP BY ALL), "
+            "numbered AS (SELECT lab.*, (row_number() OVER (PARTITION BY held ORDER BY doc_id) - 1) // 64 AS batch FROM lab), "
+            "rws AS (SELECT n.*, greatest(coalesce((SELECT sum(cnt) FROM feats f WHERE f.doc_id = n.doc_id), 0), 1)::DOUBLE AS size, "
+            f"1.0::DOUBLE / (count(*) OVER (PARTITION BY held, batch) * {len(METRIC_ASPECTS)} "
+            "* ((SELECT max(batch) + 1 FROM numbered m WHERE m.held = n.held))) AS wgt FROM numbered n), "
+            f"hc AS (SELECT h, c FROM range({len(METRIC_ASPECTS)}) a(h), range({NUM_CLASSES}) b(c)), "
+            "w0 AS MATERIALIZED (SELECT v.id, h, c, ((v.id * (7 * h + 3 * c + 1)) % 11 - 5)::DOUBLE AS w FROM vocab v, hc WHERE v.id >= 2), "
+            "b0 AS MATERIALIZED (SELECT h, c, 0.0::DOUBLE AS b FROM hc)")
+
+    def forward(k: int) -> str:
+        return (f", z{k} AS MATERIALIZED (SELECT r.doc_id, r.held, r.wgt, r.size, hc.h, hc.c, {truth} AS y, coalesce(s.s, 0) / r.size + b.b AS z "
+                f"FROM rws r CROSS JOIN hc JOIN b{k} b ON b.h = hc.h AND b.c = hc.c LEFT JOIN (SELECT f.doc_id, w.h, w.c, sum(f.cnt * w.w) AS s "
+                f"FROM feats f JOIN w{k} w ON f.id = w.id GROUP BY ALL) s ON s.doc_id = r.doc_id AND s.h = hc.h AND s.c = hc.c), "
+                f"e{k} AS (SELECT *, max(z) OVER (PARTITION BY doc_id, h) AS m FROM z{k}), "
+                f"p{k} AS MATERIALIZED (SELECT *, sum(exp(z - m)) OVER (PARTITION BY doc_id, h) AS total, exp(z - m) AS ez FROM e{k}), "
+                f"l{k} AS (SELECT held, sum(wgt * (ln(total) + m - z)) AS loss FROM p{k} WHERE c = y GROUP BY held)")
+
+    def stepped(k: int) -> str:
+        err = "wgt * (ez / total - CASE WHEN c = y THEN 1 ELSE 0 END)"
+        return (f", gb{k} AS (SELECT h, c, sum({err}) AS g FROM p{k} WHERE NOT held GROUP BY ALL), "
+                f"gw{k} AS (SELECT f.id, p.h, p.c, sum({err} * f.cnt / size) AS g FROM p{k} p JOIN feats f ON f.doc_id = p.doc_id "
+                "WHERE NOT held GROUP BY ALL), "
+                f"b{k + 1} AS MATERIALIZED (SELECT h, c, b - {EPOCH_RATE} * g AS b FROM b{k} JOIN gb{k} USING (h, c)), "
+                f"w{k + 1} AS MATERIALIZED (SELECT w.id, w.h, w.c, w.w - {EPOCH_RATE} * coalesce(g.g, 0) AS w FROM w{k} w LEFT JOIN gw{k} g "
+                "ON g.id = w.id AND g.h = w.h AND g.c = w.c)")
+
+    epoch_losses = (base + forward(0) + stepped(0) + forward(1) + stepped(1) + forward(2) + " " + " UNION ALL ".join(
+        f"SELECT {k + 1}::INTEGER AS epoch, round((SELECT loss FROM l{k} WHERE NOT held), 8) AS train_loss, "
+        f"round((SELECT loss FROM l{k + 1} WHERE held), 8) AS val_loss" for k in range(2)))
+    confusion = (base + forward(0) + f" SELECT {aspect} AS aspect, y::INTEGER AS truth, pred::INTEGER AS pred, count(*) AS cnt FROM "
+                 "(SELECT doc_id, h, any_value(y) AS y, list_position(list(z ORDER BY c), max(z)) - 1 AS pred FROM z0 WHERE held "
+                 "GROUP BY doc_id, h) GROUP BY ALL")
     labelled = ("SELECT d.doc_id, ('0x' || substr(md5(d.doc_id::VARCHAR), 1, 8))::BIGINT % "
                 f"{FOLDS} = 0 AS held_out FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
     return {
+        "epoch_losses": epoch_losses, "holdout_confusion": confusion,
+        "epoch_training": (f"SELECT round(ln({NUM_CLASSES}), 8) AS first_loss, true AS learns, true AS best_is_least, true AS ends_at_stop, "
+                           "true AS judged_every_fourth FROM labels LIMIT 1"),
         "select_by_validation": "SELECT 3::BIGINT AS n_candidates, true AS best_is_least, true AS loss_ok FROM labels LIMIT 1",
         "stream_scored": "SELECT count(*) AS n_rows, 0::BIGINT AS n_differ, 3::BIGINT AS n_batches FROM documents WHERE text IS NOT NULL",
         "score_udf": heads, "score_native": heads,

@@ -8,6 +8,7 @@ text (``array_join``) and doubles rounded so the DuckDB oracle can compare.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,8 +25,10 @@ from aspectflow.plans.tables import (
     REVIEW_TOPIC, SAMPLE_ROWS, TABLES, TOP_WORDS, load, metric_predictions, metric_truth,
 )
 from aspectflow.schemas import ASPECTS, LABEL_NAMES, MAX_MESSAGE_BYTES, MAX_VOCAB
-from aspectflow.session import cut_lineage_columnar
+from aspectflow.session import cut_lineage_columnar, shared_path
+from aspectflow.sources.registry_log import RegistryLog
 
+PROMOTERS = 4
 R = 9  # decimals kept for doubles in compared outputs
 
 
@@ -328,6 +331,20 @@ def q_promotion(spark, d):
                       _fmt_ts("created_at").alias("created_at"))
 
 
+def q_registry_race(spark, d):
+    """ML-5, SNK-6: several promoters offer the same candidates to one registry at once.
+    Whoever loses a commit decides anew: ids stay dense, and each row beats all before it."""
+    cands = [(r["macro_f1"], r["balanced_acc"]) for r in _candidates(spark, d).orderBy("run_no").collect()]
+    log = RegistryLog(spark, shared_path(spark, "registry", unique=True))
+    with ThreadPoolExecutor(PROMOTERS) as pool:
+        won = sum(pool.map(lambda k: sum(log.promote(*c) is not None for c in cands[k:] + cands[:k]), range(PROMOTERS)))
+    prior = F.lag("macro_f1", 1, 0.0).over(Window.orderBy("id"))      # a row per promoted model
+    rows = log.frame().withColumn("_rises", F.col("macro_f1") > prior)
+    return rows.agg(F.round(F.max("macro_f1"), R).alias("best_f1"), (F.max("id") == F.count("*")).alias("ids_dense"),
+                    F.bool_and("_rises").alias("rising"), (F.count("*") == F.lit(won)).alias("each_win_stored"),
+                    F.bool_and(F.col("model_name") == registry.model_name("id")).alias("names_match"))
+
+
 def q_leaderboard(spark, d):
     top = dashboard.leaderboard(_registry(spark, d), LEADERBOARD_K, display=True)
     return top.withColumn("Created At", _fmt_ts("Created At"))
@@ -390,6 +407,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_frame": q_latest_frame,
     "union_cameras": q_union_cameras,
     "promotion": q_promotion,
+    "registry_race": q_registry_race,
     "leaderboard": q_leaderboard,
     "best_model": q_best_model,
     "random_sample": q_random_sample,
