@@ -13,6 +13,7 @@ from aspectflow.plans.tables import load
 from aspectflow.schemas import ASPECTS, INFERENCE_RESULT, VEHICLE_NAMES
 from aspectflow.session import cut_lineage_columnar, shared_path
 from aspectflow.sources.io import ensure_table
+from aspectflow.sources.limited import append_feed, feed_stream
 from aspectflow.sources.messages import review_messages
 from aspectflow.streaming.frames import run_frames_stream
 from aspectflow.streaming.pipelines import batch_sink, drain, replay_source, run_stream
@@ -123,7 +124,28 @@ def q_stream_batches(spark: SparkSession, d: str) -> DataFrame:
                                                    F.count_distinct("batch_id").alias("n_batches"))
 
 
-STREAM_QUERIES = {"stream_two_runs": q_stream_two_runs, "stream_batches": q_stream_batches, "stream_reviews": q_stream_reviews, "stream_frames": q_stream_frames}
+ROWS_A_BATCH = 40
+
+
+def q_stream_row_limit(spark: SparkSession, d: str) -> DataFrame:
+    """STM-4, STM-5: a table as a row-limited stream.  The first half is there when the stream starts; the second comes
+    before it starts again from its checkpoint.  What each micro-batch held:"""
+    root = shared_path(spark, "streams", "row_limit", unique=True)
+    rows = load(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    half = rows.count() // 2
+    first = rows.orderBy("s_suppkey").limit(half).agg(F.max("s_suppkey")).first()[0]
+    for part in (rows.where(F.col("s_suppkey") <= first), rows.where(F.col("s_suppkey") > first)):
+        append_feed(part, f"{root}/feed", ["s_suppkey"])
+        stream = feed_stream(spark, f"{root}/feed", rows.schema, ROWS_A_BATCH, checkpoint=f"{root}/checkpoint")
+        query = run_stream(stream, batch_sink(f"{root}/table", preview_rows=0), f"{root}/checkpoint", {"processingTime": "0 seconds"})
+        query.processAllAvailable()
+        query.stop()
+    return spark.read.parquet(f"{root}/table").groupBy("batch_id").agg(
+        F.count("*").alias("n_rows"), F.min("s_suppkey").alias("first_key"), F.max("s_suppkey").alias("last_key"),
+        F.sum("s_nationkey").cast("long").alias("nations"))
+
+
+STREAM_QUERIES = {"stream_row_limit": q_stream_row_limit, "stream_two_runs": q_stream_two_runs, "stream_batches": q_stream_batches, "stream_reviews": q_stream_reviews, "stream_frames": q_stream_frames}
 
 
 def stream_oracle_sql() -> dict[str, str]:
@@ -133,6 +155,11 @@ def stream_oracle_sql() -> dict[str, str]:
     return {
         "stream_two_runs": ("SELECT doc_id, 2 * count(*) AS n_rows, 2::BIGINT AS n_streams, count(DISTINCT text) AS n_texts, "
                             "2 * count(*) AS n_keys, 2 * count(*) AS n_times FROM documents WHERE text IS NOT NULL GROUP BY doc_id"),
+        "stream_row_limit": (
+            "WITH n AS (SELECT *, row_number() OVER (ORDER BY s_suppkey) - 1 AS i, count(*) OVER () // 2 AS half FROM supplier), "
+            f"b AS (SELECT *, CASE WHEN i < half THEN i // {ROWS_A_BATCH} ELSE ceil(half / {ROWS_A_BATCH}.0)::BIGINT "
+            f"+ (i - half) // {ROWS_A_BATCH} END AS batch_id FROM n) SELECT batch_id::INTEGER AS batch_id, count(*) AS n_rows, min(s_suppkey) AS first_key, "
+            "max(s_suppkey) AS last_key, sum(s_nationkey)::BIGINT AS nations FROM b GROUP BY batch_id"),
         "stream_batches": "SELECT count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_orders, 3::BIGINT AS n_batches FROM orders",
         "stream_reviews": (
             f"WITH l AS ({labels}) SELECT d.doc_id, d.text AS ReviewText, "
