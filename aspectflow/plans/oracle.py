@@ -246,6 +246,8 @@ def oracle_sql() -> dict[str, str]:
         "promotion": _REGISTRY + (
             f"SELECT id, model_name, round(macro_f1, {R}) AS macro_f1, round(balanced_acc, {R}) "
             "AS balanced_acc, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at FROM registry"),
+        "csv_splits": ("SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_id, doc_id, md5(coalesce(text, '')) AS text_md5, n_chars "
+                       "FROM documents"),
         "registry_race": _REGISTRY + (f"SELECT round(max(macro_f1), {R}) AS best_f1, true AS ids_dense, true AS rising, "
                                       "true AS each_win_stored, true AS names_match FROM cand"),
         "leaderboard": _REGISTRY + (

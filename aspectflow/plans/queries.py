@@ -26,9 +26,11 @@ from aspectflow.plans.tables import (
 )
 from aspectflow.schemas import ASPECTS, LABEL_NAMES, MAX_MESSAGE_BYTES, MAX_VOCAB
 from aspectflow.session import cut_lineage_columnar, shared_path
+from aspectflow.sources.csv_split import read_split_csv
 from aspectflow.sources.registry_log import RegistryLog
 
 PROMOTERS = 4
+CSV_SPLIT_BYTES = 256 << 10
 R = 9  # decimals kept for doubles in compared outputs
 
 
@@ -365,6 +367,21 @@ def q_random_sample(spark, d):
     return sample.agg(F.count("*").alias("n_rows"), F.count_distinct("doc_id").alias("n_distinct")).crossJoin(found)
 
 
+def q_csv_splits(spark, d):
+    """SRC-3: the texts, line breaks and quotes included, written as one CSV file and read back by many tasks."""
+    path = shared_path(spark, "csv", unique=True)
+    docs = load(spark, d, "documents").select("doc_id", "text", "n_chars")
+    (docs.coalesce(1).sortWithinPartitions("doc_id").write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path))
+    key = "spark.sql.files.maxPartitionBytes"
+    was = spark.conf.get(key)
+    spark.conf.set(key, str(CSV_SPLIT_BYTES))
+    try:
+        lines = cut_lineage_columnar(read_split_csv(spark, path, docs.schema), "csv_rows")
+    finally:
+        spark.conf.set(key, was)
+    return lines.select("row_id", "doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"), "n_chars")
+
+
 def q_preview(spark, d):
     docs = load(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
     return dashboard.preview(docs, PREVIEW_ROWS, "doc_id")
@@ -408,6 +425,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "union_cameras": q_union_cameras,
     "promotion": q_promotion,
     "registry_race": q_registry_race,
+    "csv_splits": q_csv_splits,
     "leaderboard": q_leaderboard,
     "best_model": q_best_model,
     "random_sample": q_random_sample,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from aspectflow.schemas import (
     ASPECTS, PAD_ID, PAD_TOKEN, UNK_ID, UNK_TOKEN, VOCABULARY, labelled_reviews_schema,
 )
-
+from aspectflow.sources.csv_split import read_split_csv
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -28,12 +28,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 # --- CSV -------------------------------------------------------------------------
 
 
-def read_labelled_csv(spark: SparkSession, path: str, text_col: str = "Review") -> DataFrame:
+def read_labelled_csv(spark: SparkSession, path: str, text_col: str = "Review", parallel: bool = True) -> DataFrame:
     """SRC-3: header CSV (UTF-8, quoted multi-line texts) with an explicit
     schema, plus a dense ``row_id`` over all files, by file name and the row's
-    place in it (used for first-seen tie-breaks and batch numbering).  A
-    multi-line CSV file is not split: one file is one task, so large corpora
-    come as many files."""
+    place in it (used for first-seen tie-breaks and batch numbering).  A large
+    file is read by many tasks; with ``parallel=False`` Spark's own reader
+    takes one task a file, which also reads files whose quotes follow no rule."""
+    if parallel:
+        return read_split_csv(spark, path, labelled_reviews_schema(text_col))
     df = (spark.read.schema(labelled_reviews_schema(text_col))
           .option("header", True).option("multiLine", True).option("encoding", "UTF-8")
           .option("escape", '"').csv(path))
@@ -47,12 +49,16 @@ def read_labelled_csv(spark: SparkSession, path: str, text_col: str = "Review")
             .drop("_file", "_row", "_first", "_before"))
 
 
-def read_review_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_review_csv(spark: SparkSession, path: str, parallel: bool = True) -> DataFrame:
     """SRC-4: only the first column, as text (nulls stay null and are later
-    dropped by the stream; the reference turned them into the word 'nan')."""
+    dropped by the stream; the reference turned them into the word 'nan').
+    ``parallel`` as in :func:`read_labelled_csv`."""
     df = (spark.read.option("header", True).option("multiLine", True).option("encoding", "UTF-8")
           .option("escape", '"').option("inferSchema", False).csv(path))
-    return df.select(F.col(df.columns[0]).cast("string").alias("Review"))
+    first = f"`{df.columns[0]}`"
+    if parallel:
+        df = read_split_csv(spark, path, df.schema, with_row_id=None)
+    return df.select(F.col(first).cast("string").alias("Review"))
 
 
 # --- vocabulary, encoded features, metrics (SNK-7/8/9, SRC-5/6) --------------------
