@@ -48,3 +48,20 @@ def counts_from_json(col, names=VEHICLE_NAMES) -> Column:
     return F.struct(*[
         F.coalesce(F.try_element_at(parsed, F.lit(n)), F.lit(0)).alias(n) for n in names
     ])
+
+
+def counts_variant(col) -> Column:
+    """JSON-2 as VARIANT: stored counts text parsed once; bad JSON -> null."""
+    return F.try_parse_json(_c(col))
+
+
+def counts_of_variant(variant, names=VEHICLE_NAMES) -> Column:
+    """Typed extraction from :func:`counts_variant`: a struct of ints, 0 where the text was bad, the key is missing or its
+    value is no integer (as :func:`counts_from_json`, which parses the text anew for every use)."""
+    v = _c(variant)
+    return F.struct(*[F.coalesce(F.try_variant_get(v, f"$.{n}", "int"), F.lit(0)).alias(n) for n in names])
+
+
+def counts_map_of_variant(variant) -> Column:
+    """MAP-1: the variant's entries as a map of ints; null where it is no object of integers."""
+    return F.try_variant_get(_c(variant), "$", "map<string,int>")

@@ -46,6 +46,26 @@ def random_sample(df: DataFrame, n: int = 300, seed: int | None = None) -> DataF
     return df.withColumn("_k", key).orderBy("_k").limit(n).drop("_k")
 
 
+def bottom_k(df: DataFrame, n: int, key, seed: int = 0) -> DataFrame:
+    """TOP-6 as a mergeable sketch: the ``n`` rows whose ``key`` columns have the smallest seeded hash, with that hash
+    in ``sample_hash``.
+
+    Every distinct key is as likely as any other.  The sample is a function of the rows alone, whatever their
+    partitions, and ``bottom_k(bottom_k(a) union bottom_k(b))`` is ``bottom_k(a union b)``: see :func:`merged_samples`.
+    A key that several rows share is sampled once (any of its rows; nulls are a key too).
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    text = F.concat_ws("/", F.lit(str(seed)), *[F.coalesce(F.concat(F.lit("="), F.col(k).cast("string")), F.lit("~")) for k in keys])
+    hashed = df.drop("sample_hash").withColumn("sample_hash", F.md5(text.cast("binary")))
+    return hashed.dropDuplicates(keys).orderBy("sample_hash").limit(n)
+
+
+def merged_samples(samples: DataFrame, n: int, key) -> DataFrame:
+    """The sample of all rows from samples of their parts (of size ``n`` each), e.g. one per batch."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return samples.dropDuplicates(keys).orderBy("sample_hash").limit(n)
+
+
 def preview(df: DataFrame, n: int = 5, order_by=None, ascending: bool = True) -> DataFrame:
     """TOP-7: head (or, with ``ascending=False``, tail) under an explicit order."""
     if order_by is None:

@@ -289,3 +289,31 @@ def pad(encoded: DataFrame, ids_col: str = "ids", out: str = "padded", group=Non
     keys = [group] if isinstance(group, str) else list(group)
     longest = F.max(F.size(ids_col)).over(Window.partitionBy(*keys))
     return encoded.withColumn(out, pad_to(ids_col, longest))
+
+
+def length_batches(encoded: DataFrame, key: str, ids_col: str = "ids", batch_size: int = 64, buckets: int = 8,
+                   accuracy: int = 10_000) -> DataFrame:
+    """ARR-2 for training: rows with ``bucket``, ``batch`` and ``padded``.
+
+    Approximate quantiles of the lengths cut ``buckets`` ranges of about equal numbers of rows; inside a bucket rows go
+    in order of length, then ``key``, into batches of ``batch_size``, so that a batch pads to little more than its own
+    lengths.  Batch numbers are dense over all buckets, and only a bucket's last batch may be short.  Null ids count as
+    empty.  The numbering is one range shuffle; no window spans a bucket.
+    """
+    from aspectflow.operators.ordering import with_row_index
+
+    size = F.coalesce(F.size(ids_col), F.lit(0))
+    rows = encoded.withColumn("_len", F.greatest(size, F.lit(0)))
+    cuts = rows.agg(F.percentile_approx("_len", [i / buckets for i in range(1, buckets)], accuracy)).first()[0] or []
+    cuts = sorted(set(cuts))
+    bucket = F.lit(0)
+    for c in cuts:
+        bucket = bucket + F.when(F.col("_len") > c, 1).otherwise(0)
+    indexed = with_row_index(rows.withColumn("bucket", bucket), ["bucket", "_len", key], "_at")
+    # a row per bucket
+    firsts = indexed.groupBy("bucket").agg(F.min("_at").alias("_first"), F.ceil(F.count(F.lit(1)) / batch_size).alias("_n"))
+    before = firsts.withColumn("_before", F.sum("_n").over(Window.orderBy("bucket")) - F.col("_n")).drop("_n")
+    numbered = (indexed.join(F.broadcast(before), "bucket")
+                .withColumn("batch", F.col("_before") + F.floor((F.col("_at") - F.col("_first")) / batch_size))
+                .withColumn(ids_col, F.coalesce(F.col(ids_col), F.array().cast("array<int>"))))
+    return pad(numbered.drop("_len", "_at", "_first", "_before"), ids_col, group="batch")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from aspectflow.functions.text import VIETNAMESE_LETTERS
 from aspectflow.plans.tables import (
-    EPOCH_SECONDS_2024, FPS, LEADERBOARD_K, PATIENCE, PREVIEW_ROWS, REVIEW_TOPIC, SAMPLE_ROWS, TABLES,
+    EPOCH_SECONDS_2024, FPS, HEAVY_WORDS, LEADERBOARD_K, PATIENCE, PREVIEW_ROWS, REVIEW_TOPIC, SAMPLE_ROWS, TABLES,
     TOP_WORDS,
 )
 from aspectflow.schemas import ASPECTS, DASHBOARD_SENTIMENTS, MAX_MESSAGE_BYTES, MAX_VOCAB
@@ -248,6 +248,16 @@ def oracle_sql() -> dict[str, str]:
             "AS balanced_acc, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at FROM registry"),
         "csv_splits": ("SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_id, doc_id, md5(coalesce(text, '')) AS text_md5, n_chars "
                        "FROM documents"),
+        "heavy_words": _COUNTS + ("SELECT token, cnt, CAST(row_number() OVER (ORDER BY cnt DESC, first) "
+                                  f"AS INTEGER) AS rank FROM cnts ORDER BY cnt DESC, first LIMIT {HEAVY_WORDS}"),
+        "sample_sketch": ("SELECT doc_id, source, n_chars, md5('7/=' || doc_id::VARCHAR) AS sample_hash FROM documents "
+                          f"ORDER BY sample_hash LIMIT {SAMPLE_ROWS}"),
+        "length_batches": _ENCODED + ("SELECT count(*) AS n_rows, sum(n_ids)::BIGINT AS n_ids, true AS full_but_last, "
+                                      "true AS padded_to_longest, true AS little_padding FROM e"),
+        "frame_variant": _FRAME_COUNTS + (
+            "SELECT frame_id, " + ", ".join(f"CAST(CASE WHEN frame_id % 7 = 0 THEN 0 ELSE {n} END AS INTEGER) AS {n}"
+                                            for n in ("car", "motorcycle", "bus", "truck"))
+            + ", CAST(CASE WHEN frame_id % 7 = 0 THEN 0 ELSE total_count END AS INTEGER) AS total FROM fct"),
         "registry_race": _REGISTRY + (f"SELECT round(max(macro_f1), {R}) AS best_f1, true AS ids_dense, true AS rising, "
                                       "true AS each_win_stored, true AS names_match FROM cand"),
         "leaderboard": _REGISTRY + (

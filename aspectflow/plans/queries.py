@@ -9,19 +9,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aspectflow.functions.codec import (
-    b64_decode, b64_encode, counts_from_json, proportional_height,
+    b64_decode, b64_encode, counts_from_json, counts_map_of_variant, counts_of_variant, counts_variant, proportional_height,
 )
 from aspectflow.functions.text import normalise_spaces, remove_tone
 from aspectflow.operators import aspects as asp
-from aspectflow.operators import dashboard, frames, history, metrics, registry, vocab
+from aspectflow.operators import dashboard, frames, heavy, history, metrics, registry, vocab
 from aspectflow.operators.aspects import predicted_labels
 from aspectflow.plans.tables import (
-    FPS, LEADERBOARD_K, METRIC_ASPECTS, PATIENCE, PREVIEW_ROWS,
+    FPS, HEAVY_COUNTERS, HEAVY_WORDS, LEADERBOARD_K, METRIC_ASPECTS, PATIENCE, PREVIEW_ROWS,
     REVIEW_TOPIC, SAMPLE_ROWS, TABLES, TOP_WORDS, load, metric_predictions, metric_truth,
 )
 from aspectflow.schemas import ASPECTS, LABEL_NAMES, MAX_MESSAGE_BYTES, MAX_VOCAB
@@ -382,6 +383,44 @@ def q_csv_splits(spark, d):
     return lines.select("row_id", "doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"), "n_chars")
 
 
+def q_heavy_words(spark, d):
+    """AGG-1, TOP-2: the most frequent words from per-task summaries, candidates counted exactly."""
+    return heavy.top_of_texts(_stored_clean_docs(spark, d), HEAVY_WORDS, counters=HEAVY_COUNTERS).select("token", "cnt", "rank")
+
+
+def q_sample_sketch(spark, d):
+    """TOP-6: the sample of all documents from the samples of their sources, row for row."""
+    docs = load(spark, d, "documents").select("doc_id", "source", "n_chars")
+    sources = [r["source"] for r in docs.select("source").distinct().collect()]        # the cameras' stand-in: a few
+    parts = [dashboard.bottom_k(docs.where(F.col("source").eqNullSafe(F.lit(s))), SAMPLE_ROWS, "doc_id", seed=7) for s in sources]
+    return dashboard.merged_samples(reduce(DataFrame.unionByName, parts), SAMPLE_ROWS, "doc_id")
+
+
+def q_length_batches(spark, d):
+    """ARR-2: documents in length-bucketed batches: sizes, padding and order of every batch."""
+    docs = _stored_clean_docs(spark, d)
+    out = vocab.length_batches(_encoded(spark, d, docs).select("doc_id", "ids"), "doc_id")
+    n = F.size("ids")
+    per = out.groupBy("batch").agg(F.count("*").alias("rows"), F.max(n).alias("longest"), F.max(F.size("padded")).alias("padded"),
+                                   F.min(F.size("padded")).alias("least"), F.sum(n).alias("real"), F.max("bucket").alias("bucket"))
+    last = F.lead("bucket").over(Window.orderBy("batch"))              # a row per batch of 64
+    return per.withColumn("_last", last.isNull() | (last != F.col("bucket"))).agg(
+        F.sum("rows").alias("n_rows"), F.sum("real").alias("n_ids"),
+        F.bool_and((F.col("rows") == 64) | F.col("_last")).alias("full_but_last"),
+        F.bool_and((F.col("padded") == F.col("longest")) & (F.col("least") == F.col("longest"))).alias("padded_to_longest"),
+        (F.sum(F.col("padded") * F.col("rows")) <= 2 * F.sum("real")).alias("little_padding"))
+
+
+def q_frame_variant(spark, d):
+    """JSON-1/2, MAP-1 as VARIANT: counts written as text, one row in seven of them broken, parsed once and read typed."""
+    out = _frame_counts(spark, d)
+    broken = F.when(F.col("frame_id") % 7 == 0, F.substring("class_counts", 1, 9)).otherwise(F.col("class_counts"))
+    parsed = out.select("frame_id", counts_variant(broken).alias("v"))
+    counts = counts_of_variant("v")
+    return parsed.select("frame_id", *[counts[n].alias(n) for n in ("car", "motorcycle", "bus", "truck")],
+                         F.coalesce(F.aggregate(F.map_values(counts_map_of_variant("v")), F.lit(0), lambda s, x: s + x), F.lit(0)).alias("total"))
+
+
 def q_preview(spark, d):
     docs = load(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
     return dashboard.preview(docs, PREVIEW_ROWS, "doc_id")
@@ -426,6 +465,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "promotion": q_promotion,
     "registry_race": q_registry_race,
     "csv_splits": q_csv_splits,
+    "heavy_words": q_heavy_words,
+    "sample_sketch": q_sample_sketch,
+    "length_batches": q_length_batches,
+    "frame_variant": q_frame_variant,
     "leaderboard": q_leaderboard,
     "best_model": q_best_model,
     "random_sample": q_random_sample,

@@ -13,6 +13,7 @@ METRIC_ASPECTS = ["quality", "toxic"]      # labels columns used as two aspects
 FPS = 29.97                               # camera frame rate for sampling
 PATIENCE = 10                             # early-stop patience of the retrain job
 TOP_WORDS = 10
+HEAVY_WORDS, HEAVY_COUNTERS = 25, 1000     # words asked for, counters of a task's summary
 LEADERBOARD_K = 30
 SAMPLE_ROWS = 300
 PREVIEW_ROWS = 10
