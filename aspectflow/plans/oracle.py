@@ -179,7 +179,7 @@ def _dataset_shape() -> str:
 
 def oracle_sql() -> dict[str, str]:
     step = max(1, int(FPS))
-    return {
+    out = {
         "aspect_labels": _aspect_labels(),
         "sentiment_counts": _sentiment_counts(),
         "sentiment_totals": (f"WITH sc AS ({_sentiment_counts()}) SELECT Sentiment, "
@@ -274,6 +274,9 @@ def oracle_sql() -> dict[str, str]:
         **_models(),
         **_more(),
     }
+    # tables that streams keep equal the tables computed at once
+    return out | {"stream_grid_state": out["sentiment_counts"], "stream_latest_state": out["latest_frame"],
+                  "committed_sink": out["catalog_sink"]}
 
 
 def _more() -> dict[str, str]:

@@ -572,6 +572,12 @@ def q_catalog_sink(spark, d):
     return catalog_sink(spark, d, _frame_counts(spark, d))
 
 
+def q_committed_sink(spark, d):
+    """Frames counted, appended through the sink with commits, and read from its committed files."""
+    from aspectflow.plans.streams import committed_frames
+    return committed_frames(spark, d, _frame_counts(spark, d))
+
+
 def q_batches(spark, d):
     from aspectflow.operators.ordering import batch_number
     emb = load(spark, d, "embeddings").select("vec_id")
@@ -596,4 +602,5 @@ QUERIES.update({
     "missing_aspect": q_missing_aspect,
     "model_resolution": q_model_resolution,
     "catalog_sink": q_catalog_sink,
+    "committed_sink": q_committed_sink,
 })

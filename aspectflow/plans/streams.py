@@ -12,12 +12,15 @@ from aspectflow.operators.frames import _with_totals, count_per_frame, vehicle_l
 from aspectflow.plans.tables import load
 from aspectflow.schemas import ASPECTS, INFERENCE_RESULT, VEHICLE_NAMES
 from aspectflow.session import cut_lineage_columnar, shared_path
+from aspectflow.sources.committed import compact as compact_committed
+from aspectflow.sources.committed import read_committed, write_committed
 from aspectflow.sources.io import ensure_table
 from aspectflow.sources.limited import append_feed, feed_stream
 from aspectflow.sources.messages import review_messages
 from aspectflow.streaming.frames import run_frames_stream
 from aspectflow.streaming.pipelines import batch_sink, drain, replay_source, run_stream
 from aspectflow.streaming.reviews import run_reviews_stream
+from aspectflow.streaming.state import current_grid, current_latest, run_latest_state, run_sentiment_state
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -96,6 +99,16 @@ def catalog_sink(spark: SparkSession, d: str, counted: DataFrame) -> DataFrame:
     return spark.table(name).select("source_video", "frame_id", "total_count")
 
 
+def committed_frames(spark: SparkSession, d: str, counted: DataFrame) -> DataFrame:
+    """SNK-1, SNK-2: counted frames appended to a table with commits, batch by batch in two runs, compacted in between."""
+    root = shared_path(spark, "streams", "committed", unique=True)
+    orders = load(spark, d, "orders").select(F.col("o_orderpriority").alias("source_video"), F.col("o_orderkey").alias("frame_id"))
+    rows = counted.join(orders, "frame_id").select("source_video", "frame_id", "total_count")
+    _in_two_runs(spark, rows, root, lambda s: write_committed(s, f"{root}/table", f"{root}/checkpoint", 2, "source_video", AVAILABLE_NOW))
+    compact_committed(spark, f"{root}/table", rows.schema, 1, "source_video")
+    return read_committed(spark, f"{root}/table", rows.schema)
+
+
 def q_stream_two_runs(spark: SparkSession, d: str) -> DataFrame:
     """Two runs of one stream into one table, the second with a new checkpoint: both runs'
     rows stay.  The table's six files make three micro-batches a run."""
@@ -145,7 +158,36 @@ def q_stream_row_limit(spark: SparkSession, d: str) -> DataFrame:
         F.sum("s_nationkey").cast("long").alias("nations"))
 
 
-STREAM_QUERIES = {"stream_row_limit": q_stream_row_limit, "stream_two_runs": q_stream_two_runs, "stream_batches": q_stream_batches, "stream_reviews": q_stream_reviews, "stream_frames": q_stream_frames}
+def _in_two_runs(spark: SparkSession, rows: DataFrame, root: str, start) -> None:
+    """Feed ``rows`` as six files, two a micro-batch: four files to a first run, two more to a second one that goes on
+    from its checkpoint."""
+    rows.repartition(6, F.rand(3)).write.parquet(f"{root}/all")
+    stored = spark.read.parquet(f"{root}/all")
+    parts = stored.withColumn("_part", F.pmod(F.xxhash64(*stored.columns), F.lit(3)))
+    for run, chosen in enumerate((parts.where("_part < 2"), parts.where("_part = 2"))):
+        chosen.drop("_part").repartition(4 - 2 * run).write.mode("append").parquet(f"{root}/source")
+        drain(start(replay_source(spark, f"{root}/source", rows.schema, max_files_per_trigger=2)))
+
+
+def q_stream_grid_state(spark: SparkSession, d: str) -> DataFrame:
+    """AGG-5, JOIN-5: the dashboard grid that a stream of scored reviews keeps, after two runs."""
+    root = shared_path(spark, "streams", "grid_state", unique=True)
+    labels = predicted_labels(load(spark, d, "embeddings"), "embedding", keep=["vec_id"])
+    _in_two_runs(spark, labels, root, lambda s: run_sentiment_state(s, f"{root}/table", f"{root}/checkpoint", AVAILABLE_NOW))
+    return current_grid(spark, f"{root}/table")
+
+
+def q_stream_latest_state(spark: SparkSession, d: str) -> DataFrame:
+    """TOP-3: the newest event of every type that a stream keeps, after two runs in random order."""
+    root = shared_path(spark, "streams", "latest_state", unique=True)
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    events = load(spark, d, "events").select("event_type", "event_id", micros.alias("ts_us"), "value")
+    _in_two_runs(spark, events, root, lambda s: run_latest_state(s, f"{root}/table", f"{root}/checkpoint", "event_type", "ts_us", "event_id",
+                                                                AVAILABLE_NOW))
+    return current_latest(spark, f"{root}/table", "event_type").select("event_type", "event_id", "ts_us", "value")
+
+
+STREAM_QUERIES = {"stream_grid_state": q_stream_grid_state, "stream_latest_state": q_stream_latest_state, "stream_row_limit": q_stream_row_limit, "stream_two_runs": q_stream_two_runs, "stream_batches": q_stream_batches, "stream_reviews": q_stream_reviews, "stream_frames": q_stream_frames}
 
 
 def stream_oracle_sql() -> dict[str, str]:

@@ -186,10 +186,10 @@ def compact(spark: SparkSession, path: str, into: str, partition_cols=(), fmt: s
 
 
 def run_stream(df: DataFrame, sink: Callable[[DataFrame, int, str], None], checkpoint: str,
-               trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+               trigger: dict | None = None, name: str | None = None, output_mode: str = "append") -> StreamingQuery:
     """STM-1/2/3/6: start ``df`` with a sink called per micro-batch with the
-    batch, its id and the stream's identity; append mode and a mandatory
-    checkpoint.  ``trigger={"availableNow": True}`` drains the source and
+    batch, its id and the stream's identity; a mandatory checkpoint, and append
+    mode unless ``df`` aggregates (then ``update`` hands on the changed keys).  ``trigger={"availableNow": True}`` drains the source and
     stops (tests, scheduled runs)."""
     known: list[str] = []
 
@@ -198,7 +198,7 @@ def run_stream(df: DataFrame, sink: Callable[[DataFrame, int, str], None], check
             known.append(stream_identity(batch.sparkSession, checkpoint))
         sink(batch, batch_id, known[0])
 
-    writer = (df.writeStream.foreachBatch(each).outputMode("append")
+    writer = (df.writeStream.foreachBatch(each).outputMode(output_mode)
               .option("checkpointLocation", checkpoint)
               .trigger(**(trigger or DEFAULT_TRIGGER)))
     if name:
