@@ -315,8 +315,12 @@ def headed(docs: DataFrame) -> DataFrame:
     found = stored(connected_components(links), "components")
     named = index.join(found, "node", "left")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id"))
-    heads = named.where("component is not null").groupBy("component").agg(first.alias("head"))
-    alike = index.where("n_shingles > 0").groupBy("node").agg(first.alias("first"))
+    # stored, so that the joins below read them by shuffles of their own, whose hot partitions Spark can split: a component
+    # or a class may hold a third of all rows
+    heads = stored(named.where("component is not null").groupBy("component").agg(first.alias("head")), "heads")
+    if heads.count() * 64 <= MEMBER_BYTES:
+        heads = F.broadcast(heads)
+    alike = stored(index.where("n_shingles > 0").groupBy("node").agg(first.alias("first")), "class_heads")
     own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id")
     return (named.join(heads, "component", "left").join(alike, "node", "left")
             .select("doc_id", "text_id", "n_shingles", F.when(F.col("n_shingles") == 0, own)
