@@ -55,10 +55,18 @@ def nearest(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
     """The k nearest of ``rows`` for each of ``queries`` (its own row apart) by exact Euclidean distance; ties to vec_id."""
     q, x = stacked(queries["embedding"]), stacked(rows["embedding"])
     ids = rows["vec_id"].to_numpy()
-    rough = np.maximum((q * q).sum(1)[:, None] + (x * x).sum(1)[None, :] - 2 * (q @ x.T), 0)
-    slack = 1e-9 * max(1.0, float(rough.max(initial=0)))
+    # far from the origin the rough distances lose digits: centred they keep most, and the slack bounds what is lost
+    centre = x.mean(0)
+    qc, xc = q - centre, x - centre
+    q2, x2 = (qc * qc).sum(1), (xc * xc).sum(1)
+    rough = np.maximum(q2[:, None] + x2[None, :] - 2 * (qc @ xc.T), 0)
+    eps, dim = np.finfo(float).eps, q.shape[1]
+    # sums of dim products err by dim x eps x their size; centring errs by eps x the coordinates, relative to their distance
+    far = float(np.abs(x).max(initial=0)) + float(np.abs(q).max(initial=0))
     out = []
-    for line, vector, own in zip(rough, q, queries["query_id"]):
+    for line, size, vector, own in zip(rough, q2, q, queries["query_id"]):
+        most = size + float(x2.max(initial=0))
+        slack = 8 * (dim + 8) * eps * most + 8 * dim * eps * far * (np.sqrt(most) + eps * far)
         line = np.where(ids == own, np.inf, line)
         limit = np.partition(line, min(k, len(line)) - 1)[min(k, len(line)) - 1]
         at = np.flatnonzero(line <= (limit + slack if np.isfinite(limit) else 1e300))
