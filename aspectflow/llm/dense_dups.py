@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aspectflow.llm.stored import connected_components, stored
-from aspectflow.llm.vectors import counted_here, in_blocks, stacked, usable
+from aspectflow.llm.vectors import counted_here, in_blocks, stacked, unscaled, usable
 
 THRESHOLD = 0.98
 TABLES = 8
@@ -82,6 +82,7 @@ def lattice_cells(unit: np.ndarray, tables: int, probes: int, scale: float, seed
 
 def cosine_links(vectors: np.ndarray, threshold: float) -> np.ndarray:
     """Boolean matrix of pairs with cosine at or above the threshold, in double precision, without the diagonal."""
+    vectors = unscaled(vectors)
     norms = np.sqrt((vectors * vectors).sum(1))
     linked = (vectors @ vectors.T) / np.outer(norms, norms) >= threshold
     np.fill_diagonal(linked, False)
@@ -121,7 +122,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tables: in
         for batch in batches:
             pdf = batch.to_pandas()
             for _, part in pdf.groupby(pdf["embedding"].map(len)):
-                x = stacked(part["embedding"])
+                x = unscaled(stacked(part["embedding"]))
                 cells = lattice_cells(x / np.sqrt((x * x).sum(1, keepdims=True)), tables, probes, scale, seed)
                 # the label and the length are part of the bucket
                 salt = (part["label"].to_numpy(np.int64) * 1_000_003 + x.shape[1]) * np.int64(0x2545F4914F6CDD1D)

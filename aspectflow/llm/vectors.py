@@ -40,3 +40,9 @@ def in_blocks(rows: DataFrame, key: str, member: str, block_rows: int = BLOCK_RO
 def counted_here(block: int, i: int, j: int, blocks: int) -> bool:
     """Whether the group of blocks (i, j) is the one that counts the pairs inside ``block``."""
     return blocks == 1 or (block == i and j == i + 1) or (block == j == blocks - 1 and i == 0)
+
+
+def unscaled(vectors: np.ndarray) -> np.ndarray:
+    """Each row times the power of two that brings its largest component near 1: exact, so that squares of very large or
+    very small components neither overflow nor vanish."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
