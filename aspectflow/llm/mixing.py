@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 SEED = 7
 TEMPERATURE = 0.5
 SPAN = float(1 << 52)
+RATES_BYTES = 64 << 20      # distributions of all sources up to this size go to every task
 DIRECT = 700.0              # up to this rate exp(-rate) is a number to start from
 
 
@@ -69,31 +70,26 @@ def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, tempe
           epochs: float = 1.0, seed: int = SEED) -> DataFrame:
     """All columns of ``docs`` with ``copies``, ``copy_no`` (from 0), ``rate`` and ``mix_key``, globally shuffled.
 
-    Every rate gives rows; only ``weights`` that lead to a rate above ``DIRECT`` are refused.
-    A document with 0 copies does not appear.  The draw depends on doc_id and text only, so repeated rows get equal
+    Every rate gives rows.  A document with 0 copies does not appear.  The draw depends on doc_id and text only, so repeated rows get equal
     numbers of copies each.  A null source is a source of its own; null text has no bytes.  The rates (one row per
     source) travel to the documents by a join that Spark may broadcast by size; a hot source needs no shuffle of
-    its own, as documents are never grouped by source, and the shuffle is by the uniform ``mix_key``.
-    Input columns with the added names are replaced.
+    its own, as documents are never grouped by source, and the shuffle is by the uniform ``mix_key``, a hash of doc_id,
+    copy number and text.  Equal rows are interchangeable; rows of one doc_id with other texts, null among them, are
+    spread like any others.  An empty table gives an empty result.  Input columns with the added names are replaced.
     """
     docs = docs.drop("copies", "copy_no", "rate", "mix_key")
     rates = source_rates(docs, weights, temperature, epochs)
-    if weights is not None:          # what the caller asks for, not the corpus, makes such a rate
-        rates = rates.withColumn("rate", F.when(F.col("rate") <= DIRECT, F.col("rate")).otherwise(
-            F.raise_error(F.lit("given weights lead to a repetition rate above 700"))))
     rates = rates.select(F.col("source").alias("__mix_source"), "rate", poisson_thresholds(F.col("rate")).alias("__mix_cdf"))
     draw = uniform(seed, "doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
-    sources = F.broadcast(rates)     # size: one row per source, checked below
-    if rates.count() > MAX_SOURCES:
-        sources = rates
+    # one distribution per source, longer for larger rates: sent while small
+    size = rates.agg(F.sum(F.size("__mix_cdf.cdf"))).first()[0] or 0
+    sources = F.broadcast(rates) if size * 8 <= RATES_BYTES else rates
     out = (docs.join(sources, F.col("source").eqNullSafe(F.col("__mix_source")))
            .withColumn("copies", (F.col("__mix_cdf.first") + F.size(F.filter("__mix_cdf.cdf", lambda c: c <= draw))).cast("int"))
            .withColumn("copy_no", F.explode(F.when(F.col("copies") > 0, F.sequence(F.lit(0), F.col("copies") - 1))
                                             .otherwise(F.array().cast("array<int>"))))
            .drop("__mix_source", "__mix_cdf"))
     key = F.conv(F.substring(F.md5(F.concat_ws("/", F.lit(f"mix{seed}"), F.coalesce(F.col("doc_id").cast("string"), F.lit("~")),
-                                               F.col("copy_no").cast("string")).cast("binary")), 1, 13), 16, 10).cast("long")
+                                               F.col("copy_no").cast("string"), F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+                                               ).cast("binary")), 1, 13), 16, 10).cast("long")
     return out.withColumn("mix_key", key).repartition("mix_key").sortWithinPartitions("mix_key", "doc_id", "copy_no")
-
-
-MAX_SOURCES = 10_000
