@@ -9,6 +9,8 @@ All of it is a function of the row and the seed, so a lost executor's work is re
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +29,25 @@ def hash62(seed: int, *cols) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 2)
 
 
+NUMPY_ROWS = 10**9      # numpy draws from fewer rows than this
+
+
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of ``n`` rows drawn without replacement from ``good`` + ``bad`` are good, for any numbers.
+
+    Inversion over the values within 12 standard deviations (and 20) of the mean, beyond which less than 2^-53 lies;
+    their probabilities come from the ratios of neighbours.
+    """
+    total = good + bad
+    mean = n * (good / total)
+    spread = int(12 * math.sqrt(max(mean * (bad / total), 0.0))) + 20
+    low, high = max(0, n - bad, int(mean) - spread), min(good, n, int(mean) + spread)
+    k = np.arange(low, high, dtype=np.float64)
+    logs = np.concatenate([[0.0], np.cumsum(np.log(good - k) + np.log(n - k) - np.log(k + 1) - np.log(bad - n + k + 1))])
+    upto = np.cumsum(np.exp(logs - logs.max()))
+    return low + int(np.searchsorted(upto, rng.random() * upto[-1], side="right"))
+
+
 def communication_matrix(rows_per_lot: list[int], shards: int, seed: int) -> np.ndarray:
     """Rows each lot (line) sends to each shard (column), distributed as under a uniformly random permutation.
 
@@ -38,7 +59,14 @@ def communication_matrix(rows_per_lot: list[int], shards: int, seed: int) -> np.
     rng = np.random.default_rng(seed)
     matrix = np.zeros((len(rows_per_lot), shards), dtype=np.int64)
     for i, n in enumerate(rows_per_lot):
-        matrix[i] = rng.multivariate_hypergeometric(room, n, method="marginals")
+        if total < NUMPY_ROWS:
+            matrix[i] = rng.multivariate_hypergeometric(room, n, method="marginals")
+        else:                      # shard by shard, each against all that follow
+            left = int(room.sum())
+            for j, here in enumerate(room.tolist()):
+                left -= here
+                matrix[i, j] = hypergeometric(rng, here, left, n) if here and n else 0
+                n -= int(matrix[i, j])
         room -= matrix[i]
     return matrix
 
