@@ -134,8 +134,16 @@ def test_mix_given_weights_large_rates_and_empty(spark, no_docs):
     assert set(by) == {"rare", "hot"} and by["rare"].rate == pytest.approx(20)
     assert abs(by["rare"].n - 2000) < 5 * 2000 ** 0.5 and abs(by["hot"].n - 2000) < 5 * 2000 ** 0.5
     assert mixing.mixed(no_docs).count() == 0
-    with pytest.raises(Exception):
-        mixing.mixed(docs, weights={"none": 1.0}, epochs=10.0).count()
+    large = mixing.mixed(docs, weights={"none": 1.0}, epochs=10.0).groupBy("source").agg(F.count("*").alias("n"), F.max("rate").alias("rate")).collect()
+    assert [(r.source, r.rate) for r in large] == [("none", pytest.approx(4000))] and abs(large[0].n - 40_000) < 5 * 200
+
+
+def test_mix_spreads_unlike_rows_of_one_id(spark):
+    docs = spark.range(2000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"),
+                                    F.lit("s").alias("source"))
+    nulls = mixing.mixed(docs).where("doc_id is null")
+    n = nulls.count()
+    assert n > 400 and nulls.select("mix_key").distinct().count() == n        # a third of all rows, no two on one key
 
 
 def test_mix_of_a_short_document_beside_a_large_rest_equals_sql(spark, scratch):
@@ -169,6 +177,21 @@ def test_shards_are_exact_gapless_and_whole(spark, corpus):
     assert {(r.doc_id, r.shard, r.slot) for r in got} == {(r.doc_id, r.shard, r.slot) for r in again}
 
 
+def test_communication_beyond_numpys_bound():
+    lots = [700_000_000, 5, 0, 900_000_000, 1_400_000_000]
+    m = sharding.communication_matrix(lots, 7, 1)
+    assert m.sum(1).tolist() == lots and m.min() >= 0
+    assert m.sum(0).max() - m.sum(0).min() <= 1 and m.sum() == sum(lots)
+    mean = 900_000_000 / 7
+    assert np.abs(m[3] - mean).max() < 6 * mean ** 0.5
+    rng = np.random.default_rng(4)
+    for good, bad, n in ((3, 2, 4), (50, 20, 30), (1, 0, 1), (10, 1000, 7)):        # the same distribution as numpy's
+        mine = np.array([sharding.hypergeometric(rng, good, bad, n) for _ in range(20000)])
+        theirs = rng.hypergeometric(good, bad, n, 20000)
+        assert abs(mine.mean() - theirs.mean()) < 5 * (theirs.std() / 100 + 1e-9) and abs(mine.std() - theirs.std()) < 0.05 * theirs.std() + 1e-9
+        assert mine.min() >= max(0, n - bad) and mine.max() <= min(good, n)
+
+
 def test_more_shards_than_rows_and_none(spark, no_docs):
     got = sharding.sharded(spark.range(3), shards=10).collect()
     assert len({r.shard for r in got}) == 3 and {r.slot for r in got} == {0}

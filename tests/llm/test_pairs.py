@@ -194,3 +194,31 @@ def test_perturbations_come_in_order_of_their_score():
     cost = [sum(at[k] ** 2 if d < 0 else (1 - at[k]) ** 2 for k, d in s) for s in sets]
     assert sets[0] == () and cost == sorted(cost) and len(set(sets)) == 12
     assert all(len({k for k, _ in s}) == len(s) for s in sets)
+
+
+def test_nearest_far_from_the_origin():
+    """The rough screen must not lose neighbours where coordinates are much larger than distances."""
+    import pandas as pd
+
+    rng = np.random.default_rng(11)
+    for offset in (0.0, 1e4, 1e7, 1e12):
+        x = rng.normal(size=(500, 32)) + offset
+        rows = pd.DataFrame({"vec_id": np.arange(500), "embedding": list(x)})
+        queries = rows[:20].rename(columns={"vec_id": "query_id"})
+        got = ann.nearest(queries, rows, 10)
+        for i in range(20):
+            d = np.sqrt(((x - x[i]) ** 2).sum(1))
+            d[i] = np.inf
+            want = np.lexsort((np.arange(500), d))[:10]
+            part = got[got["query_id"] == i]
+            assert part["vec_id"].tolist() == want.tolist() and part["score"].tolist() == d[want].tolist()
+
+
+def test_duplicates_of_tiny_and_huge_vectors(spark):
+    rows = []
+    for k, size in enumerate((1e-300, 1e-170, 1.0, 1e200, 1e300)):
+        rows += [(10 * k, [size, 2 * size, -size], 1), (10 * k + 1, [size, 2 * size, -size], 1), (10 * k + 2, [-size, size, size], 1)]
+    got = {r.vec_id: r for r in dense_dups.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    same = [v for v in got if v % 10 < 2]              # one direction, whatever the length
+    assert all(got[v].n_links == len(same) - 1 and got[v].component_id == 0 for v in same)
+    assert all(got[v].n_links == 4 and got[v].component_id == 2 for v in got if v % 10 == 2)
