@@ -43,7 +43,7 @@ class KnownWords:
     def __init__(self):
         self.hash = np.empty(0, _U)
         self.cp, self.ids = np.empty(0, np.uint32), np.empty(0, np.uint32)
-        self.start, self.len, self.id_start, self.id_len = (np.empty(0, np.int64) for _ in range(4))
+        self.start, self.len, self.id_start, self.id_len = (np.empty(0, np.int32) for _ in range(4))
 
     def find(self, hashes: np.ndarray, cp: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, whether the word is really there) of each word."""
@@ -55,7 +55,7 @@ class KnownWords:
         rows = np.flatnonzero(hit)
         if len(rows):
             n = lengths[rows]
-            unlike = self.cp[spans(self.start[near[rows]], n)] != cp[spans(starts[rows], n)]
+            unlike = self.cp[spans(self.start[near[rows]].astype(np.int64), n)] != cp[spans(starts[rows], n)]
             hit[rows] = ~np.logical_or.reduceat(unlike, np.cumsum(n) - n)
         return at, hit
 
