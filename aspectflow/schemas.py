@@ -26,6 +26,8 @@ MAX_MESSAGE_BYTES = 10485760
 DEFAULT_MODEL_NAME = "cnn_best.pth"
 MODEL_NAME_FORMAT = "cnn_v%d.pth"
 # ---------------------------------------------------------------------------
+# Fixed values too: names and types of message, result and registry fields,
+# which other programs read and write.
 
 REVIEW_MESSAGE = T.StructType([
     T.StructField("id", T.StringType()),

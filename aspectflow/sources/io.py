@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aspectflow.schemas import (
-    ASPECTS, PAD_ID, PAD_TOKEN, UNK_ID, UNK_TOKEN, VOCABULARY, labelled_reviews_schema,
+    ASPECTS, FRAME_RESULT, PAD_ID, PAD_TOKEN, REGISTRY, UNK_ID, UNK_TOKEN, VOCABULARY, labelled_reviews_schema,
 )
 from aspectflow.sources.csv_split import read_split_csv
 
@@ -97,10 +97,12 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
 
 # --- catalog tables (SNK-6, SNK-10) ----------------------------------------------------
 
-RESULTS_DDL = ("id BIGINT, frame_id INT, video_second INT, total_count INT, class_counts STRING, "
-               "image_path STRING, annotation_json STRING, created_at TIMESTAMP, "
-               "source_video STRING, stream_id STRING, batch_id BIGINT")
-REGISTRY_DDL = "id BIGINT, model_name STRING, macro_f1 DOUBLE, balanced_acc DOUBLE, created_at TIMESTAMP"
+def _ddl(schema) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in schema.fields)
+
+
+RESULTS_DDL = _ddl(FRAME_RESULT) + ", source_video STRING, stream_id STRING, batch_id BIGINT"
+REGISTRY_DDL = _ddl(REGISTRY)
 SCORED_DDL = "ReviewText STRING, " + ", ".join(f"{a} STRING" for a in ASPECTS) + (
     ", row_in_batch BIGINT, created_at TIMESTAMP, stream_id STRING, batch_id BIGINT")
 
