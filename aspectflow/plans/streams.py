@@ -25,10 +25,18 @@ from aspectflow.streaming.state import current_grid, current_latest, run_latest_
 AVAILABLE_NOW = {"availableNow": True}
 
 
+REPLAY_BATCHES = 8         # micro-batches of a replayed table at most: each one meets its static side anew
+
+
 def _replay(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A driver table, one file or a folder of files, through the streaming path."""
     path = f"{sf_dir.rstrip('/')}/{table}.parquet"
-    schema = spark.read.parquet(path).schema
-    return replay_source(spark, sf_dir, schema, file_glob=f"{table}.parquet")
+    stored = spark.read.parquet(path)
+    files = stored.inputFiles()
+    if len(files) == 1 and files[0].endswith(f"/{table}.parquet") and files[0].split("/")[-2] != f"{table}.parquet":
+        # a file source reads folders: the one file is picked from the folder it is in
+        return replay_source(spark, sf_dir, stored.schema, file_glob=f"{table}.parquet")
+    return replay_source(spark, path, stored.schema, max_files_per_trigger=max(1, -(-len(files) // REPLAY_BATCHES)))
 
 
 def logits_scorer(logits: DataFrame, key: str = "doc_id"):
