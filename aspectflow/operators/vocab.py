@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aspectflow.functions.batches import pieces
 from aspectflow.functions.text import clean, tokenize_clean
 from aspectflow.session import cut_lineage_columnar
 from aspectflow.schemas import MAX_VOCAB, PAD_ID, PAD_TOKEN, UNK_ID, UNK_TOKEN
@@ -42,7 +43,7 @@ def _re2_whitelist(text_col: str, names: list[str], pattern: str | None = None):
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        for rb in batches:
+        for rb in (piece for batch in batches for piece in pieces(batch, text_col)):
             cols = [rb.column(rb.schema.get_field_index(c)) for c in names]
             text = rb.column(rb.schema.get_field_index(text_col))
             cols.append(pc.replace_substring_regex(text, pattern=pattern, replacement=" "))
@@ -215,7 +216,7 @@ def _arrow_encoder(table, text_col: str, out: str, passthrough: list[str]):
         import pyarrow.compute as pc
 
         vocab_tokens, vocab_ids = table.value
-        for rb in batches:
+        for rb in (piece for batch in batches for piece in pieces(batch, text_col)):
             text = rb.column(rb.schema.get_field_index(text_col))
             lists = pc.split_pattern(text, " ")
             flat = pc.list_flatten(lists)

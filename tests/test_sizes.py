@@ -2,8 +2,11 @@
 
 import os
 
+import pyarrow as pa
 import pytest
 
+from aspectflow.functions.batches import pieces
+from aspectflow.operators import vocab as V
 from aspectflow.plans.streams import REPLAY_BATCHES, STREAM_QUERIES
 
 
@@ -29,3 +32,33 @@ def test_streams_replay_tables_that_are_folders(spark, scratch, sf001, name, tab
 def test_a_file_beside_folders_is_replayed(spark, scratch, sf001):
     d = _folder_copy(spark, sf001, f"{scratch}/in", ["documents", "labels"], 2)
     assert STREAM_QUERIES["stream_frames"](spark, d).exceptAll(STREAM_QUERIES["stream_frames"](spark, sf001)).count() == 0
+
+
+def test_pieces_are_whole_and_bounded():
+    texts = ["ab" * 300, None, "", "x" * 5000, "yz"] * 40
+    batch = pa.RecordBatch.from_pydict({"id": range(200), "text": texts, "ids": [list(range(len(t or ""))) for t in texts]})
+    for column, each in (("text", 1), ("ids", 4)):
+        cut = list(pieces(batch, column, 1500))
+        assert pa.Table.from_batches(cut).equals(pa.Table.from_batches([batch]))
+        assert all(p.num_rows == 1 or sum(each * len(v or "") for v in p[column].to_pylist()) <= 1500 for p in cut)
+    assert [p.num_rows for p in pieces(batch.slice(0, 0), "text")] == [0]
+
+
+def _largest_piece(kernel, column, n=8000, length=2000):
+    """Bytes of Arrow memory that ``kernel`` holds at most over one batch of long texts, beside the batch itself."""
+    text = " ".join(f"w{i % 50}" for i in range(length // 4))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(n)), column: [text] * n})
+    pool, was, most = pa.default_memory_pool(), pa.total_allocated_bytes(), 0
+    for out in kernel(iter([batch])):
+        most = max(most, pool.bytes_allocated() - was, out.nbytes)
+        assert out.num_rows < n
+    return most, batch.nbytes
+
+
+def test_kernels_take_a_batch_in_pieces():
+    class Table:
+        value = pa.array([f"w{i}" for i in range(50)]), pa.array(range(2, 52), pa.int32())
+
+    for kernel in (V._re2_whitelist("text", ["doc_id"]), V._arrow_encoder(Table, "text", "ids", ["doc_id"])):
+        most, given = _largest_piece(kernel, "text")
+        assert most < given
