@@ -16,10 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aspectflow.functions.batches import pieces
 from aspectflow.operators import vocab as V
 from aspectflow.session import cut_lineage_columnar
 
 COUNTERS = 10_000
+HELD = 500                  # times as many counted tokens as counters that a task holds before they go into its summary
 CANDIDATES = 1_000_000      # rows of candidates that are sent to all tasks; more are counted by the exact path
 
 
@@ -46,6 +48,14 @@ def _reduced(counts: dict[str, int], counters: int) -> int:
     return off
 
 
+def _add(counts: dict[str, int], held: list[pa.Table]) -> None:
+    """Add the tables (token, n) to a summary."""
+    if held:
+        found = pa.concat_tables(held).group_by("token").aggregate([("n", "sum")])
+        for token, n in zip(found["token"].to_pylist(), found["n_sum"].to_pylist()):
+            counts[token] = counts.get(token, 0) + n
+
+
 def summaries(clean_docs: DataFrame, counters: int = COUNTERS, text_col: str = "clean_text") -> DataFrame:
     """(token, low, error): every task's counters, and its error in a row with a null token."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -54,9 +64,15 @@ def summaries(clean_docs: DataFrame, counters: int = COUNTERS, text_col: str = "
         counts: dict[str, int] = {}
         error = 0
         for batch in batches:
-            found = pc.value_counts(_tokens(batch["text"])[0])
-            for token, n in zip(found.field("values").to_pylist(), found.field("counts").to_pylist()):
-                counts[token] = counts.get(token, 0) + n
+            held: list[pa.Table] = []
+            for piece in pieces(batch, "text"):
+                found = pc.value_counts(_tokens(piece["text"])[0])
+                held.append(pa.table({"token": found.field("values"), "n": found.field("counts")}))
+                if sum(t.num_rows for t in held) > HELD * counters:
+                    _add(counts, held)
+                    held = []
+                    error += _reduced(counts, counters)
+            _add(counts, held)
             error += _reduced(counts, counters)
         yield pa.RecordBatch.from_arrays(
             [pa.array([*counts, None], pa.string()), pa.array([*counts.values(), 0], pa.int64()),
@@ -88,7 +104,7 @@ def counted(clean_docs: DataFrame, chosen: list[str], id_col: str = "doc_id", te
         words = pa.array(sent.value, pa.string())
         total = np.zeros(len(words), np.int64)
         first: dict[int, tuple] = {}
-        for batch in batches:
+        for batch in (piece for b in batches for piece in pieces(b, "text")):
             tokens, owner = _tokens(batch["text"])
             index = pc.index_in(tokens, value_set=words)
             known = np.flatnonzero(np.asarray(index.is_valid()))

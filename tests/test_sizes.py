@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 
 from aspectflow.functions.batches import pieces
+from aspectflow.operators import heavy as H
 from aspectflow.operators import vocab as V
 from aspectflow.plans.streams import REPLAY_BATCHES, STREAM_QUERIES
 
@@ -62,3 +63,9 @@ def test_kernels_take_a_batch_in_pieces():
     for kernel in (V._re2_whitelist("text", ["doc_id"]), V._arrow_encoder(Table, "text", "ids", ["doc_id"])):
         most, given = _largest_piece(kernel, "text")
         assert most < given
+
+
+def test_summaries_reduce_inside_a_batch(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"t{i}x{j}" for j in range(600)) + " common") for i in range(300)], "doc_id long, clean_text string")
+    got = H.top_of_texts(docs, 1, counters=2).select("token", "cnt").collect()
+    assert [(r.token, r.cnt) for r in got] == [("common", 300)]
