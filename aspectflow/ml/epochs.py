@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aspectflow.functions.batches import pieces
 from aspectflow.operators import vocab as V
 from aspectflow.operators.ordering import batch_number
 from aspectflow.schemas import BATCH_SIZE, LABEL_NAMES, NUM_CLASSES, PAD_ID, UNK_ID
@@ -52,7 +53,7 @@ class LinearHeads:
         sent, names, aspects = _sent(df.sparkSession, self), list(LABEL_NAMES), self.aspects
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in (piece for b in batches for piece in pieces(b, "_ids")):
                 ids, owner, counts = _known(batch["_ids"])
                 best = _logits(*sent.value, ids, owner, counts).argmax(axis=2)
                 labels = [pa.array([names[c] for c in best[:, h]], pa.string()) for h in range(len(aspects))]
@@ -121,7 +122,7 @@ def gradient(rows: DataFrame, heads: LinearHeads) -> tuple[np.ndarray, np.ndarra
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = sent.value
         total, loss = np.zeros((h, c, v + 1)), 0.0
-        for batch in batches:
+        for batch in (piece for b in batches for piece in pieces(b, "ids")):
             ids, owner, counts = _known(batch["ids"])
             labels = np.asarray(batch["labels"].flatten()).reshape(-1, h)
             w = np.asarray(batch["weight"])
@@ -160,7 +161,7 @@ def judged(rows: DataFrame, heads: LinearHeads) -> tuple[float, DataFrame]:
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, loss, seen = np.zeros((h, c, c), np.int64), 0.0, 0
-        for batch in batches:
+        for batch in (piece for b in batches for piece in pieces(b, "ids")):
             ids, owner, sizes = _known(batch["ids"])
             labels = np.asarray(batch["labels"].flatten()).reshape(-1, h)
             logits = _logits(*sent.value, ids, owner, sizes)

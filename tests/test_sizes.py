@@ -1,11 +1,14 @@
 """Tables stored as folders, and work that must not grow faster than the input."""
 
 import os
+import tracemalloc
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
 from aspectflow.functions.batches import pieces
+from aspectflow.ml import epochs as E
 from aspectflow.operators import heavy as H
 from aspectflow.operators import vocab as V
 from aspectflow.plans.streams import REPLAY_BATCHES, STREAM_QUERIES
@@ -69,3 +72,29 @@ def test_summaries_reduce_inside_a_batch(spark):
     docs = spark.createDataFrame([(i, " ".join(f"t{i}x{j}" for j in range(600)) + " common") for i in range(300)], "doc_id long, clean_text string")
     got = H.top_of_texts(docs, 1, counters=2).select("token", "cnt").collect()
     assert [(r.token, r.cnt) for r in got] == [("common", 300)]
+
+
+def test_losses_take_a_batch_in_pieces(spark):
+    class Taken(Exception):
+        pass
+
+    class Rows:
+        sparkSession = spark          # noqa: N815 - name of the interface
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, f, _):   # noqa: N802
+            raise Taken(f)
+
+    with pytest.raises(Taken) as taken:
+        E.judged(Rows(), E.LinearHeads.zeros([f"w{i}" for i in range(100)], ["a"]))
+    n, each = 2000, 2000
+    ids = pa.ListArray.from_arrays(pa.array(range(0, n * each + 1, each), pa.int32()), pa.array(np.tile(np.arange(2, 102, dtype=np.int32), n * each // 100)))
+    batch = pa.RecordBatch.from_arrays([ids, pa.array([[1]] * n, pa.list_(pa.int32())), pa.array([1.0 / n] * n)], names=["ids", "labels", "weight"])
+    tracemalloc.start()
+    (out,) = taken.value.args[0](iter([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < batch.nbytes
+    assert out["cnt"].to_pylist() == [n, n] and abs(out["loss"][-1].as_py() - np.log(4)) < 1e-12
