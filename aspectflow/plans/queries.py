@@ -32,6 +32,7 @@ from aspectflow.sources.registry_log import RegistryLog
 
 PROMOTERS = 4
 CSV_SPLIT_BYTES = 256 << 10
+CSV_FILE_BYTES = 32 << 20
 R = 9  # decimals kept for doubles in compared outputs
 
 
@@ -369,10 +370,13 @@ def q_random_sample(spark, d):
 
 
 def q_csv_splits(spark, d):
-    """SRC-3: the texts, line breaks and quotes included, written as one CSV file and read back by many tasks."""
+    """SRC-3: the texts, line breaks and quotes included, written as a CSV file (as files in ``doc_id`` order beyond
+    ``CSV_FILE_BYTES``, so that no task writes all rows) and read back by many tasks."""
     path = shared_path(spark, "csv", unique=True)
     docs = load(spark, d, "documents").select("doc_id", "text", "n_chars")
-    (docs.coalesce(1).sortWithinPartitions("doc_id").write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path))
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ordered = docs.repartitionByRange(-(-total // CSV_FILE_BYTES) or 1, "doc_id").sortWithinPartitions("doc_id")
+    (ordered.write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path))
     key = "spark.sql.files.maxPartitionBytes"
     was = spark.conf.get(key)
     spark.conf.set(key, str(CSV_SPLIT_BYTES))

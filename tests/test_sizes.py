@@ -11,6 +11,7 @@ from aspectflow.functions.batches import pieces
 from aspectflow.ml import epochs as E
 from aspectflow.operators import heavy as H
 from aspectflow.operators import vocab as V
+from aspectflow.plans import queries as Q
 from aspectflow.plans.streams import REPLAY_BATCHES, STREAM_QUERIES
 
 
@@ -98,3 +99,13 @@ def test_losses_take_a_batch_in_pieces(spark):
     tracemalloc.stop()
     assert peak < batch.nbytes
     assert out["cnt"].to_pylist() == [n, n] and abs(out["loss"][-1].as_py() - np.log(4)) < 1e-12
+
+
+def test_csv_is_written_in_files_of_bounded_size(spark, sf001, monkeypatch):
+    whole = Q.q_csv_splits(spark, sf001).collect()
+    monkeypatch.setattr(Q, "CSV_FILE_BYTES", 40 << 10)
+    written = []
+    read = Q.read_split_csv
+    monkeypatch.setattr(Q, "read_split_csv", lambda s, path, schema: (written.append(s.read.text(path).inputFiles()), read(s, path, schema))[1])
+    assert sorted(Q.q_csv_splits(spark, sf001).collect()) == sorted(whole)
+    assert len(written[0]) > 3
