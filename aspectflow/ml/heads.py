@@ -30,6 +30,8 @@ from aspectflow.schemas import ASPECTS, LABEL_NAMES, NUM_CLASSES, PAD_TOKEN, UNK
 
 TOKENS = "_tokens"
 FEATURES = "_features"
+N_TOKENS = "_n_tokens"
+PARTITION_TOKENS = 4_000_000        # of a partition of cached features: 48 MB at 12 bytes each, less where words repeat
 
 
 @dataclass
@@ -75,7 +77,9 @@ def train_heads(train: DataFrame, vocab: DataFrame, aspects=ASPECTS, text_col: s
                 parallelism: int = 8, partitions: int | None = None) -> AspectModel:
     """ML-1: fit the heads.  ``train`` holds the text and one stored label
     (0..3) per aspect.  ``partitions`` coalesces the cached features (an
-    iterative job over many tiny partitions pays for tasks, not for data).  The features are persisted once and shared by all
+    iterative job over many tiny partitions pays for tasks, not for data), to
+    more partitions where one would hold over ``PARTITION_TOKENS`` tokens.  The
+    features are persisted once, without texts and tokens, and shared by all
     heads instead of being recomputed per head."""
     words = vocab_words(vocab)
     cv = CountVectorizerModel.from_vocabulary(words, inputCol=TOKENS, outputCol=FEATURES)
@@ -84,9 +88,10 @@ def train_heads(train: DataFrame, vocab: DataFrame, aspects=ASPECTS, text_col: s
                                 probabilityCol=f"{a}_prob", regParam=reg_param, maxIter=max_iter)
              for a in aspects]
     data = with_tokens(train.select(text_col, *[_nominal(a) for a in aspects]), text_col, cleaned)
-    cached = cv.transform(data).persist()
-    cached.count()                 # materialise the features with full parallelism
-    feats = cached.coalesce(partitions) if partitions else cached
+    sized = cv.transform(data).withColumn(N_TOKENS, F.size(TOKENS))
+    cached = sized.select(FEATURES, *[F.col(a) for a in aspects], N_TOKENS).persist()
+    n_tokens = cached.agg(F.sum(N_TOKENS)).first()[0] or 0      # materialises the features with full parallelism
+    feats = cached.coalesce(max(partitions, -(-n_tokens // PARTITION_TOKENS))) if partitions else cached
     try:
         # Heads are independent: fit them concurrently.  Each L-BFGS step is
         # a small tree-aggregate job, so running the heads' jobs side by side

@@ -9,6 +9,7 @@ import pytest
 
 from aspectflow.functions.batches import pieces
 from aspectflow.ml import epochs as E
+from aspectflow.ml import heads as L
 from aspectflow.operators import heavy as H
 from aspectflow.operators import vocab as V
 from aspectflow.plans import queries as Q
@@ -109,3 +110,15 @@ def test_csv_is_written_in_files_of_bounded_size(spark, sf001, monkeypatch):
     monkeypatch.setattr(Q, "read_split_csv", lambda s, path, schema: (written.append(s.read.text(path).inputFiles()), read(s, path, schema))[1])
     assert sorted(Q.q_csv_splits(spark, sf001).collect()) == sorted(whole)
     assert len(written[0]) > 3
+
+
+def test_partitions_of_features_grow_with_the_tokens(spark, monkeypatch):
+    docs = spark.range(4000, numPartitions=40).selectExpr("id", "cast(id % 2 as int) as a", "concat(repeat('x ', 50), 'w', id % 2) as clean_text")
+    vocab = spark.createDataFrame([("x", 2), ("w0", 3), ("w1", 4)], "token string, id int")
+    asked = []
+    fit = L.LogisticRegression.fit
+    monkeypatch.setattr(L.LogisticRegression, "fit", lambda self, data: (asked.append((data.rdd.getNumPartitions(), data.columns)), fit(self, data))[1])
+    for most, n in ((10_000_000, 4), (20_000, 11)):
+        monkeypatch.setattr(L, "PARTITION_TOKENS", most)
+        L.train_heads(docs, vocab, ["a"], "clean_text", cleaned=True, max_iter=2, partitions=4)
+        assert asked[-1][0] == n and not {"clean_text", L.TOKENS} & set(asked[-1][1])
