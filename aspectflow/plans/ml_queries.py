@@ -24,6 +24,7 @@ from aspectflow.streaming.pipelines import drain, replay_source
 from aspectflow.streaming.reviews import run_reviews_stream
 
 FOLDS = 5
+SOURCE_BYTES = 32 << 20         # of texts in a file of the replayed reviews
 
 
 def _holdout() -> F.Column:
@@ -97,8 +98,10 @@ def q_stream_scored(spark: SparkSession, d: str) -> DataFrame:
     model = _fitted(_labelled(spark, d).withColumnsRenamed(heads), list(heads.values()))
     root = shared_path(spark, "streams", "scored", unique=True)
     docs = load(spark, d, "documents").select("doc_id", "text")
-    review_messages(docs, text_col="text", keep=["doc_id"]).repartition(6).write.parquet(f"{root}/source")
-    messages = replay_source(spark, f"{root}/source", spark.read.parquet(f"{root}/source").schema, max_files_per_trigger=2)
+    # three micro-batches of two files each, of more files where one would hold over SOURCE_BYTES
+    files = max(2, -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // (3 * SOURCE_BYTES)))
+    review_messages(docs, text_col="text", keep=["doc_id"]).repartition(3 * files).write.parquet(f"{root}/source")
+    messages = replay_source(spark, f"{root}/source", spark.read.parquet(f"{root}/source").schema, max_files_per_trigger=files)
     drain(run_reviews_stream(messages, H.stream_scorer(model), f"{root}/table", f"{root}/checkpoint", {"availableNow": True},
                              keep=["doc_id"]))
     stored = spark.read.parquet(f"{root}/table")

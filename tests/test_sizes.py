@@ -12,6 +12,7 @@ from aspectflow.ml import epochs as E
 from aspectflow.ml import heads as L
 from aspectflow.operators import heavy as H
 from aspectflow.operators import vocab as V
+from aspectflow.plans import ml_queries as M
 from aspectflow.plans import queries as Q
 from aspectflow.plans.streams import REPLAY_BATCHES, STREAM_QUERIES
 
@@ -122,3 +123,12 @@ def test_partitions_of_features_grow_with_the_tokens(spark, monkeypatch):
         monkeypatch.setattr(L, "PARTITION_TOKENS", most)
         L.train_heads(docs, vocab, ["a"], "clean_text", cleaned=True, max_iter=2, partitions=4)
         assert asked[-1][0] == n and not {"clean_text", L.TOKENS} & set(asked[-1][1])
+
+
+def test_scored_reviews_keep_three_batches_of_more_files(spark, sf001, monkeypatch):
+    asked, replay = [], M.replay_source
+    monkeypatch.setattr(M, "SOURCE_BYTES", 20 << 10)
+    monkeypatch.setattr(M, "replay_source", lambda *a, **k: (asked.append(k["max_files_per_trigger"]), replay(*a, **k))[1])
+    (row,) = M.q_stream_scored(spark, sf001).collect()
+    assert (row.n_batches, row.n_differ) == (3, 0) and row.n_rows == spark.read.parquet(f"{sf001}/documents.parquet").where("text is not null").count()
+    assert asked[0] > 2
