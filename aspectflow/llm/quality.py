@@ -1,20 +1,23 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of byte n-grams, trained on trusted text.
 
 Bytes of the UTF-8 text (A-Z in lower case, white space as blanks) are the symbols, so there are no unknown words and
-n-grams are exact 64-bit keys.  Counting is added up per task, then by n-gram; counts, continuation counts and context
-totals of all orders are tables sharded by key, and joins between them give the log-probability of every n-gram that
-occurs in the documents.  A document's perplexity is the mean over all its bytes.  The limit up to which a document
-is kept comes from a quantile of those trusted documents of its language that the model has not been trained on.
+n-grams are exact 64-bit keys.  Trusted text is counted per task and dealt to shards by the three symbols before the last
+one: all orders above the third, with their contexts, lie in one shard, which adds the counts up and derives continuation
+counts by sorting.  The lower orders have 2^24 keys at most, whatever the corpus, and go to every task.  Documents stay
+where they are: a task gathers the distinct n-grams of a chunk of texts and meets the stored shards one after the other,
+so no n-gram of a document is shuffled.  A document's perplexity is the mean over all its bytes.  The limit up to which a
+document is kept comes from a quantile of those trusted documents of its language that the model has not been trained on.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aspectflow.llm.shingles import text_batches, text_buffer
@@ -25,9 +28,11 @@ HIGH = 0.99                 # quantile of the held-back trusted documents' log-p
 FOLDS = 5                   # one fold of the trusted texts is kept from training, for the limit
 FEWEST = 10                 # a language with fewer texts in that fold takes the limit of all languages together
 WIDEN = 4.0                 # that limit lies this many times as far above the median as the quantile: it is other languages' text
-TABLE_BYTES = 64 << 20      # a log-probability table up to this size goes to every task, a larger one to chunks of documents
-CHUNK_BYTES = 4 << 20
-HELD_GRAMS = 1 << 19       # n-grams that a task adds up before it hands them on
+TABLE_BYTES = 64 << 20      # a list of ids, or a packed model, up to this size goes to every task
+CHUNK_BYTES = 32 << 20      # text that meets the model at once; every chunk reads all shards
+SHARD_BYTES = 4 << 20       # trusted text a shard
+HELD_GRAMS = 1 << 21        # n-grams that a task adds up before it hands them on
+LOW = 3                     # orders up to this one have 2^24 keys at most and are not sharded
 
 
 def _symbols() -> np.ndarray:
@@ -57,31 +62,108 @@ def text_grams(texts: pa.Array, order: int = ORDER) -> tuple[np.ndarray, np.ndar
     return code, offsets
 
 
-def gram_counts(docs: DataFrame) -> DataFrame:
-    """(gram, n) over whole texts, summed up per task first (``HELD_GRAMS`` at a time); ``n`` counts the documents that ``trusted`` marks, others add 0."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+def packed(x: np.ndarray) -> bytes:
+    """64-bit numbers as compressed planes of their bytes; small numbers and small steps between sorted ones take few."""
+    planes = np.ascontiguousarray(x.astype(np.uint64).view(np.uint8).reshape(len(x), 8).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(blob: bytes, size: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(blob, decompressed_size=8 * size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, size).T).view(np.uint64).ravel()
+
+
+def _steps(keys: np.ndarray) -> np.ndarray:
+    return np.diff(keys, prepend=np.uint64(0))
+
+
+def _starts(x: np.ndarray) -> np.ndarray:
+    """Where each run of equal numbers starts."""
+    return np.flatnonzero(np.r_[True, x[1:] != x[:-1]][:len(x)])
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct numbers; without counts np.unique hashes, which takes many times as long."""
+    x = np.sort(x)
+    return x[_starts(x)]
+
+
+def _added(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys of all pairs of keys and counts, and the sums of their counts."""
+    keys = np.concatenate([k for k, _ in held])
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = _starts(keys)
+    return keys[first], np.add.reduceat(np.concatenate([n for _, n in held])[order], first) if len(keys) else np.empty(0, np.uint64)
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            gram, at = np.unique(np.concatenate([g for g, _ in held]), return_inverse=True)
-            return gram, np.bincount(at, weights=np.concatenate([n for _, n in held]), minlength=len(gram)).astype(np.int64)
 
+def _tails(grams: np.ndarray, order: int) -> np.ndarray:
+    return grams & np.uint64((1 << (8 * order)) - 1)
+
+
+def _shard(grams: np.ndarray, shards: int) -> np.ndarray:
+    """By the ``LOW`` symbols before the last one, which an n-gram shares with its tails and contexts of more symbols."""
+    mixed = _tails(grams >> np.uint64(8), LOW) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(32)) % np.uint64(shards)).astype(np.uint16 if shards <= 1 << 16 else np.int64)
+
+
+def _counted(shards: int):
+    """Kernel over texts: (shard, size, keys, n), n-grams and their counts, added up ``HELD_GRAMS`` at a time."""
+    names = ["shard", "size", "keys", "n"]
+
+    def rows(grams: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        at = _shard(grams, shards)
+        order = np.argsort(at, kind="stable")
+        ends = np.searchsorted(at[order], np.arange(shards + 1))
+        parts = [(s, order[ends[s]:ends[s + 1]]) for s in range(shards) if ends[s] < ends[s + 1]]
+        return pa.RecordBatch.from_arrays([
+            pa.array([s for s, _ in parts], pa.int32()), pa.array([len(x) for _, x in parts], pa.int64()),
+            pa.array([packed(_steps(grams[x])) for _, x in parts], pa.binary()),
+            pa.array([packed(n[x]) for _, x in parts], pa.binary())], names=names)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in text_batches(batches):
-            code, offsets = text_grams(batch["text"])
-            trusted = np.repeat(np.asarray(batch["trusted"].to_pylist(), dtype=bool), np.diff(offsets))
-            for is_trusted in (True, False):
-                gram, n = np.unique(code[trusted == is_trusted], return_counts=True)
-                held.append((gram, n.astype(np.int64) * is_trusted))
+            grams, n = np.unique(text_grams(batch["text"])[0].view(np.uint64), return_counts=True)
+            held.append((grams, n.astype(np.uint64)))
             if sum(len(g) for g, _ in held) > HELD_GRAMS:
-                held[:] = [merged()]
+                held[:] = [_added(held)]
                 if 2 * len(held[0][0]) > HELD_GRAMS:
-                    yield pa.RecordBatch.from_arrays([pa.array(held[0][0]), pa.array(held[0][1])], names=["gram", "n"])
-                    held.clear()
+                    yield rows(*held.pop())
         if held:
-            gram, n = merged()
-            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n)], names=["gram", "n"])
+            yield rows(*_added(held))
+
+    return count
+
+
+def _orders(part: pa.Table) -> pa.Table:
+    """A shard's counts added up, and from them continuation counts of the orders below, with their counts of counts."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for row in part.to_batches(max_chunksize=1):
+        size = row["size"][0].as_py()
+        held.append((np.cumsum(unpacked(row["keys"][0].as_py(), size), dtype=np.uint64), unpacked(row["n"][0].as_py(), size)))
+        if sum(len(k) for k, _ in held[1:]) > max(HELD_GRAMS, len(held[0][0])):
+            held[:] = [_added(held)]
+    (keys, n), out = _added(held), []
+    for k in range(ORDER, LOW - 1, -1):
+        out.append({"shard": part["shard"][0].as_py(), "k": k, "size": len(keys), "keys": packed(_steps(keys)), "n": packed(n),
+                    **{f"n{i}": int((n == i).sum()) for i in range(1, 5)}})
+        keys, n = np.unique(_tails(keys, k - 1), return_counts=True)
+    return pa.Table.from_pylist(out, pa.schema([("shard", pa.int32()), ("k", pa.int32()), ("size", pa.int64()), ("keys", pa.binary()),
+                                                ("n", pa.binary()), *[(f"n{i}", pa.int64()) for i in range(1, 5)]]))
 
-    return docs.select("text", "trusted").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
+MODEL = "shard int, k int, size long, keys binary, n binary, n1 long, n2 long, n3 long, n4 long"
+
+
+def counted(texts: DataFrame, shards: int) -> DataFrame:
+    """(shard, k, size, keys, n, n1 to n4): the packed n-grams of every order from ``LOW`` up in the whole ``text`` of all rows.
+
+    The highest order has counts, lower ones the number of different symbols before.  An n-gram of order ``LOW`` may be
+    in several shards and its numbers add up; n1 to n4 count the n-grams of a shard that are seen 1 to 4 times.
+    """
+    return (texts.select("text").mapInArrow(_counted(shards), "shard int, size long, keys binary, n binary")
+            .groupBy("shard").applyInArrow(_orders, MODEL))
 
 
 def discounts(of_counts: dict[int, int]) -> tuple[float, float, float]:
@@ -97,88 +179,132 @@ def discounts(of_counts: dict[int, int]) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.01), i + 1 - 0.01) for i, d in enumerate(raw))
 
 
-def _tail(gram: Column, order: int) -> Column:
-    return gram.bitwiseAND(F.lit((1 << (8 * order)) - 1))
+def _order_table(keys: np.ndarray, n: np.ndarray, of: tuple[float, float, float]) -> tuple[np.ndarray, ...]:
+    """(n-grams, their discounted share, contexts, what each context hands to the order below), n-grams and contexts sorted."""
+    discount = np.array([0.0, *of])[np.minimum(n, 3).astype(np.int64)]
+    ctx = keys >> np.uint64(8)
+    first = _starts(ctx)
+    total = np.add.reduceat(n, first).astype(np.float64)
+    kept = (n - discount) / np.repeat(total, np.diff(np.r_[first, len(ctx)]))
+    return keys, kept, ctx[first], np.add.reduceat(discount, first) / total
 
 
-def log_probabilities(counts: DataFrame, order: int = ORDER) -> DataFrame:
-    """(gram, logp) of every n-gram in ``counts`` (gram, n): n is its count in trusted text, 0 if it occurs elsewhere only.
+def low_orders(model: DataFrame) -> dict[int, tuple[np.ndarray, ...]]:
+    """Tables of the orders up to ``LOW``, whose keys are 2^24 at most."""
+    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                keys = np.cumsum(unpacked(r["keys"], r["size"]), dtype=np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(unpacked(r["n"], r["size"]).astype(np.int64))],
+                                                 names=["gram", "n"])
 
-    The highest order uses counts, lower ones the number of different symbols before; every order is interpolated with
-    the next lower one, the lowest with the uniform distribution over 256 symbols.
-    """
-    asked = {order: counts.select("gram")}
-    seen = {order: counts.where("n > 0").select("gram", "n")}
-    for k in range(order - 1, 0, -1):
-        asked[k] = asked[k + 1].select(_tail(F.col("gram"), k).alias("gram")).distinct()
-        seen[k] = seen[k + 1].groupBy(_tail(F.col("gram"), k).alias("gram")).agg(F.count("*").alias("n"))
-    lower: DataFrame | None = None
-    for k in range(1, order + 1):
-        table = stored(seen[k], f"counts_{k}") if k >= 3 else seen[k]
-        d1, d2, d3 = discounts({r["n"]: r["c"] for r in table.where("n <= 4").groupBy("n").agg(F.count("*").alias("c")).collect()})
-        n = F.col("n")
-        context = table.groupBy(F.shiftright("gram", 8).alias("ctx")).agg(
-            F.sum("n").alias("total"),
-            F.sum(F.when(n == 1, d1).when(n == 2, d2).otherwise(d3)).alias("spared"))
-        rows = asked[k].join(table, "gram", "left").withColumn("ctx", F.shiftright("gram", 8)).join(context, "ctx", "left")
-        if lower is None:
-            rows = rows.withColumn("low", F.lit(1 / 256))
-        else:
-            rows = rows.withColumn("tail", _tail(F.col("gram"), k - 1)).join(lower, "tail")
-        kept = F.coalesce(n - F.when(n == 1, d1).when(n == 2, d2).otherwise(d3), F.lit(0.0))
-        p = F.when(F.col("total").isNull(), F.col("low")).otherwise((kept + F.col("spared") * F.col("low")) / F.col("total"))
-        out = rows.select(F.col("gram"), p.alias("p"))
-        lower = stored(out, f"probabilities_{k}").select(F.col("gram").alias("tail"), F.col("p").alias("low"))
-    return lower.select(F.col("tail").alias("gram"), F.log("low").alias("logp"))
-
-
-def _document_scores(texts: pa.Array, gram: np.ndarray, logp: np.ndarray) -> np.ndarray:
-    """Mean negative log-probability per symbol of each text, looked up in the sorted table; NaN for no text."""
-    code, offsets = text_grams(texts)
-    distinct, at = np.unique(code, return_inverse=True)
-    per = logp[np.searchsorted(gram, distinct)][at]
-    sums = np.add.reduceat(per, offsets[:-1]) if len(texts) else np.empty(0)
-    empty = np.array([t is None or t == "" for t in texts.to_pylist()], dtype=bool)
-    return np.where(empty, np.nan, -sums / np.diff(offsets))
+    table = (model.where(f"k = {LOW}").select("size", "keys", "n").mapInArrow(plain, "gram long, n long")
+             .groupBy("gram").agg(F.sum("n").alias("n")).orderBy("gram").toArrow())
+    keys, n = (table[c].to_numpy().astype(np.uint64) for c in ("gram", "n"))
+    out = {}
+    for k in range(LOW, 0, -1):
+        if len(keys):
+            out[k] = _order_table(keys, n, discounts({i: int((n == i).sum()) for i in range(1, 5)}))
+        keys, n = np.unique(_tails(keys, k - 1), return_counts=True)
+    return out
 
 
-KEYS = "doc_id long, text_id long, lang string, trusted boolean, calibrating boolean"
+def _found(sorted_keys: np.ndarray, asked: np.ndarray, values: np.ndarray, missing: float) -> np.ndarray:
+    at = np.minimum(np.searchsorted(sorted_keys, asked), len(sorted_keys) - 1)
+    return np.where(sorted_keys[at] == asked, values[at], missing)
 
 
-def scored(docs: DataFrame, table: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
-    """(doc_id, text_id, lang, trusted, calibrating, log_perplexity per symbol) of every document; null for null or empty text.
+def probabilities(grams: np.ndarray, tables: dict[int, tuple[np.ndarray, ...]], order: int = ORDER) -> np.ndarray:
+    """Of sorted distinct n-grams: every order interpolated with the next lower one, the lowest with 256 equal symbols.
 
-    A table of ``table_bytes`` at most is sent to all tasks; beyond that size documents are dealt to chunks, each chunk
-    asks the table for its distinct n-grams by a join, and meets the answers in a cogroup.  Both give the same values.
+    An order hands a context that trusted text doesn't hold to the order below.
     """
-    spark = docs.sparkSession
-    out_schema = f"{KEYS}, log_perplexity double"
-    docs = docs.select("doc_id", "text_id", "lang", "trusted", "calibrating", "text")
-    if table.count() * 16 <= table_bytes:
-        local = table.orderBy("gram").toArrow()
-        sent = spark.sparkContext.broadcast((local["gram"].to_numpy(), local["logp"].to_numpy()))
+    if order == 1:
+        low = np.full(len(grams), 1 / 256)
+    else:
+        tails, at = np.unique(_tails(grams, order - 1), return_inverse=True)
+        low = probabilities(tails, tables, order - 1)[at]
+    if order not in tables:
+        return low
+    keys, kept, contexts, spared = tables[order]
+    return _found(keys, grams, kept, 0.0) + _found(contexts, grams >> np.uint64(8), spared, 1.0) * low
+
+
+def _read(path: str) -> Iterator[dict]:
+    """The rows of a file of the model, by Arrow's file systems."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
 
-        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in text_batches(batches):
-                values = pa.array(_document_scores(batch["text"], *sent.value), from_pandas=True)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:5], values], names=[*batch.schema.names[:5], "log_perplexity"])
+    store, name = fs.FileSystem.from_uri(path) if ":" in path.split("/", 1)[0] else (fs.LocalFileSystem(), path)
+    with store.open_input_file(name) as f:
+        yield from pq.ParquetFile(f).read(columns=["shard", "k", "size", "keys", "n"]).to_pylist()
 
-        return docs.mapInArrow(score, out_schema)
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunked = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text_id"), F.lit(max(1, total // CHUNK_BYTES))))
 
-    def ask(pdf: pd.DataFrame) -> pd.DataFrame:
-        grams = np.unique(text_grams(pa.array(pdf["text"], pa.string(), from_pandas=True))[0])
-        return pd.DataFrame({"chunk": pdf["chunk"].iloc[0], "gram": grams})
+def _shard_tables(rows: Iterator[dict], of: dict[int, tuple[float, float, float]]) -> Iterator[tuple[int, dict]]:
+    """(shard, its tables of the orders above ``LOW``); a shard's rows stand together."""
+    for shard, own in itertools.groupby(rows, lambda r: r["shard"]):
+        yield shard, {r["k"]: _order_table(np.cumsum(unpacked(r["keys"], r["size"]), dtype=np.uint64), unpacked(r["n"], r["size"]), of[r["k"]])
+                      for r in own if r["k"] > LOW}
 
-    def answer(part: pa.Table, grams: pa.Table) -> pa.Table:
-        grams = grams.sort_by("gram")
-        values = _document_scores(part["text"].combine_chunks(), grams["gram"].to_numpy(), grams["logp"].to_numpy())
-        return part.select(["doc_id", "text_id", "lang", "trusted", "calibrating"]).append_column(
-            "log_perplexity", pa.array(values, from_pandas=True))
 
-    met = chunked.select("chunk", "text").groupBy("chunk").applyInPandas(ask, "chunk long, gram long").join(table, "gram")
-    return chunked.groupBy("chunk").cogroup(met.groupBy("chunk")).applyInArrow(answer, out_schema)
+KEYS = "doc_id long, text_id long, lang string, trusted boolean, calibrating boolean"
+
+
+def scored(docs: DataFrame, model: DataFrame, shards: int, table_bytes: int = TABLE_BYTES) -> DataFrame:
+    """(doc_id, text_id, lang, trusted, calibrating, log_perplexity per symbol) of every document; null for null or empty text.
+
+    ``model`` is a stored table of ``counted``.  Packed in ``table_bytes`` at most, it is sent to all tasks; a larger one is
+    read from its files by every chunk of ``CHUNK_BYTES`` of text, a shard at a time.  Both give the same values.
+    """
+    spark = docs.sparkSession
+    sums = model.groupBy("k").agg(*[F.sum(f"n{i}") for i in range(1, 5)], F.sum(F.length("keys") + F.length("n"))).collect()
+    of = {r[0]: discounts(dict(enumerate(r[1:5], 1))) for r in sums}
+    small = sum(r[5] for r in sums) <= table_bytes
+    rows = [r.asDict() for r in model.select("shard", "k", "size", "keys", "n").orderBy("shard").collect()] if small else None
+    sent = spark.sparkContext.broadcast((rows, low_orders(model), [] if small else model.inputFiles()))
+
+    def chunk_scores(chunk: list[pa.RecordBatch], grams: np.ndarray) -> Iterator[pa.RecordBatch]:
+        rows, low, files = sent.value
+        at = _shard(grams, shards)
+        order = np.argsort(at, kind="stable")
+        ends, logp, missed = np.searchsorted(at[order], np.arange(shards + 1)), np.empty(len(grams)), set(range(shards))
+
+        def answer(shard: int, tables: dict) -> None:
+            asked = order[ends[shard]:ends[shard + 1]]
+            logp[asked] = np.log(probabilities(grams[asked], tables))
+            missed.discard(shard)
+
+        for part in (rows,) if rows is not None else map(_read, files):
+            for shard, tables in _shard_tables(part, of):
+                answer(shard, low | tables)
+        for shard in sorted(missed):
+            answer(shard, low)
+        for batch in chunk:
+            code, offsets = text_grams(batch["text"])
+            distinct, back = np.unique(code.view(np.uint64), return_inverse=True)
+            each = logp[np.searchsorted(grams, distinct)][back]
+            empty = np.asarray(pc.equal(pc.fill_null(pc.binary_length(batch["text"]), 0), 0))
+            values = np.where(empty, np.nan, -np.add.reduceat(each, offsets[:-1]) / np.diff(offsets)) if len(empty) else np.empty(0)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(values, from_pandas=True)], names=names)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, held, size = [], [], 0
+        for batch in text_batches(batches):
+            code = text_grams(batch["text"])[0]
+            chunk.append(batch)
+            held.append(_distinct(code.view(np.uint64)))
+            size += len(code)
+            if sum(map(len, held[1:])) > max(HELD_GRAMS, len(held[0])):
+                held = [_distinct(np.concatenate(held))]
+            if size >= CHUNK_BYTES:
+                yield from chunk_scores(chunk, _distinct(np.concatenate(held)))
+                chunk, held, size = [], [], 0
+        if chunk:
+            yield from chunk_scores(chunk, _distinct(np.concatenate(held)))
+
+    out_schema = f"{KEYS}, log_perplexity double"
+    names = [c.split()[0] for c in out_schema.split(", ")]
+    return docs.select("doc_id", "text_id", "lang", "trusted", "calibrating", "text").mapInArrow(score, out_schema)
 
 
 def limits(scores: DataFrame, high: float = HIGH, fewest: int = FEWEST) -> DataFrame:
@@ -218,8 +344,10 @@ def judged(docs: DataFrame, labels: DataFrame, high: float = HIGH, table_bytes:
     held = F.pmod("text_id", F.lit(FOLDS)) == 0             # by text, so copies are on one side
     marked = (marked.withColumn("trusted", F.col("listed") & ~held).withColumn("calibrating", F.col("listed") & held)
               .drop("listed"))
-    counts = stored(gram_counts(marked), "gram_counts")
-    scores = stored(scored(marked, log_probabilities(counts), table_bytes), "perplexities")
+    texts = marked.where("trusted")
+    shards = 1 + (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SHARD_BYTES
+    model = stored(counted(texts, shards), "kneser_ney")
+    scores = stored(scored(marked, model, shards, table_bytes), "perplexities")
     within = F.col("highest").isNull() | (F.col("log_perplexity") <= F.col("highest"))
     # one row per language: sent to the scores while small, so that no task gets all rows of a common language
     per_language = stored(limits(scores, high), "limits")

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import zlib
 from collections import Counter
 
@@ -12,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aspectflow.llm import chat, langid, mixing, packing, quality, queries, sharding, token_files, tokens
+from aspectflow.llm.stored import stored
 from tests.conftest import TESTDATA
 from tests.llm.helpers import kneser_ney
 
@@ -57,6 +59,54 @@ def test_perplexity_equals_brute_force_on_both_paths(spark, table_bytes):
     assert {i for i, r in by_id.items() if r.trusted or r.calibrating} == {*range(140), *range(200, 209)}
 
 
+@pytest.mark.parametrize("table_bytes", [1 << 26, 0])
+def test_quality_in_many_shards(spark, monkeypatch, table_bytes):
+    """Many shards, some of them without trusted text, give the same perplexities."""
+    docs, labels = _quality_tables(spark)
+    def by_id():
+        return {r.doc_id: -1.0 if r.log_perplexity is None else r.log_perplexity
+                for r in quality.judged(docs, labels, table_bytes=table_bytes).collect()}
+
+    whole = by_id()
+    monkeypatch.setattr(quality, "SHARD_BYTES", 100)
+    assert by_id() == pytest.approx(whole, rel=1e-12)
+
+
+def test_quality_stores_less_than_the_texts(spark, monkeypatch):
+    """Disk: what is stored stays below the size of the texts."""
+    sf, written = f"{TESTDATA}/sf0.01", {}
+
+    def kept(df, name):
+        out = stored(df, name)
+        written[name] = sum(os.path.getsize(f.removeprefix("file:").replace("//", "/")) for f in out.inputFiles())
+        return out
+
+    monkeypatch.setattr(quality, "stored", kept)
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    assert quality.judged(docs, labels, table_bytes=0).count() == docs.count()
+    text = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    assert sum(written.values()) < text, written
+
+
+def test_grams_are_added_up_piece_by_piece(monkeypatch):
+    texts = pa.table({"text": [f"the cat {i % 7} sat on the mat {i}" for i in range(300)] + [None, "", "é\x00É"]})
+
+    def model():
+        parts = pa.Table.from_batches(b for b in quality._counted(1)(iter(texts.to_batches(max_chunksize=20))))
+        return len(parts), quality._orders(parts)
+
+    (once, whole), _ = model(), monkeypatch.setattr(quality, "HELD_GRAMS", 200)
+    monkeypatch.setattr("aspectflow.llm.shingles.BATCH_BYTES", 500)
+    often, pieces = model()
+    assert once == 1 and often > 3 and pieces.equals(whole)
+
+
+def test_packed_numbers_come_back():
+    for x in ([], [0], [1, 5, 5, 2 ** 63, 2 ** 64 - 1]):
+        x = np.array(x, dtype=np.uint64)
+        assert quality.unpacked(quality.packed(x), len(x)).tolist() == x.tolist()
+
+
 def test_kneser_ney_sums_to_one():
     p = kneser_ney([[1, 2, 3, 1, 2, 4, 1, 2, 3], [2, 2, 1, 3, 3]], 3)
     for context in ((1, 2), (2, 1), (9, 9), (0, 0)):
