@@ -20,8 +20,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aspectflow.llm.shingles import text_batches, text_buffer
+from aspectflow.llm.shingles import BATCH_BYTES, text_batches, text_buffer
 from aspectflow.llm.stored import stored
+from aspectflow.session import arrow_batches
 
 ORDER = 8                   # the most bytes that an exact 64-bit key holds
 HIGH = 0.99                 # quantile of the held-back trusted documents' log-perplexity: the limit itself
@@ -31,7 +32,7 @@ WIDEN = 4.0                 # that limit lies this many times as far above the m
 TABLE_BYTES = 64 << 20      # a list of ids, or a packed model, up to this size goes to every task
 CHUNK_BYTES = 32 << 20      # text that meets the model at once; every chunk reads all shards
 SHARD_BYTES = 4 << 20       # trusted text a shard
-HELD_GRAMS = 1 << 21        # n-grams that a task adds up before it hands them on
+HELD_GRAMS = 1 << 20        # n-grams that a task adds up before it hands them on
 LOW = 3                     # orders up to this one have 2^24 keys at most and are not sharded
 
 
@@ -82,19 +83,23 @@ def _starts(x: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, x[1:] != x[:-1]][:len(x)])
 
 
-def _distinct(x: np.ndarray) -> np.ndarray:
-    """Sorted distinct numbers; without counts np.unique hashes, which takes many times as long."""
-    x = np.sort(x)
-    return x[_starts(x)]
+def _distinct(held: list[np.ndarray]) -> np.ndarray:
+    """Sorted distinct numbers of all arrays, which are given up; without counts np.unique hashes, which takes many times as long."""
+    x = np.concatenate(held)
+    held.clear()
+    x.sort()
+    return x[np.r_[True, x[1:] != x[:-1]][:len(x)]]
 
 
 def _added(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys of all pairs of keys and counts, and the sums of their counts."""
-    keys = np.concatenate([k for k, _ in held])
+    """Sorted distinct keys of all pairs of keys and counts, which are given up, and the sums of their counts."""
+    keys, n = (np.concatenate(x) for x in zip(*held))
+    held.clear()
     order = np.argsort(keys)
-    keys = keys[order]
+    keys, n = keys[order], n[order]
+    del order
     first = _starts(keys)
-    return keys[first], np.add.reduceat(np.concatenate([n for _, n in held])[order], first) if len(keys) else np.empty(0, np.uint64)
+    return keys[first], np.add.reduceat(n, first) if len(keys) else np.empty(0, np.uint64)
 
 
 def _tails(grams: np.ndarray, order: int) -> np.ndarray:
@@ -103,8 +108,11 @@ def _tails(grams: np.ndarray, order: int) -> np.ndarray:
 
 def _shard(grams: np.ndarray, shards: int) -> np.ndarray:
     """By the ``LOW`` symbols before the last one, which an n-gram shares with its tails and contexts of more symbols."""
-    mixed = _tails(grams >> np.uint64(8), LOW) * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed >> np.uint64(32)) % np.uint64(shards)).astype(np.uint16 if shards <= 1 << 16 else np.int64)
+    out = np.empty(len(grams), np.uint16 if shards <= 1 << 16 else np.int64)
+    for lo in range(0, len(grams), HELD_GRAMS):
+        mixed = _tails(grams[lo:lo + HELD_GRAMS] >> np.uint64(8), LOW) * np.uint64(0x9E3779B97F4A7C15)
+        out[lo:lo + HELD_GRAMS] = (mixed >> np.uint64(32)) % np.uint64(shards)
+    return out
 
 
 def _counted(shards: int):
@@ -127,7 +135,7 @@ def _counted(shards: int):
             grams, n = np.unique(text_grams(batch["text"])[0].view(np.uint64), return_counts=True)
             held.append((grams, n.astype(np.uint64)))
             if sum(len(g) for g, _ in held) > HELD_GRAMS:
-                held[:] = [_added(held)]
+                held = [_added(held)]
                 if 2 * len(held[0][0]) > HELD_GRAMS:
                     yield rows(*held.pop())
         if held:
@@ -143,7 +151,7 @@ def _orders(part: pa.Table) -> pa.Table:
         size = row["size"][0].as_py()
         held.append((np.cumsum(unpacked(row["keys"][0].as_py(), size), dtype=np.uint64), unpacked(row["n"][0].as_py(), size)))
         if sum(len(k) for k, _ in held[1:]) > max(HELD_GRAMS, len(held[0][0])):
-            held[:] = [_added(held)]
+            held = [_added(held)]
     (keys, n), out = _added(held), []
     for k in range(ORDER, LOW - 1, -1):
         out.append({"shard": part["shard"][0].as_py(), "k": k, "size": len(keys), "keys": packed(_steps(keys)), "n": packed(n),
@@ -267,7 +275,9 @@ def scored(docs: DataFrame, model: DataFrame, shards: int, table_bytes: int = TA
         rows, low, files = sent.value
         at = _shard(grams, shards)
         order = np.argsort(at, kind="stable")
-        ends, logp, missed = np.searchsorted(at[order], np.arange(shards + 1)), np.empty(len(grams)), set(range(shards))
+        ends = np.searchsorted(at[order], np.arange(shards + 1))
+        del at
+        logp, missed = np.empty(len(grams)), set(range(shards))
 
         def answer(shard: int, tables: dict) -> None:
             asked = order[ends[shard]:ends[shard + 1]]
@@ -292,15 +302,15 @@ def scored(docs: DataFrame, model: DataFrame, shards: int, table_bytes: int = TA
         for batch in text_batches(batches):
             code = text_grams(batch["text"])[0]
             chunk.append(batch)
-            held.append(_distinct(code.view(np.uint64)))
+            held.append(_distinct([code.view(np.uint64)]))
             size += len(code)
             if sum(map(len, held[1:])) > max(HELD_GRAMS, len(held[0])):
-                held = [_distinct(np.concatenate(held))]
+                held = [_distinct(held)]
             if size >= CHUNK_BYTES:
-                yield from chunk_scores(chunk, _distinct(np.concatenate(held)))
+                yield from chunk_scores(chunk, _distinct(held))
                 chunk, held, size = [], [], 0
         if chunk:
-            yield from chunk_scores(chunk, _distinct(np.concatenate(held)))
+            yield from chunk_scores(chunk, _distinct(held))
 
     out_schema = f"{KEYS}, log_perplexity double"
     names = [c.split()[0] for c in out_schema.split(", ")]
@@ -346,8 +356,9 @@ def judged(docs: DataFrame, labels: DataFrame, high: float = HIGH, table_bytes:
               .drop("listed"))
     texts = marked.where("trusted")
     shards = 1 + (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SHARD_BYTES
-    model = stored(counted(texts, shards), "kneser_ney")
-    scores = stored(scored(marked, model, shards, table_bytes), "perplexities")
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):     # the kernels cut batches to that size anyway
+        model = stored(counted(texts, shards), "kneser_ney")
+        scores = stored(scored(marked, model, shards, table_bytes), "perplexities")
     within = F.col("highest").isNull() | (F.col("log_perplexity") <= F.col("highest"))
     # one row per language: sent to the scores while small, so that no task gets all rows of a common language
     per_language = stored(limits(scores, high), "limits")

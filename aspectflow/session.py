@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -132,3 +134,16 @@ def cut_lineage_columnar(df, name: str):
     path = shared_path(df.sparkSession, name, unique=True)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """Jobs started inside send tasks' Python Arrow batches of about ``size`` bytes, not of Spark's 64 MB: both the
+    executor and its Python hold a batch per task.  Rows and results are the same."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -101,6 +101,38 @@ def test_grams_are_added_up_piece_by_piece(monkeypatch):
     assert once == 1 and often > 3 and pieces.equals(whole)
 
 
+def test_adding_up_grams_gives_up_what_it_was_given():
+    """Memory: the counts given are not held beside their sorted copies."""
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    tracemalloc.start()
+    try:
+        held = [(rng.integers(0, 1 << 62, 1 << 18, dtype=np.uint64), np.ones(1 << 18, np.uint64)) for _ in range(4)]
+        given = tracemalloc.get_traced_memory()[0]
+        keys, n = quality._added(held)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(keys) == n.sum() == 1 << 20 and (keys[1:] > keys[:-1]).all()
+    assert most < 3.4 * given, most / given
+
+
+def test_quality_sends_small_arrow_batches(spark, monkeypatch):
+    """Memory: neither the executor nor its Python holds 64 MB of text a task; the session's own limit is back afterwards."""
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", {}
+
+    def kept(df, name):
+        seen[name] = spark.conf.get(key)
+        return stored(df, name)
+
+    monkeypatch.setattr(quality, "stored", kept)
+    before = spark.conf.get(key)
+    quality.judged(*_quality_tables(spark)).count()
+    assert int(seen["kneser_ney"]) == int(seen["perplexities"]) == 1 << 20
+    assert spark.conf.get(key) == before
+
+
 def test_packed_numbers_come_back():
     for x in ([], [0], [1, 5, 5, 2 ** 63, 2 ** 64 - 1]):
         x = np.array(x, dtype=np.uint64)
