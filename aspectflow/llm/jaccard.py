@@ -25,8 +25,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aspectflow.llm.shingles import mix64, shingle_set, text_batches, word_hashes
+from aspectflow.functions.batches import give_back, giving_back
+from aspectflow.llm.shingles import BATCH_BYTES, mix64, shingle_set, text_batches, word_hashes
 from aspectflow.llm.stored import connected_components, stored
+from aspectflow.session import arrow_batches
 
 WIDTH = 5
 PERCENT = 75
@@ -78,6 +80,7 @@ def index_keys(tokens: np.ndarray, classes: np.ndarray, n: int) -> np.ndarray:
 
 def _send(ranges: int):
     """Map documents to packed rows: per chunk one row of (document, low token bits) for every token range."""
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
         docs: list[tuple[int | None, np.ndarray, int]] = []
@@ -181,6 +184,7 @@ def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
                     "chunk": [asks["chunk"].iloc[i]], "local": [doc[at[mine]].astype("<u2").tobytes()], "node": [None], "doc": [None],
                     "token": [token[at[mine]].astype("<u8").tobytes()],
                     "classes": [np.minimum(classes[mine], 0xFFFFFFFF).astype("<u4").tobytes()]}))
+    give_back()
     return pd.concat(out)[["chunk", "local", "node", "doc", "token", "classes"]]
 
 
@@ -276,7 +280,8 @@ def headed(docs: DataFrame) -> DataFrame:
     First is the smallest doc_id, null behind all others, and of equal ones the smallest text_id; a document without
     words is its own head.
     """
-    index = stored(indexed(docs), "shingle_index")
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):     # the kernels cut batches to that size anyway
+        index = stored(indexed(docs), "shingle_index")
     entries = index.select("node", F.explode("keys").alias("key"))
     least = entries.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least != most")
     edges = entries.join(least, "key").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
@@ -293,6 +298,7 @@ def headed(docs: DataFrame) -> DataFrame:
                       F.least("o", F.when(F.col("nb") == 1, 0).otherwise(blk)).alias("i"),
                       F.greatest("o", F.when(F.col("nb") == 1, 0).otherwise(blk)).alias("j")))
 
+    @giving_back
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches):
             words, cut = word_hashes(batch["text"])
@@ -309,10 +315,13 @@ def headed(docs: DataFrame) -> DataFrame:
     def verify(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node")
         links = linked_classes(list(pdf["node"]), [np.frombuffer(t, "<u8") for t in pdf["tokens"]])
+        if pdf["tokens"].map(len).sum() >= BLOCK_TOKENS:     # of 8 bytes each; many groups are small
+            give_back()
         return pd.DataFrame(links, columns=["a", "b"])
 
     links = (places.drop("member").join(sets, "node").groupBy("component", "i", "j").applyInPandas(verify, "a binary, b binary"))
-    found = stored(connected_components(links), "components")
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        found = stored(connected_components(links), "components")
     named = index.join(found, "node", "left")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id"))
     # stored, so that the joins below read them by shuffles of their own, whose hot partitions Spark can split: a component

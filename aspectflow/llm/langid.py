@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
+from aspectflow.functions.batches import giving_back
 from aspectflow.llm.shingles import text_batches, text_buffer
 
 ORDERS = (2, 3)
@@ -109,6 +110,7 @@ def fit(docs: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> Model | No
     rows = docs.select("text", "lang").where("text is not null and lang is not null")
     size = 1 << BUCKET_BITS
 
+    @giving_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in text_batches(batches):
@@ -145,6 +147,7 @@ def fit(docs: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> Model | No
     # reliability: how far a bit's classifier is from guessing, on a bounded sample of the training rows
     sample = rows.orderBy(F.xxhash64("text"), "lang").limit(calibration_rows).repartition(8)
 
+    @giving_back
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches):
             side = model.code[[lang_of[x] for x in batch["lang"].to_pylist()]]
@@ -170,6 +173,7 @@ def identified(docs: DataFrame, model: Model | None) -> DataFrame:
                         + [StructField("lang_pred", StringType()), StructField("score", DoubleType()),
                            StructField("ambiguous", BooleanType())])
 
+    @giving_back
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches):
             letter = np.asarray(batch["__letter"].to_pylist(), dtype=bool)

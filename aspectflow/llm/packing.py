@@ -18,9 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from aspectflow.functions.batches import giving_back
 from aspectflow.llm.shingles import text_batches
 from aspectflow.llm.stored import stored
 from aspectflow.llm.tokens import TEXT_BYTES, encoder, vocabulary_path, with_end
+from aspectflow.session import arrow_batches
 
 CAPACITY = 2048
 END_ID = 0
@@ -68,6 +70,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPAC
     """Every document's ids and the end id, cut into pieces of ``capacity``; ``copy`` tells repeated rows of a task apart."""
     path = vocabulary or vocabulary_path()
 
+    @giving_back
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, row = encoder(path), 0
         for batch in text_batches(batches, size=TEXT_BYTES):
@@ -97,7 +100,8 @@ def packed(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPAC
     gives an empty result.  Other columns of ``docs`` are not looked at.  Full pieces are sequences by themselves.
     """
     spark = docs.sparkSession
-    cut = stored(pieces(docs, vocabulary, capacity, end_id, with_ids=False).drop("ids"), "pieces")
+    with arrow_batches(spark, TEXT_BYTES):                  # the kernel cuts batches to that size anyway
+        cut = stored(pieces(docs, vocabulary, capacity, end_id, with_ids=False).drop("ids"), "pieces")
     lots = max(1, -(-cut.where(F.col("length") < capacity).count() // pieces_per_lot))
     # a piece's lot is a hash of what identifies it, so copies of a document spread over the lots
     dealt = cut.withColumn("lot", F.when(F.col("length") < capacity, F.pmod(

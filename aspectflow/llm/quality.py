@@ -12,7 +12,8 @@ document is kept comes from a quantile of those trusted documents of its languag
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aspectflow.functions.batches import give_back, giving_back
 from aspectflow.llm.shingles import BATCH_BYTES, text_batches, text_buffer
 from aspectflow.llm.stored import stored
 from aspectflow.session import arrow_batches
@@ -33,6 +35,7 @@ TABLE_BYTES = 64 << 20      # a list of ids, or a packed model, up to this size
 CHUNK_BYTES = 32 << 20      # text that meets the model at once; every chunk reads all shards
 SHARD_BYTES = 4 << 20       # trusted text a shard
 HELD_GRAMS = 1 << 20        # n-grams that a task adds up before it hands them on
+PIECE_BYTES = 512 << 10      # text whose n-grams a scoring task has unpacked at once, in some 50 times as many bytes
 LOW = 3                     # orders up to this one have 2^24 keys at most and are not sharded
 
 
@@ -83,12 +86,40 @@ def _starts(x: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, x[1:] != x[:-1]][:len(x)])
 
 
-def _distinct(held: list[np.ndarray]) -> np.ndarray:
-    """Sorted distinct numbers of all arrays, which are given up; without counts np.unique hashes, which takes many times as long."""
-    x = np.concatenate(held)
-    held.clear()
-    x.sort()
-    return x[np.r_[True, x[1:] != x[:-1]][:len(x)]]
+class _Distinct:
+    """Sorted distinct numbers of all arrays put in, in one buffer: sorted, rid of repeats and grown in its place."""
+
+    def __init__(self) -> None:
+        self.x, self.n = np.empty(2 * HELD_GRAMS, np.uint64), 0
+
+    def add(self, numbers: np.ndarray) -> None:
+        if self.n + len(numbers) > len(self.x):
+            self._fold()
+            size = self.n + len(numbers) + max(HELD_GRAMS, self.n // 2)
+            if size > len(self.x):
+                self.x.resize(size, refcheck=False)
+        self.x[self.n:self.n + len(numbers)] = numbers
+        self.n += len(numbers)
+
+    def _fold(self) -> None:
+        """Without counts np.unique hashes, which takes many times as long, and it holds copies."""
+        self.x[:self.n].sort()
+        kept, last = 0, None
+        for lo in range(0, self.n, HELD_GRAMS):
+            part = self.x[lo:min(lo + HELD_GRAMS, self.n)]
+            found = part[np.r_[last is None or part[0] != last, part[1:] != part[:-1]]]
+            last = part[-1].copy()
+            self.x[kept:kept + len(found)] = found
+            kept += len(found)
+        self.n = kept
+
+    def taken(self) -> np.ndarray:
+        """The numbers; the buffer is given up."""
+        self._fold()
+        x, n = self.x, self.n
+        self.__init__()
+        x.resize(n, refcheck=False)
+        return x
 
 
 def _added(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -129,6 +160,7 @@ def _counted(shards: int):
             pa.array([packed(_steps(grams[x])) for _, x in parts], pa.binary()),
             pa.array([packed(n[x]) for _, x in parts], pa.binary())], names=names)
 
+    @giving_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in text_batches(batches):
@@ -157,6 +189,7 @@ def _orders(part: pa.Table) -> pa.Table:
         out.append({"shard": part["shard"][0].as_py(), "k": k, "size": len(keys), "keys": packed(_steps(keys)), "n": packed(n),
                     **{f"n{i}": int((n == i).sum()) for i in range(1, 5)}})
         keys, n = np.unique(_tails(keys, k - 1), return_counts=True)
+    give_back()
     return pa.Table.from_pylist(out, pa.schema([("shard", pa.int32()), ("k", pa.int32()), ("size", pa.int64()), ("keys", pa.binary()),
                                                 ("n", pa.binary()), *[(f"n{i}", pa.int64()) for i in range(1, 5)]]))
 
@@ -222,10 +255,11 @@ def _found(sorted_keys: np.ndarray, asked: np.ndarray, values: np.ndarray, missi
     return np.where(sorted_keys[at] == asked, values[at], missing)
 
 
-def probabilities(grams: np.ndarray, tables: dict[int, tuple[np.ndarray, ...]], order: int = ORDER) -> np.ndarray:
+def probabilities(grams: np.ndarray, tables: dict[int, Callable[[], tuple[np.ndarray, ...]]], order: int = ORDER) -> np.ndarray:
     """Of sorted distinct n-grams: every order interpolated with the next lower one, the lowest with 256 equal symbols.
 
-    An order hands a context that trusted text doesn't hold to the order below.
+    An order hands a context that trusted text doesn't hold to the order below.  A table is made when its order's turn
+    comes, so that one order's at a time is held.
     """
     if order == 1:
         low = np.full(len(grams), 1 / 256)
@@ -234,25 +268,40 @@ def probabilities(grams: np.ndarray, tables: dict[int, tuple[np.ndarray, ...]],
         low = probabilities(tails, tables, order - 1)[at]
     if order not in tables:
         return low
-    keys, kept, contexts, spared = tables[order]
+    keys, kept, contexts, spared = tables[order]()
     return _found(keys, grams, kept, 0.0) + _found(contexts, grams >> np.uint64(8), spared, 1.0) * low
 
 
 def _read(path: str) -> Iterator[dict]:
-    """The rows of a file of the model, by Arrow's file systems."""
+    """The rows of a file of the model, by Arrow's file systems, a shard's worth at a time."""
     import pyarrow.parquet as pq
     from pyarrow import fs
 
     store, name = fs.FileSystem.from_uri(path) if ":" in path.split("/", 1)[0] else (fs.LocalFileSystem(), path)
     with store.open_input_file(name) as f:
-        yield from pq.ParquetFile(f).read(columns=["shard", "k", "size", "keys", "n"]).to_pylist()
+        for batch in pq.ParquetFile(f).iter_batches(ORDER, columns=["shard", "k", "size", "keys", "n"]):
+            yield from batch.to_pylist()
+
+
+def _order_of(row: dict, of: dict[int, tuple[float, float, float]]) -> tuple[np.ndarray, ...]:
+    return _order_table(np.cumsum(unpacked(row["keys"], row["size"]), dtype=np.uint64), unpacked(row["n"], row["size"]), of[row["k"]])
 
 
 def _shard_tables(rows: Iterator[dict], of: dict[int, tuple[float, float, float]]) -> Iterator[tuple[int, dict]]:
-    """(shard, its tables of the orders above ``LOW``); a shard's rows stand together."""
+    """(shard, makers of its tables of the orders above ``LOW``); a shard's rows stand together."""
     for shard, own in itertools.groupby(rows, lambda r: r["shard"]):
-        yield shard, {r["k"]: _order_table(np.cumsum(unpacked(r["keys"], r["size"]), dtype=np.uint64), unpacked(r["n"], r["size"]), of[r["k"]])
-                      for r in own if r["k"] > LOW}
+        yield shard, {r["k"]: partial(_order_of, r, of) for r in own if r["k"] > LOW}
+
+
+def _by_shard(grams: np.ndarray, shards: int) -> Callable[[int], np.ndarray]:
+    """Where the n-grams of a shard are, put in order ``HELD_GRAMS`` at a time."""
+    order, ends = np.empty(len(grams), np.uint32), []
+    for lo in range(0, len(grams), HELD_GRAMS):
+        at = _shard(grams[lo:lo + HELD_GRAMS], shards)
+        own = np.argsort(at, kind="stable")
+        order[lo:lo + HELD_GRAMS] = own + lo
+        ends.append(lo + np.searchsorted(at[own], np.arange(shards + 1)))
+    return lambda shard: np.concatenate([order[e[shard]:e[shard + 1]] for e in ends])
 
 
 KEYS = "doc_id long, text_id long, lang string, trusted boolean, calibrating boolean"
@@ -271,17 +320,14 @@ def scored(docs: DataFrame, model: DataFrame, shards: int, table_bytes: int = TA
     rows = [r.asDict() for r in model.select("shard", "k", "size", "keys", "n").orderBy("shard").collect()] if small else None
     sent = spark.sparkContext.broadcast((rows, low_orders(model), [] if small else model.inputFiles()))
 
-    def chunk_scores(chunk: list[pa.RecordBatch], grams: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def log_probabilities(grams: np.ndarray) -> np.ndarray:
         rows, low, files = sent.value
-        at = _shard(grams, shards)
-        order = np.argsort(at, kind="stable")
-        ends = np.searchsorted(at[order], np.arange(shards + 1))
-        del at
-        logp, missed = np.empty(len(grams)), set(range(shards))
+        low = {k: partial(lambda table: table, table) for k, table in low.items()}
+        asked, logp, missed = _by_shard(grams, shards), np.empty(len(grams)), set(range(shards))
 
         def answer(shard: int, tables: dict) -> None:
-            asked = order[ends[shard]:ends[shard + 1]]
-            logp[asked] = np.log(probabilities(grams[asked], tables))
+            at = asked(shard)
+            logp[at] = np.log(probabilities(grams[at], tables))
             missed.discard(shard)
 
         for part in (rows,) if rows is not None else map(_read, files):
@@ -289,6 +335,10 @@ def scored(docs: DataFrame, model: DataFrame, shards: int, table_bytes: int = TA
                 answer(shard, low | tables)
         for shard in sorted(missed):
             answer(shard, low)
+        return logp
+
+    def chunk_scores(chunk: list[pa.RecordBatch], grams: np.ndarray) -> Iterator[pa.RecordBatch]:
+        logp = log_probabilities(grams)
         for batch in chunk:
             code, offsets = text_grams(batch["text"])
             distinct, back = np.unique(code.view(np.uint64), return_inverse=True)
@@ -297,20 +347,19 @@ def scored(docs: DataFrame, model: DataFrame, shards: int, table_bytes: int = TA
             values = np.where(empty, np.nan, -np.add.reduceat(each, offsets[:-1]) / np.diff(offsets)) if len(empty) else np.empty(0)
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(values, from_pandas=True)], names=names)
 
+    @giving_back
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, held, size = [], [], 0
-        for batch in text_batches(batches):
+        chunk, held, size = [], _Distinct(), 0
+        for batch in text_batches(batches, size=PIECE_BYTES):
             code = text_grams(batch["text"])[0]
             chunk.append(batch)
-            held.append(_distinct([code.view(np.uint64)]))
+            held.add(code.view(np.uint64))
             size += len(code)
-            if sum(map(len, held[1:])) > max(HELD_GRAMS, len(held[0])):
-                held = [_distinct(held)]
             if size >= CHUNK_BYTES:
-                yield from chunk_scores(chunk, _distinct(held))
-                chunk, held, size = [], [], 0
+                yield from chunk_scores(chunk, held.taken())
+                chunk, size = [], 0
         if chunk:
-            yield from chunk_scores(chunk, _distinct(held))
+            yield from chunk_scores(chunk, held.taken())
 
     out_schema = f"{KEYS}, log_perplexity double"
     names = [c.split()[0] for c in out_schema.split(", ")]

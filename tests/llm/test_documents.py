@@ -3,6 +3,8 @@
 import hashlib
 import math
 import os
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -133,6 +135,80 @@ def test_quality_sends_small_arrow_batches(spark, monkeypatch):
     assert spark.conf.get(key) == before
 
 
+def test_distinct_grams_are_gathered_in_one_buffer(monkeypatch):
+    monkeypatch.setattr(quality, "HELD_GRAMS", 50)
+    rng, held, parts = np.random.default_rng(3), quality._Distinct(), []
+    for size in (0, 1, 7, 99, 300, 1000, 5, 1000, 64):
+        parts.append(rng.integers(0, 1500, size, dtype=np.uint64) << np.uint64(50))
+        held.add(parts[-1])
+    assert held.taken().tolist() == sorted({int(x) for part in parts for x in part})
+    assert held.taken().tolist() == [] and len(held.x) == 100
+
+
+def test_one_order_of_a_shard_is_unpacked_at_a_time(monkeypatch):
+    import weakref
+
+    parts = pa.Table.from_batches(quality._counted(1)(iter(pa.table({"text": ["the cat sat on the mat"] * 3}).to_batches())))
+    rows, alive, most = quality._orders(parts).to_pylist(), [], []
+    made = quality._order_table
+
+    def table(*args):
+        out = made(*args)
+        most.append(sum(r() is not None for r in alive))
+        alive.append(weakref.ref(out[1]))
+        return out
+
+    monkeypatch.setattr(quality, "_order_table", table)
+    of = {k: (0.5, 1.0, 1.5) for k in range(1, quality.ORDER + 1)}
+    grams = np.unique(quality.text_grams(pa.array(["the cat"]))[0].view(np.uint64))
+    for _, tables in quality._shard_tables(iter(rows), of):
+        assert (quality.probabilities(grams, tables) > 0).all()
+    assert len(most) == quality.ORDER - quality.LOW and max(most) == 0
+
+
+def test_kernels_give_freed_memory_back():
+    """Memory: what a kernel has freed does not stay with the Python worker, which later stages find beside their own."""
+    code = """if True:
+        import numpy as np, pyarrow as pa
+        from aspectflow.llm import jaccard, langid, packing, quality
+
+        def resident():
+            return int(open("/proc/self/statm").read().split()[1]) * 4096
+
+        def batches():                        # small arrays between others that stay until the end: the heap can't shrink by itself
+            x = np.ones(31 << 17); del x      # malloc now takes what is below that size from its heap
+            held = [np.ones(1 << 16) for _ in range(200)]
+            kept.extend(held[::20])
+            del held
+            yield pa.RecordBatch.from_pydict({"text": ["the cat sat on the mat"]})
+
+        kept = []
+        before = resident()
+        for batch in quality._counted(1)(batches()):
+            pass
+        print(resident() - before)
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout
+    assert int(out) < 50 << 20, out           # 100 MB were freed
+
+
+def test_packing_and_linking_send_small_arrow_batches(spark, monkeypatch):
+    from aspectflow.llm import jaccard
+
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", {}
+
+    def kept(df, name):
+        seen[name] = spark.conf.get(key)
+        return stored(df, name)
+
+    monkeypatch.setattr(jaccard, "stored", kept)
+    monkeypatch.setattr(packing, "stored", kept)
+    docs, before = _quality_tables(spark)[0], spark.conf.get(key)
+    assert jaccard.joined(docs).count() == docs.count() and packing.packed(docs).count() == docs.count()
+    assert [int(seen[x]) for x in ("shingle_index", "components", "pieces")] == [1 << 20, 1 << 20, tokens.TEXT_BYTES] and spark.conf.get(key) == before
+
+
 def test_packed_numbers_come_back():
     for x in ([], [0], [1, 5, 5, 2 ** 63, 2 ** 64 - 1]):
         x = np.array(x, dtype=np.uint64)
