@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 PIECE_BYTES = 1 << 20
+GIVEN_BACK = 16         # batches out after which a kernel gives memory back
 
 
 def give_back() -> None:
@@ -23,10 +24,13 @@ def give_back() -> None:
 
 
 def giving_back(kernel: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
-    """``kernel``, for mapInArrow, that gives its memory back when it ends."""
+    """``kernel``, for mapInArrow, that gives its memory back every ``GIVEN_BACK`` batches and when it ends."""
     @wraps(kernel)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from kernel(batches)
+        for i, out in enumerate(kernel(batches), 1):
+            yield out
+            if i % GIVEN_BACK == 0:
+                give_back()
         give_back()
 
     return run

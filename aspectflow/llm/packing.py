@@ -21,12 +21,13 @@ from pyspark.sql.window import Window
 from aspectflow.functions.batches import giving_back
 from aspectflow.llm.shingles import text_batches
 from aspectflow.llm.stored import stored
-from aspectflow.llm.tokens import TEXT_BYTES, encoder, vocabulary_path, with_end
+from aspectflow.llm.tokens import encoder, vocabulary_path, with_end
 from aspectflow.session import arrow_batches
 
 CAPACITY = 2048
 END_ID = 0
 PIECES_PER_LOT = 20_000
+TEXT_BYTES = 512 << 10         # text that a task tokenizes at once, in some 50 times as many bytes; a longer text goes by itself
 
 PIECES = "doc_id long, copy long, piece int, start long, length long, ids_crc32 long, ids binary"
 

@@ -32,7 +32,7 @@ FOLDS = 5                   # one fold of the trusted texts is kept from trainin
 FEWEST = 10                 # a language with fewer texts in that fold takes the limit of all languages together
 WIDEN = 4.0                 # that limit lies this many times as far above the median as the quantile: it is other languages' text
 TABLE_BYTES = 64 << 20      # a list of ids, or a packed model, up to this size goes to every task
-CHUNK_BYTES = 32 << 20      # text that meets the model at once; every chunk reads all shards
+CHUNK_BYTES = 32 << 20      # text that meets the model's files at once; every chunk reads all shards
 SHARD_BYTES = 4 << 20       # trusted text a shard
 HELD_GRAMS = 1 << 20        # n-grams that a task adds up before it hands them on
 PIECE_BYTES = 512 << 10      # text whose n-grams a scoring task has unpacked at once, in some 50 times as many bytes
@@ -319,6 +319,7 @@ def scored(docs: DataFrame, model: DataFrame, shards: int, table_bytes: int = TA
     small = sum(r[5] for r in sums) <= table_bytes
     rows = [r.asDict() for r in model.select("shard", "k", "size", "keys", "n").orderBy("shard").collect()] if small else None
     sent = spark.sparkContext.broadcast((rows, low_orders(model), [] if small else model.inputFiles()))
+    chunk_bytes = CHUNK_BYTES // 2 if small else CHUNK_BYTES    # a task that holds the model itself holds less text
 
     def log_probabilities(grams: np.ndarray) -> np.ndarray:
         rows, low, files = sent.value
@@ -338,7 +339,9 @@ def scored(docs: DataFrame, model: DataFrame, shards: int, table_bytes: int = TA
         return logp
 
     def chunk_scores(chunk: list[pa.RecordBatch], grams: np.ndarray) -> Iterator[pa.RecordBatch]:
+        give_back()
         logp = log_probabilities(grams)
+        give_back()
         for batch in chunk:
             code, offsets = text_grams(batch["text"])
             distinct, back = np.unique(code.view(np.uint64), return_inverse=True)
@@ -355,7 +358,7 @@ def scored(docs: DataFrame, model: DataFrame, shards: int, table_bytes: int = TA
             chunk.append(batch)
             held.add(code.view(np.uint64))
             size += len(code)
-            if size >= CHUNK_BYTES:
+            if size >= chunk_bytes:
                 yield from chunk_scores(chunk, held.taken())
                 chunk, size = [], 0
         if chunk:
