@@ -158,7 +158,8 @@ def q_stream_row_limit(spark: SparkSession, d: str) -> DataFrame:
     for part in (rows.where(F.col("s_suppkey") <= first), rows.where(F.col("s_suppkey") > first)):
         append_feed(part, f"{root}/feed", ["s_suppkey"])
         stream = feed_stream(spark, f"{root}/feed", rows.schema, ROWS_A_BATCH, checkpoint=f"{root}/checkpoint")
-        query = run_stream(stream, batch_sink(f"{root}/table", preview_rows=0), f"{root}/checkpoint", {"processingTime": "0 seconds"})
+        query = run_stream(stream, batch_sink(f"{root}/table", preview_rows=0, few=ROWS_A_BATCH), f"{root}/checkpoint",
+                           {"processingTime": "0 seconds"})
         query.processAllAvailable()
         query.stop()
     return spark.read.parquet(f"{root}/table").groupBy("batch_id").agg(

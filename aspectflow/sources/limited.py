@@ -2,24 +2,37 @@
 
 ``append_feed`` numbers a table's rows densely in a given order and stores them in chunks of offsets.  The data source
 ``row_feed`` reads them as a stream: so many rows a trigger, from the first row or from the rows that come after the
-start, and after a restart from where the checkpoint says.  Tasks read only the chunks of their own offsets.
+start, and after a restart from where the checkpoint says.  Tasks read only the chunks of their own offsets; a trigger of
+a few rows is read where it is planned, as starting a task's Python costs many times the reading.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
+from pyspark.errors import PySparkNotImplementedError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
-from pyspark.sql.types import StructType
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import (
+    BinaryType, BooleanType, ByteType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType, StructType,
+)
 
 from aspectflow.operators.ordering import with_row_index
 from aspectflow.sources.io import path_exists
 
 CHUNK = 10_000          # offsets a folder of the feed; a task reads one chunk at most
+FEW = 256               # rows a trigger, at most, that are read where the trigger is planned, not by tasks
+_PLAIN = (BooleanType, ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType, BinaryType, StringType)
+
+
+def plain_types(schema: StructType) -> bool:
+    """Whether Arrow and Spark store the values of all columns alike (no times, nested or collated ones)."""
+    return all(type(f.dataType) in _PLAIN and f.dataType == type(f.dataType)() for f in schema)
 
 
 def _names(path: str) -> list[str]:
@@ -127,6 +140,31 @@ class _FeedReader(DataSourceStreamReader):
         pass
 
 
+class _FewRowsReader(SimpleDataSourceStreamReader):
+    """The same feed, offsets and rows, read by the process that plans the triggers; a batch that was planned before a
+    restart is read by a task."""
+
+    def __init__(self, schema: StructType, options: dict):
+        self.feed, self.schema = _FeedReader(schema, options), to_arrow_schema(schema)
+
+    def initialOffset(self) -> dict:  # noqa: N802 - names of the interface
+        # after a restart, Spark asks only where it has planned no batch of the log itself
+        planned = self.feed._planned()
+        if planned is None:
+            return self.feed.initialOffset()
+        self.feed.at = planned
+        return {"offset": planned}
+
+    def read(self, start: dict) -> tuple[Iterator[pa.RecordBatch], dict]:
+        self.feed.at = start["offset"]
+        end = self.feed.latestOffset()
+        return iter(list(self.readBetweenOffsets(start, end))), end        # Spark copies the iterator: no generator
+
+    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[pa.RecordBatch]:  # noqa: N802
+        # as the stream's schema has it: a stored column may be one that can't be null
+        return (b.cast(self.schema) for b in chain.from_iterable(map(self.feed.read, self.feed.partitions(start, end))))
+
+
 def _segments(path: str) -> list[tuple[int, int]]:
     """(first offset, end) of every append whose end has been stored."""
     ends = sorted(int(n) for n in _names(f"{path}/_ends") if n.isdigit())
@@ -145,8 +183,13 @@ class RowFeed(DataSource):
         return self.options["schema"]
 
     def streamReader(self, schema: StructType) -> DataSourceStreamReader:  # noqa: N802
+        if 0 < int(self.options.get("rowsPerTrigger", 0)) <= FEW and plain_types(schema):
+            raise PySparkNotImplementedError(errorClass="NOT_IMPLEMENTED", messageParameters={"feature": "streamReader"})
         return _FeedReader(schema, self.options)
 
+    def simpleStreamReader(self, schema: StructType) -> SimpleDataSourceStreamReader:  # noqa: N802
+        return _FewRowsReader(schema, self.options)
+
 
 def feed_stream(spark: SparkSession, path: str, schema: StructType, rows_per_trigger: int | None = None,
                 starting: str = "earliest", checkpoint: str | None = None, chunk: int = CHUNK) -> DataFrame:

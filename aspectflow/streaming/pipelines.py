@@ -18,15 +18,20 @@ import json
 import logging
 import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+from pyarrow import ArrowInvalid
+from pyarrow.fs import FileSelector, FileSystem
+from pyarrow.parquet import write_table
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from aspectflow.sources.io import path_exists
+from aspectflow.sources.limited import plain_types
 
 log = logging.getLogger("aspectflow.streaming")
 
@@ -108,7 +113,7 @@ class FailOnce:
 def batch_sink(path: str, partition_cols=(), fmt: str = "parquet",
                preview_rows: int = 5, fail_hook: Callable[[int], None] | None = None,
                on_batch: Callable[[int, int, list], None] | None = None,
-               dead_letter_path: str | None = None, table: str | None = None):
+               dead_letter_path: str | None = None, table: str | None = None, few: int = 0):
     """SNK-1/SNK-2/SNK-11 + AGG-7 + STM-10: idempotent writer for :func:`run_stream`.
 
     The row count comes from an ``Observation`` on the write itself (no extra
@@ -123,44 +128,99 @@ def batch_sink(path: str, partition_cols=(), fmt: str = "parquet",
     the data is kept, never silently dropped.  Only a failed write is a dead
     letter: a batch that is in the table is never there too.  ``table`` names the catalog
     table at ``path``; the new partitions are made known to it.
+
+    ``few``: batches are expected to have so many rows at most, of a stream with a row
+    limit.  The driver stores such a batch as one file in the same partition, as Spark's
+    write of a few rows takes many times as long (:class:`_FewRows`); a batch that has
+    more rows all the same is written as any other.
     """
+    few_rows = _FewRows(path, few) if few and fmt == "parquet" and not partition_cols and table is None else None
+
     def _write(batch: DataFrame, batch_id: int, stream_id: str) -> None:
-        batch = batch.persist()
+        once = few_rows is not None and few_rows.can_store(batch)
+        if not once:
+            batch = batch.persist()
         try:
             preview = batch.limit(preview_rows).collect() if preview_rows else []
             if fail_hook is not None:
                 fail_hook(batch_id)
-            obs = Observation(f"batch_{batch_id}")
-            tagged = (batch.withColumn("stream_id", F.lit(stream_id))
-                      .withColumn("batch_id", F.lit(batch_id).cast("long")))
+
+            def tagged() -> DataFrame:
+                return (batch.withColumn("stream_id", F.lit(stream_id))
+                        .withColumn("batch_id", F.lit(batch_id).cast("long")))
 
             def store(rows_out: DataFrame, where: str, by: tuple) -> None:
                 (rows_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy(*by, "stream_id", "batch_id").format(fmt).save(where))
 
             try:
-                store(tagged.observe(obs, F.count(F.lit(1)).alias("rows")), path, tuple(partition_cols))
-                rows = obs.get["rows"]
+                rows = few_rows.store(batch, batch_id, stream_id) if once else None
+                if rows is None:
+                    obs = Observation(f"batch_{batch_id}")
+                    store(tagged().observe(obs, F.count(F.lit(1)).alias("rows")), path, tuple(partition_cols))
+                    rows = obs.get["rows"]
             except Exception as exc:  # noqa: BLE001 - routed or re-raised below
                 if dead_letter_path is None:
                     raise
                 log.error("batch %s: write failed, kept in %s: %s", batch_id, dead_letter_path, exc)
-                store(tagged.withColumn("error", F.lit(str(exc))), dead_letter_path, ())
+                store(tagged().withColumn("error", F.lit(str(exc))), dead_letter_path, ())
                 rows = 0
             else:
                 # a step of its own: the rows are stored, so its failure is no dead letter but a replay of the
                 # batch, which overwrites them
                 if table is not None:
-                    add_partitions(tagged, table, [*partition_cols, "stream_id", "batch_id"])
+                    add_partitions(tagged(), table, [*partition_cols, "stream_id", "batch_id"])
             log.info("batch %s: %s rows written to %s", batch_id, rows, path)
             if on_batch is not None:
                 on_batch(batch_id, rows, preview)
         finally:
-            batch.unpersist()
+            if not once:
+                batch.unpersist()
 
     return _write
 
 
+class _FewRows:
+    """Batches of a few rows as one Parquet file each, written by the driver into the batch's partition: complete when it
+    gets its name, and in place of what an earlier try of the batch left there."""
+
+    def __init__(self, path: str, few: int):
+        self.path, self.few, self.table, self.folders = path, few, None, {}
+
+    def can_store(self, batch: DataFrame) -> bool:
+        """Whether Arrow knows the table's file system and stores all columns as Spark does."""
+        if self.table is None:
+            context = batch.sparkSession.sparkContext
+            path = context._jvm.org.apache.hadoop.fs.Path(self.path)
+            uri = path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path).toUri().toASCIIString()
+            try:
+                self.table = FileSystem.from_uri(uri)
+            except ArrowInvalid:
+                self.table = ()
+        return bool(self.table) and plain_types(batch.schema)
+
+    def store(self, batch: DataFrame, batch_id: int, stream_id: str) -> int | None:
+        """Number of rows stored; None, and nothing done, if there are more than a few."""
+        rows = batch.limit(self.few + 1).toArrow()
+        if rows.num_rows > self.few:
+            return None
+        if not rows.num_rows:
+            return 0
+        files, root = self.table
+        if stream_id not in self.folders:
+            names = batch.sparkSession.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+            self.folders[stream_id] = f"{root}/{names.getPartitionPathString('stream_id', stream_id)}"
+        folder, name = f"{self.folders[stream_id]}/batch_id={batch_id}", f"part-00000-{uuid.uuid4()}.snappy.parquet"
+        files.create_dir(folder)
+        earlier = files.get_file_info(FileSelector(folder))
+        write_table(rows.drop_columns([c for c in rows.column_names if c.lower() in ("stream_id", "batch_id")]),
+                    f"{folder}/.{name}", filesystem=files, compression="snappy")
+        for found in earlier:
+            (files.delete_file if found.is_file else files.delete_dir)(found.path)
+        files.move(f"{folder}/.{name}", f"{folder}/{name}")
+        return rows.num_rows
+
+
 def stream_identity(spark: SparkSession, checkpoint: str) -> str:
     """The query id that Spark wrote into the checkpoint when it was first used."""
     return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).first()[0])["id"]
@@ -203,7 +263,26 @@ def run_stream(df: DataFrame, sink: Callable[[DataFrame, int, str], None], check
               .trigger(**(trigger or DEFAULT_TRIGGER)))
     if name:
         writer = writer.queryName(name)
-    return writer.start()
+    with _checkpoint_files(df.sparkSession, checkpoint):
+        return writer.start()
+
+
+@contextmanager
+def _checkpoint_files(spark: SparkSession, checkpoint: str) -> Iterator[None]:
+    """Streams started inside write a checkpoint on a local disk by Hadoop's ``FileSystem``, not its ``FileContext``, which
+    starts more processes for a log entry (two entries a micro-batch).  An entry is a file that is renamed when complete
+    either way.  Other stores, and sessions that name a manager, keep theirs."""
+    key = "spark.sql.streaming.checkpointFileManagerClass"
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    scheme = jvm.org.apache.hadoop.fs.Path(checkpoint).getFileSystem(conf).getUri().getScheme()
+    if scheme != "file" or spark.conf.get(key, None) is not None:
+        yield
+        return
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
 
 
 def drain(query: StreamingQuery, timeout: float | None = None) -> None:
