@@ -2,7 +2,8 @@
 
 Both reference streams are stateless map + sink, so a pipeline here is:
 source -> DataFrame transform -> ``foreachBatch`` sink.  The sink writes the
-whole micro-batch in one distributed write, tagged with the stream's identity
+whole micro-batch in one distributed write (one of a few rows, where the caller
+says so, as one file from the driver), tagged with the stream's identity
 and the batch id and partitioned by both, with dynamic partition overwrite: a
 batch replayed after a failure (the checkpoint has not committed it) overwrites
 its own partition, so the table never loses or duplicates rows.  The identity
